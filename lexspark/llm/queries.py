@@ -5,6 +5,7 @@ from __future__ import annotations
 from .fingerprint import op3_fingerprint
 from .jaccard_join import op2_jaccard_join
 from .pii import op6_pii
+from .toxicity import op8_toxicity
 from .url_filter import ORACLE as URL_SQL
 from .url_filter import op10_url_filter
 
@@ -12,6 +13,7 @@ QUERIES = {
     "op2_jaccard_join": op2_jaccard_join,
     "op3_fingerprint": op3_fingerprint,
     "op6_pii": op6_pii,
+    "op8_toxicity": op8_toxicity,
     "op10_url_filter": op10_url_filter,
 }
 
