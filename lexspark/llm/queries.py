@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .fingerprint import op3_fingerprint
 from .jaccard_join import op2_jaccard_join
+from .lm_score import op9_lm_score
 from .pii import op6_pii
 from .toxicity import op8_toxicity
 from .url_filter import ORACLE as URL_SQL
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_fingerprint": op3_fingerprint,
     "op6_pii": op6_pii,
     "op8_toxicity": op8_toxicity,
+    "op9_lm_score": op9_lm_score,
     "op10_url_filter": op10_url_filter,
 }
 
