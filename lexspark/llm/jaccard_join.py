@@ -8,7 +8,7 @@ verified once, on whole sets.
 
 Hot n-grams: the order comes from a counting table of fixed size over all documents; equal sets
 are folded to one representative before anything meets. In a run of more than WINDOW+1 sets with one
-n-gram, each set meets the run's first and its WINDOW neighbours. Links found so far give components;
+n-gram, each set meets the run's first and its WINDOW neighbours on either side. Links found so far give components;
 afterwards only sets of such runs that are in different components still meet, so no link between
 components is lost and no group's pairs are spelt out.
 """
@@ -28,7 +28,7 @@ from ._store import Store, partitions, table
 
 #: Entries of the table of n-gram counts: fixed, so what is collected and broadcast is 1 MB at any input size.
 FREQUENCY_BUCKETS = 1 << 18
-WINDOW = 4
+WINDOW = 1
 
 
 def _sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -152,28 +152,26 @@ def _suffix_filter(percent: int, x: str, y: str):
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are alike enough."""
+    """The pairs (a, b) whose whole sets are alike enough. Texts meet their pairs in two joins that share one shuffle of the texts."""
 
-    def sets(batches):
-        for batch in batches:
-            for i, j, grams, owner in _sets(batch, words):
-                first = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=j - i))]) * 8
-                raw = pa.py_buffer(np.ascontiguousarray(grams))
-                yield pa.record_batch({"doc_id": batch.column("doc_id").slice(i, j - i), "grams": pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(first.astype(np.int32)), raw])})
+    def sets(batch, column):
+        out = []
+        for i, j, grams, owner in _sets(pa.record_batch({"text": batch.column(column)}), words):
+            out += np.split(grams, np.cumsum(np.bincount(owner, minlength=j - i))[:-1])
+        return out
 
     def verify(batches):
-        for batch in batches:
-            a, b = (batch.column(k).to_pylist() for k in ("ga", "gb"))
-            good = []
-            for x, y in zip(a, b, strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                n = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * n >= percent * (len(x) + len(y) - n) > 0)
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    found = docs.join(ids, "doc_id", "left_semi").mapInArrow(sets, "doc_id bigint, grams binary")
-    both = pairs.join(found.toDF("a", "ga"), "a").join(found.toDF("b", "gb"), "b")
+        for whole in batches:
+            for at in range(0, whole.num_rows, 64):
+                batch = whole.slice(at, 64)
+                good = []
+                for x, y in zip(sets(batch, "ta"), sets(batch, "tb"), strict=True):
+                    n = len(np.intersect1d(x, y, assume_unique=True))
+                    good.append(100 * n >= percent * (len(x) + len(y) - n) > 0)
+                yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    texts = docs.select("doc_id", "text")
+    both = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
     return both.mapInArrow(verify, "a bigint, b bigint").distinct()
 
 

@@ -6,11 +6,13 @@ from .fingerprint import op3_fingerprint
 from .jaccard_join import op2_jaccard_join
 from .lm_score import op9_lm_score
 from .pii import op6_pii
+from .sentencepiece import op1_sentencepiece
 from .toxicity import op8_toxicity
 from .url_filter import ORACLE as URL_SQL
 from .url_filter import op10_url_filter
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_fingerprint": op3_fingerprint,
     "op6_pii": op6_pii,
