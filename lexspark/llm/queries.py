@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontaminate import op4_decontaminate
 from .fingerprint import op3_fingerprint
 from .jaccard_join import op2_jaccard_join
 from .lm_score import op9_lm_score
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_fingerprint": op3_fingerprint,
+    "op4_decontaminate": op4_decontaminate,
     "op6_pii": op6_pii,
     "op8_toxicity": op8_toxicity,
     "op9_lm_score": op9_lm_score,
