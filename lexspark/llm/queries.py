@@ -9,6 +9,7 @@ from .lm_score import op9_lm_score
 from .pii import op6_pii
 from .sentencepiece import op1_sentencepiece
 from .substring_dedup import op7_substring_dedup
+from .suffix_dedup import op5_suffix_dedup
 from .toxicity import op8_toxicity
 from .url_filter import ORACLE as URL_SQL
 from .url_filter import op10_url_filter
@@ -18,6 +19,7 @@ QUERIES = {
     "op2_jaccard_join": op2_jaccard_join,
     "op3_fingerprint": op3_fingerprint,
     "op4_decontaminate": op4_decontaminate,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_pii": op6_pii,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_toxicity": op8_toxicity,
