@@ -1,13 +1,752 @@
-"""Every registered query of the library and the equivalent SQL."""
+"""Every registered query of the library, and the equivalent SQL where there is one."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-QUERIES: dict = {}
-SQL: dict = {}
+from .. import rules
+from ..functions import text as X
+from ..functions import wikitext as W
+from ..operators import derive, frequency, joins, merge, metrics, rank
+from ..sources import readers, writers
+from . import views as V
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            SQL[name] = sql
+        return f
+
+    return add
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    """Merged lexicon, then the winner of each entry."""
+    return merged_winners(spark, sf_dir)
+
+
+# -- corpus statistics ------------------------------------------------------------------------------
+
+
+@query("token_frequency", f"WITH {V.VOC} SELECT token, cnt, row_number() OVER (ORDER BY cnt DESC, token) AS rank FROM voc")
+def token_frequency(spark, d):
+    return frequency.rank_tokens(V.vocabulary(spark, d))
+
+
+@query("tokenize", f"WITH {V.TOK} SELECT doc_id, count(*) AS n_tokens, count(DISTINCT token) AS n_types FROM tok GROUP BY doc_id")
+def tokenize(spark, d):
+    return V.tokens(spark, d).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_tokens"), F.count_distinct("token").alias("n_types"))
+
+
+_TOP = f"WITH {V.VOC}, {V.KNOWN}, top AS (SELECT * FROM voc ORDER BY cnt DESC, token LIMIT 5000)"
+
+
+@query("coverage", f"{_TOP} SELECT count(*) AS n_top, count(*) - count(k.token) AS n_missing, round(1 - (count(*) - count(k.token)) / greatest(1, count(*)), 6) AS coverage FROM top t LEFT JOIN known k USING (token)")
+def coverage(spark, d):
+    return frequency.coverage(V.vocabulary(spark, d), V.known_words(spark, d), 5000)
+
+
+@query("missing_tokens", f"{_TOP} SELECT token, cnt FROM top WHERE token NOT IN (SELECT token FROM known)")
+def missing_tokens(spark, d):
+    return frequency.missing_tokens(V.vocabulary(spark, d), V.known_words(spark, d), 5000)
+
+
+@query("largest_documents", r"""SELECT source || ':' || doc_id AS title, n_words FROM (SELECT *, len(list_filter(string_split_regex(text, '\s+'), lambda w: w <> '')) AS n_words FROM documents)
+    WHERE n_words >= 200 ORDER BY n_words DESC, title DESC, text DESC LIMIT 100""")
+def largest_documents(spark, d):
+    docs = V.table(spark, d, "documents").select(F.concat_ws(":", "source", "doc_id").alias("title"), "text")
+    return frequency.largest_documents(docs, 100)
+
+
+@query("token_coverage", rf"""WITH {V.TOK}, {V.KNOWN} SELECT doc_id, count(*) AS n_words, count(k.token) AS n_known FROM tok LEFT JOIN known k USING (token) WHERE regexp_matches(token, '\p{{L}}') GROUP BY doc_id""")
+def token_coverage(spark, d):
+    return metrics.token_coverage(V.tokens(spark, d).select("doc_id", "token"), V.known_words(spark, d))
+
+
+_JUNK = r"(trim(coalesce({0}, '')) = '' OR regexp_matches({0}, '[^\x00-\x7f]') OR lower({0}) IN (" + ", ".join(f"'{w}'" for w in rules.LAYOUT_WORDS) + r") OR regexp_matches({0}, '^-?[0-9]+(\.[0-9]+)?$|^[0-9]+[,;:]|^[0-9.,%\-]+$|^[0-9]+(ma|st|nd|rd|th|ĝa|a|esma)$|^[A-Za-z0-9_]{{0,3}}[0-9]{{2,}}[A-Za-z0-9_]{{0,3}}$'))"
+
+
+@query("recall", rf"""{_TOP.replace('LIMIT 5000', 'LIMIT 2000')}, ok AS (SELECT t.*, k.token IS NOT NULL AS hit FROM top t LEFT JOIN known k USING (token) WHERE regexp_matches(t.token, '\p{{L}}') AND NOT {_JUNK.format('t.token')})
+    SELECT count(*) AS n, count_if(hit) AS found, round(100 * count_if(hit) / greatest(1, count(*)), 6) AS type_recall, round(100 * coalesce(sum(cnt) FILTER (hit), 0) / greatest(1, coalesce(sum(cnt), 0)), 6) AS token_recall FROM ok""")
+def recall(spark, d):
+    return metrics.recall(V.vocabulary(spark, d), V.known_words(spark, d), 2000)
+
+
+_CLASS = "CASE WHEN regexp_matches({0}, '(ar|ir)$') THEN 'v' WHEN {0} LIKE '%o' THEN 'n' WHEN {0} LIKE '%a' THEN 'adj' WHEN {0} LIKE '%e' THEN 'adv' END"
+
+
+@query("failure_audit", f"""WITH {V.TOK}, {V.KNOWN}, c AS (SELECT token, count(*) AS cnt, coalesce({_CLASS.format('token')}, 'other') AS class FROM tok WHERE lang = 'es' AND NOT {_JUNK.format('token')} AND token NOT IN (SELECT token FROM known) GROUP BY token)
+    SELECT class, place, token, cnt FROM (SELECT *, row_number() OVER (PARTITION BY class ORDER BY cnt DESC, token) AS place FROM c) WHERE place <= 30""")
+def failure_audit(spark, d):
+    return metrics.failure_audit(V.tokens(spark, d).where("lang = 'es'").select("token"), V.known_words(spark, d))
+
+
+# -- cleaning ---------------------------------------------------------------------------------------
+
+_TRIM = "E' \\t\\n\\r\\f\\x0b:;,.–-|"
+_LEMMA = "regexp_replace(trim(" + V.sql_chain("raw", X.LEMMA_CHAIN) + ", " + _TRIM + "''\"'), '\\s+', ' ', 'g')"
+_VALID = r"(length({0}) >= 2 AND NOT regexp_matches({0}, '^[''(\[{{%#*<>]') AND NOT regexp_matches({0}, '''''|\[\[|\]\]|\{{\{{|\}}\}}|[<>]') AND NOT (contains({0}, ':') AND length({0}) > 30) AND regexp_matches({0}, '\p{{L}}'))"
+
+
+@query("clean_lemma", f"WITH {V.MARKED}, c AS (SELECT token, {_LEMMA} AS lemma FROM marked) SELECT token, lemma, {_VALID.format('lemma')} AS valid FROM c")
+def clean_lemma(spark, d):
+    return V.marked(spark, d).select("token", X.clean_lemma(F.col("raw")).alias("lemma")).withColumn("valid", X.is_valid_lemma(F.col("lemma")))
+
+
+_TRANSLATION = "trim(CASE WHEN regexp_matches(raw, '[{\\[<|&]') THEN " + V.sql_chain("raw", X.TRANSLATION_CHAIN) + " ELSE raw END, " + _TRIM + "')"
+
+
+@query("clean_translation", f"WITH {V.MARKED} SELECT token, {_TRANSLATION} AS term FROM marked")
+def clean_translation(spark, d):
+    return V.marked(spark, d).select("token", X.clean_translation(F.col("raw")).alias("term"))
+
+
+@query("parse_meanings", rf"""WITH {V.MARKED}, t AS (SELECT token, {_TRANSLATION} AS t FROM marked), p AS (SELECT token, t, regexp_extract_all(t, '\(([0-9]+)\)\s*([^;()]+)', 2) AS num, list_transform(string_split(t, ','), lambda x: trim(x)) AS parts FROM t),
+    m AS (SELECT token, CASE WHEN t = '' THEN [] WHEN len(num) > 0 THEN num WHEN contains(t, ';') THEN string_split(t, ';') WHEN len(parts) BETWEEN 2 AND 8 AND len(list_filter(parts, lambda x: length(x) >= 20)) = 0 THEN [t] ELSE [replace(t, ',', chr(1))] END AS ms FROM p)
+    SELECT token, array_to_string(list_filter(list_transform(ms, lambda x: replace(array_to_string(list_filter(list_transform(string_split(x, ','), lambda y: trim(y)), lambda y: y <> ''), '+'), chr(1), ',')), lambda z: z <> ''), '/') AS meanings FROM m""")
+def parse_meanings(spark, d):
+    return V.marked(spark, d).select("token", F.array_join(F.transform(X.parse_meanings(F.col("raw")), lambda m: F.array_join(m, "+")), "/").alias("meanings"))
+
+
+@query("strip_wikitext", "SELECT page_id, length(t) AS n, t AS plain FROM (SELECT page_id, " + V.sql_chain("coalesce(html, '')", X.WIKITEXT_CHAIN) + " AS t FROM pages)")
+def strip_wikitext(spark, d):
+    return V.table(spark, d, "pages").select("page_id", X.strip_wikitext(F.col("html")).alias("plain")).select("page_id", F.length("plain").cast("bigint").alias("n"), "plain")
+
+
+@query("split_terms", r"""WITH """ + V.MARKED + r""", p AS (SELECT token, unnest(string_split_regex(raw, '[,;]')) AS p, generate_subscripts(string_split_regex(raw, '[,;]'), 1) AS k FROM marked),
+    c AS (SELECT token, k, trim(p) AS t, trim(regexp_replace(regexp_replace(trim(p), '\s*Kategorio:[^\s]+.*$', '', 'g'), '\s+', ' ', 'g')) AS c FROM p)
+    SELECT token, k, c AS term FROM c WHERE NOT regexp_matches(t, '[|{}]|bgcolor') AND NOT contains(c, '*') AND regexp_matches(replace(c, ' ', ''), '^[A-Za-zĈĜĤĴŜŬĉĝĥĵŝŭ\-]+$') AND length(c) - length(replace(c, ' ', '')) < 2""")
+def split_terms(spark, d):
+    out = V.marked(spark, d).select("token", F.posexplode(F.split("raw", "[,;]")).alias("k", "p"))
+    return out.select("token", (F.col("k") + 1).cast("bigint").alias("k"), F.explode(X.split_terms(F.col("p"))).alias("term"))
+
+
+_SHAPE = "(length(token) >= 3 AND regexp_matches(token, '^[a-zA-Z\\-]+$') AND NOT (length(token) <= 8 AND regexp_matches(token, '^[a-z]{2,}(as|is|os|us|ez)$')))"
+
+
+@query("junk_filters", f"""WITH {V.VOC} SELECT token, {_JUNK.format('token')} AS junk, {_SHAPE} AS shaped,
+    length(regexp_replace(token, '(ar|ir|or)$', '')) <= 1 AS junk_verb FROM voc""")
+def junk_filters(spark, d):
+    t = F.col("token")
+    return V.vocabulary(spark, d).select("token", X.is_junk_lemma(t).alias("junk"), X.has_lemma_shape(t).alias("shaped"), X.is_junk_verb(t, F.lit("vblex"), F.lit("")).alias("junk_verb"))
+
+
+@query("pair_validators", rf"""WITH {V.MARKED} SELECT token, length(trim(raw)) >= 3 AND NOT regexp_matches(trim(raw), '[0-9.()\[\]{{}}|<>]') AND regexp_matches(trim(raw), '^[A-Za-zĉĝĥĵŝŭĈĜĤĴŜŬ][\p{{L}}\p{{N}}_\-\s]*$') AS link_title,
+    regexp_matches(raw, '^[a-zA-ZĈĉĜĝĤĥĴĵŜŝŬŭÀ-ÿ][a-zA-ZĈĉĜĝĤĥĴĵŜŝŬŭÀ-ÿ\-]+$') AS label, raw <> '' AND NOT regexp_matches(raw, '[/\\:|{{}}]') AND length(raw) <= 50 AND NOT regexp_matches(raw, '^(Template|Category|Kategorio|Shablono)') AS relevant FROM marked""")
+def pair_validators(spark, d):
+    r = F.col("raw")
+    return V.marked(spark, d).select("token", X.is_link_title(r).alias("link_title"), X.is_label_lemma(r).alias("label"), X.is_relevant(r).alias("relevant"))
+
+
+@query("page_filters", r"""SELECT page_id, CASE WHEN length(trim(t)) < 2 THEN lower(trim(t)) IN ('a','e','i','o','u') ELSE trim(t) NOT IN ('MediaWiki','Help','Category','Template','User','Talk','File','Image','Special','Main','Wikipedia','Wiktionary') END AS title_ok,
+    length(x) >= 100 AND NOT regexp_matches(trim(x), '^#(REDIRECT|redirect)') AND NOT contains(lower(x), 'disambig') AND (regexp_matches(x, '(?i)\[\[kategorio:[^\]]+\]\]') OR length(x) > 500) AS content_ok
+    FROM (SELECT page_id, regexp_extract(coalesce(url, ''), '([^/?#]*)$', 1) AS t, coalesce(html, '') AS x FROM pages)""")
+def page_filters(spark, d):
+    t = F.regexp_extract(F.coalesce("url", F.lit("")), "([^/?#]*)$", 1)
+    return V.table(spark, d, "pages").select("page_id", X.is_valid_title(t).alias("title_ok"), X.has_relevant_content(F.col("html")).alias("content_ok"))
+
+
+_PATTERNS = {"geography": ("ciud", "tion"), "people": ("ment", "lich"), "organization": ("elle", "ing"), "temporal": ("ado", "ung")}
+
+
+@query("classify_categories", f"""WITH {V.TOK}, c AS (SELECT doc_id, list_sort(list(DISTINCT token))[1:6] AS cats FROM tok GROUP BY doc_id),
+    k AS (SELECT doc_id, list_filter(list_transform(cats, lambda c: CASE WHEN regexp_matches(c, 'ciud|tion') THEN 'geography' WHEN regexp_matches(c, 'ment|lich') THEN 'people' WHEN regexp_matches(c, 'elle|ing') THEN 'organization' WHEN regexp_matches(c, 'ado|ung') THEN 'temporal' END), lambda x: x IS NOT NULL) AS f FROM c)
+    SELECT doc_id, coalesce(f[1], 'vocabulary') AS class FROM k""")
+def classify_categories(spark, d):
+    cats = V.tokens(spark, d).groupBy("doc_id").agg(F.slice(F.array_sort(F.collect_set("token")), 1, 6).alias("cats"))
+    return cats.select("doc_id", X.classify(F.col("cats"), _PATTERNS).alias("class"))
+
+
+@query("pos_and_stem", f"""WITH {V.VOC}, p AS (SELECT token, {_CLASS.format('token')} AS pos FROM voc), q AS (SELECT *, CASE pos WHEN 'v' THEN 'ar__vblex' WHEN 'n' THEN 'o__n' WHEN 'adj' THEN 'a__adj' WHEN 'adv' THEN 'e__adv' END AS paradigm FROM p)
+    SELECT token, pos, CASE pos WHEN 'v' THEN regexp_replace(token, '(ar|ir|or)$', '') WHEN 'n' THEN regexp_replace(token, 'o$', '') WHEN 'adj' THEN regexp_replace(token, 'a$', '') WHEN 'adv' THEN regexp_replace(token, 'e$', '') ELSE token END AS stem,
+    CASE pos WHEN 'v' THEN 5 WHEN 'adj' THEN 5 WHEN 'adv' THEN 5 ELSE 1 END AS priority, CASE pos WHEN 'v' THEN 'vblex' ELSE pos END AS tag FROM q""")
+def pos_and_stem(spark, d):
+    out = V.vocabulary(spark, d).select("token", X.pos_by_ending(F.col("token")).alias("pos"))
+    out = out.withColumn("paradigm", X.lookup({"v": "ar__vblex", "n": "o__n", "adj": "a__adj", "adv": "e__adv"}, F.col("pos")))
+    return out.select("token", "pos", X.stem(F.col("token"), F.col("paradigm")).alias("stem"), X.paradigm_priority(F.col("paradigm")).alias("priority"), X.tag_of(F.col("paradigm")).alias("tag"))
+
+
+_SHORT = "CASE pos WHEN 'noun' THEN 'n' WHEN 'adjective' THEN 'adj' ELSE pos END"
+_SANE = f"""CASE WHEN lower(lemma) IN ('qua','qui','quo','quan','quin','quon','di qua','di qui','di quo') THEN 'prn' WHEN lower(lemma) IN ('ita','ta') THEN 'adj'
+    WHEN p = '' AND NOT regexp_matches(lemma, '^\\p{{Ll}}') THEN ''
+    WHEN p = '' THEN CASE WHEN regexp_matches(lemma, '..ar$') THEN 'vblex' WHEN lemma LIKE '%o' THEN 'n' WHEN lemma LIKE '%a' AND lemma NOT LIKE '%ia' THEN 'adj' WHEN lemma LIKE '%e' AND length(lemma) > 2 THEN 'adv' ELSE '' END
+    WHEN lower(lemma) LIKE '%o' THEN 'n' WHEN lower(lemma) LIKE '%ar' AND length(lemma) > 3 THEN 'vblex' WHEN lower(lemma) LIKE '%a' AND lower(lemma) NOT LIKE '%ia' THEN 'adj' WHEN lower(lemma) LIKE '%e' AND length(lemma) > 2 THEN 'adv' ELSE p END"""
+_PARADIGM = """CASE WHEN regexp_matches(lemma, '^[0-9]+(\\.[0-9]+)?$') THEN 'num' WHEN regexp_matches(lemma, '[ -]') THEN 'o__n' WHEN lower(lemma) LIKE '%ano' THEN 'o__n' WHEN lower(lemma) LIKE '%ana' THEN 'a__adj'
+    WHEN lower(lemma) LIKE '%ia' AND length(lemma) > 3 THEN 'o__n' WHEN regexp_matches(lower(lemma), '(ar|ir)$') AND NOT regexp_matches(lemma, '^\\p{Lu}') THEN 'ar__vblex'
+    WHEN pos = 'adv' THEN CASE WHEN lower(lemma) LIKE '%e' THEN 'e__adv' ELSE '__adv' END WHEN pos = 'n' THEN 'o__n' WHEN pos = 'adj' THEN 'a__adj' WHEN pos = 'vblex' THEN 'ar__vblex' WHEN pos = 'prn' THEN '__prn'
+    WHEN lower(lemma) LIKE '%a' THEN 'a__adj' WHEN lower(lemma) LIKE '%e' THEN 'e__adv' WHEN lower(lemma) LIKE '%o' THEN 'o__n' WHEN regexp_matches(lower(lemma), '(ar|ir)$') THEN 'ar__vblex'
+    WHEN regexp_matches(lemma, '^\\p{Lu}') AND length(lemma) > 2 THEN 'o__n' END"""
+
+
+@query("entry_paradigms", f"WITH {V.ENT}, a AS (SELECT DISTINCT lemma, {_SHORT} AS p FROM ent), b AS (SELECT lemma, p, {_SANE} AS pos FROM a) SELECT lemma, p AS given, pos, {_PARADIGM} AS paradigm FROM b")
+def entry_paradigms(spark, d):
+    out = V.entries(spark, d).select("lemma", X.short_pos(F.col("pos")).alias("given")).distinct().withColumn("pos", X.sane_pos(F.col("lemma"), F.col("given")))
+    return out.withColumn("paradigm", X.infer_paradigm(F.col("lemma"), F.col("pos"), F.lit(False)))
+
+
+@query("fold_case", rf"""WITH {V.ENT}, g AS (SELECT lemma, pos, count_if(NOT regexp_matches(term, '^\p{{Ll}}')) AS bad FROM ent GROUP BY lemma, pos)
+    SELECT lemma, pos, CASE WHEN regexp_matches(lemma, '^\p{{Lu}}') AND (bad = 0 OR pos = 'adjective') THEN lower(substr(lemma, 1, 1)) || substr(lemma, 2) ELSE lemma END AS folded FROM g""")
+def fold_case(spark, d):
+    out = V.entries(spark, d).groupBy("lemma", "pos").agg(F.collect_list("term").alias("terms"))
+    return out.select("lemma", "pos", X.fold_case(F.col("lemma"), F.col("terms"), F.col("pos")).alias("folded"))
+
+
+@query("validate_entries", f"""WITH {V.LEX}, r AS (SELECT lemma, term, CASE WHEN idx % 3 = 0 THEN NULL ELSE sources[1] END AS source, idx * 0.4 AS confidence FROM lex)
+    SELECT lemma, term, concat_ws(',', CASE WHEN source IS NULL THEN 'source' END, CASE WHEN confidence > 1 THEN 'confidence' END) AS errors FROM r""")
+def validate_entries(spark, d):
+    rows = V.lexicon(spark, d).select("lemma", "term", F.when(F.col("idx") % 3 != 0, F.get("sources", F.lit(0))).alias("source"), (F.col("idx") * 0.4).alias("confidence"))
+    return derive.validation_errors(rows).select("lemma", "term", "errors")
+
+
+# -- merging and ranking ----------------------------------------------------------------------------
+
+_PICK = f"SELECT lemma, arg_min(term, {V.RANK} * 1000000 + idx) AS term FROM lex GROUP BY lemma"
+
+
+@query("pick_best", f"WITH {V.LEX} {_PICK}")
+def pick_best(spark, d):
+    return rank.pick_best(V.lexicon(spark, d), V.RANKS)
+
+
+@query("winner_diff", f"""WITH {V.LEX} SELECT lemma, old_term, new_term FROM (SELECT lemma, count(*) AS n, arg_min(term, {V.RANK} * 1000000 + idx) AS old_term, arg_min(term, {V.OTHER_RANK} * 1000000 + idx) AS new_term FROM lex GROUP BY lemma) WHERE n >= 2 AND old_term <> new_term""")
+def winner_diff(spark, d):
+    return rank.winner_diff(V.lexicon(spark, d), V.RANKS, V.OTHER_RANKS)
+
+
+for _name, _score in (("insertion", "0"), ("srcrank", V.RANK), ("srcrank_corr", f"10 * {V.RANK} - least(4, len(sources))")):
+    QUERIES[f"ranker_{_name}"] = lambda spark, d, n=_name: rank.ranked(V.lexicon(spark, d), n, V.RANKS).select("lemma", "term", "place")
+    SQL[f"ranker_{_name}"] = f"WITH {V.LEX} SELECT lemma, term, row_number() OVER (PARTITION BY lemma ORDER BY {_score}, idx) AS place FROM lex"
+QUERIES["ranker_confidence"] = lambda spark, d: rank.ranked(V.lexicon(spark, d), "confidence", V.RANKS).select("lemma", "term", "place")
+
+for _name, _order in (("insertion", "0"), ("srcrank", "coalesce(list_min(list_transform(src, lambda s: CAST(substr(s, 4) AS INT) % 5)), 2)")):
+    QUERIES[f"precision_{_name}"] = lambda spark, d, n=_name: metrics.precision_at_1(V.lexicon(spark, d), "src3", n, V.RANKS)
+    SQL[f"precision_{_name}"] = f"""WITH {V.LEX}, h AS (SELECT lemma, term, idx, list_contains(sources, 'src3') AS ref, list_filter(sources, lambda s: s <> 'src3') AS src, count(*) OVER (PARTITION BY lemma) AS n, bool_or(list_contains(sources, 'src3')) OVER (PARTITION BY lemma) AS has_ref FROM lex),
+    w AS (SELECT lemma, arg_min(ref, {_order} * 1000000 + idx) AS hit FROM h WHERE n >= 2 AND has_ref GROUP BY lemma)
+    SELECT count(*) AS n, count_if(hit) AS hits, round(count_if(hit) / greatest(1, count(*)), 6) AS precision FROM w"""
+
+
+@query("order_terms", f"WITH {V.LEX} SELECT lemma, string_agg(term, ',' ORDER BY {V.RANK}, idx) AS terms FROM lex GROUP BY lemma")
+def order_terms(spark, d):
+    return rank.order_terms(V.lexicon(spark, d), V.RANKS)
+
+
+@query("demote", f"""WITH {V.LEX}, x AS (SELECT lemma, term, idx, (regexp_matches(lemma, '(o|a|e|ar|ir|or|n|s)$') AND lemma NOT LIKE '%eskar' AND term LIKE '%es' AND list_contains(list(term) OVER (PARTITION BY lemma), regexp_replace(term, 'es$', 'e'))) AS low FROM lex)
+    SELECT lemma, term, row_number() OVER (PARTITION BY lemma ORDER BY low, idx) - 1 AS idx FROM x""")
+def demote(spark, d):
+    return rank.demote(V.lexicon(spark, d), "es", "e", "(o|a|e|ar|ir|or|n|s)$", "eskar$").select("lemma", "term", "idx")
+
+
+@query("best_entry", f"""WITH {V.ENT}, e AS (SELECT DISTINCT lower(lemma) AS lemma, {_SHORT} AS pos, CASE {_SHORT} WHEN 'n' THEN 'o__n' WHEN 'adj' THEN 'a__adj' END AS paradigm, length(lemma) AS ord FROM ent)
+    SELECT lemma, arg_max(pos, CASE paradigm WHEN 'a__adj' THEN 5 ELSE 1 END) AS pos, arg_max(coalesce(paradigm, '-'), CASE paradigm WHEN 'a__adj' THEN 5 ELSE 1 END) AS paradigm FROM e GROUP BY lemma""")
+def best_entry(spark, d):
+    pos = X.short_pos(F.col("pos"))
+    e = V.entries(spark, d).select(F.lower("lemma").alias("lemma"), pos.alias("pos"), X.lookup(rules.POS_PARADIGM, pos).alias("paradigm"), F.length("lemma").alias("ord")).distinct()
+    return rank.best_entry(e).withColumn("paradigm", F.coalesce("paradigm", F.lit("-")))
+
+
+@query("first_wins", "SELECT arg_min(doc_id, doc_id) AS doc_id, lang, text FROM documents GROUP BY lang, text")
+def first_wins(spark, d):
+    return merge.first_wins(V.table(spark, d, "documents").select("doc_id", "lang", "text"), ["lang", "text"], ["doc_id"]).select("doc_id", "lang", "text")
+
+
+@query("merge_translations", f"""WITH {V.ENT}, t AS (SELECT lower(lemma) AS lemma, term, pos AS lang, source, length(ord) / 40.0 AS confidence FROM ent) SELECT lemma, term, lang, round(max(confidence), 6) AS confidence, array_to_string(list_sort(list(DISTINCT source)), ',') AS sources FROM t GROUP BY lemma, term, lang""")
+def merge_translations(spark, d):
+    rows = V.entries(spark, d).select(F.lower("lemma").alias("lemma"), "term", F.col("pos").alias("lang"), "source", (F.length("ord") / 40.0).alias("confidence"))
+    return merge.merge_translations(rows).withColumn("confidence", F.round("confidence", 6))
+
+
+@query("canonical_lemma", f"""WITH {V.ENT}, r AS (SELECT lemma, CAST(substr(source, 4) AS INT) AS p FROM ent UNION ALL SELECT upper(lemma), 99 FROM ent WHERE length(lemma) % 2 = 0),
+    o AS (SELECT lower(lemma) AS key, lemma, row_number() OVER (PARTITION BY lower(lemma) ORDER BY (lemma = lower(lemma)) DESC, p DESC, lemma DESC) AS n FROM r) SELECT key, lemma FROM o WHERE n = 1""")
+def canonical_lemma(spark, d):
+    e = V.entries(spark, d).select("lemma", F.substr("source", F.lit(4)).cast("int").alias("priority"))
+    return merge.canonical_lemma(e.unionByName(e.where("length(lemma) % 2 = 0").select(F.upper("lemma").alias("lemma"), F.lit(99).alias("priority"))))
+
+
+@query("merge_by_lemma", f"""WITH {V.ENT}, r AS (SELECT DISTINCT lower(lemma) AS key, pos, source, CAST(substr(source, 4) AS INT) % 4 AS p, CAST(substr(source, 4) AS INT) AS o FROM ent)
+    SELECT key, arg_max(pos, p * 100 - o) AS pos, arg_max(source, p * 100 - o) AS source, count(*) AS n FROM r GROUP BY key""")
+def merge_by_lemma(spark, d):
+    n = F.substr("source", F.lit(4)).cast("int")
+    return merge.merge_by_lemma(V.entries(spark, d).select(F.lower("lemma").alias("lemma"), "pos", "source", (n % 4).alias("priority"), n.alias("ord")).distinct())
+
+
+_CASED = f"{V.LEX}, cased AS (SELECT lemma, term, sources, idx * 2 AS idx FROM lex UNION ALL SELECT lemma, upper(substr(term, 1, 1)) || substr(term, 2), ['extra'], idx * 2 + 1 FROM lex WHERE length(term) % 2 = 0)"
+
+
+def _cased(spark, d):
+    lex = V.lexicon(spark, d).withColumn("idx", F.col("idx") * 2)
+    return lex.unionByName(lex.where("length(term) % 2 = 0").select("lemma", F.concat(F.upper(F.substring("term", 1, 1)), F.substr("term", F.lit(2))).alias("term"), F.array(F.lit("extra")).alias("sources"), (F.col("idx") + 1).alias("idx")))
+
+
+@query("dedupe_case", rf"""WITH {_CASED}, g AS (SELECT lemma, replace(lower(term), 'ß', 'ss') AS k, arg_min(term, (CASE WHEN regexp_matches(term, '^\p{{Lu}}') THEN 1 ELSE 0 END) * 1000000 + idx) AS term, list_sort(list_distinct(flatten(list(sources)))) AS s, min(idx) AS idx FROM cased GROUP BY ALL)
+    SELECT lemma, term, array_to_string(s, ',') AS sources, idx FROM g""")
+def dedupe_case(spark, d):
+    return merge.dedupe_case(_cased(spark, d)).select("lemma", "term", F.array_join("sources", ",").alias("sources"), F.col("idx").cast("bigint").alias("idx"))
+
+
+_INFLECTED = f"{V.LEX}, inf AS (SELECT lemma, term, sources, idx * 3 AS idx FROM lex UNION ALL SELECT lemma, term || 'o', ['x'], idx * 3 + 1 FROM lex UNION ALL SELECT lemma, term || CASE idx % 3 WHEN 0 THEN 'oj' WHEN 1 THEN 'on' ELSE 'ojn' END, ['y'], idx * 3 + 2 FROM lex)"
+
+
+def _inflected(spark, d):
+    lex = V.lexicon(spark, d)
+    tail = F.when(F.col("idx") % 3 == 0, F.lit("oj")).when(F.col("idx") % 3 == 1, F.lit("on")).otherwise(F.lit("ojn"))
+    more = lambda end, tag, k: lex.select("lemma", F.concat("term", end).alias("term"), F.array(F.lit(tag)).alias("sources"), (F.col("idx") * 3 + k).alias("idx"))
+    return lex.withColumn("idx", F.col("idx") * 3).unionByName(more(F.lit("o"), "x", 1)).unionByName(more(tail, "y", 2))
+
+
+@query("fold_inflections", f"""WITH {_INFLECTED}, a AS (SELECT *, list(replace(lower(term), 'ß', 'ss')) OVER (PARTITION BY lemma) AS al, replace(lower(term), 'ß', 'ss') AS k FROM inf),
+    b AS (SELECT *, CASE WHEN regexp_matches(k, '[oa]jn$') AND list_contains(al, k[:-3]) THEN k[:-3] WHEN regexp_matches(k, '[oa]j$') AND list_contains(al, k[:-2]) THEN k[:-2] WHEN regexp_matches(k, '[oa]n$') AND list_contains(al, k[:-2]) THEN k[:-2] ELSE k END AS b FROM a),
+    g AS (SELECT lemma, b, arg_min(term, (CASE WHEN k <> b THEN 1 ELSE 0 END) * 1000000 + idx) AS term, list_sort(list_distinct(flatten(list(sources)))) AS s, min(idx) AS idx FROM b GROUP BY lemma, b)
+    SELECT lemma, term, array_to_string(s, ',') AS sources, idx FROM g""")
+def fold_inflections(spark, d):
+    return merge.fold_inflections(_inflected(spark, d)).select("lemma", "term", F.array_join("sources", ",").alias("sources"), F.col("idx").cast("bigint").alias("idx"))
+
+
+def _merged(spark, d):
+    return merge.merge_lexicon(V.entries(spark, d), embedding=("src0", "src5"))
+
+
+_MERGED = rf"""{V.ENT}, m0 AS (SELECT lemma, {_SHORT} AS p, term, source, ord FROM ent), m1 AS (SELECT *, {_SANE} AS pos FROM m0),
+m2 AS (SELECT lower(lemma) AS key, pos, lemma, source, ord, generate_subscripts(string_split_regex(term, '[,;]'), 1) AS place, trim(unnest(string_split_regex(term, '[,;]'))) AS term FROM m1),
+m3 AS (SELECT * FROM m2 WHERE regexp_matches(term, '{X.TERM_CHARS}')),
+ends AS (SELECT key, pos, coalesce(arg_min(lemma, ord) FILTER (pos IN ('n','adj','adv','vblex') AND lemma = lower(lemma)), arg_min(lemma, ord)) AS lemma, list_sort(list(DISTINCT source)) AS sources FROM m1 JOIN (SELECT DISTINCT lower(lemma) AS key, lemma AS l2 FROM m1) k ON k.l2 = m1.lemma GROUP BY key, pos),
+m4 AS (SELECT key, pos, term, list(DISTINCT source) AS ss, min(struct_pack(o := ord, a := place)) AS o FROM m3 GROUP BY key, pos, term),
+m5 AS (SELECT *, list(term) OVER (PARTITION BY key, pos) AS al FROM m4),
+m6 AS (SELECT *, CASE WHEN regexp_matches(term, '[oa]jn$') AND list_contains(al, term[:-3]) THEN term[:-3] WHEN regexp_matches(term, '[oa]j$') AND list_contains(al, term[:-2]) THEN term[:-2] WHEN regexp_matches(term, '[oa]n$') AND list_contains(al, term[:-2]) THEN term[:-2] ELSE term END AS b FROM m5),
+m7 AS (SELECT key, pos, b AS term, list_sort(list_distinct(flatten(list(ss)))) AS ss, min(o) AS o FROM m6 GROUP BY key, pos, b),
+m8 AS (SELECT *, len(list_filter(ss, lambda s: s NOT IN ('src0', 'src5'))) > 0 AS strong FROM m7), m9 AS (SELECT *, bool_or(strong) OVER (PARTITION BY key, pos) AS covered FROM m8),
+m10 AS (SELECT key, pos, string_agg(term, ',' ORDER BY o) AS terms FROM m9 WHERE strong OR (NOT covered AND lower(substr(term, 1, 4)) = substr(key, 1, 4)) GROUP BY key, pos),
+m11 AS (SELECT e.key, e.pos, e.lemma, coalesce(m10.terms, '') AS terms, array_to_string(e.sources, ',') AS sources FROM ends e LEFT JOIN m10 ON e.key = m10.key AND e.pos = m10.pos)"""
+_FALLBACK = "coalesce({0}, CASE pos WHEN 'n' THEN 'o__n' WHEN 'adj' THEN 'a__adj' WHEN 'adv' THEN 'e__adv' WHEN 'vblex' THEN 'ar__vblex' END)"
+_LIVE = rf"live AS (SELECT *, {_FALLBACK.format(_PARADIGM)} AS paradigm FROM m11 WHERE NOT {_JUNK.format('lemma')})"
+
+
+@query("merge_lexicon", f"WITH {_MERGED}, {_LIVE} SELECT key, pos, lemma, paradigm, terms, sources FROM live")
+def merge_lexicon(spark, d):
+    return _merged(spark, d).select("key", "pos", "lemma", "paradigm", F.array_join(F.transform("candidates", lambda c: c["term"]), ",").alias("terms"), F.array_join("sources", ",").alias("sources"))
+
+
+@query("merged_winners")
+def merged_winners(spark, d):
+    rank_of = lambda c: X.source_rank(c["sources"], V.RANKS)
+    best = F.array_min(F.transform("candidates", lambda c: F.struct(rank_of(c).alias("r"), c["o"].alias("o"), c["term"].alias("term"))))
+    return _merged(spark, d).where(F.size("candidates") > 0).select("lemma", "pos", "paradigm", best["term"].alias("term"))
+
+
+@query("find_conflicts", f"""WITH {V.LEX}, f AS (SELECT lemma, term, unnest(sources) AS s FROM lex), t AS (SELECT lemma, term, list_sort(list(DISTINCT s)) AS ss FROM f GROUP BY ALL)
+    SELECT lemma, count(*) AS n_terms, len(list_distinct(flatten(list(ss)))) AS n_sources, string_agg(term || '{{' || array_to_string(ss, ',') || '}}', '; ' ORDER BY term || '{{' || array_to_string(ss, ',') || '}}') AS listing FROM t GROUP BY lemma HAVING count(*) >= 2 AND len(list_distinct(flatten(list(ss)))) >= 2""")
+def find_conflicts(spark, d):
+    return merge.find_conflicts(V.lexicon(spark, d))
+
+
+@query("source_stats", f"WITH {V.LEX}, f AS (SELECT lemma, term, unnest(sources) AS source FROM lex) SELECT source, count(DISTINCT lemma) AS n_entries, count(*) AS n_pairs FROM f GROUP BY source")
+def source_stats(spark, d):
+    return merge.source_stats(V.lexicon(spark, d))
+
+
+@query("union_terms", f"""WITH {V.ENT}, t AS (SELECT lower(lemma) AS key, term, min(ord) AS o, arg_min(lemma, ord) AS lemma FROM ent GROUP BY ALL) SELECT arg_min(lemma, o) AS lemma, string_agg(term, ',' ORDER BY o, term) AS terms FROM t GROUP BY key""")
+def union_terms(spark, d):
+    return merge.union_terms(V.entries(spark, d).select("lemma", "term", "ord"))
+
+
+@query("apply_overrides", f"""WITH {V.LEX}, o AS (SELECT lemma, term FROM lex WHERE idx = 0 AND length(lemma) % 2 = 0 UNION ALL SELECT DISTINCT lemma, lemma || 'x' FROM lex WHERE length(lemma) % 2 = 1)
+    SELECT coalesce(l.lemma, o.lemma) AS lemma, coalesce(l.term, o.term) AS term, CASE WHEN o.term IS NULL THEN array_to_string(l.sources, ',') ELSE 'function_word_override' END AS sources FROM lex l FULL JOIN o ON l.lemma = o.lemma AND l.term = o.term""")
+def apply_overrides(spark, d):
+    lex = V.lexicon(spark, d)
+    table = lex.where("idx = 0 and length(lemma) % 2 = 0").select("lemma", "term").unionByName(lex.where("length(lemma) % 2 = 1").select("lemma", F.concat("lemma", F.lit("x")).alias("term")).distinct())
+    return merge.apply_overrides(lex, table).select("lemma", "term", F.array_join("sources", ",").alias("sources"))
+
+
+@query("lexicon_stats", f"""WITH {V.LEX}, p AS (SELECT lemma, count(*) AS n, len(list_distinct(flatten(list(sources)))) AS s FROM lex GROUP BY lemma) SELECT count(*) AS entries, sum(n)::BIGINT AS candidates, count_if(n > 1) AS multi, count_if(s = 1) AS single_source, count_if(s = 0) AS unsourced FROM p""")
+def lexicon_stats(spark, d):
+    return metrics.lexicon_stats(V.lexicon(spark, d))
+
+
+# -- joins ------------------------------------------------------------------------------------------
+
+
+def _gloss_entries(spark, d, lang, salt):
+    """Entries of a language: lemma, pos, pivots, terms, ord, from the vocabulary of its documents."""
+    t = V.tokens(spark, d).where(F.col("lang") == lang).groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("source").alias("s"))
+    return t.select(
+        F.substring("token", 1, 4).alias("lemma"), F.lit("noun").alias("pos"),
+        F.when(F.length("token") % salt == 0, F.array(F.substring("token", 1, 2))).otherwise(F.array().cast("array<string>")).alias("pivots"),
+        F.array(F.struct(F.col("token").alias("term"), (F.col("c") % 10 / 10).alias("confidence"))).alias("terms"), F.col("token").alias("ord"),
+    )
+
+
+def _gloss_sql(lang, salt):
+    return f"(SELECT k AS lemma, arg_max(token, token) AS term, arg_max(c % 10 / 10, token) AS confidence, arg_max(CASE WHEN length(token) % {salt} = 0 THEN substr(token, 1, 2) ELSE '' END, token) AS pivot FROM (SELECT token, count(*) AS c, substr(token, 1, 4) AS k FROM tok WHERE lang = '{lang}' GROUP BY token) GROUP BY k)"
+
+
+@query("identical_form_join", f"WITH {V.TOK}, a AS {_gloss_sql('es', 2)}, b AS {_gloss_sql('fr', 3)} SELECT a.lemma, 'noun' AS pos, a.term, least(1.0, round(a.confidence + 0.2, 6)) AS confidence FROM a JOIN b ON a.lemma = b.lemma WHERE NOT (a.pivot <> '' AND b.pivot <> '' AND a.pivot <> b.pivot)")
+def identical_form_join(spark, d):
+    return joins.identical_form(_gloss_entries(spark, d, "es", 2), _gloss_entries(spark, d, "fr", 3))
+
+
+@query("link_pairs", r"""SELECT p.p_name AS lemma, r.r_name || 'o' AS term, 0.85 AS confidence FROM (SELECT p_name, p_size FROM part) p JOIN (SELECT r_name, n_nationkey AS k FROM region JOIN nation ON n_regionkey = r_regionkey) r ON p.p_size = r.k
+    WHERE length(trim(p_name)) >= 3 AND NOT regexp_matches(trim(p_name), '[0-9.()\[\]{}|<>]') AND regexp_matches(trim(p_name), '^[A-Za-zĉĝĥĵŝŭĈĜĤĴŜŬ][\p{L}\p{N}_\-\s]*$')
+    AND length(trim(r_name || 'o')) >= 3 AND regexp_matches(trim(r_name || 'o'), '^[A-Za-zĉĝĥĵŝŭĈĜĤĴŜŬ][\p{L}\p{N}_\-\s]*$')""")
+def link_pairs(spark, d):
+    pages = V.table(spark, d, "part").select(F.col("p_size").alias("page_id"), F.col("p_name").alias("title"))
+    links = V.table(spark, d, "nation").join(V.table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("page_id"), F.concat("r_name", F.lit("o")).alias("target"))
+    return joins.link_pairs(pages, links)
+
+
+@query("pivot_join", f"""WITH {V.LEX}, a AS (SELECT DISTINCT lemma, lower(substr(term, 1, 6)) AS "pivot" FROM lex), b AS (SELECT DISTINCT term, lower(substr(term, 1, 6)) AS "pivot" FROM lex) SELECT lemma, term, "pivot" FROM a JOIN b USING ("pivot")""")
+def pivot_join(spark, d):
+    lex = V.lexicon(spark, d)
+    pivot = F.substring("term", 1, 6).alias("pivot")
+    return joins.pivot_join(lex.select("lemma", pivot), lex.select("term", pivot))
+
+
+def _page_rows(spark, d):
+    t = V.tokens(spark, d).where("lang in ('es', 'fr')").withColumn("page", F.substring("token", 1, 5))
+    return t.select("page", (F.length("token") % 3).alias("meaning"), F.when(F.col("lang") == "es", "a").otherwise("b").alias("lang"), F.col("token").alias("term"))
+
+
+_PAGE_ROWS = f"{V.TOK}, pr AS (SELECT DISTINCT substr(token, 1, 5) AS page, length(token) % 3 AS meaning, lang, token AS term FROM tok WHERE lang IN ('es', 'fr'))"
+
+
+@query("same_page_pairs", f"WITH {_PAGE_ROWS} SELECT DISTINCT a.page, a.term AS lemma, b.term FROM pr a JOIN pr b ON a.page = b.page AND a.meaning = b.meaning WHERE a.lang = 'es' AND b.lang = 'fr'")
+def same_page_pairs(spark, d):
+    return joins.same_page_pairs(_page_rows(spark, d))
+
+
+@query("same_page_pairs_all_meanings", f"WITH {_PAGE_ROWS} SELECT DISTINCT a.page, a.term AS lemma, b.term FROM pr a JOIN pr b ON a.page = b.page WHERE a.lang = 'es' AND b.lang = 'fr'")
+def same_page_pairs_all_meanings(spark, d):
+    return joins.same_page_pairs(_page_rows(spark, d), by_meaning=False)
+
+
+@query("attach_pos", f"WITH {V.ENT}, p AS (SELECT lower(lemma) AS k, arg_min(pos, ord) AS pos FROM ent WHERE pos <> '' GROUP BY 1) SELECT lex.lemma, lex.term, p.pos FROM lex LEFT JOIN p ON lex.lemma = p.k")
+def attach_pos(spark, d):
+    return joins.attach_pos(V.lexicon(spark, d).select("lemma", "term"), V.entries(spark, d).select("lemma", "pos", "ord"))
+
+
+@query("resolve_variants", f"""WITH {V.LEX}, e AS (SELECT lemma, list_sort(list(DISTINCT term)) AS terms FROM lex GROUP BY lemma), x AS (SELECT lemma, NULL AS form_of, terms FROM e UNION ALL SELECT lemma || 'x', CASE WHEN length(lemma) % 2 = 0 THEN lemma ELSE 'none' END, [] FROM e)
+    SELECT x.lemma, x.form_of, array_to_string(CASE WHEN len(x.terms) = 0 AND e.lemma IS NOT NULL THEN e.terms ELSE x.terms END, ',') AS terms FROM x LEFT JOIN e ON x.form_of = e.lemma""")
+def resolve_variants(spark, d):
+    e = V.lexicon(spark, d).groupBy("lemma").agg(F.array_sort(F.collect_set("term")).alias("terms"))
+    variants = e.select(F.concat("lemma", F.lit("x")).alias("lemma"), F.when(F.length("lemma") % 2 == 0, F.col("lemma")).otherwise("none").alias("form_of"), F.array().cast("array<string>").alias("terms"))
+    out = joins.resolve_variants(e.select("lemma", F.lit(None).cast("string").alias("form_of"), "terms").unionByName(variants))
+    return out.withColumn("terms", F.array_join("terms", ","))
+
+
+@query("entity_label_pairs", """SELECT DISTINCT coalesce(CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END, n_name) AS lemma, n_name AS term FROM customer JOIN nation ON c_nationkey = n_nationkey
+    WHERE regexp_matches(coalesce(CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END, n_name), '^[a-zA-ZĈĉĜĝĤĥĴĵŜŝŬŭÀ-ÿ][a-zA-ZĈĉĜĝĤĥĴĵŜŝŬŭÀ-ÿ\\-]+$') AND length(n_name) >= 2""")
+def entity_label_pairs(spark, d):
+    c = V.table(spark, d, "customer").join(V.table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    props = c.select(F.col("c_custkey").alias("page_id"), F.concat(F.lit("Q"), "c_custkey").alias("entity"))
+    labels = c.where("c_custkey % 3 != 0").select(F.concat(F.lit("Q"), "c_custkey").alias("entity"), F.lit("a").alias("lang"), F.col("c_mktsegment").alias("label"))
+    labels = labels.unionByName(c.select(F.concat(F.lit("Q"), "c_custkey").alias("entity"), F.lit("b").alias("lang"), F.col("n_name").alias("label")))
+    return joins.entity_label_pairs(props, c.select(F.col("c_custkey").alias("page_id"), F.col("n_name").alias("title")), labels)
+
+
+@query("frequency_gate", f"""WITH {V.VOC}, r AS (SELECT token, row_number() OVER (ORDER BY cnt DESC, token) AS rank FROM voc), e AS (SELECT DISTINCT token AS lemma, length(token) % 2 = 0 AS encyclopedic FROM voc)
+    SELECT lemma, encyclopedic FROM e WHERE NOT encyclopedic OR regexp_matches(lemma, '(ano|ana)$') OR lemma IN (SELECT token FROM r WHERE rank <= 1000)""")
+def frequency_gate(spark, d):
+    ranks = frequency.rank_tokens(V.vocabulary(spark, d))
+    return joins.frequency_gate(ranks.select(F.col("token").alias("lemma"), (F.length("token") % 2 == 0).alias("encyclopedic")), ranks, 1000)
+
+
+@query("attested_new", f"WITH {V.LEX}, {V.KNOWN}, f AS (SELECT DISTINCT term || 's' AS lemma FROM lex UNION SELECT DISTINCT term FROM lex) SELECT lemma FROM f WHERE lemma IN (SELECT token FROM voc) AND lemma NOT IN (SELECT lemma FROM lex)")
+def attested_new(spark, d):
+    lex = V.lexicon(spark, d)
+    forms = lex.select(F.concat("term", F.lit("s")).alias("lemma")).unionByName(lex.select(F.col("term").alias("lemma"))).distinct()
+    return joins.attested_new(forms, V.vocabulary(spark, d), lex)
+
+
+@query("shadow_guard", f"""WITH {V.VOC}, v AS (SELECT token AS lemma, cnt < 3 AS weak FROM voc) SELECT lemma, weak FROM v WHERE NOT (weak AND lemma IN (SELECT left(lemma, length(lemma) - 2) || 'e' FROM v WHERE lemma LIKE '%es'))""")
+def shadow_guard(spark, d):
+    v = V.vocabulary(spark, d).select(F.col("token").alias("lemma"), (F.col("cnt") < 3).alias("weak"))
+    return joins.shadow_guard(v, v, "e", "es")
+
+
+@query("supplement", f"""WITH {V.VOC}, {V.KNOWN}, m AS (SELECT token AS lemma, {_CLASS.format('token')} AS pos FROM voc WHERE length(token) % 2 = 0), x AS (SELECT token AS lemma, 'n' AS pos, 'o__n' AS paradigm, length(token) % 3 = 0 AS a FROM known)
+    SELECT m.lemma, CASE WHEN x.a OR (m.pos IS NULL AND x.lemma IS NOT NULL) THEN x.pos ELSE m.pos END AS pos, CASE WHEN x.a OR (m.pos IS NULL AND x.lemma IS NOT NULL) THEN x.paradigm END AS paradigm, 'main' AS source FROM m LEFT JOIN x USING (lemma)
+    UNION ALL SELECT lemma, pos, paradigm, 'supplement' FROM x WHERE lemma NOT IN (SELECT lemma FROM m)""")
+def supplement(spark, d):
+    main = V.vocabulary(spark, d).where("length(token) % 2 = 0").select(F.col("token").alias("lemma"), X.pos_by_ending(F.col("token")).alias("pos"), F.lit(None).cast("string").alias("paradigm"), F.lit("main").alias("source"))
+    extra = V.known_words(spark, d).select(F.col("token").alias("lemma"), F.lit("n").alias("pos"), F.lit("o__n").alias("paradigm"), F.lit("seed").alias("source"), (F.length("token") % 3 == 0).alias("authoritative"))
+    return joins.supplement(main, extra)
+
+
+@query("lexicon_diff", f"""WITH {V.LEX}, o AS (SELECT lemma AS key, list_sort(list(DISTINCT term)) AS t FROM lex WHERE idx <> 1 AND length(lemma) % 7 <> 0 GROUP BY 1), n AS (SELECT lemma AS key, list_sort(list(DISTINCT term)) AS t FROM lex WHERE length(lemma) % 5 <> 0 GROUP BY 1)
+    SELECT coalesce(o.key, n.key) AS key, CASE WHEN o.key IS NULL THEN 'added' WHEN n.key IS NULL THEN 'removed' ELSE 'changed' END AS status, array_to_string(o.t, ',') AS old_terms, array_to_string(n.t, ',') AS new_terms FROM o FULL JOIN n ON o.key = n.key WHERE o.t IS DISTINCT FROM n.t""")
+def lexicon_diff(spark, d):
+    lex = V.lexicon(spark, d).select(F.col("lemma").alias("key"), "term", "idx")
+    return joins.lexicon_diff(lex.where("idx != 1 and length(key) % 7 != 0"), lex.where("length(key) % 5 != 0"))
+
+
+@query("existing_wins", f"WITH {V.VOC}, {V.KNOWN} SELECT token AS lemma, 'old' AS origin FROM known UNION ALL SELECT token, 'new' FROM voc WHERE lower(token) NOT IN (SELECT lower(token) FROM known)")
+def existing_wins(spark, d):
+    word = F.col("token").alias("lemma")
+    return joins.existing_wins(V.known_words(spark, d).select(word, F.lit("old").alias("origin")), V.vocabulary(spark, d).select(word, F.lit("new").alias("origin")))
+
+
+@query("merge_case_twins", f"""WITH {V.LEX}, l AS (SELECT lemma, list_sort(list(term)) AS t FROM lex WHERE length(lemma) % 3 <> 0 GROUP BY lemma), h AS (SELECT upper(substr(lemma, 1, 1)) || substr(lemma, 2) AS lemma, lemma AS k, list_sort(list(term || CASE WHEN idx % 2 = 0 THEN 'x' ELSE '' END)) AS t FROM lex GROUP BY lemma)
+    SELECT l.lemma, array_to_string(list_concat(l.t, list_filter(h.t, lambda x: NOT list_contains(l.t, x))), ',') AS terms FROM l JOIN h ON h.k = l.lemma UNION ALL SELECT lemma, array_to_string(t, ',') FROM h WHERE k NOT IN (SELECT lemma FROM l)""")
+def merge_case_twins(spark, d):
+    lex = V.lexicon(spark, d)
+    low = lex.where("length(lemma) % 3 != 0").groupBy("lemma").agg(F.array_sort(F.collect_list("term")).alias("terms"))
+    high = lex.groupBy(F.concat(F.upper(F.substring("lemma", 1, 1)), F.substr("lemma", F.lit(2))).alias("lemma")).agg(F.array_sort(F.collect_list(F.when(F.col("idx") % 2 == 0, F.concat("term", F.lit("x"))).otherwise(F.col("term")))).alias("terms"))
+    return joins.merge_case_twins(low.unionByName(high)).withColumn("terms", F.array_join("terms", ","))
+
+
+@query("class_twin", f"WITH {V.LEX}, {V.KNOWN} SELECT lemma, term, 'both' AS direction FROM lex UNION ALL SELECT lemma || '<f>', term, 'rl' FROM lex WHERE term IN (SELECT token FROM voc WHERE cnt > 3)")
+def class_twin(spark, d):
+    pairs = V.lexicon(spark, d).select("lemma", "term", F.lit("both").alias("direction"))
+    return joins.class_twin(pairs, V.vocabulary(spark, d).where("cnt > 3").select(F.col("token").alias("term")), "f")
+
+
+_SURFACES = f"{V.LEX}, st AS (SELECT DISTINCT lemma, {_CLASS.format('lemma')} AS c FROM lex), sf AS (SELECT CASE c WHEN 'v' THEN regexp_replace(lemma, '(ar|ir|or)$', '') ELSE left(lemma, length(lemma) - 1) END || s AS surface, lemma, par AS paradigm, tags FROM st JOIN (VALUES ('n','o__n','o','n.sg.nom'),('n','o__n','i','n.pl.nom'),('adj','a__adj','a','adj'),('adv','e__adv','e','adv'),('v','ar__vblex','ar','vblex.inf'),('v','ar__vblex','as','vblex.pri'),('v','ar__vblex','is','vblex.pii'),('v','ar__vblex','os','vblex.fti'),('v','ar__vblex','us','vblex.cni'),('v','ar__vblex','ez','vblex.imp')) p(k, par, s, tags) ON c = k)"
+
+
+def _stems(spark, d):
+    cls = X.lookup({"v": "ar__vblex", "n": "o__n", "adj": "a__adj", "adv": "e__adv"}, X.pos_by_ending(F.col("lemma")))
+    return V.lexicon(spark, d).select("lemma").distinct().withColumn("paradigm", cls)
+
+
+@query("expand_surfaces", f"WITH {_SURFACES} SELECT surface, lemma, paradigm, tags FROM sf")
+def expand_surfaces(spark, d):
+    return derive.expand_surfaces(_stems(spark, d))
+
+
+@query("lemmatize", f"WITH {_SURFACES}, b AS (SELECT surface, min(lemma) AS lemma FROM sf GROUP BY surface) SELECT token, cnt, coalesce(b.lemma, token) AS lemma FROM voc LEFT JOIN b ON token = surface")
+def lemmatize(spark, d):
+    return joins.lemmatize(V.vocabulary(spark, d), derive.expand_surfaces(_stems(spark, d)))
+
+
+@query("join_categories", f"""WITH {V.TOK}, {V.KNOWN}, p AS (SELECT token AS title, list_sort(list(DISTINCT source))[1:3] AS cats FROM tok GROUP BY token)
+    SELECT k.token AS word, CASE WHEN p.title IS NULL THEN 'no_wikipedia_article' ELSE 'vocabulary' END AS class FROM known k LEFT JOIN p ON k.token = p.title""")
+def join_categories(spark, d):
+    pages = V.tokens(spark, d).groupBy(F.col("token").alias("title")).agg(F.slice(F.array_sort(F.collect_set("source")), 1, 3).alias("categories"))
+    return joins.join_categories(V.known_words(spark, d).select(F.col("token").alias("word")), pages)
+
+
+@query("output_diff", """WITH o AS (SELECT o_orderkey AS id, o_orderstatus AS out FROM orders WHERE o_orderkey % 10 <> 0), n AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS out FROM orders WHERE o_orderkey % 11 <> 0)
+    SELECT CASE WHEN o.out IS NULL THEN 'gained' WHEN n.out IS NULL THEN 'lost' WHEN o.out = n.out THEN 'same' ELSE 'changed' END AS status, count(*) AS n FROM o FULL JOIN n ON o.id = n.id GROUP BY 1""")
+def output_diff(spark, d):
+    o = V.table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("out"))
+    return joins.output_diff(o.where("id % 10 != 0"), o.where("id % 11 != 0").withColumn("out", F.when(F.col("id") % 7 == 0, "X").otherwise(F.col("out"))))
+
+
+@query("top_unlinked", r"""WITH e AS (SELECT user_id % (SELECT count(*) FROM pages) AS page_id, count(*) AS views FROM events GROUP BY 1), p AS (SELECT regexp_extract(url, '([^/]*/[^/?#]*)[/?#]?[^/]*$', 1) AS page, sum(views)::BIGINT AS views FROM pages JOIN e USING (page_id) GROUP BY 1),
+    l AS (SELECT DISTINCT regexp_extract(url, '([^/]*/[^/?#]*)[/?#]?[^/]*$', 1) AS page, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS target FROM pages), t AS (SELECT * FROM p WHERE NOT contains(page, ':') ORDER BY views DESC, page LIMIT 50)
+    SELECT page, views FROM t WHERE page NOT IN (SELECT page FROM l WHERE target LIKE '%#%')""")
+def top_unlinked(spark, d):
+    pages = V.table(spark, d, "pages")
+    page = F.regexp_extract("url", r"([^/]*/[^/?#]*)[/?#]?[^/]*$", 1)
+    views = V.table(spark, d, "events").groupBy(F.pmod("user_id", F.lit(pages.count())).alias("page_id")).agg(F.count(F.lit(1)).alias("v"))
+    views = pages.select("page_id", page.alias("page")).join(views, "page_id").groupBy("page").agg(F.sum("v").alias("views"))
+    links = pages.select(page.alias("page"), F.explode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))).alias("target"))
+    return joins.top_unlinked(views, links, links.where(F.col("target").contains("#")).select("target"), 50)
+
+
+@query("flip", f"WITH {V.LEX} SELECT DISTINCT term AS lemma, lemma AS term, 0.6 AS confidence FROM lex")
+def flip(spark, d):
+    return joins.flip(V.lexicon(spark, d).groupBy("lemma").agg(F.collect_list("term").alias("terms")))
+
+
+@query("key_sets", f"WITH {V.VOC}, {V.KNOWN} SELECT coalesce(v.token, k.token) AS token, CASE WHEN k.token IS NULL THEN 'left' WHEN v.token IS NULL THEN 'right' ELSE 'both' END AS side FROM voc v FULL JOIN known k ON v.token = k.token")
+def key_sets(spark, d):
+    return joins.key_sets(V.vocabulary(spark, d), V.known_words(spark, d), "token")
+
+
+@query("source_overlap", f"""WITH {V.LEX}, p AS (SELECT lemma, term, sources, lead(sources) OVER (PARTITION BY lemma ORDER BY idx) AS n FROM lex) SELECT lemma, term, array_to_string(list_sort(list_distinct(list_concat(sources, coalesce(n, [])))), ',') AS merged, coalesce(list_has_any(sources, n), false) AS overlap FROM p""")
+def source_overlap(spark, d):
+    n = F.lead("sources").over(Window.partitionBy("lemma").orderBy("idx"))
+    out = V.lexicon(spark, d).withColumn("n", F.coalesce(n, F.array().cast("array<string>")))
+    return out.select("lemma", "term", F.array_join(F.array_sort(F.array_union("sources", "n")), ",").alias("merged"), F.arrays_overlap("sources", "n").alias("overlap"))
+
+
+# -- derivation -------------------------------------------------------------------------------------
+
+
+@query("derive_pairs")
+def derive_pairs(spark, d):
+    voc = V.vocabulary(spark, d)
+    lex = V.lexicon(spark, d).select("lemma", F.concat(F.regexp_replace("term", ".$", ""), F.when(F.col("lemma").rlike("(ar|ir|or)$"), "i").otherwise(F.substring("lemma", -1, 1))).alias("term"), F.col("term").alias("ord"))
+    return derive.derive_pairs(lex, voc, lex)
+
+
+@query("twin_entries", f"""WITH {V.VOC}, e AS (SELECT token AS lemma, CASE WHEN token LIKE '%a' AND length(token) % 2 = 0 THEN 'a__adj' ELSE 'o__n' END AS paradigm, row_number() OVER (ORDER BY token) AS ord FROM voc WHERE regexp_matches(token, '[oa]$')),
+    x AS (SELECT lemma, 'x' AS pos, paradigm, ord, 0 AS k FROM e UNION ALL SELECT left(lemma, length(lemma) - 3) || 'ana', 'adjective', 'a__adj', ord, 1 FROM e WHERE lemma LIKE '%ano' AND paradigm = 'o__n'
+    UNION ALL SELECT left(lemma, length(lemma) - 3) || 'ano', 'noun', 'o__n', ord, 2 FROM e WHERE lemma LIKE '%ana' AND paradigm = 'a__adj' UNION ALL SELECT lemma || 'na', 'adjective', 'a__adj', ord, 3 FROM e WHERE lemma LIKE '%ia' AND paradigm = 'o__n'
+    UNION ALL SELECT left(lemma, length(lemma) - 2), 'noun', 'o__n', ord, 4 FROM e WHERE lemma LIKE '%iana' AND paradigm = 'a__adj' UNION ALL SELECT left(lemma, length(lemma) - 2), 'noun', 'o__n', ord, 5 FROM e WHERE lemma LIKE '%ana' AND paradigm = 'a__adj'),
+    r AS (SELECT *, row_number() OVER (PARTITION BY lemma ORDER BY ord, k) AS n FROM x) SELECT lemma, pos, paradigm, k > 0 AS made FROM r WHERE k = 0 OR n = 1""")
+def twin_entries(spark, d):
+    e = V.vocabulary(spark, d).where(F.col("token").rlike("[oa]$"))
+    e = e.select(F.col("token").alias("lemma"), F.lit("x").alias("pos"), F.when(F.col("token").endswith("a") & (F.length("token") % 2 == 0), "a__adj").otherwise("o__n").alias("paradigm"), F.col("token").alias("ord"))
+    return derive.twin_entries(e)
+
+
+_WIN = f"{V.LEX}, w AS (SELECT lemma, arg_min(term, {V.RANK} * 1000000 + idx) AS term, CASE {_CLASS.format('lemma')} WHEN 'v' THEN 'ar__vblex' WHEN 'n' THEN 'o__n' WHEN 'adj' THEN 'a__adj' WHEN 'adv' THEN 'e__adv' END AS paradigm FROM lex GROUP BY lemma)"
+_STEM = "CASE paradigm WHEN 'ar__vblex' THEN regexp_replace(lemma, '(ar|ir|or)$', '') WHEN 'o__n' THEN regexp_replace(lemma, 'o$', '') WHEN 'a__adj' THEN regexp_replace(lemma, 'a$', '') WHEN 'e__adv' THEN regexp_replace(lemma, 'e$', '') ELSE lemma END"
+
+
+def _winners(spark, d):
+    return rank.pick_best(V.lexicon(spark, d), V.RANKS).join(_stems(spark, d), "lemma")
+
+
+@query("tagged_pairs", f"WITH {_WIN} SELECT {_STEM} AS \"left\", CASE paradigm WHEN 'ar__vblex' THEN 'vblex' WHEN 'o__n' THEN 'n' WHEN 'a__adj' THEN 'adj' ELSE 'adv' END AS left_tag, term AS \"right\", CASE paradigm WHEN 'ar__vblex' THEN 'vblex' WHEN 'o__n' THEN 'n' WHEN 'a__adj' THEN 'adj' ELSE 'adv' END AS right_tag FROM w WHERE paradigm IS NOT NULL AND NOT regexp_matches(term, '^[A-Z][a-z]?$')")
+def tagged_pairs(spark, d):
+    return derive.tagged_pairs(_winners(spark, d))
+
+
+_DERIV = ", ".join(str(r) for r in rules.TAGGED_DERIVATIONS)
+
+
+@query("tagged_derivations", f"""WITH {_WIN}, t(par, tag, suffix, rt) AS (VALUES {_DERIV})
+    SELECT {_STEM} AS "left", CASE paradigm WHEN 'ar__vblex' THEN 'vblex' WHEN 'o__n' THEN 'n' ELSE 'adj' END || '.' || tag || '.' || string_split(rt, '.')[1] AS left_tags,
+    CASE WHEN suffix = '/' THEN term ELSE regexp_replace(term, CASE paradigm WHEN 'ar__vblex' THEN 'i$' WHEN 'a__adj' THEN 'a$' ELSE 'o$' END, '') || suffix END AS "right", rt AS right_tags
+    FROM w JOIN t ON paradigm = par WHERE CASE paradigm WHEN 'ar__vblex' THEN term LIKE '%i' WHEN 'a__adj' THEN term LIKE '%a' ELSE true END""")
+def tagged_derivations(spark, d):
+    return derive.tagged_derivations(_winners(spark, d))
+
+
+_SHORTWORDS = "('le', 'la', 'de', 'en', 'the', 'of', 'and', 'el')"
+
+
+@query("possessives", f"WITH {V.VOC} SELECT token || 'a' AS lemma, reverse(token) || 'a' AS term FROM voc WHERE token IN {_SHORTWORDS}")
+def possessives(spark, d):
+    return derive.possessives(V.vocabulary(spark, d).select(F.col("token").alias("lemma"), F.reverse("token").alias("term")), ("le", "la", "de", "en", "the", "of", "and", "el"))
+
+
+@query("feature_rows", f"WITH {V.VOC} SELECT token AS lemma, reverse(token) AS term, feature, 'rl' AS direction FROM voc, (VALUES ('m.sg'), ('f.sg'), ('mf.pl'), ('nt')) f(feature) WHERE token IN {_SHORTWORDS}")
+def feature_rows(spark, d):
+    return derive.feature_rows(V.vocabulary(spark, d).select(F.col("token").alias("lemma"), F.reverse("token").alias("term")), ("le", "la", "de", "en", "the", "of", "and", "el"), ["m.sg", "f.sg", "mf.pl", "nt"])
+
+
+_COLS, _ROWS = [("th", "ti"), ("an", "iu"), ("er", "ki"), ("qu", "neni")], [("e", "e"), ("at", "a"), ("er", "u"), ("is", "o")]
+
+
+@query("grid_pairs", f"WITH {V.VOC} SELECT p || s AS lemma, q || t AS term FROM (VALUES {', '.join(map(str, _COLS))}) c(p, q), (VALUES {', '.join(map(str, _ROWS))}) r(s, t) WHERE p || s IN (SELECT token FROM voc)")
+def grid_pairs(spark, d):
+    return derive.grid_pairs(V.vocabulary(spark, d).select(F.col("token").alias("lemma")), _COLS, _ROWS)
+
+
+@query("page_entries", r"SELECT url AS lemma, 'propn' AS pos, 'o__n' AS paradigm, length(html) AS text_length, len(regexp_extract_all(coalesce(html, ''), '(?i)\[\[kategorio:([^\]|]+)', 1)) AS n_categories FROM pages")
+def page_entries(spark, d):
+    return derive.page_entries(V.table(spark, d, "pages").select(F.col("url").alias("title"), F.col("html").alias("text")))
+
+
+@query("keep_without_term", f"""WITH {V.VOC}, e AS (SELECT token AS lemma, CASE WHEN cnt % 5 = 0 THEN 'adv' ELSE 'n' END AS pos, cnt % 2 AS n_terms, cnt % 3 AS n_other FROM voc)
+    SELECT lemma, pos, n_terms, n_other FROM e WHERE n_terms = 0 AND n_other > 0 AND NOT regexp_matches(lemma, '(as|is|os|us|ez)$') AND (regexp_matches(lemma, '(o|a|e|ar|ir)$') OR pos = 'adv')""")
+def keep_without_term(spark, d):
+    return derive.keep_without_term(V.vocabulary(spark, d).select(F.col("token").alias("lemma"), F.when(F.col("cnt") % 5 == 0, "adv").otherwise("n").alias("pos"), (F.col("cnt") % 2).alias("n_terms"), (F.col("cnt") % 3).alias("n_other")))
+
+
+_ENDING = "CASE WHEN regexp_matches({0}, '{1}$') THEN 'v' WHEN {0} LIKE '%o' THEN 'n' WHEN {0} LIKE '%a' THEN 'adj' WHEN {0} LIKE '%e' THEN 'adv' END"
+
+
+@query("align", f"""WITH {V.LEX}, p AS (SELECT lemma, term, 0.8 AS confidence, 0 AS part FROM lex UNION ALL SELECT term, lemma, 0.6, 1 FROM lex) SELECT lemma, term, confidence, part FROM p WHERE coalesce(({_ENDING.format('lemma', '(ar|ir)')}) = ({_ENDING.format('term', 'i')}), true)""")
+def align(spark, d):
+    lex = V.lexicon(spark, d)
+    return derive.align([lex.select("lemma", "term", F.lit(0.8).alias("confidence")), lex.select(F.col("term").alias("lemma"), F.col("lemma").alias("term"), F.lit(0.6).alias("confidence"))])
+
+
+@query("prepare_vocabulary")
+def prepare_vocabulary(spark, d):
+    m = V.marked(spark, d)
+    return derive.prepare_vocabulary(m.select(F.col("raw").alias("lemma"), F.lit("noun").alias("pos"), F.reverse("token").alias("term"), F.col("token").alias("ord")))
+
+
+# -- metrics and sinks ------------------------------------------------------------------------------
+
+_TURNS = "t AS (SELECT conv_id, turn, text, lead(text) OVER (PARTITION BY conv_id ORDER BY turn, text) AS nxt, role FROM conversations), p AS (SELECT conv_id * 1000 + turn AS id, text AS hyp, nxt AS ref FROM t WHERE nxt IS NOT NULL)"
+_CHRF = f"""{_TURNS}, s AS (SELECT id, 0 AS side, lower(trim(regexp_replace(regexp_replace(hyp, '[*@#]', '', 'g'), '\\s+', ' ', 'g'))) AS s FROM p UNION ALL SELECT id, 1, lower(trim(regexp_replace(regexp_replace(ref, '[*@#]', '', 'g'), '\\s+', ' ', 'g'))) FROM p),
+    k AS (SELECT id, side, s, unnest(range(1, 7)) AS n FROM s), g AS (SELECT id, side, n, substr(s, CAST(unnest(range(1, length(s) - n + 2)) AS BIGINT), n) AS g FROM k WHERE length(s) >= n),
+    c AS (SELECT id, n, g, count_if(side = 0) AS h, count_if(side = 1) AS r FROM g GROUP BY id, n, g), f AS (SELECT id, n, sum(least(h, r)) AS o, sum(h) AS h, sum(r) AS r FROM c GROUP BY id, n HAVING sum(h) > 0 AND sum(r) > 0),
+    x AS (SELECT id, 100 * avg(CASE WHEN o = 0 THEN 0 ELSE 5 * (o / h) * (o / r) / (4 * (o / h) + o / r) END) AS f FROM f GROUP BY id), chr AS (SELECT DISTINCT p.id, round(coalesce(f, 0), 6) AS chrf FROM p LEFT JOIN x USING (id))"""
+
+
+def _turn_pairs(spark, d):
+    w = Window.partitionBy("conv_id").orderBy("turn", "text")
+    c = V.table(spark, d, "conversations").withColumn("nxt", F.lead("text").over(w)).where("nxt is not null")
+    return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("text").alias("hyp"), F.col("nxt").alias("ref"), "role")
+
+
+@query("chrf", f"WITH {_CHRF} SELECT id, chrf FROM chr")
+def chrf(spark, d):
+    return metrics.chrf(_turn_pairs(spark, d).select("id", "hyp", "ref"))
+
+
+@query("score_by_tag", f"WITH {_CHRF}, tags AS (SELECT DISTINCT conv_id * 1000 + turn AS id, role AS tag FROM t WHERE nxt IS NOT NULL) SELECT tag, count(*) AS n, round(avg(chrf), 4) AS mean, round(avg(chrf), 4) < 70 AS flagged FROM chr JOIN tags USING (id) GROUP BY tag")
+def score_by_tag(spark, d):
+    pairs = _turn_pairs(spark, d)
+    return metrics.score_by_tag(metrics.chrf(pairs.select("id", "hyp", "ref")), pairs.select("id", F.col("role").alias("tag")).distinct())
+
+
+@query("gap_stats", f"WITH {V.VOC}, e AS (SELECT cnt % 3 AS t, cnt % 2 AS p FROM voc) SELECT count(*) AS total, count_if(t = 0) AS without_target, count_if(t = 0 AND p > 0) AS pivot_only, count_if(t = 0 AND p = 0) AS bare FROM e")
+def gap_stats(spark, d):
+    return metrics.gap_stats(V.vocabulary(spark, d).select(F.col("token").alias("lemma"), (F.col("cnt") % 3).alias("n_target"), (F.col("cnt") % 2).alias("n_pivot")))
+
+
+@query("pos_histogram", f"WITH {V.VOC} SELECT coalesce({_CLASS.format('token')}, 'none') AS pos, count(*) AS n FROM voc GROUP BY 1")
+def pos_histogram(spark, d):
+    return metrics.histogram(V.vocabulary(spark, d).select(X.pos_by_ending(F.col("token")).alias("pos")), "pos")
+
+
+@query("merge_stats", f"WITH {V.VOC}, {V.KNOWN} SELECT coalesce({_CLASS.format('v.token')}, 'none') AS pos, count_if(k.token IS NULL) AS added, count_if(k.token IS NOT NULL) AS skipped FROM voc v LEFT JOIN known k USING (token) GROUP BY 1")
+def merge_stats(spark, d):
+    new = V.vocabulary(spark, d).select(F.col("token").alias("lemma"), F.coalesce(X.pos_by_ending(F.col("token")), F.lit("none")).alias("pos"))
+    return metrics.merge_stats(V.known_words(spark, d).select(F.col("token").alias("lemma")), new)
+
+
+@query("batch_metadata", f"WITH {V.VOC} SELECT count(*) AS total, count_if(cnt % 3 > 0) AS with_translation, count_if({_CLASS.format('token')} IS NOT NULL) AS with_morphology FROM voc")
+def batch_metadata(spark, d):
+    return metrics.batch_metadata(V.vocabulary(spark, d).select((F.col("cnt") % 3).alias("n_terms"), X.pos_by_ending(F.col("token")).alias("paradigm")))
+
+
+@query("to_unified", f"WITH {V.ENT} SELECT DISTINCT lower(lemma) AS lemma, term, pos AS lang, 0.6 AS confidence, 'corpus' AS source FROM ent")
+def to_unified(spark, d):
+    return writers.to_unified(V.entries(spark, d).select(F.lower("lemma").alias("lemma"), "term", F.col("pos").alias("lang"), "ord"), "corpus")
+
+
+@query("display_index", f"WITH {V.LEX} SELECT lemma, string_agg(term || '{{' || array_to_string(sources, ',') || '}}', ' ' ORDER BY term || '{{' || array_to_string(sources, ',') || '}}') AS labels FROM lex GROUP BY lemma")
+def display_index(spark, d):
+    return writers.display_index(V.lexicon(spark, d))
+
+
+@query("display_dictionary", f"WITH {V.LEX} SELECT lemma, string_agg(term, ',' ORDER BY {V.RANK}, idx) AS terms, array_to_string(list_sort(list_distinct(flatten(list(sources)))), ',') AS sources FROM lex GROUP BY lemma")
+def display_dictionary(spark, d):
+    return writers.display_dictionary(V.lexicon(spark, d).withColumn("rank", X.source_rank(F.col("sources"), V.RANKS)))
+
+
+# -- wikitext, on pages made from the corpus --------------------------------------------------------
+
+
+def wiki_pages(spark, d):
+    """title, text: an entry page for each lemma of the lexicon, of five layouts."""
+    lex = V.lexicon(spark, d).groupBy("lemma").agg(F.array_sort(F.collect_set("term")).alias("t"))
+    n, terms = F.length("lemma") % 5, F.array_join("t", ", ")
+    head = F.when(n == 0, F.lit("== {{io}} ==\n")).when(n == 1, F.lit("==II {{io}} (verbo)==\n")).when(n == 2, F.lit("== Ido ==\n===Substantivo===\n")).when(n == 3, F.lit("== English ==\nx\n== Ido ==\n")).otherwise(F.lit("{{-ido-}}\n"))
+    body = F.when(n == 4, F.concat(F.lit("* Semantiko: formo de [[verbo]] x\n"))).otherwise(F.concat(F.lit("* Semantiko: adjektivo\n")))
+    text = F.concat(head, body, F.lit("* {{eo}}: "), terms, F.lit("\n* Morfologio: "), F.expr("left(lemma, length(lemma) - 1)"), F.lit("."), F.substring("lemma", -1, 1), F.lit("\n{| class=x\n|-\n| a || "), "lemma", F.lit("\n|}\n== Suomi ==\n* {{eo}}: ne\n"))
+    return lex.select(F.col("lemma").alias("title"), text.alias("text"))
+
+
+@query("extract_entries")
+def extract_entries(spark, d):
+    return readers.extract_entries(wiki_pages(spark, d), "io", "eo")
+
+
+@query("table_cells", f"WITH {V.LEX} SELECT lemma AS title, 0 AS table_no, 0 AS row_no, k AS cell_no, CASE k WHEN 0 THEN 'a' ELSE lemma END AS cell FROM (SELECT DISTINCT lemma FROM lex), (VALUES (0), (1)) v(k)")
+def table_cells(spark, d):
+    return readers.table_cells(wiki_pages(spark, d))
+
+
+@query("section_facts", f"""WITH {V.LEX}, e AS (SELECT DISTINCT lemma, length(lemma) % 5 AS n, right(lemma, 1) AS z FROM lex)
+    SELECT lemma AS title, CASE n WHEN 1 THEN 'verb' WHEN 2 THEN 'noun' WHEN 4 THEN 'verb' ELSE 'adjective' END AS pos, n = 4 AS inflected,
+    CASE z WHEN 'o' THEN 'o__n' WHEN 'a' THEN 'a__adj' WHEN 'e' THEN 'e__adv' END AS paradigm FROM e""")
+def section_facts(spark, d):
+    p = wiki_pages(spark, d).withColumn("s", W.language_section(F.col("text"), "io"))
+    return p.select("title", W.pos_of_section(F.col("s")).alias("pos"), W.is_inflected_form(F.col("s")).alias("inflected"), W.morphology(F.col("s"))["paradigm"].alias("paradigm"))
