@@ -5,7 +5,7 @@ Rows: lemma, pos, term, source, ord (any orderable; its minimum is what was seen
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import rules
@@ -36,33 +36,29 @@ def merge_by_lemma(rows: DataFrame) -> DataFrame:
     return rows.groupBy(F.lower("lemma").alias("key")).agg(best.alias("b"), F.count(F.lit(1)).alias("n")).select("key", "b.pos", "b.source", "n")
 
 
-def dedupe_case(cands: DataFrame) -> DataFrame:
-    """Candidates (lemma, term, sources, idx) that differ by case only become one, spelt as the lemma's case asks."""
+def _union_sources():
+    return F.array_sort(F.array_distinct(F.flatten(F.collect_list("sources")))).alias("sources")
+
+
+def dedupe_case(cands: DataFrame, keys: tuple[str, ...] = ("lemma",)) -> DataFrame:
+    """Candidates (keys with lemma, term, sources, idx) that differ by case only become one, spelt as the lemma's case asks."""
     proper = F.col("lemma").rlike(r"^\p{Lu}")
     apart = (F.col("term").rlike(r"^\p{Lu}") != proper).cast("int")
-    return (
-        cands.groupBy("lemma", X.casefold(F.col("term")).alias("_k"))
-        .agg(F.min_by("term", F.struct(apart, "idx")).alias("term"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("sources")))).alias("sources"), F.min("idx").alias("idx"))
-        .drop("_k")
-    )
+    out = cands.groupBy(*keys, X.casefold(F.col("term")).alias("_k"))
+    return out.agg(F.min_by("term", F.struct(apart, "idx")).alias("term"), _union_sources(), F.min("idx").alias("idx")).drop("_k")
 
 
-def fold_inflections(cands: DataFrame) -> DataFrame:
-    """A candidate ending in -jn, -j or -n goes into its base in -o or -a, if that is a candidate of the lemma too."""
-    from pyspark.sql import Window
-
+def fold_inflections(cands: DataFrame, keys: tuple[str, ...] = ("lemma",)) -> DataFrame:
+    """A candidate ending in -jn, -j or -n goes into its base in -o or -a, if that is a candidate of the same keys too."""
     key = X.casefold(F.col("term"))
-    out = cands.withColumn("_all", F.collect_set(key).over(Window.partitionBy("lemma"))).withColumn("_k", key)
+    out = cands.withColumn("_all", F.collect_set(key).over(Window.partitionBy(*keys))).withColumn("_k", key)
     base = F.lit(None).cast("string")
     for suffix in ("n", "j", "jn"):  # the longest is tried first
         cut = F.expr(f"left(_k, greatest(0, length(_k) - {len(suffix)}))")
         base = F.when(F.col("_k").endswith(suffix) & cut.rlike("[oa]$") & F.array_contains("_all", cut), cut).otherwise(base)
     out = out.withColumn("_b", F.coalesce(base, "_k"))
-    return (
-        out.groupBy("lemma", "_b")
-        .agg(F.min_by("term", F.struct((F.col("_k") != F.col("_b")).cast("int"), "idx")).alias("term"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("sources")))).alias("sources"), F.min("idx").alias("idx"))
-        .drop("_b")
-    )
+    first = F.min_by("term", F.struct((F.col("_k") != F.col("_b")).cast("int"), "idx"))
+    return out.groupBy(*keys, "_b").agg(first.alias("term"), _union_sources(), F.min("idx").alias("idx")).drop("_b")
 
 
 def merge_lexicon(rows: DataFrame, embedding: tuple[str, ...] = rules.EMBEDDING_SOURCES, overrides: list[tuple[str, str, str]] | None = None) -> DataFrame:
@@ -72,7 +68,7 @@ def merge_lexicon(rows: DataFrame, embedding: tuple[str, ...] = rules.EMBEDDING_
     cleaned, parts of speech made sane; a common word prefers its lower-case spelling; case variants
     and inflections of a term are folded; terms known from embeddings alone go if the entry has any
     other source, or if they do not share the lemma's first four letters. Entries left without a term
-    are kept. Two shuffles: by (key, pos, term), then by (key, pos).
+    are kept. Everything is grouped and joined by (key, pos, ...), so shuffles are on high-cardinality keys.
     """
     bad_lemma = F.col("lemma").rlike(r"[(),;:!@#$%^&*\[\]{}|<>?/\\]") | ~F.col("lemma").rlike(r"^\p{L}")
     rows = rows.withColumn("lemma", F.btrim(F.coalesce("lemma", F.lit("")))).where(~bad_lemma)
@@ -92,15 +88,16 @@ def merge_lexicon(rows: DataFrame, embedding: tuple[str, ...] = rules.EMBEDDING_
     terms = parts.groupBy("key", "pos", "term").agg(
         F.array_sort(F.collect_set("source")).alias("sources"), F.min(order).alias("o"), F.min_by("lemma", spelling).alias("lemma"), F.min(spelling).alias("s")
     )
-    entries = terms.groupBy("key", "pos").agg(
-        F.min_by("lemma", "s").alias("lemma"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("sources")))).alias("sources"),
-        F.array_sort(F.collect_list(F.when(F.col("term").isNotNull(), F.struct("o", "term", "sources")))).alias("c"),
-    )
+    entries = terms.groupBy("key", "pos").agg(F.min_by("lemma", "s").alias("lemma"), _union_sources())
+    cands = terms.where("term is not null").select("key", "pos", "term", "sources", F.col("o").alias("idx")).join(entries.select("key", "pos", "lemma"), ["key", "pos"])
+    cands = fold_inflections(dedupe_case(cands, ("key", "pos", "lemma")), ("key", "pos"))
+    lists = cands.groupBy("key", "pos").agg(F.array_sort(F.collect_list(F.struct(F.col("idx").alias("o"), "term", "sources"))).alias("c"))
+    entries = entries.join(lists, ["key", "pos"], "left")
     paradigm = F.when(F.col("pos").isin("pr", "det", "prn", "cnjcoo", "cnjsub", "ij", "prep_art"), X.lookup(rules.POS_PARADIGM, F.col("pos")))
     encyclopedic = F.exists("sources", lambda s: s.contains("wikipedia"))
     entries = entries.withColumn("paradigm", F.coalesce(paradigm, X.infer_paradigm(F.col("lemma"), F.col("pos"), encyclopedic), X.lookup(rules.POS_PARADIGM, F.col("pos"))))
     entries = entries.where(~X.is_junk_lemma(F.col("lemma")) & ~X.is_junk_verb(F.col("lemma"), F.col("pos"), F.col("paradigm")))
-    entries = entries.withColumn("c", _fold(F.col("c"), F.col("lemma")))
+    entries = entries.withColumn("c", F.coalesce("c", F.array().cast(entries.schema["c"].dataType)))
     weak = F.array(*map(F.lit, embedding))
     only_weak = lambda s: F.size(F.array_except(s, weak)) == 0
     strong = F.exists("c", lambda x: ~only_weak(x["sources"]))
@@ -109,34 +106,6 @@ def merge_lexicon(rows: DataFrame, embedding: tuple[str, ...] = rules.EMBEDDING_
     return entries.select("key", "lemma", "pos", "paradigm", kept.alias("candidates"), "sources")
 
 
-def _fold(cands, lemma):
-    """Case variants, then inflections of the candidates of one entry, by array functions: an entry's list is short."""
-    proper = lemma.rlike(r"^\p{Lu}")
-    union = lambda xs: F.array_sort(F.array_distinct(F.flatten(F.transform(xs, lambda x: x["sources"]))))
-
-    def merge(cs, key_of, spell_of):
-        keys = F.array_distinct(F.transform(cs, key_of))
-        group = lambda k: F.filter(cs, lambda x: key_of(x) == k)
-        return F.transform(keys, lambda k: F.struct(F.get(group(k), F.lit(0))["o"].alias("o"), spell_of(group(k), k).alias("term"), union(group(k)).alias("sources")))
-
-    def by_case(g, _):
-        fitting = F.filter(g, lambda x: x["term"].rlike(r"^\p{Lu}") == proper)
-        return F.coalesce(F.get(fitting, F.lit(0))["term"], F.get(g, F.lit(0))["term"])
-
-    once = merge(cands, lambda x: X.casefold(x["term"]), by_case)
-    present = F.transform(once, lambda y: X.casefold(y["term"]))
-
-    def base_of(x):
-        k = X.casefold(x["term"])
-        out = F.lit(None).cast("string")
-        for suffix in ("n", "j", "jn"):
-            cut = F.regexp_replace(k, f"{suffix}$", "")
-            out = F.when((cut != k) & cut.rlike("[oa]$") & F.array_contains(present, cut), cut).otherwise(out)
-        return F.coalesce(out, k)
-
-    return merge(once, base_of, lambda g, k: F.coalesce(F.get(F.filter(g, lambda x: X.casefold(x["term"]) == k), F.lit(0))["term"], F.get(g, F.lit(0))["term"]))
-
-
 def find_conflicts(cands: DataFrame) -> DataFrame:
     """Lemmas with two terms or more from two sources or more: lemma, n_terms, n_sources, listing 'term{src,…}; …'."""
     flat = cands.select("lemma", "term", F.explode("sources").alias("s")).select("lemma", "term", X.short_source(F.col("s")).alias("s"))

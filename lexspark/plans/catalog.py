@@ -570,11 +570,19 @@ def source_overlap(spark, d):
 # -- derivation -------------------------------------------------------------------------------------
 
 
-@query("derive_pairs")
+_SUFFIXES = ", ".join(str((k, i, *r)) for k, t in ((1, rules.VERB_SUFFIXES), (2, rules.NOUN_SUFFIXES), (3, rules.ADJECTIVE_SUFFIXES)) for i, r in enumerate(t))
+
+
+@query("derive_pairs", f"""WITH {V.VOC}, {V.KNOWN}, es AS (SELECT DISTINCT token FROM tok WHERE lang = 'es' AND regexp_matches(token, '^\\p{{Ll}}')),
+    r0 AS (SELECT 1 AS kind, regexp_replace(token, '(ar|ir|or)$', '') AS a, token AS ord FROM es WHERE regexp_matches(token, '..(ar|ir|or)$') UNION ALL SELECT 2, left(token, length(token) - 1), token FROM es WHERE regexp_matches(token, '..o$') UNION ALL SELECT 3, left(token, length(token) - 1), token FROM es WHERE regexp_matches(token, '..a$')),
+    r AS (SELECT kind, a, min(ord) AS ord FROM r0 WHERE kind = 1 OR NOT regexp_matches(a, '{rules.DERIVED_ROOT}') GROUP BY kind, a), s(kind, place, sa, sb, pos) AS (VALUES {_SUFFIXES}),
+    f AS (SELECT a || sa AS lemma, a || sb AS term, pos, row_number() OVER (PARTITION BY a || sa ORDER BY r.kind, ord, place, a || sb) AS n FROM r JOIN s ON r.kind = s.kind WHERE a || sa IN (SELECT token FROM voc) AND a || sa NOT IN (SELECT token FROM known))
+    SELECT lemma, term, pos FROM f WHERE n = 1""")
 def derive_pairs(spark, d):
-    voc = V.vocabulary(spark, d)
-    lex = V.lexicon(spark, d).select("lemma", F.concat(F.regexp_replace("term", ".$", ""), F.when(F.col("lemma").rlike("(ar|ir|or)$"), "i").otherwise(F.substring("lemma", -1, 1))).alias("term"), F.col("term").alias("ord"))
-    return derive.derive_pairs(lex, voc, lex)
+    t = V.tokens(spark, d).where("lang = 'es'").select("token").distinct().where(F.col("token").rlike(r"^\p{Ll}.*(ar|ir|or|o|a)$"))
+    term = F.when(F.col("token").rlike("(ar|ir|or)$"), F.regexp_replace("token", "(ar|ir|or)$", "i")).otherwise(F.col("token"))
+    pairs = t.select(F.col("token").alias("lemma"), term.alias("term"), F.col("token").alias("ord"))
+    return derive.derive_pairs(pairs, V.vocabulary(spark, d), V.known_words(spark, d).select(F.col("token").alias("lemma")))
 
 
 @query("twin_entries", f"""WITH {V.VOC}, e AS (SELECT token AS lemma, CASE WHEN token LIKE '%a' AND length(token) % 2 = 0 THEN 'a__adj' ELSE 'o__n' END AS paradigm, row_number() OVER (ORDER BY token) AS ord FROM voc WHERE regexp_matches(token, '[oa]$')),
