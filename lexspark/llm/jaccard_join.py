@@ -3,7 +3,7 @@
 Rare-first prefix filtering: each set is put in a global order, rare n-grams first, and two sets
 that are alike enough share an n-gram among their first ``n - ceil(t*n) + 1``. Sets meet on those
 n-grams only, candidates pass the length filter, the positional filter and a suffix filter (a bound
-on the Hamming distance of two sets from 256-bit parity sketches), and each surviving pair is
+on the Hamming distance of two sets from parity sketches), and each surviving pair is
 verified once, on whole sets.
 
 Hot n-grams: the order comes from a counting table of fixed size over all documents; equal sets
@@ -57,7 +57,7 @@ def gram_frequencies(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n, f1, f2 (128-bit hash of the set), s0..s3 (parity sketch), prefix (rare first)."""
+    """doc_id, n, f1, f2 (128-bit hash of the set), sketch (parities), prefix (rare first)."""
     shared = docs.sparkSession.sparkContext.broadcast(gram_frequencies(docs, words))
 
     def profile(batches):
@@ -72,8 +72,11 @@ def profiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 if len(has):
                     f[0][has] = np.add.reduceat(tx.mix(grams + np.uint64(1)), first[has])
                     f[1][has] = np.add.reduceat(tx.mix(grams ^ np.uint64(0x5851F42D4C957F2D)), first[has])
-                parity = np.bincount(owner * 256 + (grams >> np.uint64(56)).astype(np.int64), minlength=256 * m).reshape(m, 256) & 1
-                sketch = np.packbits(parity.astype(np.uint8), axis=1).view(np.int64)
+                bits = sketch_bits(n)
+                base = np.concatenate([[0], np.cumsum(bits)])
+                place = base[owner] + (grams & (bits[owner] - 1).astype(np.uint64)).astype(np.int64)
+                parity = (np.bincount(place, minlength=base[-1]) & 1).astype(np.uint8)
+                sketch = pa.ListArray.from_arrays(pa.array((base // 64).astype(np.int32)), pa.array(np.packbits(parity).view(np.int64)))
                 order = np.lexsort((grams, freq[(grams % np.uint64(FREQUENCY_BUCKETS)).astype(np.int64)], owner))
                 keep = np.where(n > 0, n - (percent * n + 99) // 100 + 1, 0)
                 pos = np.arange(len(grams)) - first[owner]
@@ -81,11 +84,10 @@ def profiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 offsets = np.concatenate([[0], np.cumsum(keep)]).astype(np.int32)
                 yield pa.record_batch({
                     "doc_id": b.column("doc_id").slice(i, m), "n": n.astype(np.int64), "f1": f[0].view(np.int64), "f2": f[1].view(np.int64),
-                    **{f"s{k}": np.ascontiguousarray(sketch[:, k]) for k in range(4)},
-                    "prefix": pa.ListArray.from_arrays(pa.array(offsets), pa.array(chosen)),
+                    "sketch": sketch, "prefix": pa.ListArray.from_arrays(pa.array(offsets), pa.array(chosen)),
                 })
 
-    schema = "doc_id bigint, n bigint, f1 bigint, f2 bigint, s0 bigint, s1 bigint, s2 bigint, s3 bigint, prefix array<bigint>"
+    schema = "doc_id bigint, n bigint, f1 bigint, f2 bigint, sketch array<bigint>, prefix array<bigint>"
     return docs.mapInArrow(profile, schema)
 
 
@@ -144,15 +146,22 @@ def _meet(percent: int):
     return run
 
 
+def sketch_bits(n: np.ndarray) -> np.ndarray:
+    """Bits in the sketch of a set of n: the power of two in n/2 to n, 64 at least. Sketches of alike sets differ by one doubling at most."""
+    return np.maximum(64, 1 << np.maximum(0, np.frexp(np.maximum(n, 1).astype(float))[1] - 1)).astype(np.int64)
+
+
 def _suffix_filter(percent: int, x: str, y: str):
-    """The sketches' Hamming distance bounds that of the sets from below."""
-    apart = sum((F.bit_count(F.col(f"{x}.s{k}").bitwiseXOR(F.col(f"{y}.s{k}"))) for k in range(1, 4)), F.bit_count(F.col(f"{x}.s0").bitwiseXOR(F.col(f"{y}.s0"))))
-    both = F.col(f"{x}.n") + F.col(f"{y}.n")
-    return (100 + percent) * apart <= (100 - percent) * both
+    """The sketches' Hamming distance bounds that of the sets from below. A sketch twice as long is folded: its halves' sums are the shorter one's bits."""
+    a, b = F.col(f"{x}.sketch"), F.col(f"{y}.sketch")
+    half = lambda s: F.zip_with(F.slice(s, 1, F.greatest(F.lit(1), (F.size(s) / 2).cast("int"))), F.slice(s, (F.size(s) / 2).cast("int") + 1, F.size(s)), lambda p, q: p.bitwiseXOR(q))
+    a, b = F.when(F.size(a) > F.size(b), half(a)).otherwise(a), F.when(F.size(b) > F.size(a), half(b)).otherwise(b)
+    apart = F.aggregate(F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda acc, v: acc + v)
+    return (100 + percent) * apart <= (100 - percent) * (F.col(f"{x}.n") + F.col(f"{y}.n"))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are alike enough. Texts meet their pairs in two joins that share one shuffle of the texts."""
+    """The pairs (a, b) whose whole sets are alike enough. Texts meet their pairs in two joins."""
 
     def sets(batch, column):
         out = []
@@ -170,7 +179,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
                     good.append(100 * n >= percent * (len(x) + len(y) - n) > 0)
                 yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    texts = docs.select("doc_id", "text")
+    # Only the texts of pairs go on: with few pairs their ids are broadcast and no text is shuffled.
+    texts = docs.join(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "text")
     both = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
     return both.mapInArrow(verify, "a bigint, b bigint").distinct()
 
@@ -193,7 +203,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     sets = prof.where("n > 0 and doc_id is not null")
     classes = store.save(sets.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("class_id")), "classes")
     # One profile for each class: a class's smallest id names its rows; equal sets have equal profiles.
-    heads = store.save(sets.join(classes.select("class_id", "f1", "f2", "n"), (sets.doc_id == classes.class_id) & (sets.f1 == classes.f1) & (sets.f2 == classes.f2)).select(sets.doc_id.alias("id"), sets.n, "s0", "s1", "s2", "s3", "prefix"), "heads")
+    heads = store.save(sets.join(classes.select("class_id", "f1", "f2", "n"), (sets.doc_id == classes.class_id) & (sets.f1 == classes.f1) & (sets.f2 == classes.f2)).select(sets.doc_id.alias("id"), sets.n, "sketch", "prefix"), "heads")
     postings = heads.select(F.posexplode("prefix").alias("pos", "g"), "id", "n").select("g", "id", "n", F.col("pos").cast("bigint").alias("pos"))
     met = postings.repartition(partitions(spark), "g").sortWithinPartitions("g", "pos", "n", "id")
     met = store.save(met.mapInArrow(_meet(percent), "hot boolean, a bigint, b bigint, g bigint, n bigint, pos bigint"), "met")
