@@ -54,6 +54,8 @@ class Chain:
     categories: tuple
     words: np.ndarray
     models: list[tuple[float, np.ndarray, np.ndarray]]
+    #: For each category the probability from which on it counts as a yes: the best F1 of the out-of-fold predictions.
+    thresholds: list[float]
 
     def features(self, h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(word index, row) of the words that the models know."""
@@ -83,7 +85,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def _fit(at, row, dense, y, words: int, steps: int = 250, ridge: float = 2.0):
+def _fit(at, row, dense, y, words: int, steps: int = 250, ridge: float = 0.5):
     """Ridge-penalised logistic regression on word presence and dense columns, by accelerated gradient steps."""
     n = len(y)
     if not n:
@@ -117,6 +119,16 @@ def _out_of_fold(at, row, dense, y, fold, words):
     return out
 
 
+def _best_threshold(p: np.ndarray, y: np.ndarray) -> float:
+    """Where F1 is best, between 0.25 and 0.75; 0.5 without a yes to learn from."""
+    if not y.sum():
+        return 0.5
+    cuts = np.linspace(0.25, 0.75, 51)
+    yes = p[None, :] >= cuts[:, None]
+    f1 = 2 * (yes * y).sum(1) / np.maximum(yes.sum(1) + y.sum(), 1)
+    return float(cuts[np.flatnonzero(f1 == f1.max())].mean())
+
+
 def fit_chain(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, fit_rows: int = FIT_ROWS) -> Chain:
     """A chain fitted on about ``fit_rows`` labelled documents at most; null labels and texts are left out.
 
@@ -151,7 +163,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, fit_row
             g2 = 2 * (cell(a, n * y / t) + cell(n - a, n * (t - y) / t) + cell(y - a, (t - n) * y / t) + cell(t - n - (y - a), (t - n) * (t - y) / t))
             words |= {r.word for r in stats.select("word", g2.alias("g2")).where(F.col("g2") >= LEAST_G2).orderBy(F.desc("g2"), "word").limit(WORDS_PER_CATEGORY).collect()}
     known = np.sort(np.array(sorted(words), np.int64).view(np.uint64))
-    chain = Chain(tuple(names), known, [])
+    chain = Chain(tuple(names), known, [], [])
 
     def index(batches):
         for b in batches:
@@ -168,7 +180,9 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, fit_row
     for k in names:
         y = got[k].to_numpy().astype(float)
         chain.models.append(_fit(at, row, dense, y, len(known)) if len(y) else (-20.0, np.zeros(len(known)), np.zeros(len(dense))))
-        dense = np.vstack([dense, _squash(_out_of_fold(at, row, dense, y, fold, len(known)))])
+        odds = _out_of_fold(at, row, dense, y, fold, len(known))
+        chain.thresholds.append(_best_threshold(_sigmoid(odds), y))
+        dense = np.vstack([dense, _squash(odds)])
     store.drop(sample, stats)
     return chain
 
@@ -192,4 +206,4 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     chain = fit_chain(docs, table(spark, sf_dir, "labels"))
     out = score_chain(docs, chain).drop("text")
-    return out.withColumn("rejected", F.col("p_toxic") >= 0.5)
+    return out.withColumn("rejected", F.col("p_toxic") >= chain.thresholds[-1])
