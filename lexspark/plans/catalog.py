@@ -75,7 +75,7 @@ _JUNK = r"(trim(coalesce({0}, '')) = '' OR regexp_matches({0}, '[^\x00-\x7f]') O
 
 
 @query("recall", rf"""{_TOP.replace('LIMIT 5000', 'LIMIT 2000')}, ok AS (SELECT t.*, k.token IS NOT NULL AS hit FROM top t LEFT JOIN known k USING (token) WHERE regexp_matches(t.token, '\p{{L}}') AND NOT {_JUNK.format('t.token')})
-    SELECT count(*) AS n, count_if(hit) AS found, round(100 * count_if(hit) / greatest(1, count(*)), 6) AS type_recall, round(100 * coalesce(sum(cnt) FILTER (hit), 0) / greatest(1, coalesce(sum(cnt), 0)), 6) AS token_recall FROM ok""")
+    SELECT count(*) AS n, count(*) FILTER (WHERE hit) AS found, round(100 * count(*) FILTER (WHERE hit) / greatest(1, count(*)), 6) AS type_recall, round(100 * coalesce(sum(cnt) FILTER (hit), 0) / greatest(1, coalesce(sum(cnt), 0)), 6) AS token_recall FROM ok""")
 def recall(spark, d):
     return metrics.recall(V.vocabulary(spark, d), V.known_words(spark, d), 2000)
 
@@ -192,7 +192,7 @@ def entry_paradigms(spark, d):
     return out.withColumn("paradigm", X.infer_paradigm(F.col("lemma"), F.col("pos"), F.lit(False)))
 
 
-@query("fold_case", rf"""WITH {V.ENT}, g AS (SELECT lemma, pos, count_if(NOT regexp_matches(term, '^\p{{Ll}}')) AS bad FROM ent GROUP BY lemma, pos)
+@query("fold_case", rf"""WITH {V.ENT}, g AS (SELECT lemma, pos, count(*) FILTER (WHERE NOT regexp_matches(term, '^\p{{Ll}}')) AS bad FROM ent GROUP BY lemma, pos)
     SELECT lemma, pos, CASE WHEN regexp_matches(lemma, '^\p{{Lu}}') AND (bad = 0 OR pos = 'adjective') THEN lower(substr(lemma, 1, 1)) || substr(lemma, 2) ELSE lemma END AS folded FROM g""")
 def fold_case(spark, d):
     out = V.entries(spark, d).groupBy("lemma", "pos").agg(F.collect_list("term").alias("terms"))
@@ -230,7 +230,7 @@ for _name, _order in (("insertion", "0"), ("srcrank", "coalesce(list_min(list_tr
     QUERIES[f"precision_{_name}"] = lambda spark, d, n=_name: metrics.precision_at_1(V.lexicon(spark, d), "src3", n, V.RANKS)
     SQL[f"precision_{_name}"] = f"""WITH {V.LEX}, h AS (SELECT lemma, term, idx, list_contains(sources, 'src3') AS ref, list_filter(sources, lambda s: s <> 'src3') AS src, count(*) OVER (PARTITION BY lemma) AS n, bool_or(list_contains(sources, 'src3')) OVER (PARTITION BY lemma) AS has_ref FROM lex),
     w AS (SELECT lemma, arg_min(ref, {_order} * 1000000 + idx) AS hit FROM h WHERE n >= 2 AND has_ref GROUP BY lemma)
-    SELECT count(*) AS n, count_if(hit) AS hits, round(count_if(hit) / greatest(1, count(*)), 6) AS precision FROM w"""
+    SELECT count(*) AS n, count(*) FILTER (WHERE hit) AS hits, round(count(*) FILTER (WHERE hit) / greatest(1, count(*)), 6) AS precision FROM w"""
 
 
 @query("order_terms", f"WITH {V.LEX} SELECT lemma, string_agg(term, ',' ORDER BY {V.RANK}, idx) AS terms FROM lex GROUP BY lemma")
@@ -364,7 +364,7 @@ def apply_overrides(spark, d):
     return merge.apply_overrides(lex, table).select("lemma", "term", F.array_join("sources", ",").alias("sources"))
 
 
-@query("lexicon_stats", f"""WITH {V.LEX}, p AS (SELECT lemma, count(*) AS n, len(list_distinct(flatten(list(sources)))) AS s FROM lex GROUP BY lemma) SELECT count(*) AS entries, sum(n)::BIGINT AS candidates, count_if(n > 1) AS multi, count_if(s = 1) AS single_source, count_if(s = 0) AS unsourced FROM p""")
+@query("lexicon_stats", f"""WITH {V.LEX}, p AS (SELECT lemma, count(*) AS n, len(list_distinct(flatten(list(sources)))) AS s FROM lex GROUP BY lemma) SELECT count(*) AS entries, sum(n)::BIGINT AS candidates, count(*) FILTER (WHERE n > 1) AS multi, count(*) FILTER (WHERE s = 1) AS single_source, count(*) FILTER (WHERE s = 0) AS unsourced FROM p""")
 def lexicon_stats(spark, d):
     return metrics.lexicon_stats(V.lexicon(spark, d))
 
@@ -391,7 +391,7 @@ def identical_form_join(spark, d):
     return joins.identical_form(_gloss_entries(spark, d, "es", 2), _gloss_entries(spark, d, "fr", 3))
 
 
-@query("link_pairs", r"""SELECT p.p_name AS lemma, r.r_name || 'o' AS term, 0.85 AS confidence FROM (SELECT p_name, p_size FROM part) p JOIN (SELECT r_name, n_nationkey AS k FROM region JOIN nation ON n_regionkey = r_regionkey) r ON p.p_size = r.k
+@query("link_pairs", r"""SELECT p.p_name AS lemma, r.r_name || 'o' AS term, CAST(0.85 AS DOUBLE) AS confidence FROM (SELECT p_name, p_size FROM part) p JOIN (SELECT r_name, n_nationkey AS k FROM region JOIN nation ON n_regionkey = r_regionkey) r ON p.p_size = r.k
     WHERE length(trim(p_name)) >= 3 AND NOT regexp_matches(trim(p_name), '[0-9.()\[\]{}|<>]') AND regexp_matches(trim(p_name), '^[A-Za-zĉĝĥĵŝŭĈĜĤĴŜŬ][\p{L}\p{N}_\-\s]*$')
     AND length(trim(r_name || 'o')) >= 3 AND regexp_matches(trim(r_name || 'o'), '^[A-Za-zĉĝĥĵŝŭĈĜĤĴŜŬ][\p{L}\p{N}_\-\s]*$')""")
 def link_pairs(spark, d):
@@ -550,7 +550,7 @@ def top_unlinked(spark, d):
     return joins.top_unlinked(views, links, links.where(F.col("target").contains("#")).select("target"), 50)
 
 
-@query("flip", f"WITH {V.LEX} SELECT DISTINCT term AS lemma, lemma AS term, 0.6 AS confidence FROM lex")
+@query("flip", f"WITH {V.LEX} SELECT DISTINCT term AS lemma, lemma AS term, CAST(0.6 AS DOUBLE) AS confidence FROM lex")
 def flip(spark, d):
     return joins.flip(V.lexicon(spark, d).groupBy("lemma").agg(F.collect_list("term").alias("terms")))
 
@@ -655,7 +655,7 @@ def keep_without_term(spark, d):
 _ENDING = "CASE WHEN regexp_matches({0}, '{1}$') THEN 'v' WHEN {0} LIKE '%o' THEN 'n' WHEN {0} LIKE '%a' THEN 'adj' WHEN {0} LIKE '%e' THEN 'adv' END"
 
 
-@query("align", f"""WITH {V.LEX}, p AS (SELECT lemma, term, 0.8 AS confidence, 0 AS part FROM lex UNION ALL SELECT term, lemma, 0.6, 1 FROM lex) SELECT lemma, term, confidence, part FROM p WHERE coalesce(({_ENDING.format('lemma', '(ar|ir)')}) = ({_ENDING.format('term', 'i')}), true)""")
+@query("align", f"""WITH {V.LEX}, p AS (SELECT lemma, term, CAST(0.8 AS DOUBLE) AS confidence, 0 AS part FROM lex UNION ALL SELECT term, lemma, CAST(0.6 AS DOUBLE), 1 FROM lex) SELECT lemma, term, confidence, part FROM p WHERE coalesce(({_ENDING.format('lemma', '(ar|ir)')}) = ({_ENDING.format('term', 'i')}), true)""")
 def align(spark, d):
     lex = V.lexicon(spark, d)
     return derive.align([lex.select("lemma", "term", F.lit(0.8).alias("confidence")), lex.select(F.col("term").alias("lemma"), F.col("lemma").alias("term"), F.lit(0.6).alias("confidence"))])
@@ -672,7 +672,7 @@ def prepare_vocabulary(spark, d):
 _TURNS = "t AS (SELECT conv_id, turn, text, lead(text) OVER (PARTITION BY conv_id ORDER BY turn, text) AS nxt, role FROM conversations), p AS (SELECT conv_id * 1000 + turn AS id, text AS hyp, nxt AS ref FROM t WHERE nxt IS NOT NULL)"
 _CHRF = f"""{_TURNS}, s AS (SELECT id, 0 AS side, lower(trim(regexp_replace(regexp_replace(hyp, '[*@#]', '', 'g'), '\\s+', ' ', 'g'))) AS s FROM p UNION ALL SELECT id, 1, lower(trim(regexp_replace(regexp_replace(ref, '[*@#]', '', 'g'), '\\s+', ' ', 'g'))) FROM p),
     k AS (SELECT id, side, s, unnest(range(1, 7)) AS n FROM s), g AS (SELECT id, side, n, substr(s, CAST(unnest(range(1, length(s) - n + 2)) AS BIGINT), n) AS g FROM k WHERE length(s) >= n),
-    c AS (SELECT id, n, g, count_if(side = 0) AS h, count_if(side = 1) AS r FROM g GROUP BY id, n, g), f AS (SELECT id, n, sum(least(h, r)) AS o, sum(h) AS h, sum(r) AS r FROM c GROUP BY id, n HAVING sum(h) > 0 AND sum(r) > 0),
+    c AS (SELECT id, n, g, count(*) FILTER (WHERE side = 0) AS h, count(*) FILTER (WHERE side = 1) AS r FROM g GROUP BY id, n, g), f AS (SELECT id, n, sum(least(h, r)) AS o, sum(h) AS h, sum(r) AS r FROM c GROUP BY id, n HAVING sum(h) > 0 AND sum(r) > 0),
     x AS (SELECT id, 100 * avg(CASE WHEN o = 0 THEN 0 ELSE 5 * (o / h) * (o / r) / (4 * (o / h) + o / r) END) AS f FROM f GROUP BY id), chr AS (SELECT DISTINCT p.id, round(coalesce(f, 0), 6) AS chrf FROM p LEFT JOIN x USING (id))"""
 
 
@@ -693,7 +693,7 @@ def score_by_tag(spark, d):
     return metrics.score_by_tag(metrics.chrf(pairs.select("id", "hyp", "ref")), pairs.select("id", F.col("role").alias("tag")).distinct())
 
 
-@query("gap_stats", f"WITH {V.VOC}, e AS (SELECT cnt % 3 AS t, cnt % 2 AS p FROM voc) SELECT count(*) AS total, count_if(t = 0) AS without_target, count_if(t = 0 AND p > 0) AS pivot_only, count_if(t = 0 AND p = 0) AS bare FROM e")
+@query("gap_stats", f"WITH {V.VOC}, e AS (SELECT cnt % 3 AS t, cnt % 2 AS p FROM voc) SELECT count(*) AS total, count(*) FILTER (WHERE t = 0) AS without_target, count(*) FILTER (WHERE t = 0 AND p > 0) AS pivot_only, count(*) FILTER (WHERE t = 0 AND p = 0) AS bare FROM e")
 def gap_stats(spark, d):
     return metrics.gap_stats(V.vocabulary(spark, d).select(F.col("token").alias("lemma"), (F.col("cnt") % 3).alias("n_target"), (F.col("cnt") % 2).alias("n_pivot")))
 
@@ -703,18 +703,18 @@ def pos_histogram(spark, d):
     return metrics.histogram(V.vocabulary(spark, d).select(X.pos_by_ending(F.col("token")).alias("pos")), "pos")
 
 
-@query("merge_stats", f"WITH {V.VOC}, {V.KNOWN} SELECT coalesce({_CLASS.format('v.token')}, 'none') AS pos, count_if(k.token IS NULL) AS added, count_if(k.token IS NOT NULL) AS skipped FROM voc v LEFT JOIN known k USING (token) GROUP BY 1")
+@query("merge_stats", f"WITH {V.VOC}, {V.KNOWN} SELECT coalesce({_CLASS.format('v.token')}, 'none') AS pos, count(*) FILTER (WHERE k.token IS NULL) AS added, count(*) FILTER (WHERE k.token IS NOT NULL) AS skipped FROM voc v LEFT JOIN known k USING (token) GROUP BY 1")
 def merge_stats(spark, d):
     new = V.vocabulary(spark, d).select(F.col("token").alias("lemma"), F.coalesce(X.pos_by_ending(F.col("token")), F.lit("none")).alias("pos"))
     return metrics.merge_stats(V.known_words(spark, d).select(F.col("token").alias("lemma")), new)
 
 
-@query("batch_metadata", f"WITH {V.VOC} SELECT count(*) AS total, count_if(cnt % 3 > 0) AS with_translation, count_if({_CLASS.format('token')} IS NOT NULL) AS with_morphology FROM voc")
+@query("batch_metadata", f"WITH {V.VOC} SELECT count(*) AS total, count(*) FILTER (WHERE cnt % 3 > 0) AS with_translation, count(*) FILTER (WHERE {_CLASS.format('token')} IS NOT NULL) AS with_morphology FROM voc")
 def batch_metadata(spark, d):
     return metrics.batch_metadata(V.vocabulary(spark, d).select((F.col("cnt") % 3).alias("n_terms"), X.pos_by_ending(F.col("token")).alias("paradigm")))
 
 
-@query("to_unified", f"WITH {V.ENT} SELECT DISTINCT lower(lemma) AS lemma, term, pos AS lang, 0.6 AS confidence, 'corpus' AS source FROM ent")
+@query("to_unified", f"WITH {V.ENT} SELECT DISTINCT lower(lemma) AS lemma, term, pos AS lang, CAST(0.6 AS DOUBLE) AS confidence, 'corpus' AS source FROM ent")
 def to_unified(spark, d):
     return writers.to_unified(V.entries(spark, d).select(F.lower("lemma").alias("lemma"), "term", F.col("pos").alias("lang"), "ord"), "corpus")
 
