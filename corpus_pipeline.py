@@ -13,17 +13,14 @@ from lexspark.llm._store import Store, table
 from lexspark.llm.decontaminate import remove_contaminated
 from lexspark.llm.jaccard_join import jaccard_components
 from lexspark.llm.pii import redact_documents
-from lexspark.llm.sentencepiece import decode_documents, encode_documents, read_model
+from lexspark.llm.sentencepiece import encode_and_check, read_model
 from lexspark.llm.toxicity import fit_chain, score_chain
 
-#: Documents at least so likely toxic go.
-TOXIC = 0.5
-
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier chain rejects go. Null and empty texts stay."""
+    """Documents that the classifier chain rejects go. Null and empty texts have no words and stay."""
     chain = fit_chain(docs, table(spark, sf_dir, "labels"))
-    return score_chain(docs, chain).where(F.coalesce("p_toxic", F.lit(0.0)) < TOXIC).select(docs.columns)
+    return score_chain(docs, chain).where(F.coalesce("p_toxic", F.lit(0.0)) < chain.thresholds[-1]).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +46,7 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SentencePiece ids of each text, and whether they decode to it."""
-    model = read_model()
-    out = decode_documents(encode_documents(docs, model), model)
+    out = encode_and_check(docs, read_model())
     return out.select("doc_id", "lang", "source", "n_chars", F.size("ids").alias("n_ids"), "ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 
 
