@@ -192,8 +192,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     word sequence where there are fewer than n words. Two sets link when
     100 * intersection >= percent * union. class_id is the smallest doc_id with the same set,
     component_id the smallest reachable by links. Null and wordless texts have an empty set, link with
-    nothing and keep their own id. Rows that share a doc_id are one node. A null doc_id takes no part
-    and gives null ids. Other columns of ``docs`` are ignored; an empty table gives no rows.
+    nothing and keep their own id. Rows that share a doc_id are one node. A row without a doc_id takes no
+    part in links; its class is that of its set, if a document has the same. Other columns of ``docs`` are ignored; an empty table gives no rows.
     N-grams are compared by 64-bit hashes, equal sets by 128 bits.
     """
     spark = docs.sparkSession
@@ -217,11 +217,15 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     hot = met.where("hot").select("g", F.col("a").alias("id"), "pos")
     hot = hot.join(so_far, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = hot.groupBy("g").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("g")
-    hot = store.save(hot.join(mixed, "g", "left_semi").join(traits, "id"), "hot")
+    hot = store.save(hot.join(mixed, "g", "left_semi"), "hot")
+    # Two sets meet on each n-gram that they share; only the first of those in the global order makes a pair.
+    shared = hot.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "g"))), lambda r: r["g"]).alias("shared"))
+    hot = store.save(hot.join(traits.join(shared, "id"), "id"), "hot")
     x, y = hot.alias("x"), hot.alias("y")
     most = F.least("x.pos", "y.pos") + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
     fit = (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")) & ((100 + percent) * most >= percent * (F.col("x.n") + F.col("y.n")))
-    rest = x.join(y, (F.col("x.g") == F.col("y.g")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component")) & fit & _suffix_filter(percent, "x", "y"))
+    first = F.get(F.array_intersect("x.shared", "y.shared"), F.lit(0)) == F.col("x.g")
+    rest = x.join(y, (F.col("x.g") == F.col("y.g")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component")) & fit & first & _suffix_filter(percent, "x", "y"))
     rest = store.save(rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "rest")
     more = store.save(_verified(rest, docs, words, percent), "more")
     parts = connected_components(links.union(more), store).withColumnRenamed("id", "class_id")
