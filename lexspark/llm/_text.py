@@ -74,6 +74,13 @@ def steps(offsets: np.ndarray, most: int = STEP_BYTES) -> Iterator[tuple[int, in
         i = j
 
 
+def slices(batch: pa.RecordBatch, column: str, most: int = 4 * STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``most`` bytes of text each, so that working memory doesn't follow the batch size."""
+    _, offsets = utf8(batch.column(column))
+    for i, j in steps(offsets, most):
+        yield batch.slice(i, j - i)
+
+
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, row) of every word ``[^\\x20\\x09-\\x0D]+``; no word crosses rows."""
     word = ~SPACE[data]
