@@ -18,7 +18,7 @@ from . import _text as tx
 from ._store import partitions
 
 #: Occurrences that a task holds before it settles and sends them.
-HELD = 2_000_000
+HELD = 1_000_000
 ROW = "key bigint, known boolean, ask boolean, doc_id bigint, pos int"
 
 

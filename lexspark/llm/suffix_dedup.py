@@ -25,8 +25,8 @@ SPAN = WINDOW - GRAM + 1
 #: A context holds every window around an anchor: REACH bytes, the anchor, REACH bytes.
 REACH = WINDOW - GRAM
 CONTEXT = 2 * REACH + GRAM
-#: Contexts in a shard: their places fit in 21 bits, so three of them sort as one 64-bit word.
-SHARD_ROWS = (1 << 21) // CONTEXT - 1
+#: Contexts in a shard of about a megabyte: their places fit in 21 bits, so three of them sort as one 64-bit word.
+SHARD_ROWS = (1 << 20) // CONTEXT
 
 
 def _sliding(x: np.ndarray, w: int, best) -> np.ndarray:
@@ -41,20 +41,23 @@ def _sliding(x: np.ndarray, w: int, best) -> np.ndarray:
     return best(back[: n - w + 1], ahead[w - 1 : n])
 
 
+def minimizers(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of the GRAM bytes at each place, least hash in the WINDOW bytes from each place; 0 where the row has fewer left)."""
+    at = np.arange(len(data) - GRAM + 1)
+    h = np.maximum(tx.span_hash(tx.prefix_hash(data, tx.EXACT), at, at + GRAM), np.uint64(1))
+    low = _sliding(h, SPAN, np.minimum)
+    left = np.repeat(offsets[1:], np.diff(offsets))[: len(low)] - np.arange(len(low))
+    low[left < WINDOW] = 0
+    return h, low
+
+
 def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(place, key) of the GRAM-byte strings that are the least of some WINDOW bytes of one row."""
-    n = len(data)
-    if n < WINDOW:
+    if len(data) < WINDOW:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    at = np.arange(n - GRAM + 1)
-    h = tx.span_hash(tx.prefix_hash(data, tx.EXACT), at, at + GRAM)
-    h = np.maximum(h, np.uint64(1))
-    low = _sliding(h, SPAN, np.minimum)  # of the window that starts here
-    size = np.diff(offsets)
-    left = np.repeat(offsets[1:], size)[: len(low)] - np.arange(len(low))
-    low[left < WINDOW] = 0
-    most = _sliding(np.concatenate([np.zeros(SPAN - 1, np.uint64), low, np.zeros(SPAN - 1, np.uint64)]), SPAN, np.maximum)
-    place = np.flatnonzero(h == most[: len(h)])
+    h, low = minimizers(data, offsets)
+    edge = np.zeros(SPAN - 1, np.uint64)
+    place = np.flatnonzero(h == _sliding(np.concatenate([edge, low, edge]), SPAN, np.maximum)[: len(h)])
     return place, h[place]
 
 
@@ -106,25 +109,37 @@ def suffix_ranks(text: np.ndarray, depth: int) -> tuple[np.ndarray, int]:
     return rank, h
 
 
-def contexts(b: pa.RecordBatch):
-    """(key, doc_id, first byte of the context, place of the anchor in it, contexts as rows of CONTEXT bytes, their sizes) of the marked anchors."""
-    data, offsets = tx.utf8(b.column("text"))
-    ids = b.column("doc_id").to_numpy()
-    places, n = _lists(b.column("places"))
-    if not len(places):
-        return None
-    row = np.repeat(np.arange(len(n)), n)
-    anchor = offsets[row] + places
-    begin = np.maximum(anchor - REACH, offsets[row])
-    end = np.minimum(anchor + GRAM + REACH, offsets[row + 1])
+def contexts(data: np.ndarray, offsets: np.ndarray, anchor: np.ndarray):
+    """(key, begin, end, contexts as rows of CONTEXT bytes around the anchor) of anchors in ``data``.
+
+    A context is what the windows span whose least string is this anchor; they are neighbours. So a
+    window belongs to one anchor, and equal windows have equal anchors at equal offsets.
+    """
+    h, low = minimizers(data, offsets)
+    back = anchor[:, None] - np.arange(SPAN)[::-1]
+    own = (back >= 0) & (low[np.clip(back, 0, len(low) - 1)] == h[anchor][:, None]) & (back < len(low))
+    begin = anchor - (SPAN - 1) + own.argmax(1)
+    end = anchor - own[:, ::-1].argmax(1) + WINDOW
     column = (anchor - REACH)[:, None] + np.arange(CONTEXT)
     whole = (column >= begin[:, None]) & (column < end[:, None])
-    wide = np.where(whole, data[np.clip(column, 0, len(data) - 1)], 0).astype(np.uint8)
-    # Any function of the anchor's bytes serves as its key here.
-    key = np.zeros(len(anchor), np.uint64)
-    for i in range(0, GRAM, 8):
-        key = tx.mix(key * np.uint64(0x9FB21C651E98DF25) + np.ascontiguousarray(wide[:, REACH + i : REACH + i + 8]).view(np.uint64)[:, 0])
-    return key, ids[row], begin - offsets[row], anchor - begin, wide, end - begin
+    return h[anchor], begin, end, np.where(whole, data[np.clip(column, 0, len(data) - 1)], 0).astype(np.uint8), whole
+
+
+def _marks(wide: np.ndarray, ahead: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash of each context's bytes and place around its anchor."""
+    mark = (size * 128 + ahead).astype(np.uint64)
+    for i in [*range(0, CONTEXT - 7, 8), CONTEXT - 8]:
+        mark = tx.mix(mark * np.uint64(0xD6E8FEB86659FD93) + np.ascontiguousarray(wide[:, i : i + 8]).view(np.uint64)[:, 0])
+    return mark
+
+
+def _copies(mark: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which contexts a smaller document has too: all of their windows repeat."""
+    order = np.lexsort((doc, mark))
+    first = order[np.maximum.accumulate(np.where(_starts(mark[order]), np.arange(len(order)), 0))]
+    out = np.zeros(len(mark), bool)
+    out[order] = doc[order] != doc[first]
+    return out
 
 
 SENT = "key bigint, doc_id bigint, pos int, ahead int, size int, context binary"
@@ -132,23 +147,20 @@ SENT = "key bigint, doc_id bigint, pos int, ahead int, size int, context binary"
 
 def _settle(batches):
     """Contexts to rows of SENT. Of equal contexts in a task only the least document's are sent; the others are covered whole: no context, a spread key."""
-    for whole in batches:
-        for start in range(0, whole.num_rows, 1000):
-            got = contexts(whole.slice(start, 1000))
-            if got is None:
+    for whole_batch in batches:
+        for b in tx.slices(whole_batch, "text", tx.STEP_BYTES):
+            data, offsets = tx.utf8(b.column("text"))
+            places, n = _lists(b.column("places"))
+            if not len(places):
                 continue
-            key, doc, pos, ahead, wide, size = got
-            mark = key.copy()
-            for i in [*range(0, CONTEXT - 7, 8), CONTEXT - 8]:
-                mark = tx.mix(mark * np.uint64(0xD6E8FEB86659FD93) + np.ascontiguousarray(wide[:, i : i + 8]).view(np.uint64)[:, 0])
-            mark = tx.mix(mark + (size * 128 + ahead).astype(np.uint64))
-            order = np.lexsort((doc, mark))
-            run = _starts(mark[order])
-            first = order[np.maximum.accumulate(np.where(run, np.arange(len(order)), 0))]
-            known = np.zeros(len(key), bool)
-            known[order] = doc[order] != doc[first]
+            row = np.repeat(np.arange(len(n)), n)
+            doc = b.column("doc_id").to_numpy()[row]
+            key, begin, end, wide, whole = contexts(data, offsets, offsets[row] + places)
+            pos, ahead, size = begin - offsets[row], offsets[row] + places - begin, end - begin
+            known = _copies(_marks(wide, ahead, size), doc)
             spread = tx.mix(doc.view(np.uint64) * np.uint64(31) + pos.astype(np.uint64))
-            bodies = pa.FixedSizeBinaryArray.from_buffers(pa.binary(CONTEXT), len(key), [None, pa.py_buffer(np.ascontiguousarray(wide))]).cast(pa.binary())
+            ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+            bodies = pa.Array.from_buffers(pa.binary(), len(key), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(wide[whole]))])
             yield pa.record_batch({
                 "key": np.where(known, spread, key).view(np.int64), "doc_id": doc, "pos": pos.astype(np.int32), "ahead": ahead.astype(np.int32),
                 "size": size.astype(np.int32), "context": pc.if_else(pa.array(known), pa.scalar(None, pa.binary()), bodies),
@@ -162,6 +174,24 @@ def _cover(batches):
     carried = None  # (key, sorted window hashes, least doc of each) of an anchor that goes on in the next shard
 
     def shard(c):
+        """Contexts that a smaller document has too are covered whole, and an anchor with one context left is done; the rest is sorted."""
+        nonlocal carried
+        mark = _marks(c["wide"], c["ahead"], c["size"])
+        copy = _copies(mark, c["doc_id"])
+        whole = {"doc_id": c["doc_id"][copy], "start": c["pos"][copy].astype(np.int32), "end": (c["pos"] + c["size"])[copy].astype(np.int32)}
+        run = np.cumsum(_starts(c["key"])) - 1
+        low, high = np.full(run[-1] + 1, np.uint64(2**64 - 1)), np.zeros(run[-1] + 1, np.uint64)
+        np.minimum.at(low, run, mark)
+        np.maximum.at(high, run, mark)
+        goes_on = c["key"] == c["key"][-1]
+        if carried is not None:
+            goes_on |= c["key"] == carried[0]
+        keep = ~copy & ((low != high)[run] | goes_on)
+        yield pa.record_batch(whole)
+        if keep.any():
+            yield sort_shard({k: v[keep] for k, v in c.items()})
+
+    def sort_shard(c):
         nonlocal carried
         wide, rows = c["wide"], len(c["doc_id"])
         rank, h = suffix_ranks(wide.ravel(), WINDOW - 10)
@@ -215,15 +245,18 @@ def _cover(batches):
         if known.any():
             yield pa.record_batch({"doc_id": c["doc_id"][known], "start": c["pos"][known].astype(np.int32), "end": (c["pos"] + c["size"])[known].astype(np.int32)})
         if not known.all():
-            body = b.column("context").drop_null().to_numpy(zero_copy_only=False)
-            held.append({k: v[~known] for k, v in c.items()} | {"wide": np.frombuffer(b"".join(body), np.uint8).reshape(-1, CONTEXT)})
+            part = {k: v[~known] for k, v in c.items()}
+            column = np.arange(CONTEXT) - (REACH - part["ahead"])[:, None]
+            wide = np.zeros(column.shape, np.uint8)
+            wide[(column >= 0) & (column < part["size"][:, None])] = np.frombuffer(b"".join(b.column("context").drop_null().to_pylist()), np.uint8)
+            held.append(part | {"wide": wide})
         while sum(len(x["key"]) for x in held) >= 2 * SHARD_ROWS:
             keys = np.concatenate([x["key"][: SHARD_ROWS + 1] for x in held])[: SHARD_ROWS + 1]
             change = np.flatnonzero(keys[1:] != keys[:-1])  # cut between anchors where that is possible
-            yield take(int(change[-1]) + 1 if len(change) else SHARD_ROWS)
+            yield from take(int(change[-1]) + 1 if len(change) else SHARD_ROWS)
     while held:
         total = sum(len(x["key"]) for x in held)
-        yield take(min(total, SHARD_ROWS))
+        yield from take(min(total, SHARD_ROWS))
 
 
 def covered_bytes(docs: DataFrame, store: Store) -> DataFrame:
