@@ -3,9 +3,9 @@
 Item-sized windows are embedded by the CGK random walk, which turns edit distance into Hamming
 distance: at each step the current symbol is written and the walk stays or moves on by a random bit
 of (step, symbol). Windows and items whose embeddings agree on one of REPEATS samples of SAMPLED
-places are candidates, and an exact bit-parallel edit distance decides. Windows are laid where a
-document shares word trigrams with an item at about the same offset; the rest of a text costs one
-hash for each word.
+places are candidates, and an exact bit-parallel edit distance decides. Windows are laid where they
+can hold an item: an item is cut into more pieces than edits are allowed, so some stay whole, at about
+the same offset. Pieces are looked up at every byte of a text, and that loses nothing.
 """
 
 from __future__ import annotations
@@ -25,7 +25,9 @@ EDIT_SHARE = 0.10
 SAMPLED, REPEATS = 2, 160
 #: Items in one broadcast; more items go in further passes, so a broadcast has a known bound.
 ITEMS_PER_PASS, MAX_ITEM_BYTES = 20_000, 4096
-TRIGRAM, DRIFT = 3, 4
+#: Bytes of a piece; items of under 40 bytes may have shorter ones. Items of fewer words match nothing.
+PIECE, LEAST_WORDS = 8, 3
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
@@ -88,86 +90,125 @@ def sample_keys(embedded: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 class Items:
-    """A pass's benchmark items, their trigrams and their sample keys."""
+    """A pass's benchmark items, their pieces and their sample keys."""
 
     def __init__(self, ids: list[int], texts: list[str]):
         self.ids = np.array(ids, np.int64)
         self.raw = [FOLD[np.frombuffer(t.encode(), np.uint8)].tobytes() for t in texts]
         self.lengths = np.array([len(r) for r in self.raw], np.int64)
-        h, _, _, row = tx.word_hashes(*tx.utf8(pa.array(texts, pa.string())), True)
-        self.words = np.bincount(row, minlength=len(ids))
-        full = row[: -TRIGRAM + 1] == row[TRIGRAM - 1 :]
-        first = np.concatenate([[0], np.cumsum(self.words)])
-        grams = tx.gram_hashes(h, TRIGRAM)[full]
-        owner, place = row[: len(full)][full], (np.arange(len(h))[: len(full)] - first[row[: len(full)]])[full]
-        order = np.argsort(grams, kind="stable")
-        self.grams, self.owner, self.place = grams[order], owner[order], place[order]
-        self.near = np.zeros(1 << 20, bool)
-        self.near[self.grams >> np.uint64(44)] = True
+        _, _, _, row = tx.word_hashes(*tx.utf8(pa.array(texts, pa.string())), True)
+        words = np.bincount(row, minlength=len(ids))
+        self.limits = (EDIT_SHARE * self.lengths).astype(np.int64)
+        size = np.where(self.lengths // PIECE > self.limits, PIECE, self.lengths // (self.limits + 1))
+        self.need = self.lengths // np.maximum(size, 1) - self.limits
+        self.pieces = {}
+        for q in np.unique(size[words >= LEAST_WORDS]).tolist():
+            whose = np.flatnonzero((size == q) & (words >= LEAST_WORDS)).tolist()
+            value = [int.from_bytes(self.raw[i][at : at + q], "little") for i in whose for at in range(0, len(self.raw[i]) - q + 1, q)]
+            offset = np.array([at for i in whose for at in range(0, len(self.raw[i]) - q + 1, q)], np.int64)
+            owner = np.repeat(whose, self.lengths[whose] // q)
+            order = np.argsort(np.array(value, np.uint64), kind="stable")
+            kinds, begin, count = np.unique(np.array(value, np.uint64)[order], return_index=True, return_counts=True)
+            bits = max(18, int(32 * len(kinds)).bit_length())
+            near, shift = np.zeros(1 << bits, bool), np.uint64(64 - bits)
+            near[(kinds * SPREAD) >> shift] = True
+            self.pieces[q] = near, shift, kinds, begin, count, owner[order], offset[order]
         self.bits = walk_bits(int(2 * self.lengths.max(initial=1)))
         wide = np.zeros((len(ids), int(self.lengths.max(initial=1))), np.uint8)
         for i, r in enumerate(self.raw):
             wide[i, : len(r)] = np.frombuffer(r, np.uint8)
-        keys = sample_keys(embed(wide, self.lengths, self.bits), self.lengths).ravel()
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.key_item = keys[order], np.repeat(np.arange(len(ids)), REPEATS)[order]
-
-    def windows(self, h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(first word, size in bytes) of the windows to embed, distinct."""
-        grams = tx.gram_hashes(h, TRIGRAM)
-        if not len(grams) or not len(self.grams):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at = np.flatnonzero(self.near[grams >> np.uint64(44)])
-        at = at[row[at] == row[at + TRIGRAM - 1]]
-        low, high = np.searchsorted(self.grams, grams[at], "left"), np.searchsorted(self.grams, grams[at], "right")
-        n = high - low
-        word = np.repeat(at, n)
-        entry = np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
-        item, start = self.owner[entry], word - self.place[entry]
-        first = np.searchsorted(row, row[word], "left")
-        order = np.lexsort((start, item, first))
-        item, start, first = item[order], start[order], first[order]
-        joined = np.zeros(len(start), bool)
-        joined[1:] = (item[1:] == item[:-1]) & (first[1:] == first[:-1]) & (start[1:] - start[:-1] <= DRIFT)
-        pair = joined.copy()
-        pair[:-1] |= joined[1:]
-        keep = pair | (self.words[item] < 8)
-        start, size = np.maximum(start, first)[keep], self.lengths[item[keep]]
-        both = np.unique(np.stack([start, size], 1), axis=0) if len(start) else np.zeros((0, 2), np.int64)
-        return both[:, 0], both[:, 1]
+        self.keys = sample_keys(embed(wide, self.lengths, self.bits), self.lengths)
+
+    def hits(self, folded: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, row, place) where a piece of an item stands in a row's text; place: of the item's start, if nothing were inserted or deleted between."""
+        padded = np.concatenate([folded, np.zeros(PIECE, np.uint8)])
+        items, rows, places = [], [], []
+        for at in range(0, len(folded), 1 << 18):
+            n = min(1 << 18, len(folded) - at)
+            eight = np.empty(n, np.uint64)
+            for i in range(min(PIECE, n)):
+                eight[i::PIECE] = padded[at + i : at + i + (n - i + PIECE - 1) // PIECE * PIECE].view("<u8")
+            for q, (near, shift, kinds, begin, count, owner, offset) in self.pieces.items():
+                value = eight if q == PIECE else eight & np.uint64((1 << 8 * q) - 1)
+                pos = np.flatnonzero(near[(value * SPREAD) >> shift])
+                value = value[pos]
+                kind = np.minimum(np.searchsorted(kinds, value), len(kinds) - 1)
+                same = kinds[kind] == value
+                pos, kind = pos[same] + at, kind[same]
+                row = np.searchsorted(offsets, pos, "right") - 1
+                inside = pos + q <= offsets[row + 1]
+                pos, kind, row = pos[inside], kind[inside], row[inside]
+                n_of = count[kind]
+                entry = np.arange(int(n_of.sum())) - np.repeat(np.cumsum(n_of) - n_of - begin[kind], n_of)
+                items.append(owner[entry])
+                rows.append(np.repeat(row, n_of))
+                places.append(np.repeat(pos, n_of) - offset[entry])
+        return (np.concatenate(items), np.concatenate(rows), np.concatenate(places)) if items else (np.zeros(0, np.int64),) * 3
+
+    def segments(self, folded: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Rows (item, row, least start, greatest start) between which each occurrence within the limit starts.
+
+        Of ``count`` pieces, ``limit`` edits leave count - limit whole, and inserted and deleted bytes move
+        their places apart by at most ``limit``: where that many hits lie that close, a segment begins.
+        """
+        item, row, at = self.hits(folded, offsets)
+        order = np.lexsort((at, row, item))
+        item, row, at = item[order], row[order], at[order]
+        need, limit = self.need[item], self.limits[item]
+        last = np.arange(len(item)) + need - 1
+        ok = last < len(item)
+        last = np.minimum(last, max(len(item) - 1, 0))
+        ok &= (item[last] == item) & (row[last] == row) & (at[last] - at <= limit)
+        item, row, limit, low, high = item[ok], row[ok], limit[ok], at[last[ok]] - limit[ok], at[ok] + limit[ok]
+        if not len(item):
+            return np.zeros((0, 4), np.int64)
+        new = np.ones(len(item), bool)
+        new[1:] = (item[1:] != item[:-1]) | (row[1:] != row[:-1]) | (low[1:] > high[:-1])
+        first = np.flatnonzero(new)
+        end = np.concatenate([first[1:], [len(item)]]) - 1
+        top = offsets[row[first]]
+        return np.stack([item[first], row[first], np.maximum(low[first], top), np.maximum(high[end], top)], 1)
+
+    def agree(self, folded: np.ndarray, offsets: np.ndarray, item: np.ndarray, row: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """Whether the item-sized windows at ``start`` share a sample of their embedding with their item."""
+        out = np.zeros(len(item), bool)
+        for k in range(0, len(item), 1024):
+            i, s = item[k : k + 1024], start[k : k + 1024]
+            size = self.lengths[i]
+            here = np.minimum(size, offsets[row[k : k + 1024] + 1] - s)
+            columns = np.arange(int(size.max()))
+            wide = folded[np.minimum(s[:, None] + columns, len(folded) - 1)] * (columns < here[:, None])
+            keys = sample_keys(embed(wide, here, self.bits[: 2 * int(size.max())]), size)
+            out[k : k + 1024] = (keys == self.keys[i]).any(1)
+        return out
 
     def matches(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(row, item, distance, start, end) of the items found; bytes within the row, the least distance for each row and item."""
-        h, begin, _, row = tx.word_hashes(data, offsets, True)
-        starts, sizes = self.windows(h, row)
         folded = FOLD[data]
         found: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for k in range(0, len(starts), 1024):
-            s, size = begin[starts[k : k + 1024]], sizes[k : k + 1024]
-            r = row[starts[k : k + 1024]]
-            size_here = np.minimum(size, offsets[r + 1] - s)
-            columns = np.arange(int(size.max()))
-            wide = folded[np.minimum(s[:, None] + columns, len(folded) - 1)] * (columns < size_here[:, None])
-            keys = sample_keys(embed(wide, size_here, self.bits[: 2 * int(size.max())]), size)
-            low = np.searchsorted(self.keys, keys, "left")
-            high = np.searchsorted(self.keys, keys, "right")
-            pairs = set()
-            for w, q in zip(*np.nonzero(high > low), strict=True):
-                pairs.update((int(w), int(i)) for i in self.key_item[low[w, q] : high[w, q]])
-            for w, i in pairs:
-                limit = int(EDIT_SHARE * self.lengths[i])
-                key = (int(r[w]), i)
-                if key in found and found[key][0] == 0:
-                    continue
-                top = int(offsets[r[w]])
-                lo = max(top, int(s[w]) - limit - 8)
-                hi = min(int(offsets[r[w] + 1]), int(s[w] + self.lengths[i]) + limit + 8)
-                part = folded[lo:hi].tobytes()
-                exact = part.find(self.raw[i])
-                distance, end = (0, exact + len(self.raw[i])) if exact >= 0 else edit_occurrence(self.raw[i], part)
-                if distance <= limit and (key not in found or distance < found[key][0]):
-                    back, size_back = edit_occurrence(self.raw[i][::-1], part[:end][::-1]) if distance else (0, len(self.raw[i]))
-                    found[key] = (distance, lo + end - size_back - top, lo + end - top)
+        parts = []
+        for i, r, lo, hi in self.segments(folded, offsets).tolist():
+            top, end = int(offsets[r]), min(int(offsets[r + 1]), hi + int(self.lengths[i] + self.limits[i]))
+            # A whole copy shares every sample with its item.
+            exact = folded[lo:end].tobytes().find(self.raw[i])
+            if exact < 0:
+                parts.append((i, r, lo, hi, end))
+            elif (r, i) not in found:
+                found[r, i] = 0, lo + exact - top, lo + exact + len(self.raw[i]) - top
+        parts = np.array([x for x in parts if (x[1], x[0]) not in found], np.int64).reshape(-1, 5)
+        # A window at every start of a segment: the walk must begin where the item does.
+        for a in range(0, len(parts), 64):
+            item, row, low, high, end = parts[a : a + 64].T
+            n = np.minimum(high + 1, end) - low
+            owner = np.repeat(np.arange(len(n)), n)
+            start = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n - low, n)
+            for which in np.unique(owner[self.agree(folded, offsets, item[owner], row[owner], start)]).tolist():
+                i, r, lo, _, hi = parts[a + which].tolist()
+                key, top, part = (r, i), int(offsets[r]), folded[lo:hi].tobytes()
+                distance, size = edit_occurrence(self.raw[i], part)
+                if distance <= self.limits[i] and (key not in found or distance < found[key][0]):
+                    _, back = edit_occurrence(self.raw[i][::-1], part[:size][::-1])
+                    found[key] = (distance, lo + size - back - top, lo + size - top)
         return [(r, i, *v) for (r, i), v in sorted(found.items())]
 
 

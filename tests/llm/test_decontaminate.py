@@ -2,6 +2,8 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
 
 from lexspark.llm import _text as tx
 from lexspark.llm.decontaminate import EDIT_SHARE, Items, edit_occurrence
@@ -61,6 +63,41 @@ def test_recall_at_the_edit_limit_and_no_false_alarm():
         assert plain(items.raw[i], docs[r].encode().lower()[start:end].replace(b"\n", b" ")) == distance <= EDIT_SHARE * len(texts[i])
 
 
+def changed(rng, raw, places):
+    out = bytearray(raw)
+    for i in sorted(places, reverse=True):
+        what = rng.random()
+        if what < 0.4:
+            out[i] = rng.choice(b"etaoinshrdlu")
+        elif what < 0.7:
+            del out[i]
+        else:
+            out.insert(i, rng.choice(b"etaoinshrdlu"))
+    return bytes(out)
+
+
+@pytest.mark.parametrize("how", ["random", "even", "every third word"])
+def test_nothing_within_the_limit_is_lost_on_the_benchmark(how):
+    rng = random.Random(4)
+    texts = pq.read_table("/root/testdata/sf0.1/benchmark.parquet").column("text").to_pylist()
+    items = Items(list(range(len(texts))), texts)
+    docs, want = [], set()
+    for i, raw in enumerate(items.raw):
+        n = int(EDIT_SHARE * len(raw))
+        if how == "random":
+            text = changed(rng, raw, [rng.randrange(len(raw)) for _ in range(n)])
+        elif how == "even":
+            text = changed(rng, raw, [int((j + rng.random() / 2) * len(raw) / n) for j in range(n)])
+        else:
+            text = b" ".join(b"q" + w[1:] if k % 3 == 0 and w else w for k, w in enumerate(raw.split(b" ")))
+        docs.append(words(rng, 30).encode() + b" " + text + b" " + words(rng, 20).encode())
+        if edit_occurrence(raw, docs[-1])[0] <= n:
+            want.add((i, i))
+    data, offsets = np.frombuffer(b"".join(docs), np.uint8), np.cumsum([0, *map(len, docs)])
+    assert len(want) >= 0.9 * len(texts)
+    assert want <= {(r, i) for r, i, *_ in items.matches(data, offsets)}
+
+
 def test_empty_sides():
     data, offsets = tx.utf8(pa.array(["", None, "a b c d"], pa.string()))
     assert Items([1], ["x y"]).matches(data, offsets) == []
