@@ -29,7 +29,7 @@ BITS_PER_ENTRY, MAX_FILTER_BYTES = 10, 64 << 20
 LEAST_BIGRAM = 2
 #: Weight of the bigram's share; the rest is the unigram's.
 BIGRAM_WEIGHT = 0.2
-#: Words whose exact counts are broadcast: the most frequent ones, a fixed number. The others meet their counts in a join.
+#: Words whose exact counts are broadcast, for ``base_score`` and ``n_known``: the most frequent ones, a fixed number. The others meet their counts in a join.
 COMMON_WORDS = 1 << 17
 
 END = tx.mix(np.array([0xE0D], np.uint64))[0]
@@ -176,9 +176,9 @@ def score_documents(docs: DataFrame) -> DataFrame:
     Learns from the rows that are not held out. Null text is empty: its only token is the end. Rows
     are scored one by one, so repeated rows and ids are fine; a null doc_id counts as not held out.
     With no training rows, counts are 0 and N and V are 0. ``score`` is the model's log10
-    probability: P(w|v) = BIGRAM_WEIGHT * c(vw)/c(v) + (1-BIGRAM_WEIGHT) * (c(w)+1)/(N+V+1), where
-    c(vw) is the least count of the bigram's level and c(v) the exact count of a common context or the
-    most of its level, so the shares of a context add up to one at most.
+    probability: P(w|v) = BIGRAM_WEIGHT * c(vw)/c(v) + (1-BIGRAM_WEIGHT) * (c(w)+1)/(N+V+1). Its counts
+    are the filter's at every size: c(w) the middle of the word's level, c(vw) the least count of the
+    bigram's level and c(v) the most of the context's, so the shares of a context add up to one at most.
     """
     spark = docs.sparkSession
     store = Store(spark)
@@ -204,9 +204,9 @@ def score_documents(docs: DataFrame) -> DataFrame:
             exact = (keys[at] == signed) if len(keys) else np.zeros(len(kind), bool)
             known = np.where(exact, counts[at], 0) if len(keys) else np.zeros(len(kind), np.int64)
             level = lm.level(kind)
-            estimate = np.where(exact, known, np.where(level > 0, 1.5 * 2.0 ** np.maximum(level - 1, 0), 0))
+            estimate = np.where(level > 0, 1.5 * 2.0 ** np.maximum(level - 1, 0) - 0.5, 0)
             p_word = (estimate + 1) / (total + kinds + 1)
-            most = np.where(exact, known, 2.0**level - (level > 0))
+            most = 2.0**level - (level > 0)
             before = np.empty_like(back)
             before[1:] = back[:-1]
             first = np.ones(len(h), bool)

@@ -172,6 +172,18 @@ def test_lm_score(docs, rows, empty):
     assert lm_score.score_documents(empty).count() == 0
 
 
+def test_lm_score_counts_come_from_the_filter(docs):
+    """The same score however many exact counts are broadcast."""
+    got = []
+    for common in (lm_score.COMMON_WORDS, 20):
+        keep, lm_score.COMMON_WORDS = lm_score.COMMON_WORDS, common
+        try:
+            got.append(sorted((r.doc_id, r.score) for r in lm_score.score_documents(docs).collect()))
+        finally:
+            lm_score.COMMON_WORDS = keep
+    assert all(a[0] == b[0] and math.isclose(a[1], b[1]) for a, b in zip(*got, strict=True))
+
+
 def test_count_filter_recovers_levels():
     import numpy as np
 
