@@ -2,9 +2,9 @@
 
 N-gram counts are quantised to powers of two; an n-gram of level q is entered q times, as
 (n-gram, 1) to (n-gram, q), so membership probes that climb until one fails recover the level.
-The filter is blocked by n-gram hash: each block is filled by the task that counted its n-grams, and
-the blocks, of a total size that is bounded by a parameter, are broadcast. Probabilities are
-interpolated: a bigram's discounted share of its context, then the smoothed unigram.
+The filter is blocked by n-gram hash and grows with its entries: each block is filled by the task that
+counted its n-grams. The blocks are broadcast while that is possible; past that the distinct n-grams of
+each slice of documents go to their blocks and come back as levels. Probabilities are interpolated: a bigram's discounted share of its context, then the smoothed unigram.
 """
 
 from __future__ import annotations
@@ -18,13 +18,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text as tx
-from ._store import Store, table
+from ._store import Store, partitions, table
 
 BLOCKS = 256
 PROBES = 4
-#: Bits for each entry, as long as the whole filter keeps below MAX_FILTER_BYTES. With more entries than that
-#: the filter stays at this size and false positives grow: 2.4 % of probes at 8 bits an entry, 16 % at 4.
-BITS_PER_ENTRY, MAX_FILTER_BYTES = 10, 64 << 20
+#: Bits for each entry, at every number of entries: the blocks are a power of two of words, so 7.7 to 15.4 in effect. A filter
+#: of more than BROADCAST_BYTES stays in rows, one for each block, and n-grams are brought to their block.
+BITS_PER_ENTRY, BROADCAST_BYTES = 10, 64 << 20
 #: Bigrams seen fewer times are left to the unigram part, at every input size.
 LEAST_BIGRAM = 2
 #: Weight of the bigram's share; the rest is the unigram's.
@@ -64,9 +64,10 @@ def _bigrams(h: np.ndarray, row: np.ndarray) -> np.ndarray:
 
 @dataclass
 class CountFilter:
-    """words: BLOCKS rows of 64-bit words, a power of two of them in each."""
+    """words: rows of 64-bit words, a power of two of them in each; one for each block from ``first`` on."""
 
     words: np.ndarray
+    first: int = 0
 
     def level(self, key: np.ndarray) -> np.ndarray:
         """Quantised level of each n-gram: the number of consecutive levels that answer yes."""
@@ -76,7 +77,7 @@ class CountFilter:
             yes = np.ones(len(todo), bool)
             block, bits = place(key[todo], q, self.words.shape[1])
             for b in bits:
-                yes &= (self.words[block, b >> np.uint64(6)] >> (b & np.uint64(63))) & np.uint64(1) == 1
+                yes &= (self.words[block - self.first, b >> np.uint64(6)] >> (b & np.uint64(63))) & np.uint64(1) == 1
             todo = todo[yes]
             if not len(todo):
                 break
@@ -140,13 +141,13 @@ def count_ngrams(docs: DataFrame) -> DataFrame:
     return counts.groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-def build_filter(ngrams: DataFrame) -> CountFilter:
-    """The blocks, filled where their n-grams are; what comes to the driver is bounded by MAX_FILTER_BYTES."""
+def filter_blocks(ngrams: DataFrame) -> tuple[DataFrame, int]:
+    """(block, bits: a row for each block that has n-grams, filled where they are; 64-bit words in a block)."""
     kept = ngrams.where((F.col("kind") == 1) | (F.col("n") >= LEAST_BIGRAM))
     entries = kept.agg(F.coalesce(F.sum(F.length(F.bin("n")).cast("bigint")), F.lit(0))).first()[0]
-    wanted = max(64, min(MAX_FILTER_BYTES * 8, entries * BITS_PER_ENTRY) // (64 * BLOCKS))
+    wanted = max(64, entries * BITS_PER_ENTRY // (64 * BLOCKS))
     words = 1 << int(math.log2(wanted))
-    words = words * 2 if words * 2 * BLOCKS * 8 <= MAX_FILTER_BYTES and wanted > 1.3 * words else words
+    words = words * 2 if wanted > 1.3 * words else words
 
     def fill(batches):
         blocks: dict[int, np.ndarray] = {}
@@ -164,12 +165,76 @@ def build_filter(ngrams: DataFrame) -> CountFilter:
 
     block = F.shiftrightunsigned("key", 56).cast("int")
     placed = kept.select("key", "n", block.alias("block")).repartition(BLOCKS // 4, F.expr("block div 4")).select("key", "n")
+    return placed.mapInArrow(fill, "block int, bits binary"), words
+
+
+def collect_filter(blocks: DataFrame, words: int) -> CountFilter:
     out = np.zeros((BLOCKS, words), np.uint64)
-    for r in placed.mapInArrow(fill, "block int, bits binary").toLocalIterator():
+    for r in blocks.toLocalIterator():
         out[r.block] |= np.frombuffer(r.bits, np.uint64)
     return CountFilter(out)
 
 
+SENT = "slice bigint, block int, data binary"
+
+
+def with_levels(docs: DataFrame, blocks: DataFrame, store: Store, run, schema: str) -> DataFrame:
+    """``run(slice of docs, levels)`` with the levels of the slice's distinct n-grams, looked up where their blocks are.
+
+    A slice is sent as a row of its own (block -1) and a row of n-grams for each block; the blocks answer
+    with a byte for each n-gram. Tasks stream sorted rows and hold one block, or one slice.
+    """
+
+    def send(batches):
+        for b in (part for whole in batches for part in tx.slices(whole, "text")):
+            h, row = _tokens(b.column("text"))
+            keys = np.unique(np.concatenate([h, _bigrams(h, row)]))
+            block = (keys >> np.uint64(56)).astype(np.int64)
+            begin = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, b.schema) as out:
+                out.write_batch(b)
+            data = [sink.getvalue().to_pybytes(), *(k.tobytes() for k in np.split(keys, begin[1:]))]
+            yield pa.record_batch({"slice": np.full(len(data), b.column("row_id")[0].as_py(), np.int64), "block": np.concatenate([[-1], block[begin]]).astype(np.int32), "data": pa.array(data, pa.binary())})
+
+    def answer(batches):
+        own, held = -1, None
+        for b in batches:
+            slices, out = b.column("slice"), []
+            for i, (block, data) in enumerate(zip(b.column("block").to_pylist(), b.column("data"), strict=True)):
+                data = np.frombuffer(data.as_buffer(), np.uint64)
+                if not slices[i].is_valid:
+                    own, held = block, CountFilter(data.reshape(1, -1).copy(), block)
+                else:
+                    out.append((i, (held.level(data) if own == block else np.zeros(len(data))).astype(np.uint8).tobytes()))
+            at = pa.array([i for i, _ in out], pa.int64())
+            yield pa.record_batch({"slice": slices.take(at), "block": b.column("block").take(at), "data": pa.array([x for _, x in out], pa.binary())})
+
+    def gather(batches):
+        part, got = None, []
+
+        def score():
+            if part is not None:
+                rows = pa.ipc.open_stream(part).read_all().combine_chunks().to_batches()[0]
+                yield run(rows, np.frombuffer(b"".join(got), np.uint8).astype(np.int64))
+
+        for b in batches:
+            for block, data in zip(b.column("block").to_pylist(), b.column("data").to_pylist(), strict=True):
+                if block == -1:
+                    yield from score()
+                    part, got = data, []
+                else:
+                    got.append(data)
+        yield from score()
+
+    n = max(BLOCKS // 4, partitions(docs.sparkSession))
+    sent = store.save(docs.withColumn("row_id", F.monotonically_increasing_id()).mapInArrow(send, SENT), "sent")
+    asked = blocks.select(F.lit(None).cast("bigint").alias("slice"), "block", F.col("bits").alias("data")).unionByName(sent.where("block >= 0"))
+    answers = asked.repartition(n, "block").sortWithinPartitions("block", F.asc_nulls_first("slice")).mapInArrow(answer, SENT)
+    back = sent.where("block = -1").unionByName(answers).repartition(n, "slice").sortWithinPartitions("slice", "block")
+    return back.mapInArrow(gather, schema)
+
+
 def score_documents(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of ``docs`` (doc_id, text).
 
@@ -191,55 +256,65 @@ def score_documents(docs: DataFrame) -> DataFrame:
     keys = common["key"].to_numpy() if kinds else np.zeros(0, np.int64)
     counts = common["n"].to_numpy() if kinds else np.zeros(0, np.int64)
     exhaustive = kinds <= COMMON_WORDS
-    shared = spark.sparkContext.broadcast((build_filter(ngrams), keys, counts))
+    blocks, size = filter_blocks(ngrams)
+    small = BLOCKS * size * 8 <= BROADCAST_BYTES
+    shared = spark.sparkContext.broadcast((collect_filter(blocks, size) if small else None, keys, counts))
 
-    def run(batches):
+    def run(b, found=None):
+        """Scores of a slice; found: the levels of its distinct n-grams in order of their keys, where they were looked up."""
         lm, keys, counts = shared.value
-        for b in (part for whole in batches for part in tx.slices(whole, "text")):
-            h, row = _tokens(b.column("text"))
-            n = b.num_rows
-            kind, back = np.unique(h, return_inverse=True)
-            signed = kind.view(np.int64)
-            at = np.minimum(np.searchsorted(keys, signed), max(len(keys) - 1, 0))
-            exact = (keys[at] == signed) if len(keys) else np.zeros(len(kind), bool)
-            known = np.where(exact, counts[at], 0) if len(keys) else np.zeros(len(kind), np.int64)
-            level = lm.level(kind)
-            estimate = np.where(level > 0, 1.5 * 2.0 ** np.maximum(level - 1, 0) - 0.5, 0)
-            p_word = (estimate + 1) / (total + kinds + 1)
-            most = 2.0**level - (level > 0)
-            before = np.empty_like(back)
-            before[1:] = back[:-1]
-            first = np.ones(len(h), bool)
-            first[1:] = row[1:] != row[:-1]
-            end = np.searchsorted(kind, END) if len(kind) else 0
-            before[first] = end
-            pair, where = np.unique(_bigrams(h, row), return_inverse=True)
-            level2 = lm.level(pair)
-            both = np.where(level2 >= 2, 2.0 ** np.maximum(level2 - 1, 0), 0)[where]
-            context = most[before]
-            share = np.where(context > 0, np.minimum(both / np.maximum(context, 1), 1.0), 0.0)
-            p = BIGRAM_WEIGHT * share + (1 - BIGRAM_WEIGHT) * p_word[back]
-            score = np.bincount(row, np.log10(p), n)
-            sure = exact[back]
-            logs = np.log10(known + 1.0)[back]
-            # Words outside the broadcast table: (word, times in the row), for the exact join.
-            rare_h, rare_row = h[~sure], row[~sure]
-            order = np.lexsort((rare_h, rare_row))
-            rare_h, rare_row = rare_h[order], rare_row[order]
-            new = np.ones(len(rare_h), bool)
-            new[1:] = (rare_h[1:] != rare_h[:-1]) | (rare_row[1:] != rare_row[:-1])
-            begin = np.flatnonzero(new)
-            times = np.diff(np.concatenate([begin, [len(rare_h)]])).astype(np.int32)
-            ends = np.concatenate([[0], np.cumsum(np.bincount(rare_row[begin], minlength=n))]).astype(np.int32)
-            tf = pa.StructArray.from_arrays([pa.array(rare_h[begin].view(np.int64)), pa.array(times)], ["key", "tf"])
-            yield pa.record_batch({
-                "doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "n_tokens": np.bincount(row, minlength=n).astype(np.int64),
-                "known": np.bincount(row, (sure & (known[back] > 0)), n).astype(np.int64), "logs": np.bincount(row, np.where(sure, logs, 0.0), n),
-                "score": score, "rare": pa.ListArray.from_arrays(pa.array(ends), tf),
-            })
+        h, row = _tokens(b.column("text"))
+        n = b.num_rows
+        kind, back = np.unique(h, return_inverse=True)
+        signed = kind.view(np.int64)
+        at = np.minimum(np.searchsorted(keys, signed), max(len(keys) - 1, 0))
+        exact = (keys[at] == signed) if len(keys) else np.zeros(len(kind), bool)
+        known = np.where(exact, counts[at], 0) if len(keys) else np.zeros(len(kind), np.int64)
+        pair, where = np.unique(_bigrams(h, row), return_inverse=True)
+        if found is None:
+            level, level2 = lm.level(kind), lm.level(pair)
+        else:
+            both = np.unique(np.concatenate([kind, pair]))
+            level, level2 = found[np.searchsorted(both, kind)], found[np.searchsorted(both, pair)]
+        estimate = np.where(level > 0, 1.5 * 2.0 ** np.maximum(level - 1, 0) - 0.5, 0)
+        p_word = (estimate + 1) / (total + kinds + 1)
+        most = 2.0**level - (level > 0)
+        before = np.empty_like(back)
+        before[1:] = back[:-1]
+        first = np.ones(len(h), bool)
+        first[1:] = row[1:] != row[:-1]
+        end = np.searchsorted(kind, END) if len(kind) else 0
+        before[first] = end
+        both = np.where(level2 >= 2, 2.0 ** np.maximum(level2 - 1, 0), 0)[where]
+        context = most[before]
+        share = np.where(context > 0, np.minimum(both / np.maximum(context, 1), 1.0), 0.0)
+        p = BIGRAM_WEIGHT * share + (1 - BIGRAM_WEIGHT) * p_word[back]
+        score = np.bincount(row, np.log10(p), n)
+        sure = exact[back]
+        logs = np.log10(known + 1.0)[back]
+        # Words outside the broadcast table: (word, times in the row), for the exact join.
+        rare_h, rare_row = h[~sure], row[~sure]
+        order = np.lexsort((rare_h, rare_row))
+        rare_h, rare_row = rare_h[order], rare_row[order]
+        new = np.ones(len(rare_h), bool)
+        new[1:] = (rare_h[1:] != rare_h[:-1]) | (rare_row[1:] != rare_row[:-1])
+        begin = np.flatnonzero(new)
+        times = np.diff(np.concatenate([begin, [len(rare_h)]])).astype(np.int32)
+        ends = np.concatenate([[0], np.cumsum(np.bincount(rare_row[begin], minlength=n))]).astype(np.int32)
+        tf = pa.StructArray.from_arrays([pa.array(rare_h[begin].view(np.int64)), pa.array(times)], ["key", "tf"])
+        return pa.record_batch({
+            "doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "n_tokens": np.bincount(row, minlength=n).astype(np.int64),
+            "known": np.bincount(row, (sure & (known[back] > 0)), n).astype(np.int64), "logs": np.bincount(row, np.where(sure, logs, 0.0), n),
+            "score": score, "rare": pa.ListArray.from_arrays(pa.array(ends), tf),
+        })
+
+    def here(batches):
+        for whole in batches:
+            yield from map(run, tx.slices(whole, "text"))
 
     schema = "doc_id bigint, held_out boolean, n_tokens bigint, known bigint, logs double, score double, rare array<struct<key: bigint, tf: int>>"
-    scored = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "held_out", "text").mapInArrow(run, schema)
+    ready = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "held_out", "text")
+    scored = ready.mapInArrow(here, schema) if small else with_levels(ready, blocks, store, run, schema)
     if not exhaustive:
         scored = store.save(scored.withColumn("row_id", F.monotonically_increasing_id()), "scored")
         rare = scored.select("row_id", F.explode("rare").alias("r")).select("row_id", "r.key", "r.tf").join(words, "key")

@@ -184,6 +184,22 @@ def test_lm_score_counts_come_from_the_filter(docs):
     assert all(a[0] == b[0] and math.isclose(a[1], b[1]) for a, b in zip(*got, strict=True))
 
 
+def test_lm_score_is_the_same_with_blocks_as_rows(docs, empty, monkeypatch):
+    want = sorted(tuple(r) for r in lm_score.score_documents(docs).collect())
+    monkeypatch.setattr(lm_score, "BROADCAST_BYTES", 0)
+    got = sorted(tuple(r) for r in lm_score.score_documents(docs).collect())
+    assert len(got) == len(want)
+    assert all(g[:5] == w[:5] and math.isclose(g[5], w[5]) and math.isclose(g[6], w[6]) for g, w in zip(got, want, strict=True))
+    assert lm_score.score_documents(empty).count() == 0
+
+
+def test_lm_filter_grows_with_its_entries(spark):
+    """Past 64 MB too. Ninety million entries: one and a half million n-grams of level 60."""
+    ngrams = spark.range(1_500_000).select(F.lit(1).cast("tinyint").alias("kind"), F.xxhash64("id").alias("key"), F.expr("1L << 59").alias("n"))
+    _, words = lm_score.filter_blocks(ngrams)
+    assert words * 64 * lm_score.BLOCKS >= 7.5 * 90_000_000
+
+
 def test_count_filter_recovers_levels():
     import numpy as np
 
