@@ -124,25 +124,22 @@ class Encoder:
     def encode_words(self, words: Iterable[str]) -> None:
         """Remember the ids of words, visiting them in sorted order with one shared forward state."""
         m, raw, suffixes, fits, bpe = self.model, self.raw, self.suffixes, self.fits, self.model.bpe
-        last, score, out = [""], [0.0], [b""]  # at each place: the piece that ends there, its score, the ids so far
+        last, score = [""], [0.0]  # at each place: the piece that ends there and its score
         before = ""
         for word in sorted(words):
             same, most = 0, min(len(before), len(word))
             while same < most and before[same] == word[same]:
                 same += 1
-            del last[same + 1 :], score[same + 1 :], out[same + 1 :]
+            del last[same + 1 :], score[same + 1 :]
             for end in range(same + 1, len(word) + 1):
-                choice, best, ids = "", float("-inf"), b""
+                choice, best = "", float("-inf")
                 start = end - 1
                 while start >= 0:
                     piece = word[start:end]
-                    own = raw.get(piece)
-                    if own is None:
-                        if start == end - 1:
-                            own = self._unknown(piece)
-                        elif piece not in suffixes:
-                            break
-                    if own is not None:
+                    known = piece in raw
+                    if not known and start < end - 1 and piece not in suffixes:
+                        break
+                    if known or start == end - 1:
                         if bpe:
                             of_piece = fits.get(piece)
                             if of_piece is None:
@@ -152,18 +149,22 @@ class Encoder:
                             if ok is None:
                                 ok = self._fit(left, piece, of_piece)
                             if ok:
-                                choice, ids = piece, out[start] + own
+                                choice = piece
                                 break
                         else:
-                            s = score[start] + (m.scores[m.ids[piece]] if piece in raw else m.floor)
+                            s = score[start] + (m.scores[m.ids[piece]] if known else m.floor)
                             if s >= best:
-                                choice, best, ids = piece, s, out[start] + own
+                                choice, best = piece, s
                     start -= 1
                 last.append(choice)
                 score.append(best)
-                out.append(ids)
             before = word
-            self.words[word] = out[-1]
+            ids, end = [], len(word)
+            while end:
+                piece = last[end]
+                ids.append(raw.get(piece) or self._unknown(piece))
+                end -= len(piece)
+            self.words[word] = b"".join(reversed(ids))
 
     def split(self, text: str) -> list[str]:
         """Marked words: joined they are the text with marks for spaces."""

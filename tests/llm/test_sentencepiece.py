@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -30,6 +31,22 @@ def test_ids_are_the_librarys(model):
             assert back.decode(ids) == text
 
 
+def test_a_long_word_takes_memory_in_its_length(model):
+    """A million characters without a space; back-pointers hold a few bytes for each, whole id strings would hold their square."""
+    rng = random.Random(7)
+    word = "".join(rng.choices("etaoinshrdlu日本0123", k=1_000_000))
+    tracemalloc.start()
+    own, back = Encoder(Model(model)), Decoder(Model(model))
+    short = word[:20_000]
+    base = tracemalloc.get_traced_memory()[0]
+    tracemalloc.reset_peak()
+    ids = own.encode([short])[0]
+    assert tracemalloc.get_traced_memory()[1] - base < 60 << 20
+    tracemalloc.stop()
+    assert np.frombuffer(ids, np.int32).tolist() == library.SentencePieceProcessor(model_proto=model).encode(short)
+    assert back.decode(own.encode([word])[0]) == word
+
+
 def unigram(model: bytes) -> bytes:
     """The same pieces and scores as a unigram model: the trainer spec's model type set to 1 by a later field."""
     return model + bytes([0x12, 2, 0x18, 1])
