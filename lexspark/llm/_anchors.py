@@ -46,8 +46,8 @@ def settle(find: Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarra
         run = _starts(key)
         first = np.maximum.accumulate(np.where(run, np.arange(len(key)), 0))
         if ordered:
-            known = (doc != doc[first]) if across else ~run
-            rest = ~known
+            known = (doc != doc[first]) if across else (doc != doc[first]) | (pos != pos[first])
+            rest = ~known if across else run  # one of the rows of a repeated document asks for all
         else:
             last = np.searchsorted(first, first, "right") - 1
             many = (doc[first] != doc[last]) if across else first != last
@@ -84,7 +84,9 @@ def _answer(across: bool, ordered: bool):
         run = _starts(c["known"], c["key"])
         first = np.maximum.accumulate(np.where(run, np.arange(len(run)), 0))
         if ordered:
-            yes = (c["doc_id"] != c["doc_id"][first]) if across else ~run
+            yes = c["doc_id"] != c["doc_id"][first]
+            if not across:
+                yes |= c["pos"] != c["pos"][first]
         else:
             last = np.searchsorted(first, first, "right") - 1
             yes = (c["doc_id"][first] != c["doc_id"][last]) if across else first != last

@@ -124,6 +124,15 @@ def test_repeated_and_null_rows_survive(spark):
     assert pii.redact_documents(df).count() == 5
 
 
+def test_rows_of_one_document_are_no_earlier_copy(spark):
+    text, twice = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i % 30}" for i in range(60))
+    rows = [(1, text), (2, twice)] * 2
+    for parts in (1, 4):  # the repeats in one task, and in several
+        df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(parts)
+        out = sorted((r.doc_id, r.n_words, r.n_removed) for r in substring_dedup.remove_repeats(df).collect())
+        assert out == [(1, 60, 0)] * 2 + [(2, 60, 30)] * 2
+
+
 def test_fingerprint(docs, rows, empty):
     pairs = fingerprint.edited_pairs(docs, 8).where("real").collect()
     order = sorted(rows, key=lambda r: -r[0])
