@@ -1,7 +1,8 @@
-"""Vectorised text helpers for Arrow batches: words, rolling hashes, n-grams. Numpy only, no Spark."""
+"""Vectorised text helpers for Arrow batches: words, hashes, n-grams. Numpy only, no Spark."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,30 +24,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _byte_values(fold: bool) -> np.ndarray:
-    v = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    if fold:
-        v[65:91] = v[97:123]
-    return v
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[65:91] += 32
 
-
-EXACT, FOLDED = _byte_values(False), _byte_values(True)
-BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(BASE, -1, 1 << 64)
-
-
-class _Powers:
-    """Powers of BASE and of its inverse modulo 2**64, as far as they were asked for."""
-
-    up = down = np.ones(1, np.uint64)
-
-    @classmethod
-    def get(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls.up) < n:
-            size = max(n, STEP_BYTES + 1)
-            grow = lambda b: np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)]))
-            cls.up, cls.down = grow(BASE), grow(_INVERSE)
-        return cls.up, cls.down
+_ODD = np.uint64(0xD6E8FEB86659FD93)
+#: Starting values of the two hash lanes; together they make 128 bits.
+LANES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+#: Low bytes of a word that are kept.
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Strings of more bytes are hashed one by one, so that a long one doesn't make a pass over all for each eight bytes.
+LONG = 64
 
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -96,33 +83,46 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return start, end, np.searchsorted(offsets, start, "right") - 1
 
 
-def prefix_hash(data: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """n+1 prefix sums from which ``span_hash`` takes the hash of any span."""
-    up, _ = _Powers.get(len(data) + 1)
-    out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(values[data] * up[: len(data)], out=out[1:])
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a little-endian word, zeros past the end; a view that can be indexed."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lanes: int = 1) -> list[np.ndarray]:
+    """A 64-bit hash of each span's bytes for each lane; blocks of eight bytes are mixed in one after the other."""
+    view, size = eights(data), end - start
+    out = [mix(size.astype(np.uint64) * _ODD ^ seed) for seed in LANES[:lanes]]
+    busy, k = np.flatnonzero(size <= LONG), 0
+    while len(busy):
+        block = view[start[busy] + k] & _MASKS[np.minimum(size[busy] - k, 8)]
+        for h in out:
+            h[busy] = mix((h[busy] ^ block) * _ODD)
+        k += 8
+        busy = busy[size[busy] > k]
+    large = np.flatnonzero(size > LONG)
+    if len(large):
+        raw = memoryview(np.ascontiguousarray(data))
+        wide = b"".join(hashlib.blake2b(raw[s:e], digest_size=16).digest() for s, e in zip(start[large].tolist(), end[large].tolist(), strict=True))
+        for lane, h in enumerate(out):
+            h[large] = np.frombuffer(wide, np.uint64)[lane::2]
     return out
 
 
-def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    _, down = _Powers.get(len(prefix))
-    return mix((prefix[end] - prefix[start]) * down[start])
-
-
 def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash, start, end, row) of every word; ``fold`` lower-cases A-Z."""
     start, end, row = word_bounds(data, offsets)
-    return span_hash(prefix_hash(data, FOLDED if fold else EXACT), start, end), start, end, row
+    return span_hashes(FOLD[data] if fold else data, start, end)[0], start, end, row
 
 
-def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
+def gram_hashes(words: np.ndarray, n: int, lane: int = 0) -> np.ndarray:
     """Hash of the n words from each place on; the last n-1 places have none."""
     m = len(words) - n + 1
     if m <= 0:
         return np.zeros(0, np.uint64)
-    out = np.zeros(m, np.uint64)
+    out = np.full(m, LANES[lane])
     for i in range(n):
-        out = (out ^ words[i : i + m]) * np.uint64(0xD6E8FEB86659FD93)
+        out = (out ^ words[i : i + m]) * _ODD
         out = out ^ (out >> np.uint64(32))
     return mix(out)
 
@@ -151,3 +151,15 @@ def row_sets(grams: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarr
     keep = np.ones(len(grams), bool)
     keep[1:] = (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])
     return grams[keep], owner[keep]
+
+
+def sliding(x: np.ndarray, w: int, best) -> np.ndarray:
+    """best(x[i : i+w]) for each i with a whole window, in a fixed number of passes."""
+    n = len(x)
+    size = -(-n // w) * w
+    pad = np.full(size, x[-1], x.dtype)
+    pad[:n] = x
+    rows = pad.reshape(-1, w)
+    ahead = best.accumulate(rows, axis=1).ravel()
+    back = best.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
+    return best(back[: n - w + 1], ahead[w - 1 : n])

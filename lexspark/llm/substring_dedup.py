@@ -13,35 +13,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text as tx
-from ._anchors import by_document, repeated
+from ._anchors import AGAIN, EARLIER, by_document, fresh, identified, repeated
 from ._store import Store, table
 
 #: Every difference modulo 13 is one of two members of the cover.
 PERIOD, COVER = 13, (0, 1, 3, 9)
-#: Stands for a null doc_id.
-NO_ID = -(2**63)
 
 
-def _words(b: pa.RecordBatch):
-    """(first row, offsets, data, word hashes, starts, ends, rows) of each step of a batch."""
+def _words(b: pa.RecordBatch, lanes: int = 1):
+    """(first row, last row, data, word hashes of each lane, starts, ends, rows, words in each row, their first) of each step of a batch."""
     data, offsets = tx.utf8(b.column("text"))
     for i, j in tx.steps(offsets):
         part, off = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
-        h, start, end, row = tx.word_hashes(part, off, False)
+        start, end, row = tx.word_bounds(part, off)
         count = np.bincount(row, minlength=j - i)
-        yield i, j, part, h, start, end, row, count, np.concatenate([[0], np.cumsum(count)])
+        yield i, j, part, tx.span_hashes(part, start, end, lanes), start, end, row, count, np.concatenate([[0], np.cumsum(count)])
+
+
+def names(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(id, tie, whether no row before it has both) of each row."""
+    ids, ties = b.column("id").to_numpy(), b.column("tie").to_numpy()
+    return ids, ties, fresh(ids, ties)
 
 
 def _anchors(window: int):
     size = window - PERIOD + 1
 
     def find(b):
-        ids = b.column("doc_id").to_numpy()
-        for i, _, _, h, _, _, row, count, first in _words(b):
+        ids, ties, new = names(b)
+        for i, _, _, (h,), _, _, row, count, first in _words(b):
             keys = tx.gram_hashes(h, size)
             place = (np.arange(len(h)) - first[row])[: len(keys)]
-            at = np.flatnonzero(np.isin(np.arange(PERIOD), COVER)[place % PERIOD] & (row[: len(keys)] == row[size - 1 :][: len(keys)]) & (count[row[: len(keys)]] >= window))
-            yield keys[at], ids[row[at] + i], place[at]
+            at = np.flatnonzero(np.isin(np.arange(PERIOD), COVER)[place % PERIOD] & (row[: len(keys)] == row[size - 1 :][: len(keys)]) & (count[row[: len(keys)]] >= window) & new[row[: len(keys)] + i])
+            yield [keys[at]], ids[row[at] + i], ties[row[at] + i], place[at], keys[at]
 
     return find
 
@@ -54,14 +58,30 @@ def _lists(column) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), sizes
 
 
+def window_hashes(words: list[np.ndarray], size: int, window: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """(two lanes of the hash of the ``window`` words from each place on, made of those of the ``size``-grams that cover it; the least of its grams).
+
+    Neighbouring windows mostly have the same least gram, so they are dealt to the same bucket.
+    """
+    out, m = [], len(words[0]) - window + 1
+    for lane, w in enumerate(words):
+        grams = tx.gram_hashes(w, size, lane)
+        h = np.full(max(0, m), tx.LANES[lane])
+        for k in (*range(0, window - size, size), window - size):
+            h = tx.mix((h ^ grams[k : k + max(0, m)]) * tx.LANES[1 - lane])
+        out.append(h)
+        least = grams if lane == 0 else least
+    return out, tx.sliding(least, window - size + 1, np.minimum) if m > 0 else np.zeros(0, np.uint64)
+
+
 def _windows(window: int):
     size = window - PERIOD + 1
 
     def find(b):
-        ids = b.column("doc_id").to_numpy()
+        ids, ties, new = names(b)
         places, n = _lists(b.column("places"))
         ends = np.concatenate([[0], np.cumsum(n)])
-        for i, j, _, h, _, _, row, count, first in _words(b):
+        for i, j, _, lanes, _, _, row, count, first in _words(b, 2):
             own = places[ends[i] : ends[j]]
             if not len(own):
                 continue
@@ -69,26 +89,25 @@ def _windows(window: int):
             # A window holds the anchor if it starts up to window-size words before it.
             low = np.maximum(own - (window - size), 0)
             high = np.minimum(own, count[owner] - window)
-            mark = np.zeros(len(h) + 1, np.int64)
+            mark = np.zeros(len(row) + 1, np.int64)
             good = high >= low
             np.add.at(mark, (first[owner] + low)[good], 1)
             np.add.at(mark, (first[owner] + high + 1)[good], -1)
-            at = np.flatnonzero(np.cumsum(mark[:-1]) > 0)
-            keys = tx.gram_hashes(h, window)
-            yield keys[at], ids[row[at] + i], at - first[row[at]]
+            at = np.flatnonzero((np.cumsum(mark[:-1]) > 0) & new[row + i])
+            keys, deal = window_hashes(lanes, size, window)
+            yield [k[at] for k in keys], ids[row[at] + i], ties[row[at] + i], at - first[row[at]], deal[at]
 
     return find
 
 
-def repeated_windows(docs: DataFrame, window: int, store: Store) -> tuple[DataFrame, DataFrame]:
-    """(docs with their repeated windows as ``places``, null for none; docs as doc_id, text)."""
+def repeated_windows(docs: DataFrame, window: int, store: Store) -> DataFrame:
+    """doc_id, id, tie, text of ``docs`` with the starts of repeated windows as ``places``, null for none."""
     if window < PERIOD:
         raise ValueError(f"windows of {PERIOD} words or more")
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc_id"), F.col("text").cast("string").alias("text"))
-    anchors = store.save(repeated(docs, _anchors(window), across=False, ordered=False), "anchors")
-    near = docs.join(by_document(anchors), "doc_id", "left")
-    starts = repeated(near, _windows(window), across=False, ordered=True)
-    return docs.join(by_document(starts), "doc_id", "left"), docs
+    docs = identified(docs, store)
+    anchors = store.save(repeated(docs, _anchors(window), AGAIN), "anchors")
+    near = docs.join(by_document(anchors), ["id", "tie"], "left")
+    return docs.join(by_document(repeated(near, _windows(window), EARLIER, lanes=2)), ["id", "tie"], "left")
 
 
 def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
@@ -96,23 +115,30 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
 
     A word goes if a window of ``window`` words covers it whose word sequence also starts earlier:
     in a smaller doc_id, or earlier in the same document. Windows are judged on the input. Kept words
-    are joined by one space. Null, empty and wordless texts have no words. Rows that share a doc_id
-    have to be repeats of one document; each of them gets the same result. A null doc_id sorts first.
-    Other columns are ignored; an empty table gives no rows. Windows are compared by 64-bit hashes.
+    are joined by one space. Null, empty and wordless texts have no words. Rows that share doc_id and
+    text are one document; each of them gets the same result. Rows that share a doc_id but not the
+    text (or have none; a null doc_id sorts first) are documents of the same rank, which take nothing
+    from each other. Other columns are ignored; an empty table gives no rows. Windows are compared
+    by 128 bits, two lanes of independent word hashes.
     """
-    found, _ = repeated_windows(docs, window, Store(docs.sparkSession))
+    found = repeated_windows(docs, window, Store(docs.sparkSession))
 
     def cut(batches):
         for b in batches:
             places, n = _lists(b.column("places"))
             ends = np.concatenate([[0], np.cumsum(n)])
-            for i, j, data, h, start, end, _, count, first in _words(b):
+            data, offsets = tx.utf8(b.column("text"))
+            for i, j in tx.steps(offsets):
+                part = data[offsets[i] : offsets[j]]
+                start, end, row = tx.word_bounds(part, offsets[i : j + 1] - offsets[i])
+                count = np.bincount(row, minlength=j - i)
+                first = np.concatenate([[0], np.cumsum(count)])
                 own, owner = places[ends[i] : ends[j]], np.repeat(np.arange(j - i), n[i:j])
-                mark = np.zeros(len(h) + 1, np.int64)
+                mark = np.zeros(len(row) + 1, np.int64)
                 np.add.at(mark, first[owner] + own, 1)
                 np.add.at(mark, first[owner] + own + window, -1)
                 keep = np.cumsum(mark[:-1]) == 0
-                raw = data.tobytes()
+                raw = part.tobytes()
                 s, e = start.tolist(), end.tolist()
                 kept = []
                 for k in range(j - i):
@@ -122,10 +148,10 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
                 ids = b.column("doc_id").slice(i, j - i)
                 yield pa.record_batch({"doc_id": ids, "n_words": count.astype(np.int64), "n_removed": (gone[first[1:]] - gone[first[:-1]]).astype(np.int64), "kept_text": pa.array(kept, pa.string())})
 
-    out = found.mapInArrow(cut, "doc_id bigint, n_words bigint, n_removed bigint, kept_text string")
-    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
+    return found.mapInArrow(cut, "doc_id bigint, n_words bigint, n_removed bigint, kept_text string")
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text of ``documents``, windows of 20 words; kept text as its SHA-256. See ``remove_repeats``."""
     out = remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))

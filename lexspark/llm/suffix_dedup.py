@@ -4,7 +4,8 @@ Suffixes are taken sparsely: any WINDOW equal bytes contain the same winnowed an
 around anchors that occur in two documents are sorted. They are dealt out by anchor; each shard of
 them gets a suffix array by Larsson-Sadakane refinement (ranks of h bytes give ranks of 2h, and only
 suffixes whose rank is shared are sorted again), neighbours' common prefixes are read off the saved
-ranks, and an anchor whose suffixes fill several shards is merged across them by binary search.
+ranks, and an anchor whose suffixes fill several shards is merged across them by binary search. An
+anchor with more suffixes than that is dealt out once more, window by window.
 """
 
 from __future__ import annotations
@@ -16,9 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text as tx
-from ._anchors import _starts, by_document, repeated
+from ._anchors import ELSEWHERE, _sort, _starts, by_document, identified, repeated
 from ._store import Store, partitions, table
-from .substring_dedup import NO_ID, _lists
+from .substring_dedup import _lists, names
 
 WINDOW, GRAM = 50, 16
 SPAN = WINDOW - GRAM + 1
@@ -27,25 +28,15 @@ REACH = WINDOW - GRAM
 CONTEXT = 2 * REACH + GRAM
 #: Contexts in a shard of about a megabyte: their places fit in 21 bits, so three of them sort as one 64-bit word.
 SHARD_ROWS = (1 << 20) // CONTEXT
-
-
-def _sliding(x: np.ndarray, w: int, best) -> np.ndarray:
-    """best(x[i : i+w]) for each i with a whole window, in a fixed number of passes."""
-    n = len(x)
-    size = -(-n // w) * w
-    pad = np.full(size, x[-1], x.dtype)
-    pad[:n] = x
-    rows = pad.reshape(-1, w)
-    ahead = best.accumulate(rows, axis=1).ravel()
-    back = best.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
-    return best(back[: n - w + 1], ahead[w - 1 : n])
+#: Distinct windows of one anchor that are searched from shard to shard; what more it has is dealt out by whole windows.
+CARRIED = 4_000_000
 
 
 def minimizers(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash of the GRAM bytes at each place, least hash in the WINDOW bytes from each place; 0 where the row has fewer left)."""
-    at = np.arange(len(data) - GRAM + 1)
-    h = np.maximum(tx.span_hash(tx.prefix_hash(data, tx.EXACT), at, at + GRAM), np.uint64(1))
-    low = _sliding(h, SPAN, np.minimum)
+    view, n = tx.eights(data), len(data) - GRAM + 1
+    h = np.maximum(tx.mix((tx.mix(view[:n]) ^ view[8 : 8 + n]) * tx.LANES[0]), np.uint64(1))
+    low = tx.sliding(h, SPAN, np.minimum)
     left = np.repeat(offsets[1:], np.diff(offsets))[: len(low)] - np.arange(len(low))
     low[left < WINDOW] = 0
     return h, low
@@ -57,18 +48,19 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     h, low = minimizers(data, offsets)
     edge = np.zeros(SPAN - 1, np.uint64)
-    place = np.flatnonzero(h == _sliding(np.concatenate([edge, low, edge]), SPAN, np.maximum)[: len(h)])
+    place = np.flatnonzero(h == tx.sliding(np.concatenate([edge, low, edge]), SPAN, np.maximum)[: len(h)])
     return place, h[place]
 
 
 def _find(b: pa.RecordBatch):
     data, offsets = tx.utf8(b.column("text"))
-    ids = b.column("doc_id").to_numpy()
+    ids, ties, new = names(b)
     for i, j in tx.steps(offsets):
         off = offsets[i : j + 1] - offsets[i]
         place, key = anchors(data[offsets[i] : offsets[j]], off)
         row = np.searchsorted(off, place, "right") - 1
-        yield key, ids[row + i], place - off[row]
+        place, key, row = (x[new[row + i]] for x in (place, key, row))
+        yield [key], ids[row + i], ties[row + i], place - off[row], key
 
 
 def suffix_ranks(text: np.ndarray, depth: int) -> tuple[np.ndarray, int]:
@@ -125,113 +117,144 @@ def contexts(data: np.ndarray, offsets: np.ndarray, anchor: np.ndarray):
     return h[anchor], begin, end, np.where(whole, data[np.clip(column, 0, len(data) - 1)], 0).astype(np.uint8), whole
 
 
-def _marks(wide: np.ndarray, ahead: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """A hash of each context's bytes and place around its anchor."""
-    mark = (size * 128 + ahead).astype(np.uint64)
+def _marks(wide: np.ndarray, ahead: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+    """128 bits, in two lanes, of each context's bytes and place around its anchor."""
+    out = [(size * 128 + ahead).astype(np.uint64) ^ seed for seed in tx.LANES]
     for i in [*range(0, CONTEXT - 7, 8), CONTEXT - 8]:
-        mark = tx.mix(mark * np.uint64(0xD6E8FEB86659FD93) + np.ascontiguousarray(wide[:, i : i + 8]).view(np.uint64)[:, 0])
-    return mark
+        block = np.ascontiguousarray(wide[:, i : i + 8]).view(np.uint64)[:, 0]
+        out = [tx.mix((x ^ block) * tx.LANES[1 - k]) for k, x in enumerate(out)]
+    return out
+
+
+def _window_marks(flat: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """128 bits, in two lanes, of the WINDOW bytes from each place on."""
+    view, out = tx.eights(flat), [np.full(len(at), seed) for seed in tx.LANES]
+    for i in [*range(0, WINDOW - 7, 8), WINDOW - 8]:
+        block = view[at + i]
+        out = [tx.mix((x ^ block) * tx.LANES[1 - k]) for k, x in enumerate(out)]
+    return out
 
 
-def _copies(mark: np.ndarray, doc: np.ndarray) -> np.ndarray:
+def _copies(marks: list[np.ndarray], doc: np.ndarray) -> np.ndarray:
     """Which contexts a smaller document has too: all of their windows repeat."""
-    order = np.lexsort((doc, mark))
-    first = order[np.maximum.accumulate(np.where(_starts(mark[order]), np.arange(len(order)), 0))]
-    out = np.zeros(len(mark), bool)
-    out[order] = doc[order] != doc[first]
+    if not len(doc):
+        return np.zeros(0, bool)
+    order = _sort(marks)
+    begin = np.flatnonzero(_starts(*(m[order] for m in marks)))
+    low = np.minimum.reduceat(doc[order], begin)
+    out = np.zeros(len(doc), bool)
+    out[order] = doc[order] > np.repeat(low, np.diff(np.append(begin, len(doc))))
     return out
 
 
-SENT = "key bigint, doc_id bigint, pos int, ahead int, size int, context binary"
+SENT = "key bigint, id bigint, tie bigint, pos int, ahead int, size int, context binary"
+#: Spans that are covered; or, with a window, the start of one that is still to be compared.
+COVERED = "id bigint, tie bigint, start int, end int, window binary"
 
 
 def _settle(batches):
-    """Contexts to rows of SENT. Of equal contexts in a task only the least document's are sent; the others are covered whole: no context, a spread key."""
+    """Contexts to rows of SENT. Of equal contexts in a task only the least document's are sent; the others are covered whole: no context, a key of their document."""
     for whole_batch in batches:
         for b in tx.slices(whole_batch, "text", tx.STEP_BYTES):
             data, offsets = tx.utf8(b.column("text"))
             places, n = _lists(b.column("places"))
+            ids, ties, new = names(b)
+            row = np.repeat(np.arange(len(n)), n)
+            places, row = places[new[row]], row[new[row]]
             if not len(places):
                 continue
-            row = np.repeat(np.arange(len(n)), n)
-            doc = b.column("doc_id").to_numpy()[row]
+            doc, tie = ids[row], ties[row]
             key, begin, end, wide, whole = contexts(data, offsets, offsets[row] + places)
             pos, ahead, size = begin - offsets[row], offsets[row] + places - begin, end - begin
             known = _copies(_marks(wide, ahead, size), doc)
-            spread = tx.mix(doc.view(np.uint64) * np.uint64(31) + pos.astype(np.uint64))
+            spread = tx.mix(doc.view(np.uint64) ^ tie.view(np.uint64))
             ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
             bodies = pa.Array.from_buffers(pa.binary(), len(key), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(wide[whole]))])
             yield pa.record_batch({
-                "key": np.where(known, spread, key).view(np.int64), "doc_id": doc, "pos": pos.astype(np.int32), "ahead": ahead.astype(np.int32),
+                "key": np.where(known, spread, key).view(np.int64), "id": doc, "tie": tie, "pos": pos.astype(np.int32), "ahead": ahead.astype(np.int32),
                 "size": size.astype(np.int32), "context": pc.if_else(pa.array(known), pa.scalar(None, pa.binary()), bodies),
             })
 
 
+def _spans(c: dict, rows: np.ndarray, start: np.ndarray, end: np.ndarray, windows: np.ndarray | None = None) -> pa.RecordBatch:
+    """Rows of COVERED; ``windows``: rows of WINDOW bytes."""
+    n = len(rows)
+    body = pa.nulls(n, pa.binary()) if windows is None else pa.array([w.tobytes() for w in windows], pa.binary())
+    return pa.record_batch([pa.array(c["id"][rows]), pa.array(c["tie"][rows]), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), body], ["id", "tie", "start", "end", "window"])
+
+
 def _cover(batches):
-    """Over rows of SENT sorted by (key, doc_id, pos): (doc_id, start, end) of covered bytes."""
+    """Rows of SENT sorted by (key, id, pos) to rows of COVERED."""
     steps = np.arange(REACH + 1)
     held: list[dict] = []
-    carried = None  # (key, sorted window hashes, least doc of each) of an anchor that goes on in the next shard
+    carried = None  # (key, marks of its windows sorted by the first lane, least doc of each) of an anchor that goes on in the next shard
 
     def shard(c):
         """Contexts that a smaller document has too are covered whole, and an anchor with one context left is done; the rest is sorted."""
-        nonlocal carried
-        mark = _marks(c["wide"], c["ahead"], c["size"])
-        copy = _copies(mark, c["doc_id"])
-        whole = {"doc_id": c["doc_id"][copy], "start": c["pos"][copy].astype(np.int32), "end": (c["pos"] + c["size"])[copy].astype(np.int32)}
-        run = np.cumsum(_starts(c["key"])) - 1
-        low, high = np.full(run[-1] + 1, np.uint64(2**64 - 1)), np.zeros(run[-1] + 1, np.uint64)
-        np.minimum.at(low, run, mark)
-        np.maximum.at(high, run, mark)
+        marks = _marks(c["wide"], c["ahead"], c["size"])
+        copy = _copies(marks, c["id"])
+        begin = np.flatnonzero(_starts(c["key"]))
+        run = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(copy))))
+        many = np.logical_or.reduce([np.minimum.reduceat(m, begin) != np.maximum.reduceat(m, begin) for m in marks])
         goes_on = c["key"] == c["key"][-1]
         if carried is not None:
             goes_on |= c["key"] == carried[0]
-        keep = ~copy & ((low != high)[run] | goes_on)
-        yield pa.record_batch(whole)
+        keep = ~copy & (many[run] | goes_on)
+        rows = np.flatnonzero(copy)
+        yield _spans(c, rows, c["pos"][rows], (c["pos"] + c["size"])[rows])
         if keep.any():
-            yield sort_shard({k: v[keep] for k, v in c.items()})
+            yield from sort_shard({k: v[keep] for k, v in c.items()})
 
     def sort_shard(c):
         nonlocal carried
-        wide, rows = c["wide"], len(c["doc_id"])
-        rank, h = suffix_ranks(wide.ravel(), WINDOW - 10)
+        wide, rows = c["wide"], len(c["id"])
+        flat = wide.ravel()
+        rank, h = suffix_ranks(flat, WINDOW - 10)
         # A window starts at columns 0..REACH; it counts if the context's bytes hold it.
         from_, to = REACH - c["ahead"], REACH - c["ahead"] + c["size"]
         valid = (steps >= from_[:, None]) & (steps + WINDOW <= to[:, None])
         at = (np.arange(rows)[:, None] * CONTEXT + steps)[valid]
         owner = np.repeat(np.arange(rows), valid.sum(1))
+        start = (c["pos"] - from_)[owner] + (at - owner * CONTEXT)
         # The first WINDOW bytes are equal where the first h and the h that end with them are.
         h = min(h, WINDOW)
         pair = rank[at] << np.uint64(32) | rank[at + WINDOW - h]
-        order = np.lexsort((c["doc_id"][owner], pair))
+        order = np.lexsort((c["id"][owner], pair))
         run = np.maximum.accumulate(np.where(_starts(pair[order]), np.arange(len(order)), 0))
         least = np.zeros(len(at), np.int64)
-        least[order] = c["doc_id"][owner[order[run]]]
-        gone = c["doc_id"][owner] > least
+        least[order] = c["id"][owner[order[run]]]
+        gone = c["id"][owner] > least
         edge = (c["key"][owner] == c["key"][-1]) | (carried is not None and c["key"][owner] == carried[0])
         if edge.any():
             e = np.flatnonzero(edge)
-            mark = tx.span_hash(tx.prefix_hash(wide.ravel(), tx.EXACT), at[e], at[e] + WINDOW)
-            if carried is not None and len(carried[1]):
-                mine = c["key"][owner[e]] == carried[0]
-                found = np.minimum(np.searchsorted(carried[1], mark), len(carried[1]) - 1)
-                hit = mine & (carried[1][found] == mark)
-                gone[e[hit]] |= carried[2][found[hit]] < c["doc_id"][owner[e[hit]]]
-            last = c["key"][owner[e]] == c["key"][-1]
-            marks, docs = mark[last], least[e[last]]
-            if carried is not None and carried[0] == c["key"][-1]:
-                marks, docs = np.concatenate([carried[1], marks]), np.concatenate([carried[2], docs])
-            order = np.lexsort((docs, marks))
-            marks, docs = marks[order], docs[order]
-            one = _starts(marks)
-            carried = (c["key"][-1], marks[one], docs[one])
-        start = (c["pos"] - from_)[owner] + (at - owner * CONTEXT)
+            marks = _window_marks(flat, at[e])
+            new = np.ones(len(e), bool)  # not among the carried windows
+            if carried is not None and len(carried[2]):
+                (first, second), docs = carried[1:]
+                found = np.minimum(np.searchsorted(first, marks[0]), len(docs) - 1)
+                hit = (c["key"][owner[e]] == carried[0]) & (first[found] == marks[0]) & (second[found] == marks[1])
+                gone[e[hit]] |= docs[found[hit]] < c["id"][owner[e[hit]]]
+                new = ~hit
+            if carried is not None and len(carried[2]) >= CARRIED:
+                # Too many to carry: what is not found among them is compared elsewhere, by its bytes.
+                left = e[new & ~gone[e] & (c["key"][owner[e]] == carried[0])]
+                if len(left):
+                    yield _spans(c, owner[left], start[left], start[left] + WINDOW, flat[at[left][:, None] + np.arange(WINDOW)])
+            more = carried is not None and carried[0] == c["key"][-1]
+            if not more or len(carried[2]) < CARRIED:
+                last = (c["key"][owner[e]] == c["key"][-1]) & new
+                lanes, docs = [m[last] for m in marks], least[e[last]]
+                if more:
+                    lanes, docs = [np.concatenate(x) for x in zip(carried[1], lanes, strict=True)], np.concatenate([carried[2], docs])
+                order = np.lexsort((docs, lanes[1], lanes[0]))
+                order = order[_starts(lanes[0][order], lanes[1][order])]
+                carried = c["key"][-1], [m[order] for m in lanes], docs[order]
         start, owner = start[gone], owner[gone]
         new = np.ones(len(start), bool)
         new[1:] = (owner[1:] != owner[:-1]) | (start[1:] != start[:-1] + 1)
         first = np.flatnonzero(new)
         stop = np.concatenate([first[1:] - 1, [len(start) - 1]]) if len(first) else first
-        return pa.record_batch({"doc_id": c["doc_id"][owner[first]], "start": start[first].astype(np.int32), "end": (start[stop] + WINDOW).astype(np.int32)})
+        yield _spans(c, owner[first], start[first], start[stop] + WINDOW)
 
     def take(rows):
         c = {k: np.concatenate([x[k] for x in held]) for k in held[0]}
@@ -241,9 +264,10 @@ def _cover(batches):
 
     for b in batches:
         known = b.column("context").is_null().to_numpy(zero_copy_only=False)
-        c = {k: b.column(k).to_numpy().astype(np.int64) for k in ("key", "doc_id", "pos", "ahead", "size")}
+        c = {k: b.column(k).to_numpy().astype(np.int64) for k in ("key", "id", "tie", "pos", "ahead", "size")}
         if known.any():
-            yield pa.record_batch({"doc_id": c["doc_id"][known], "start": c["pos"][known].astype(np.int32), "end": (c["pos"] + c["size"])[known].astype(np.int32)})
+            rows = np.flatnonzero(known)
+            yield _spans(c, rows, c["pos"][rows], (c["pos"] + c["size"])[rows])
         if not known.all():
             part = {k: v[~known] for k, v in c.items()}
             column = np.arange(CONTEXT) - (REACH - part["ahead"])[:, None]
@@ -259,13 +283,33 @@ def _cover(batches):
         yield from take(min(total, SHARD_ROWS))
 
 
+def _left(batches):
+    """Rows of COVERED sorted by (window, id) to (id, tie, start, end): spans, and windows that a smaller document has too."""
+    last = None  # the window that the rows before ended in, and its least id
+    for b in batches:
+        whole = b.column("window").is_null()
+        if whole.true_count:
+            yield b.filter(whole).select(["id", "tie", "start", "end"])
+        rest = b.filter(pc.invert(whole))
+        keep = []
+        for window, doc in zip(rest.column("window").to_pylist(), rest.column("id").to_pylist(), strict=True):
+            if last is None or window != last[0]:
+                last = window, doc
+            keep.append(doc > last[1])
+        if any(keep):
+            yield rest.filter(pa.array(keep)).select(["id", "tie", "start", "end"])
+
+
 def covered_bytes(docs: DataFrame, store: Store) -> DataFrame:
-    """docs (doc_id, text) with ``spans array<struct<start, end>>`` of the bytes that repeat a smaller document; null for none."""
-    found = store.save(repeated(docs, _find, across=True, ordered=False), "anchors")
-    near = docs.join(by_document(found), "doc_id", "left")
-    sent = near.mapInArrow(_settle, SENT).repartition(partitions(docs.sparkSession), "key").sortWithinPartitions("key", "doc_id", "pos")
-    spans = sent.mapInArrow(_cover, "doc_id bigint, start int, end int")
-    return docs.join(spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "doc_id", "left")
+    """doc_id, id, tie, text of ``docs`` with ``spans array<struct<start, end>>`` of the bytes that repeat a smaller document; null for none."""
+    docs = identified(docs, store)
+    found = store.save(repeated(docs, _find, ELSEWHERE), "anchors")
+    near = docs.join(by_document(found), ["id", "tie"], "left")
+    sent = near.mapInArrow(_settle, SENT).repartition(partitions(docs.sparkSession), "key").sortWithinPartitions("key", "id", "pos")
+    covered = sent.mapInArrow(_cover, COVERED)
+    meet = F.when(F.col("window").isNull(), F.xxhash64("id", "tie")).otherwise(F.xxhash64("window"))
+    spans = covered.repartition(partitions(docs.sparkSession), meet).sortWithinPartitions("window", "id").mapInArrow(_left, "id bigint, tie bigint, start int, end int")
+    return docs.join(spans.groupBy("id", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans")), ["id", "tie"], "left")
 
 
 def remove_repeated_bytes(docs: DataFrame) -> DataFrame:
@@ -274,10 +318,10 @@ def remove_repeated_bytes(docs: DataFrame) -> DataFrame:
     A UTF-8 byte goes if a WINDOW-byte string covers it that also starts in a document with a smaller
     doc_id; overlaps count, and strings are judged on the input. n_spans counts maximal removed runs.
     What is kept can split a character, so it is binary. Null and empty texts have no bytes. Rows that
-    share a doc_id have to be repeats of one document; each gets the same result. A null doc_id sorts
-    first. Other columns are ignored; an empty table gives no rows.
+    share a doc_id take nothing from each other, whatever their texts; nor do rows without a doc_id,
+    which sorts first. Other columns are ignored; an empty table gives no rows. Within a shard bytes
+    are compared; whole contexts, and windows of an anchor that fills several shards, by 128 bits.
     """
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def cut(batches):
         for b in batches:
@@ -301,10 +345,10 @@ def remove_repeated_bytes(docs: DataFrame) -> DataFrame:
                 "kept": pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(kept))]),
             })
 
-    out = covered_bytes(docs, Store(docs.sparkSession)).mapInArrow(cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
-    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
+    return covered_bytes(docs, Store(docs.sparkSession)).mapInArrow(cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text of ``documents``, as UTF-8 bytes; kept bytes as their SHA-256. See ``remove_repeated_bytes``."""
     out = remove_repeated_bytes(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -124,6 +124,46 @@ def test_repeated_and_null_rows_survive(spark):
     assert pii.redact_documents(df).count() == 5
 
 
+def test_rows_that_share_a_doc_id(spark):
+    """Different texts under one doc_id, or under none, of different length: each is judged by its own text."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(n)) for x, n in (("a", 60), ("b", 90), ("c", 40)))
+    rows = [(None, a), (None, a + " tail " + b), (None, b), (None, "short"), (5, a), (5, c), (5, c), (7, c + " " + b), (7, "x y")]
+    for parts in (1, 4):
+        df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(parts)
+        words = {(r.doc_id, r.n_words, r.n_removed) for r in substring_dedup.remove_repeats(df).collect()}
+        assert words == {(None, 60, 0), (None, 151, 0), (None, 90, 0), (None, 1, 0), (5, 60, 60), (5, 40, 0), (7, 130, 130), (7, 2, 0)}
+        size = len
+        kept = {(r.doc_id, r.n_bytes): r.n_removed for r in suffix_dedup.remove_repeated_bytes(df).collect()}
+        assert kept[5, size(a)] == size(a) and kept[5, size(c)] == 0 and kept[None, size(a + b) + 6] == 0 and kept[7, size(c + b) + 1] >= size(c + b)
+
+
+def thue_morse(n, flip):
+    out = [0]
+    while len(out) < n:
+        out += [1 - x for x in out]
+    return "".join("ab"[x ^ flip] for x in out)
+
+
+def test_words_of_equal_polynomial_hash_differ(spark):
+    """The two Thue-Morse words collide under a polynomial hash modulo a power of two, whatever its base."""
+    x, y = thue_morse(1024, 0), thue_morse(1024, 1)
+    line = " ".join(f"w{i}" for i in range(19))
+    df = spark.createDataFrame([(1, f"{line} {x}"), (2, f"{line} {y}")], "doc_id bigint, text string")
+    assert [r.n_removed for r in substring_dedup.remove_repeats(df).collect()] == [0, 0]
+    assert {r.n_shingles for r in jaccard_join.jaccard_components(spark.createDataFrame([(1, f"{x} {y} {x}"), (2, f"{x} {x} {y}")], "doc_id bigint, text string"), 3, 90).where("component_id = doc_id").collect()} == {1}
+
+
+def test_one_very_long_text(spark):
+    """Ten megabytes in one row, half of it in another document."""
+    rng = random.Random(5)
+    text = " ".join("".join(rng.choices("abcdefgh", k=7)) for _ in range(1_250_000))
+    df = spark.createDataFrame([(1, text[: len(text) // 2]), (2, text)], "doc_id bigint, text string")
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeated_bytes(df).select("doc_id", "n_removed").collect()}
+    assert got == {1: 0, 2: len(text) // 2}
+    got = {r.doc_id: r.n_removed for r in substring_dedup.remove_repeats(df).select("doc_id", "n_removed").collect()}
+    assert got[1] == 0 and abs(got[2] - 625_000) <= 1
+
+
 def test_rows_of_one_document_are_no_earlier_copy(spark):
     text, twice = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i % 30}" for i in range(60))
     rows = [(1, text), (2, twice)] * 2

@@ -17,17 +17,24 @@ def sent_rows():
     place, _ = S.anchors(data, offsets)
     row = np.searchsorted(offsets, place, "right") - 1
     lists = [(place[row == r] - offsets[r]).tolist() for r in range(len(texts))]
-    batch = pa.record_batch({"doc_id": np.arange(len(texts)), "text": pa.array(texts), "places": pa.array(lists, pa.list_(pa.int32()))})
+    batch = pa.record_batch({"id": np.arange(len(texts)), "tie": np.zeros(len(texts), np.int64), "text": pa.array(texts), "places": pa.array(lists, pa.list_(pa.int32()))})
     # One document in each batch: nothing is settled in the task.
     parts = pa.Table.from_batches([b for k in range(len(texts)) for b in S._settle([batch.slice(k, 1)])])
-    return texts, parts.sort_by([("key", "ascending"), ("doc_id", "ascending"), ("pos", "ascending")])
+    return texts, parts.sort_by([("key", "ascending"), ("id", "ascending"), ("pos", "ascending")])
 
 
 def covered(texts, batches):
-    out = [np.zeros(len(t), bool) for t in texts]
+    out, left = [np.zeros(len(t), bool) for t in texts], {}
     for b in batches:
-        for d, s, e in zip(*(b.column(k).to_pylist() for k in ("doc_id", "start", "end")), strict=True):
-            out[d][s:e] = True
+        for d, s, e, w in zip(*(b.column(k).to_pylist() for k in ("id", "start", "end", "window")), strict=True):
+            if w is None:
+                out[d][s:e] = True
+            else:
+                assert texts[d][s:e].encode() == w
+                left.setdefault(w, []).append((d, s, e))
+    for same in left.values():
+        for d, s, e in same:
+            out[d][s:e] |= d > min(same)[0]
     return out
 
 
@@ -44,8 +51,9 @@ def test_shards_are_merged(monkeypatch):
         seen |= new
         want.append(gone)
     assert sum(map(np.sum, want))
-    for rows in (S.SHARD_ROWS, 37, 5):
+    for rows, most in ((S.SHARD_ROWS, S.CARRIED), (37, S.CARRIED), (5, S.CARRIED), (5, 100), (5, 1)):
         monkeypatch.setattr(S, "SHARD_ROWS", rows)
+        monkeypatch.setattr(S, "CARRIED", most)
         got = covered(texts, S._cover(table.to_batches(max_chunksize=64)))
         assert all((g == w).all() for g, w in zip(got, want, strict=True)), rows
 
