@@ -20,13 +20,12 @@ from pyspark.sql import functions as F
 from . import _text as tx
 from ._store import Store, partitions, table
 
-BLOCKS = 256
+#: Blocks at least, and 64-bit words in a block at most: the number of blocks follows the entries.
+BLOCKS, BLOCK_WORDS = 256, 1 << 15
 PROBES = 4
-#: Bits for each entry, at every number of entries: the blocks are a power of two of words, so 7.7 to 15.4 in effect. A filter
+#: Bits for each entry, at every number of entries: the filter is a power of two of words, so 7.7 to 15.4 in effect. A filter
 #: of more than BROADCAST_BYTES stays in rows, one for each block, and n-grams are brought to their block.
 BITS_PER_ENTRY, BROADCAST_BYTES = 10, 64 << 20
-#: Bigrams seen fewer times are left to the unigram part, at every input size.
-LEAST_BIGRAM = 2
 #: Weight of the bigram's share; the rest is the unigram's.
 BIGRAM_WEIGHT = 0.2
 #: Words whose exact counts are broadcast, for ``base_score`` and ``n_known``: the most frequent ones, a fixed number. The others meet their counts in a join.
@@ -64,9 +63,10 @@ def _bigrams(h: np.ndarray, row: np.ndarray) -> np.ndarray:
 
 @dataclass
 class CountFilter:
-    """words: rows of 64-bit words, a power of two of them in each; one for each block from ``first`` on."""
+    """words: rows of 64-bit words, a power of two of them in each; one for each block from ``first`` on. bits: of a block's number."""
 
     words: np.ndarray
+    bits: int
     first: int = 0
 
     def level(self, key: np.ndarray) -> np.ndarray:
@@ -75,7 +75,7 @@ class CountFilter:
         todo = np.arange(len(key))
         for q in range(1, 64):
             yes = np.ones(len(todo), bool)
-            block, bits = place(key[todo], q, self.words.shape[1])
+            block, bits = place(key[todo], q, self.words.shape[1], self.bits)
             for b in bits:
                 yes &= (self.words[block - self.first, b >> np.uint64(6)] >> (b & np.uint64(63))) & np.uint64(1) == 1
             todo = todo[yes]
@@ -85,12 +85,16 @@ class CountFilter:
         return out
 
 
-def place(key: np.ndarray, q: int, words: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """(block, bit in the block for each probe) of an n-gram at a level; ``words`` of 64 bits in a block."""
+def block_of(key: np.ndarray, bits: int) -> np.ndarray:
+    return (key >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def place(key: np.ndarray, q: int, words: int, bits: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(block, bit in the block for each probe) of an n-gram at a level; ``words`` of 64 bits in a block, 2**bits blocks."""
     x = tx.mix(key + np.uint64(q * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
     y = tx.mix(x) | np.uint64(1)
-    bits = np.uint64(words * 64 - 1)
-    return (key >> np.uint64(56)).astype(np.int64), [(x + np.uint64(i) * y) & bits for i in range(PROBES)]
+    last = np.uint64(words * 64 - 1)
+    return block_of(key, bits), [(x + np.uint64(i) * y) & last for i in range(PROBES)]
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
@@ -141,44 +145,46 @@ def count_ngrams(docs: DataFrame) -> DataFrame:
     return counts.groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-def filter_blocks(ngrams: DataFrame) -> tuple[DataFrame, int]:
-    """(block, bits: a row for each block that has n-grams, filled where they are; 64-bit words in a block)."""
-    kept = ngrams.where((F.col("kind") == 1) | (F.col("n") >= LEAST_BIGRAM))
-    entries = kept.agg(F.coalesce(F.sum(F.length(F.bin("n")).cast("bigint")), F.lit(0))).first()[0]
-    wanted = max(64, entries * BITS_PER_ENTRY // (64 * BLOCKS))
-    words = 1 << int(math.log2(wanted))
-    words = words * 2 if wanted > 1.3 * words else words
+def filter_blocks(ngrams: DataFrame) -> tuple[DataFrame, int, int]:
+    """(block, bits: a row for each block that has n-grams, filled where they are; 64-bit words in a block; bits of a block's number)."""
+    entries = ngrams.agg(F.coalesce(F.sum(F.length(F.bin("n")).cast("bigint")), F.lit(0))).first()[0]
+    wanted = max(64 * BLOCKS, entries * BITS_PER_ENTRY // 64)
+    total = 1 << int(math.log2(wanted))
+    total = total * 2 if wanted > 1.3 * total else total
+    blocks = max(BLOCKS, total // BLOCK_WORDS)
+    words, bits = total // blocks, int(math.log2(blocks))
 
     def fill(batches):
         blocks: dict[int, np.ndarray] = {}
         for b in batches:
             key, level = b.column("key").to_numpy().view(np.uint64), levels(b.column("n").to_numpy())
             for q in range(1, int(level.max(initial=0)) + 1):
-                block, bits = place(key[level >= q], q, words)
+                block, at = place(key[level >= q], q, words, bits)
                 for k in np.unique(block):
                     own = blocks.setdefault(int(k), np.zeros(words, np.uint64))
                     mine = block == k
-                    for x in bits:
+                    for x in at:
                         np.bitwise_or.at(own, (x[mine] >> np.uint64(6)).astype(np.int64), np.uint64(1) << (x[mine] & np.uint64(63)))
         for k, own in blocks.items():
             yield pa.record_batch({"block": pa.array([k], pa.int32()), "bits": pa.array([own.tobytes()], pa.binary())})
 
-    block = F.shiftrightunsigned("key", 56).cast("int")
-    placed = kept.select("key", "n", block.alias("block")).repartition(BLOCKS // 4, F.expr("block div 4")).select("key", "n")
-    return placed.mapInArrow(fill, "block int, bits binary"), words
+    # Four blocks in a task, so the tasks follow the entries too.
+    block = F.shiftrightunsigned("key", 64 - bits).cast("int")
+    placed = ngrams.select("key", "n", F.floor(block / 4).cast("int").alias("four"))
+    return placed.repartition(blocks // 4, "four").select("key", "n").mapInArrow(fill, "block int, bits binary"), words, bits
 
 
-def collect_filter(blocks: DataFrame, words: int) -> CountFilter:
-    out = np.zeros((BLOCKS, words), np.uint64)
+def collect_filter(blocks: DataFrame, words: int, bits: int) -> CountFilter:
+    out = np.zeros((1 << bits, words), np.uint64)
     for r in blocks.toLocalIterator():
         out[r.block] |= np.frombuffer(r.bits, np.uint64)
-    return CountFilter(out)
+    return CountFilter(out, bits)
 
 
 SENT = "slice bigint, block int, data binary"
 
 
-def with_levels(docs: DataFrame, blocks: DataFrame, store: Store, run, schema: str) -> DataFrame:
+def with_levels(docs: DataFrame, blocks: DataFrame, bits: int, store: Store, run, schema: str) -> DataFrame:
     """``run(slice of docs, levels)`` with the levels of the slice's distinct n-grams, looked up where their blocks are.
 
     A slice is sent as a row of its own (block -1) and a row of n-grams for each block; the blocks answer
@@ -189,7 +195,7 @@ def with_levels(docs: DataFrame, blocks: DataFrame, store: Store, run, schema: s
         for b in (part for whole in batches for part in tx.slices(whole, "text")):
             h, row = _tokens(b.column("text"))
             keys = np.unique(np.concatenate([h, _bigrams(h, row)]))
-            block = (keys >> np.uint64(56)).astype(np.int64)
+            block = block_of(keys, bits)
             begin = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, b.schema) as out:
@@ -204,7 +210,7 @@ def with_levels(docs: DataFrame, blocks: DataFrame, store: Store, run, schema: s
             for i, (block, data) in enumerate(zip(b.column("block").to_pylist(), b.column("data"), strict=True)):
                 data = np.frombuffer(data.as_buffer(), np.uint64)
                 if not slices[i].is_valid:
-                    own, held = block, CountFilter(data.reshape(1, -1).copy(), block)
+                    own, held = block, CountFilter(data.reshape(1, -1).copy(), bits, block)
                 else:
                     out.append((i, (held.level(data) if own == block else np.zeros(len(data))).astype(np.uint8).tobytes()))
             at = pa.array([i for i, _ in out], pa.int64())
@@ -227,7 +233,7 @@ def with_levels(docs: DataFrame, blocks: DataFrame, store: Store, run, schema: s
                     got.append(data)
         yield from score()
 
-    n = max(BLOCKS // 4, partitions(docs.sparkSession))
+    n = max(1 << bits - 2, partitions(docs.sparkSession))
     sent = store.save(docs.withColumn("row_id", F.monotonically_increasing_id()).mapInArrow(send, SENT), "sent")
     asked = blocks.select(F.lit(None).cast("bigint").alias("slice"), "block", F.col("bits").alias("data")).unionByName(sent.where("block >= 0"))
     answers = asked.repartition(n, "block").sortWithinPartitions("block", F.asc_nulls_first("slice")).mapInArrow(answer, SENT)
@@ -256,9 +262,9 @@ def score_documents(docs: DataFrame) -> DataFrame:
     keys = common["key"].to_numpy() if kinds else np.zeros(0, np.int64)
     counts = common["n"].to_numpy() if kinds else np.zeros(0, np.int64)
     exhaustive = kinds <= COMMON_WORDS
-    blocks, size = filter_blocks(ngrams)
-    small = BLOCKS * size * 8 <= BROADCAST_BYTES
-    shared = spark.sparkContext.broadcast((collect_filter(blocks, size) if small else None, keys, counts))
+    blocks, size, bits = filter_blocks(ngrams)
+    small = (size << bits) * 8 <= BROADCAST_BYTES
+    shared = spark.sparkContext.broadcast((collect_filter(blocks, size, bits) if small else None, keys, counts))
 
     def run(b, found=None):
         """Scores of a slice; found: the levels of its distinct n-grams in order of their keys, where they were looked up."""
@@ -285,7 +291,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
         first[1:] = row[1:] != row[:-1]
         end = np.searchsorted(kind, END) if len(kind) else 0
         before[first] = end
-        both = np.where(level2 >= 2, 2.0 ** np.maximum(level2 - 1, 0), 0)[where]
+        both = np.where(level2 > 0, 2.0 ** np.maximum(level2 - 1, 0), 0)[where]
         context = most[before]
         share = np.where(context > 0, np.minimum(both / np.maximum(context, 1), 1.0), 0.0)
         p = BIGRAM_WEIGHT * share + (1 - BIGRAM_WEIGHT) * p_word[back]
@@ -314,7 +320,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
     schema = "doc_id bigint, held_out boolean, n_tokens bigint, known bigint, logs double, score double, rare array<struct<key: bigint, tf: int>>"
     ready = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "held_out", "text")
-    scored = ready.mapInArrow(here, schema) if small else with_levels(ready, blocks, store, run, schema)
+    scored = ready.mapInArrow(here, schema) if small else with_levels(ready, blocks, bits, store, run, schema)
     if not exhaustive:
         scored = store.save(scored.withColumn("row_id", F.monotonically_increasing_id()), "scored")
         rare = scored.select("row_id", F.explode("rare").alias("r")).select("row_id", "r.key", "r.tf").join(words, "key")
@@ -330,5 +336,5 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text of ``documents``, learning from those that are not held out. See ``score_documents``."""
     return score_documents(table(spark, sf_dir, "documents"))
-
