@@ -15,6 +15,7 @@ components is lost and no group's pairs are spelt out.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -152,14 +153,24 @@ def sketch_bits(n: np.ndarray) -> np.ndarray:
 
 
 def _suffix_filter(percent: int, x: str, y: str):
-    """The sketches' Hamming distance bounds that of the sets from below. A sketch twice as long is folded: its halves' sums are the shorter one's bits."""
+    """The sketches' Hamming distance bounds that of the sets from below. A longer sketch is folded: a shorter one's bit is the sum of those of the longer one at its place modulo the shorter size."""
     a, b = F.col(f"{x}.sketch"), F.col(f"{y}.sketch")
-    half = lambda s: F.zip_with(F.slice(s, 1, F.greatest(F.lit(1), (F.size(s) / 2).cast("int"))), F.slice(s, (F.size(s) / 2).cast("int") + 1, F.size(s)), lambda p, q: p.bitwiseXOR(q))
-    a, b = F.when(F.size(a) > F.size(b), half(a)).otherwise(a), F.when(F.size(b) > F.size(a), half(b)).otherwise(b)
-    apart = F.aggregate(F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda acc, v: acc + v)
+
+    def fold(s, size):
+        parts = lambda i: F.aggregate(F.sequence(i, F.size(s) - 1, size), F.lit(0).cast("bigint"), lambda acc, k: acc.bitwiseXOR(F.get(s, k)))
+        return F.when(F.size(s) > size, F.transform(F.sequence(F.lit(0), size - 1), parts)).otherwise(s)
+
+    least = F.least(F.size(a), F.size(b))
+    apart = F.aggregate(F.zip_with(fold(a, least), fold(b, least), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda acc, v: acc + v)
     return (100 + percent) * apart <= (100 - percent) * (F.col(f"{x}.n") + F.col(f"{y}.n"))
 
 
+def length_band(n, percent: int):
+    """Sets that pass the length filter are in the same band of sizes or in neighbouring ones."""
+    width = -math.log(min(percent, 99) / 100) * 1.0001
+    return F.floor(F.log(n.cast("double")) / width).cast("int")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are alike enough. Texts meet their pairs in two joins."""
 
@@ -196,6 +207,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     part in links; its class is that of its set, if a document has the same. Other columns of ``docs`` are ignored; an empty table gives no rows.
     N-grams are compared by 64-bit hashes, equal sets by 128 bits.
     """
+    if not 1 <= percent <= 100:
+        raise ValueError("a percentage from 1 to 100")
     spark = docs.sparkSession
     store = Store(spark)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -221,11 +234,13 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     # Two sets meet on each n-gram that they share; only the first of those in the global order makes a pair.
     shared = hot.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "g"))), lambda r: r["g"]).alias("shared"))
     hot = store.save(hot.join(traits.join(shared, "id"), "id"), "hot")
-    x, y = hot.alias("x"), hot.alias("y")
     most = F.least("x.pos", "y.pos") + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
     fit = (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")) & ((100 + percent) * most >= percent * (F.col("x.n") + F.col("y.n")))
     first = F.get(F.array_intersect("x.shared", "y.shared"), F.lit(0)) == F.col("x.g")
-    rest = x.join(y, (F.col("x.g") == F.col("y.g")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component")) & fit & first & _suffix_filter(percent, "x", "y"))
+    # By n-gram and length band, so that a hot n-gram's sets are dealt out and meet only those of about their size.
+    x = hot.withColumn("band", length_band(F.col("n"), percent)).alias("x")
+    y = hot.withColumn("band", F.explode(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda d: length_band(F.col("n"), percent) + d))).alias("y")
+    rest = x.join(y, (F.col("x.g") == F.col("y.g")) & (F.col("x.band") == F.col("y.band")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component")) & fit & first & _suffix_filter(percent, "x", "y"))
     rest = store.save(rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "rest")
     more = store.save(_verified(rest, docs, words, percent), "more")
     parts = connected_components(links.union(more), store).withColumnRenamed("id", "class_id")
@@ -235,4 +250,5 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text of ``documents``, three words, 90 percent. See ``jaccard_components``."""
     return jaccard_components(table(spark, sf_dir, "documents"), words=3, percent=90)
