@@ -10,6 +10,7 @@ Column functions only.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -78,10 +79,13 @@ def combine(x: Column, y: Column, sign: int = 1) -> Column:
 
 
 def _bucket(value: Column, bounds: list[int]) -> Column:
-    """How many bounds are below ``value``; bounds sorted. Two short scans find it: first a block, then within it."""
+    """How many bounds are below ``value``; bounds sorted. Two short scans find it: first a block, then within it.
+
+    The bounds go into the plan as one constant, so there can be hundreds of thousands of them.
+    """
     step = max(1, int(len(bounds) ** 0.5))
     blocks = [bounds[i : i + step] for i in range(0, len(bounds), step)]
-    tops, inner = F.array(*[F.lit(b[-1]) for b in blocks]), F.array(*[F.array(*map(F.lit, b)) for b in blocks])
+    tops, inner = F.from_json(F.lit(json.dumps([b[-1] for b in blocks])), "array<bigint>"), F.from_json(F.lit(json.dumps(blocks)), "array<array<bigint>>")
     k = F.size(F.filter(tops, lambda b: b < value))
     return (k * step + F.size(F.filter(F.coalesce(F.get(inner, k), F.array().cast("array<bigint>")), lambda b: b < value))).cast("int")
 
@@ -114,7 +118,8 @@ def edited_pairs(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = edited_pairs(table(spark, sf_dir, "documents").select("doc_id", "text"), buckets=min(4096, max(64, 4 * partitions(spark))))
+    """Every whole text of ``documents`` and its edited text. See ``edited_pairs``, ``fingerprint`` and ``likeness``."""
+    rows = edited_pairs(table(spark, sf_dir, "documents").select("doc_id", "text"), buckets=max(64, 4 * partitions(spark)))
     rows = rows.withColumns({"n_chars": F.length("text").cast("bigint"), "edited_sha256": F.when(F.col("real"), F.sha2("edited", 256))})
     kinds = rows.select(
         "bucket", "rn", "real", "doc_id", "n_chars", "edited_sha256",
