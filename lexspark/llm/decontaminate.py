@@ -212,6 +212,30 @@ class Items:
         return [(r, i, *v) for (r, i), v in sorted(found.items())]
 
 
+def _passes(benchmark: DataFrame):
+    """(item ids, item texts) of each pass: ITEMS_PER_PASS items at most, and a bounded number of bytes or one item."""
+    items = benchmark.where("text is not null and item_id is not null").select(F.col("item_id").cast("bigint").alias("item_id"), "text").orderBy("item_id", "text")
+    ids, texts, size = [], [], 0
+    for r in items.toLocalIterator():
+        if ids and (len(ids) >= ITEMS_PER_PASS or size + len(r.text) > ITEMS_PER_PASS * MAX_ITEM_BYTES // 4):
+            yield ids, texts
+            ids, texts, size = [], [], 0
+        ids.append(r.item_id)
+        texts.append(r.text)
+        size += len(r.text)
+    if ids:
+        yield ids, texts
+
+
+def _found(known: Items, batch: pa.RecordBatch) -> list[tuple[int, int, int, int, int]]:
+    """(row, item, distance, start, end) of the items in a batch's texts."""
+    data, offsets = tx.utf8(batch.column("text"))
+    hits = []
+    for i, j in tx.steps(offsets):
+        hits += [(r + i, *rest) for r, *rest in known.matches(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])]
+    return hits
+
+
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, distance, start_byte, end_byte): the items within EDIT_SHARE of their bytes of some part of a text.
 
@@ -222,40 +246,43 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows. An empty side gives no rows. Other columns are ignored.
     """
     schema = "doc_id bigint, item_id bigint, distance int, start_byte bigint, end_byte bigint"
-    items = benchmark.where("text is not null and item_id is not null").select(F.col("item_id").cast("bigint").alias("item_id"), "text").orderBy("item_id", "text")
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    out, held, size = None, [], 0
-
-    def scan(rows):
-        shared = docs.sparkSession.sparkContext.broadcast(([r.item_id for r in rows], [r.text for r in rows]))
+    out = None
+    for items in _passes(benchmark):
+        shared = docs.sparkSession.sparkContext.broadcast(items)
 
-        def run(batches):
+        def run(batches, shared=shared):
             known = Items(*shared.value)
             for b in batches:
-                data, offsets = tx.utf8(b.column("text"))
-                hits = []
-                for i, j in tx.steps(offsets):
-                    hits += [(r + i, *rest) for r, *rest in known.matches(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])]
+                hits = _found(known, b)
                 r, item, distance, start, end = (np.array(x, np.int64) for x in zip(*hits, strict=True)) if hits else [np.zeros(0, np.int64)] * 5
                 yield pa.record_batch({"doc_id": b.column("doc_id").take(pa.array(r)), "item_id": known.ids[item], "distance": distance.astype(np.int32), "start_byte": start, "end_byte": end})
 
-        return docs.mapInArrow(run, schema)
+        scanned = docs.mapInArrow(run, schema)
+        out = scanned if out is None else out.unionAll(scanned)
+    return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
-    def union(rows):
-        return scan(rows) if out is None else out.unionAll(scan(rows))
 
-    for r in items.toLocalIterator():
-        if held and (len(held) >= ITEMS_PER_PASS or size + len(r.text) > ITEMS_PER_PASS * MAX_ITEM_BYTES // 4):
-            out, held, size = union(held), [], 0
-        held.append(r)
-        size += len(r.text)
-    return union(held) if held else out if out is not None else docs.sparkSession.createDataFrame([], schema)
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose text holds a benchmark item, as in ``benchmark_matches``.
+
+    Each row is judged by its own text where it is scanned, whatever its doc_id, so nothing is joined
+    or shuffled. All columns stay as they are.
+    """
+    for items in _passes(benchmark):
+        shared = docs.sparkSession.sparkContext.broadcast(items)
 
+        def run(batches, shared=shared):
+            known = Items(*shared.value)
+            for b in batches:
+                clean = np.ones(b.num_rows, bool)
+                clean[[r for r, *_ in _found(known, b)]] = False
+                yield b.filter(pa.array(clean))
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item."""
-    return docs.join(benchmark_matches(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every item of ``benchmark`` in every whole text of ``documents``. See ``benchmark_matches``."""
     return benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
