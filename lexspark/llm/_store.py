@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -23,6 +24,7 @@ class Store:
 
     def __init__(self, spark: SparkSession):
         self.spark, self.top, self.paths = spark, f"{shared_dir(spark)}/lex-{uuid.uuid4().hex}", {}
+        atexit.register(self._delete, self.top)  # results read the tables lazily, so they stay until the driver ends
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.top}/{name}-{len(self.paths)}"
@@ -33,10 +35,14 @@ class Store:
 
     def drop(self, *tables: DataFrame) -> None:
         """Delete saved tables that nothing reads any more."""
-        jvm = self.spark.sparkContext._jvm
         for t in tables:
-            path = jvm.org.apache.hadoop.fs.Path(self.paths[id(t)][0])
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(self.paths[id(t)][0])
+
+    def _delete(self, path: str) -> None:
+        context = self.spark.sparkContext
+        if context._jsc is not None:  # a stopped session has nothing to delete with
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
