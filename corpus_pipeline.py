@@ -6,7 +6,7 @@ All but the last return the columns of ``documents``, and each works on all that
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark.llm._store import Store, table
@@ -26,16 +26,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by Jaccard similarity (five words, 0.8 or more) the smallest doc_id stays.
 
-    Empty texts link with nothing and stay, as do rows without a doc_id. Of rows that repeat a doc_id one stays.
+    Empty texts link with nothing and stay, as do rows without a doc_id. Of rows that repeat a doc_id the
+    one with the least text stays, found by an aggregate that is combined before it is shuffled.
     """
     groups = jaccard_components(docs, words=5, percent=80)
     copies = groups.where("component_id != doc_id").select("doc_id").distinct()
-    one = Window.partitionBy("doc_id").orderBy("text")
-    return docs.join(copies, "doc_id", "left_anti").withColumn("_n", F.row_number().over(one)).where("_n = 1 or doc_id is null").select(docs.columns)
+    named = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.min_by(F.struct(*docs.columns), "text").alias("_row"), F.first(F.struct(*docs.columns)).alias("_any"))
+    named = named.join(copies, F.col("_id") == F.col("doc_id"), "left_anti").select(F.coalesce("_row", "_any").alias("_row")).select("_row.*")
+    return named.unionByName(docs.where("doc_id is null"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item, up to edits, go."""
+    """Documents that hold a benchmark item, up to edits, go; each row is judged by its own text."""
     return remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
