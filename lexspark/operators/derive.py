@@ -12,8 +12,8 @@ from ..functions import text as X
 
 
 def rule_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A rule table as a small DataFrame; its size is that of the literal rows, so it is broadcast."""
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    """A rule table as a small DataFrame. Catalyst knows its size and broadcasts it while that is under its limit."""
+    return spark.createDataFrame(rows, schema)
 
 
 def derive_pairs(pairs: DataFrame, vocabulary: DataFrame, known: DataFrame) -> DataFrame:
@@ -72,11 +72,11 @@ def expand_surfaces(entries: DataFrame, table: list[tuple] = rules.PARADIGMS) ->
 
 def tagged_derivations(winners: DataFrame) -> DataFrame:
     """(left, left_tags, right, right_tags) of winners (lemma, term, paradigm); single-word targets with the fitting ending."""
-    table = rule_frame(winners.sparkSession, rules.TAGGED_DERIVATIONS, "paradigm string, tag string, suffix string, right_tags string")
+    table = rule_frame(winners.sparkSession, rules.TAGGED_DERIVATIONS, "paradigm string, tag string, last string, suffix string, right_tags string")
     fits = F.when(F.col("paradigm") == "ar__vblex", F.col("term").endswith("i")).when(F.col("paradigm") == "a__adj", F.col("term").endswith("a")).otherwise(F.lit(True))
     out = winners.where(~F.col("term").contains(" ") & fits).join(table, "paradigm")
     root = F.regexp_replace("term", F.when(F.col("paradigm") == "ar__vblex", F.lit("i$")).when(F.col("paradigm") == "a__adj", F.lit("a$")).otherwise(F.lit("o$")), F.lit(""))
-    left_tags = F.concat_ws(".", X.tag_of(F.col("paradigm")), "tag", F.element_at(F.split("right_tags", r"\."), 1))
+    left_tags = F.concat_ws(".", X.tag_of(F.col("paradigm")), "tag", "last")
     return out.select(X.stem(F.col("lemma"), F.col("paradigm")).alias("left"), left_tags.alias("left_tags"), F.when(F.col("suffix") == "/", F.col("term")).otherwise(F.concat(root, "suffix")).alias("right"), "right_tags")
 
 

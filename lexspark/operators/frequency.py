@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..storage import saved
 
 
 def tokens(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -20,24 +21,18 @@ def token_counts(docs: DataFrame) -> DataFrame:
 def rank_tokens(counts: DataFrame) -> DataFrame:
     """token, cnt, rank: 1..N by count, then token.
 
-    No task holds the global order: counts make blocks (many tokens share a small count), a block's
-    offset is the number of tokens with larger counts, and ranks within a block are a windowed count.
-    A block is cut by the token's first characters, so the long tail of rare tokens is spread too.
+    No task holds the global order: the tokens are dealt by range, sorted within each range and saved with
+    their place in it; a range's offset is the number of tokens in the ranges before it. Only as many rows
+    as ranges go through one task.
     """
-    counts = counts.withColumn("head", F.substring("token", 1, 2))
-    sizes = counts.groupBy("cnt", "head").agg(F.count(F.lit(1)).alias("n"))
-    # As many rows as distinct (count, head) pairs: within a count by head, then across counts.
-    heads = Window.partitionBy("cnt").orderBy("head").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("before", F.coalesce(F.sum("n").over(heads), F.lit(0)))
-    by_count = counts.groupBy("cnt").agg(F.count(F.lit(1)).alias("n"))
-    larger = Window.orderBy(F.desc("cnt")).rowsBetween(Window.unboundedPreceding, -1)
-    by_count = by_count.select("cnt", F.coalesce(F.sum("n").over(larger), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("cnt", "head").orderBy("token")
-    return (
-        counts.withColumn("r", F.row_number().over(within))
-        .join(sizes.select("cnt", "head", "before"), ["cnt", "head"]).join(by_count, "cnt")
-        .select("token", "cnt", (F.col("offset") + F.col("before") + F.col("r")).alias("rank"))
-    )
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = (F.desc("cnt"), F.asc("token"))
+    dealt = counts.select("token", "cnt").repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # The number holds the range in its upper bits and the place within it in the lower 33.
+    dealt = saved(dealt.withColumn("_at", F.monotonically_increasing_id()), "ranks").withColumn("_part", F.shiftright("_at", 33))
+    sizes = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return dealt.join(sizes.select("_part", before.alias("_before")), "_part").select("token", "cnt", (F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias("rank"))
 
 
 def top_tokens(counts: DataFrame, n: int) -> DataFrame:

@@ -77,7 +77,7 @@ def merge_lexicon(rows: DataFrame, embedding: tuple[str, ...] = rules.EMBEDDING_
     rows = rows.withColumn("key", F.lower("lemma"))
     if overrides is not None:
         spark = rows.sparkSession
-        forced = F.broadcast(spark.createDataFrame(overrides, "key string, pos string, _t string"))
+        forced = spark.createDataFrame(overrides, "key string, pos string, _t string")
         added = forced.select(F.col("key").alias("lemma"), "pos", F.col("_t").alias("term"), F.lit("function_word_override").alias("source"), "key")
         terms = rows.join(forced, ["key", "pos"], "left").where("_t is null or term is null or term != _t").drop("_t")
         rows = terms.select("lemma", "pos", "term", "source", "key", "ord").unionByName(added.withColumn("ord", F.lit(None).cast(rows.schema["ord"].dataType)))

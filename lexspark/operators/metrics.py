@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import rules
 from ..functions import text as X
@@ -31,21 +34,56 @@ def recall(counts: DataFrame, lexicon: DataFrame, n: int) -> DataFrame:
     )
 
 
+def _code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(code points of all texts, length of each)."""
+    raw = "".join(texts).encode("utf-32-le", "surrogatepass")
+    return np.frombuffer(raw, np.uint32).astype(np.int64), np.array([len(t) for t in texts], np.int64)
+
+
+def _chrf(hyp: list[str], ref: list[str], orders: int, beta: float) -> np.ndarray:
+    """The score of each pair. N-grams get exact numbers: that of the (n-1)-gram and the next code point make the n-gram's."""
+    n = len(hyp)
+    points, sizes = _code_points(hyp + ref)
+    if not len(points):
+        return np.zeros(n)
+    _, points = np.unique(points, return_inverse=True)
+    kinds = int(points.max()) + 1
+    text = np.repeat(np.arange(2 * n), sizes)
+    gram, total, count = np.zeros(len(points), np.int64), np.zeros(n), np.zeros(n)
+    for k in range(orders):
+        here = len(points) - k
+        if here <= 0:
+            break
+        _, gram = np.unique(gram[:here] * kinds + points[k:], return_inverse=True)
+        inside = text[:here] == text[k:]
+        key = (text[:here][inside] % n) * (int(gram.max()) + 1) + gram[inside]
+        keys, back = np.unique(key, return_inverse=True)
+        of_ref = text[:here][inside] >= n
+        common = np.minimum(np.bincount(back[~of_ref], minlength=len(keys)), np.bincount(back[of_ref], minlength=len(keys)))
+        o = np.bincount(keys // (int(gram.max()) + 1), common, n)
+        h, r = (np.maximum(sizes[i : i + n] - k, 0) for i in (0, n))
+        both = (h > 0) & (r > 0)
+        p, q = o / np.maximum(h, 1), o / np.maximum(r, 1)
+        total += np.where(both & (o > 0), (1 + beta**2) * p * q / np.maximum(beta**2 * p + q, 1e-300), 0)
+        count += both
+    return 100 * total / np.maximum(count, 1)
+
+
 def chrf(pairs: DataFrame, orders: int = 6, beta: float = 2.0) -> DataFrame:
     """(id, chrf) of pairs (id, hyp, ref): the mean over n-gram orders, where both sides have some, of the clipped n-gram F score, times 100; 0 for blank texts.
 
-    N-grams are counted in each task before they are shuffled by (id, order, n-gram).
+    Both texts of a pair are in one row, so they are counted where they are, batch by batch; nothing is shuffled.
     """
     norm = lambda c: F.lower(F.btrim(F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), "[*@#]", ""), r"\s+", " ")))
-    both = pairs.select("id", F.explode(F.array(F.struct(F.lit(0).alias("side"), norm(F.col("hyp")).alias("s")), F.struct(F.lit(1).alias("side"), norm(F.col("ref")).alias("s")))).alias("x")).select("id", "x.side", "x.s")
-    sized = both.select("id", "side", "s", F.explode(F.sequence(F.lit(1), F.lit(orders))).alias("n")).where("length(s) >= n")
-    grams = sized.select("id", "side", "n", F.explode(F.expr("transform(sequence(1, length(s) - n + 1), i -> substring(s, i, n))")).alias("g"))
-    counts = grams.groupBy("id", "n", "g").agg(F.count_if(F.col("side") == 0).alias("h"), F.count_if(F.col("side") == 1).alias("r"))
-    per = counts.groupBy("id", "n").agg(F.sum(F.least("h", "r")).alias("o"), F.sum("h").alias("h"), F.sum("r").alias("r")).where("h > 0 and r > 0")
-    b2 = beta * beta
-    p, q = F.col("o") / F.col("h"), F.col("o") / F.col("r")
-    f = per.withColumn("f", F.when(F.col("o") == 0, 0.0).otherwise((1 + b2) * p * q / (b2 * p + q)))
-    return pairs.select("id").distinct().join(f.groupBy("id").agg((100 * F.avg("f")).alias("f")), "id", "left").select("id", F.round(F.coalesce("f", F.lit(0.0)), 6).alias("chrf"))
+
+    def score(batches):
+        for b in batches:
+            hyp, ref = b.column("hyp").to_pylist(), b.column("ref").to_pylist()
+            done = [_chrf(hyp[i : i + 256], ref[i : i + 256], orders, beta) for i in range(0, len(hyp), 256)]
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(np.concatenate(done) if done else np.zeros(0))], ["id", "chrf"])
+
+    kind = T.StructType([pairs.schema["id"], T.StructField("chrf", T.DoubleType())])
+    return pairs.select("id", norm(F.col("hyp")).alias("hyp"), norm(F.col("ref")).alias("ref")).mapInArrow(score, kind).withColumn("chrf", F.round("chrf", 6))
 
 
 def score_by_tag(scores: DataFrame, tags: DataFrame, low: float = 70.0) -> DataFrame:

@@ -92,7 +92,7 @@ def failure_audit(spark, d):
 # -- cleaning ---------------------------------------------------------------------------------------
 
 _TRIM = "E' \\t\\n\\r\\f\\x0b:;,.–-|"
-_LEMMA = "regexp_replace(trim(" + V.sql_chain("raw", X.LEMMA_CHAIN) + ", " + _TRIM + "''\"'), '\\s+', ' ', 'g')"
+_LEMMA = "regexp_replace(trim(" + V.sql_chain("raw", rules.LEMMA_CHAIN) + ", " + _TRIM + "''\"'), '\\s+', ' ', 'g')"
 _VALID = r"(length({0}) >= 2 AND NOT regexp_matches({0}, '^[''(\[{{%#*<>]') AND NOT regexp_matches({0}, '''''|\[\[|\]\]|\{{\{{|\}}\}}|[<>]') AND NOT (contains({0}, ':') AND length({0}) > 30) AND regexp_matches({0}, '\p{{L}}'))"
 
 
@@ -101,7 +101,7 @@ def clean_lemma(spark, d):
     return V.marked(spark, d).select("token", X.clean_lemma(F.col("raw")).alias("lemma")).withColumn("valid", X.is_valid_lemma(F.col("lemma")))
 
 
-_TRANSLATION = "trim(CASE WHEN regexp_matches(raw, '[{\\[<|&]') THEN " + V.sql_chain("raw", X.TRANSLATION_CHAIN) + " ELSE raw END, " + _TRIM + "')"
+_TRANSLATION = "trim(CASE WHEN regexp_matches(raw, '[{\\[<|&]') THEN " + V.sql_chain("raw", rules.TRANSLATION_CHAIN) + " ELSE raw END, " + _TRIM + "')"
 
 
 @query("clean_translation", f"WITH {V.MARKED} SELECT token, {_TRANSLATION} AS term FROM marked")
@@ -116,7 +116,7 @@ def parse_meanings(spark, d):
     return V.marked(spark, d).select("token", F.array_join(F.transform(X.parse_meanings(F.col("raw")), lambda m: F.array_join(m, "+")), "/").alias("meanings"))
 
 
-@query("strip_wikitext", "SELECT page_id, length(t) AS n, t AS plain FROM (SELECT page_id, " + V.sql_chain("coalesce(html, '')", X.WIKITEXT_CHAIN) + " AS t FROM pages)")
+@query("strip_wikitext", "SELECT page_id, length(t) AS n, t AS plain FROM (SELECT page_id, " + V.sql_chain("coalesce(html, '')", rules.WIKITEXT_CHAIN) + " AS t FROM pages)")
 def strip_wikitext(spark, d):
     return V.table(spark, d, "pages").select("page_id", X.strip_wikitext(F.col("html")).alias("plain")).select("page_id", F.length("plain").cast("bigint").alias("n"), "plain")
 
@@ -315,7 +315,7 @@ def _merged(spark, d):
 
 _MERGED = rf"""{V.ENT}, m0 AS (SELECT lemma, {_SHORT} AS p, term, source, ord FROM ent), m1 AS (SELECT *, {_SANE} AS pos FROM m0),
 m2 AS (SELECT lower(lemma) AS key, pos, lemma, source, ord, generate_subscripts(string_split_regex(term, '[,;]'), 1) AS place, trim(unnest(string_split_regex(term, '[,;]'))) AS term FROM m1),
-m3 AS (SELECT * FROM m2 WHERE regexp_matches(term, '{X.TERM_CHARS}')),
+m3 AS (SELECT * FROM m2 WHERE regexp_matches(term, '{rules.TERM_CHARS}')),
 ends AS (SELECT key, pos, coalesce(arg_min(lemma, ord) FILTER (pos IN ('n','adj','adv','vblex') AND lemma = lower(lemma)), arg_min(lemma, ord)) AS lemma, list_sort(list(DISTINCT source)) AS sources FROM m1 JOIN (SELECT DISTINCT lower(lemma) AS key, lemma AS l2 FROM m1) k ON k.l2 = m1.lemma GROUP BY key, pos),
 m4 AS (SELECT key, pos, term, list(DISTINCT source) AS ss, min(struct_pack(o := ord, a := place)) AS o FROM m3 GROUP BY key, pos, term),
 m5 AS (SELECT *, list(term) OVER (PARTITION BY key, pos) AS al FROM m4),
@@ -333,7 +333,8 @@ def merge_lexicon(spark, d):
     return _merged(spark, d).select("key", "pos", "lemma", "paradigm", F.array_join(F.transform("candidates", lambda c: c["term"]), ",").alias("terms"), F.array_join("sources", ",").alias("sources"))
 
 
-@query("merged_winners")
+@query("merged_winners", f"""WITH {_MERGED}, {_LIVE}, w AS (SELECT key, pos, term, row_number() OVER (PARTITION BY key, pos ORDER BY {V.RANK.replace('sources', 'ss')}, o) AS n FROM m9 WHERE strong OR (NOT covered AND lower(substr(term, 1, 4)) = substr(key, 1, 4)))
+    SELECT live.lemma, live.pos, live.paradigm, w.term FROM live JOIN w ON live.key = w.key AND live.pos = w.pos AND w.n = 1""")
 def merged_winners(spark, d):
     rank_of = lambda c: X.source_rank(c["sources"], V.RANKS)
     best = F.array_min(F.transform("candidates", lambda c: F.struct(rank_of(c).alias("r"), c["o"].alias("o"), c["term"].alias("term"))))
@@ -463,7 +464,8 @@ def attested_new(spark, d):
     return joins.attested_new(forms, V.vocabulary(spark, d), lex)
 
 
-@query("shadow_guard", f"""WITH {V.VOC}, v AS (SELECT token AS lemma, cnt < 3 AS weak FROM voc) SELECT lemma, weak FROM v WHERE NOT (weak AND lemma IN (SELECT left(lemma, length(lemma) - 2) || 'e' FROM v WHERE lemma LIKE '%es'))""")
+@query("shadow_guard", f"""WITH {V.VOC}, v AS (SELECT token AS lemma, cnt < 3 AS weak FROM voc), k AS (SELECT DISTINCT left(lemma, length(lemma) - 2) || 'e' AS shadow FROM v WHERE lemma LIKE '%es')
+    SELECT lemma, weak FROM v LEFT JOIN k ON lemma = shadow WHERE shadow IS NULL OR NOT weak""")
 def shadow_guard(spark, d):
     v = V.vocabulary(spark, d).select(F.col("token").alias("lemma"), (F.col("cnt") < 3).alias("weak"))
     return joins.shadow_guard(v, v, "e", "es")
@@ -506,7 +508,8 @@ def class_twin(spark, d):
     return joins.class_twin(pairs, V.vocabulary(spark, d).where("cnt > 3").select(F.col("token").alias("term")), "f")
 
 
-_SURFACES = f"{V.LEX}, st AS (SELECT DISTINCT lemma, {_CLASS.format('lemma')} AS c FROM lex), sf AS (SELECT CASE c WHEN 'v' THEN regexp_replace(lemma, '(ar|ir|or)$', '') ELSE left(lemma, length(lemma) - 1) END || s AS surface, lemma, par AS paradigm, tags FROM st JOIN (VALUES ('n','o__n','o','n.sg.nom'),('n','o__n','i','n.pl.nom'),('adj','a__adj','a','adj'),('adv','e__adv','e','adv'),('v','ar__vblex','ar','vblex.inf'),('v','ar__vblex','as','vblex.pri'),('v','ar__vblex','is','vblex.pii'),('v','ar__vblex','os','vblex.fti'),('v','ar__vblex','us','vblex.cni'),('v','ar__vblex','ez','vblex.imp')) p(k, par, s, tags) ON c = k)"
+_FORMS = ", ".join(str((k, p, s, t)) for k, q in (("n", "o__n"), ("adj", "a__adj"), ("adv", "e__adv"), ("v", "ar__vblex")) for p, s, t in rules.PARADIGMS if p == q)
+_SURFACES = f"{V.LEX}, st AS (SELECT DISTINCT lemma, {_CLASS.format('lemma')} AS c FROM lex), sf AS (SELECT CASE c WHEN 'v' THEN regexp_replace(lemma, '(ar|ir|or)$', '') ELSE left(lemma, length(lemma) - 1) END || s AS surface, lemma, par AS paradigm, tags FROM st JOIN (VALUES {_FORMS}) p(k, par, s, tags) ON c = k)"
 
 
 def _stems(spark, d):
@@ -612,8 +615,8 @@ def tagged_pairs(spark, d):
 _DERIV = ", ".join(str(r) for r in rules.TAGGED_DERIVATIONS)
 
 
-@query("tagged_derivations", f"""WITH {_WIN}, t(par, tag, suffix, rt) AS (VALUES {_DERIV})
-    SELECT {_STEM} AS "left", CASE paradigm WHEN 'ar__vblex' THEN 'vblex' WHEN 'o__n' THEN 'n' ELSE 'adj' END || '.' || tag || '.' || string_split(rt, '.')[1] AS left_tags,
+@query("tagged_derivations", f"""WITH {_WIN}, t(par, tag, lt, suffix, rt) AS (VALUES {_DERIV})
+    SELECT {_STEM} AS "left", CASE paradigm WHEN 'ar__vblex' THEN 'vblex' WHEN 'o__n' THEN 'n' ELSE 'adj' END || '.' || tag || '.' || lt AS left_tags,
     CASE WHEN suffix = '/' THEN term ELSE regexp_replace(term, CASE paradigm WHEN 'ar__vblex' THEN 'i$' WHEN 'a__adj' THEN 'a$' ELSE 'o$' END, '') || suffix END AS "right", rt AS right_tags
     FROM w JOIN t ON paradigm = par WHERE CASE paradigm WHEN 'ar__vblex' THEN term LIKE '%i' WHEN 'a__adj' THEN term LIKE '%a' ELSE true END""")
 def tagged_derivations(spark, d):
@@ -661,7 +664,14 @@ def align(spark, d):
     return derive.align([lex.select("lemma", "term", F.lit(0.8).alias("confidence")), lex.select(F.col("term").alias("lemma"), F.col("lemma").alias("term"), F.lit(0.6).alias("confidence"))])
 
 
-@query("prepare_vocabulary")
+_CLEAN = "regexp_replace(trim(" + V.sql_chain("{0}", rules.LEMMA_CHAIN).replace("{", "{{").replace("}", "}}").replace("{{0}}", "{0}") + ", " + _TRIM + "''\"'), '\\s+', ' ', 'g')"
+_PREPARED = f"""{V.MARKED}, a AS (SELECT {_CLEAN.format('raw')} AS lemma, 'noun' AS pos, {_CLEAN.format('reverse(token)')} AS term, token AS ord FROM marked),
+    b AS (SELECT lemma, pos, list_sort(list(DISTINCT term) FILTER ({_VALID.format('term')})) AS terms, min(ord) AS ord FROM a GROUP BY lemma, pos),
+    c AS (SELECT CASE WHEN regexp_matches(lemma, '^\\p{{Lu}}') AND len(coalesce(terms, [])) > 0 AND len(list_filter(terms, lambda t: NOT regexp_matches(t, '^\\p{{Ll}}'))) = 0 THEN lower(substr(lemma, 1, 1)) || substr(lemma, 2) ELSE lemma END AS lemma, pos, array_to_string(coalesce(terms, []), ',') AS terms, ord FROM b),
+    e AS (SELECT lemma, terms, row_number() OVER (PARTITION BY lower(lemma), lower(pos), terms ORDER BY ord) AS n FROM c WHERE {_VALID.format('lemma')})"""
+
+
+@query("prepare_vocabulary", f"WITH {_PREPARED} SELECT lemma, 'noun' AS pos, {_PARADIGM.replace(chr(123) * 2, chr(123)).replace(chr(125) * 2, chr(125))} AS paradigm, terms FROM (SELECT lemma, 'n' AS pos, terms FROM e WHERE n = 1)")
 def prepare_vocabulary(spark, d):
     m = V.marked(spark, d)
     return derive.prepare_vocabulary(m.select(F.col("raw").alias("lemma"), F.lit("noun").alias("pos"), F.reverse("token").alias("term"), F.col("token").alias("ord")))
@@ -669,7 +679,7 @@ def prepare_vocabulary(spark, d):
 
 # -- metrics and sinks ------------------------------------------------------------------------------
 
-_TURNS = "t AS (SELECT conv_id, turn, text, lead(text) OVER (PARTITION BY conv_id ORDER BY turn, text) AS nxt, role FROM conversations), p AS (SELECT conv_id * 1000 + turn AS id, text AS hyp, nxt AS ref FROM t WHERE nxt IS NOT NULL)"
+_TURNS = "t AS (SELECT conv_id * 1000 + row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) AS id, text, lead(text) OVER (PARTITION BY conv_id ORDER BY turn, text) AS nxt, role FROM conversations), p AS (SELECT id, text AS hyp, nxt AS ref FROM t WHERE nxt IS NOT NULL)"
 _CHRF = f"""{_TURNS}, s AS (SELECT id, 0 AS side, lower(trim(regexp_replace(regexp_replace(hyp, '[*@#]', '', 'g'), '\\s+', ' ', 'g'))) AS s FROM p UNION ALL SELECT id, 1, lower(trim(regexp_replace(regexp_replace(ref, '[*@#]', '', 'g'), '\\s+', ' ', 'g'))) FROM p),
     k AS (SELECT id, side, s, unnest(range(1, 7)) AS n FROM s), g AS (SELECT id, side, n, substr(s, CAST(unnest(range(1, length(s) - n + 2)) AS BIGINT), n) AS g FROM k WHERE length(s) >= n),
     c AS (SELECT id, n, g, count(*) FILTER (WHERE side = 0) AS h, count(*) FILTER (WHERE side = 1) AS r FROM g GROUP BY id, n, g), f AS (SELECT id, n, sum(least(h, r)) AS o, sum(h) AS h, sum(r) AS r FROM c GROUP BY id, n HAVING sum(h) > 0 AND sum(r) > 0),
@@ -678,8 +688,8 @@ _CHRF = f"""{_TURNS}, s AS (SELECT id, 0 AS side, lower(trim(regexp_replace(rege
 
 def _turn_pairs(spark, d):
     w = Window.partitionBy("conv_id").orderBy("turn", "text")
-    c = V.table(spark, d, "conversations").withColumn("nxt", F.lead("text").over(w)).where("nxt is not null")
-    return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("text").alias("hyp"), F.col("nxt").alias("ref"), "role")
+    c = V.table(spark, d, "conversations").withColumns({"nxt": F.lead("text").over(w), "n": F.row_number().over(w)}).where("nxt is not null")
+    return c.select((F.col("conv_id") * 1000 + F.col("n")).alias("id"), F.col("text").alias("hyp"), F.col("nxt").alias("ref"), "role")
 
 
 @query("chrf", f"WITH {_CHRF} SELECT id, chrf FROM chr")
@@ -687,10 +697,10 @@ def chrf(spark, d):
     return metrics.chrf(_turn_pairs(spark, d).select("id", "hyp", "ref"))
 
 
-@query("score_by_tag", f"WITH {_CHRF}, tags AS (SELECT DISTINCT conv_id * 1000 + turn AS id, role AS tag FROM t WHERE nxt IS NOT NULL) SELECT tag, count(*) AS n, round(avg(chrf), 4) AS mean, round(avg(chrf), 4) < 70 AS flagged FROM chr JOIN tags USING (id) GROUP BY tag")
+@query("score_by_tag", f"WITH {_CHRF}, tags AS (SELECT id, role AS tag FROM t WHERE nxt IS NOT NULL) SELECT tag, count(*) AS n, round(avg(chrf), 4) AS mean, round(avg(chrf), 4) < 70 AS flagged FROM chr JOIN tags USING (id) GROUP BY tag")
 def score_by_tag(spark, d):
     pairs = _turn_pairs(spark, d)
-    return metrics.score_by_tag(metrics.chrf(pairs.select("id", "hyp", "ref")), pairs.select("id", F.col("role").alias("tag")).distinct())
+    return metrics.score_by_tag(metrics.chrf(pairs.select("id", "hyp", "ref")), pairs.select("id", F.col("role").alias("tag")))
 
 
 @query("gap_stats", f"WITH {V.VOC}, e AS (SELECT cnt % 3 AS t, cnt % 2 AS p FROM voc) SELECT count(*) AS total, count(*) FILTER (WHERE t = 0) AS without_target, count(*) FILTER (WHERE t = 0 AND p > 0) AS pivot_only, count(*) FILTER (WHERE t = 0 AND p = 0) AS bare FROM e")

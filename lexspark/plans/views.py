@@ -1,7 +1,7 @@
 """Views that the registered queries share, as DataFrames and as SQL: tokens, vocabulary, and a lexicon made of the corpus.
 
-The lexicon pairs Spanish and French words with the same first four letters; its sources are those of
-the French word's documents.
+The lexicon pairs all Spanish and French words of five letters or more that share their first five; its
+sources are those of the French word's documents.
 """
 
 from __future__ import annotations
@@ -34,11 +34,10 @@ def known_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lemma, term, sources, idx."""
-    rare = tokens(spark, sf_dir).where("lang in ('es', 'fr') and length(token) >= 4")
-    rare = rare.groupBy("lang", "token").agg(F.count_distinct("doc_id").alias("d"), F.array_sort(F.collect_set("source")).alias("sources")).where("d between 2 and 4")
-    rare = rare.withColumn("head", F.substring("token", 1, 4))
-    a = rare.where("lang = 'es'").select("head", F.col("token").alias("lemma"))
-    b = rare.where("lang = 'fr'").select("head", F.col("token").alias("term"), "sources")
+    word = tokens(spark, sf_dir).where("lang in ('es', 'fr') and length(token) >= 5")
+    word = word.groupBy("lang", "token").agg(F.array_sort(F.collect_set("source")).alias("sources")).withColumn("head", F.substring("token", 1, 5))
+    a = word.where("lang = 'es'").select("head", F.col("token").alias("lemma"))
+    b = word.where("lang = 'fr'").select("head", F.col("token").alias("term"), "sources")
     idx = F.row_number().over(Window.partitionBy("lemma").orderBy("term")) - 1
     return a.join(b, "head").select("lemma", "term", "sources", idx.alias("idx"))
 
@@ -77,10 +76,9 @@ VOC = TOK + ", voc AS (SELECT token, count(*) AS cnt FROM tok GROUP BY token)"
 KNOWN = r"""known AS (SELECT DISTINCT token FROM (SELECT unnest(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}_]+')) AS token FROM benchmark) WHERE length(token) >= 2)"""
 LEX = (
     VOC
-    + """, rare AS (SELECT lang, token, list_sort(list(DISTINCT source)) AS sources FROM tok WHERE lang IN ('es', 'fr') AND length(token) >= 4
-    GROUP BY lang, token HAVING count(DISTINCT doc_id) BETWEEN 2 AND 4),
+    + """, word AS (SELECT lang, token, list_sort(list(DISTINCT source)) AS sources FROM tok WHERE lang IN ('es', 'fr') AND length(token) >= 5 GROUP BY lang, token),
 lex AS (SELECT a.token AS lemma, b.token AS term, b.sources, row_number() OVER (PARTITION BY a.token ORDER BY b.token) - 1 AS idx
-    FROM rare a JOIN rare b ON a.lang = 'es' AND b.lang = 'fr' AND substr(a.token, 1, 4) = substr(b.token, 1, 4))"""
+    FROM word a JOIN word b ON a.lang = 'es' AND b.lang = 'fr' AND substr(a.token, 1, 5) = substr(b.token, 1, 5))"""
 )
 ENT = (
     LEX

@@ -11,6 +11,7 @@ SOURCE_RANK = {
     "bert_embeddings": 4,
 }
 DEFAULT_RANK = 2
+# Sources that are known from embeddings alone.
 EMBEDDING_SOURCES = ("bert_embeddings",)
 
 # Long part-of-speech names and their short tags.
@@ -26,6 +27,7 @@ POS_PARADIGM = {
     "det": "__det", "prn": "__prn", "cnjcoo": "__cnjcoo", "cnjsub": "__cnjsub", "ij": "__ij",
     "num": "num", "prep_art": "__prep_art",
 }
+# Tags of closed classes, and those whose lemmas are lower-cased.
 CLOSED_CLASS = ("det", "pr", "prn", "cnjcoo", "cnjsub", "ij", "num", "np", "prep_art", "rel")
 LOWERED_CLASS = ("prn", "det", "pr", "cnjcoo", "cnjsub", "ij")
 
@@ -57,6 +59,7 @@ NOUN_SUFFIXES = [
     ("ismo", "ismo", "n"), ("ulo", "ulo", "n"), ("eto", "eto", "n"), ("ego", "ego", "n"),
 ]
 ADJECTIVE_SUFFIXES = [("eso", "eco", "n"), ("e", "e", "adv"), ("ulo", "ulo", "n"), ("ino", "ino", "n")]
+# Endings of roots that are derived themselves.
 DERIVED_ROOT = "(ar|ir|or|as|is|os|us|ez|ant|int|ont|at|it|ot|em|ind)$"
 
 # Category name parts of each class, in order of precedence.
@@ -75,23 +78,40 @@ CATEGORY_PATTERNS = {
 
 # Fixed values: (paradigm, suffix, tags) of the inflection tables.
 PARADIGMS = [
-    ("o__n", "o", "n.sg.nom"), ("o__n", "i", "n.pl.nom"), ("a__adj", "a", "adj"), ("e__adv", "e", "adv"),
+    ("o__n", "o", "n.sg.nom"), ("o__n", "i", "n.pl.nom"),
+    ("o__n", "ala", "n.der_ala.adj.sg.nom"), ("o__n", "oza", "n.der_oz.adj.sg.nom"),
+    ("o__n", "izar", "n.der_izar.vblex.inf"), ("o__n", "izas", "n.der_izar.vblex.pri"), ("o__n", "izis", "n.der_izar.vblex.pii"),
+    ("o__n", "izos", "n.der_izar.vblex.fti"), ("o__n", "izus", "n.der_izar.vblex.cni"), ("o__n", "izez", "n.der_izar.vblex.imp"),
+    ("o__n", "ino", "n.f.sg.nom"), ("o__n", "ini", "n.f.pl.nom"), ("o__n", "ajo", "n.der_aj.n.sg.nom"), ("o__n", "aji", "n.der_aj.n.pl.nom"),
+    ("o__n", "aro", "n.der_aro.n.sg.nom"), ("o__n", "ari", "n.der_aro.n.pl.nom"),
+    ("a__adj", "a", "adj"), ("a__adj", "eso", "adj.der_qual.n.sg.nom"), ("a__adj", "esi", "adj.der_qual.n.pl.nom"),
+    ("a__adj", "ajo", "adj.der_aj.n.sg.nom"), ("a__adj", "aji", "adj.der_aj.n.pl.nom"),
+    ("ebl__adj", "ebla", "adj"), ("e__adv", "e", "adv"),
     ("ar__vblex", "ar", "vblex.inf"), ("ar__vblex", "as", "vblex.pri"), ("ar__vblex", "is", "vblex.pii"),
     ("ar__vblex", "os", "vblex.fti"), ("ar__vblex", "us", "vblex.cni"), ("ar__vblex", "ez", "vblex.imp"),
-    ("ebl__adj", "ebla", "adj"), ("num", "", "num"), ("__pr", "", "pr"), ("__det", "", "det"), ("__prn", "", "prn"),
-    ("__adv", "", "adv"), ("__cnjcoo", "", "cnjcoo"), ("__cnjsub", "", "cnjsub"), ("ma__ord", "ma", "num.ord"),
-    ("ma__ord", "esma", "num.ord"), ("__invar_verb", "", "vblex.pri"), ("np__np", "", "np"),
-    ("__prep_art", "", "pr.def"), ("__ij", "", "ij"),
+    ("ar__vblex", "anto", "vblex.der_pres.n.sg.nom"), ("ar__vblex", "anti", "vblex.der_pres.n.pl.nom"),
+    ("ar__vblex", "ado", "vblex.der_act.n.sg.nom"), ("ar__vblex", "adi", "vblex.der_act.n.pl.nom"),
+    ("ar__vblex", "into", "vblex.der_past.n.sg.nom"), ("ar__vblex", "inti", "vblex.der_past.n.pl.nom"),
+    ("ar__vblex", "inta", "vblex.der_ppa.adj.sg"), ("ar__vblex", "ita", "vblex.der_ppas.adj.sg.nom"), ("ar__vblex", "ata", "vblex.der_pprs.adj.sg.nom"),
+    ("ar__vblex", "ota", "vblex.der_pfut.adj.sg.nom"), ("ar__vblex", "anta", "vblex.der_ppra.adj.sg.nom"),
+    ("ar__vblex", "esar", "vblex.der_esar.vblex.inf"), ("ar__vblex", "esas", "vblex.der_esar.vblex.pri"), ("ar__vblex", "esis", "vblex.der_esar.vblex.pii"),
+    ("ar__vblex", "esos", "vblex.der_esar.vblex.fti"), ("ar__vblex", "esus", "vblex.der_esar.vblex.cni"), ("ar__vblex", "esez", "vblex.der_esar.vblex.imp"),
+    ("num", "", "num"), ("__pr", "", "pr"), ("__det", "", "det"), ("__prn", "", "prn"), ("__adv", "", "adv"),
+    ("__cnjcoo", "", "cnjcoo"), ("__cnjsub", "", "cnjsub"), ("ma__ord", "ma", "num.ord"), ("ma__ord", "esma", "num.ord"),
+    ("__invar_verb", "", "vblex.pri"), ("np__np", "", "np"), ("__prep_art", "", "pr.def"), ("__ij", "", "ij"),
 ]
+# Fixed values: (paradigm, pattern of a whole word, tags) of words in digits, which have no stem.
+DIGIT_PARADIGMS = [("num_regex", r"^[0-9]+([.,][0-9]+)*$", "num.ciph.sp.nom"), ("num_ord_regex", r"^[0-9]+-?ma$", "num.ord")]
 
-# Fixed values: (paradigm, its derivation tag, target suffix, target tag) of the tagged derivations; a leading
-# slash keeps the target word whole.
+# Fixed values: (paradigm, its derivation tag, the source's last tag, target suffix, target tags) of the tagged
+# derivations; a slash keeps the target word whole.
 TAGGED_DERIVATIONS = [
-    ("ar__vblex", "der_pres", "anto", "n"), ("ar__vblex", "der_act", "ado", "n"), ("ar__vblex", "der_past", "into", "n"),
-    ("ar__vblex", "der_ppra", "anta", "adj"), ("ar__vblex", "der_pfut", "ota", "adj"), ("ar__vblex", "der_ppas", "/", "vblex.pp"),
-    ("ar__vblex", "der_ppa", "/", "vblex.pp3"), ("ar__vblex", "der_pprs", "/", "vbtr.ppres"), ("a__adj", "der_qual", "eco", "n"),
-    ("o__n", "der_ala", "a", "adj"), ("o__n", "der_oz", "a", "adj"), ("o__n", "der_aro", "aro", "n"),
+    ("ar__vblex", "der_pres", "n", "anto", "n"), ("ar__vblex", "der_act", "n", "ado", "n"), ("ar__vblex", "der_past", "n", "into", "n"),
+    ("ar__vblex", "der_ppra", "adj", "anta", "adj"), ("ar__vblex", "der_pfut", "adj", "ota", "adj"), ("ar__vblex", "der_ppas", "adj", "/", "vblex.pp"),
+    ("ar__vblex", "der_ppa", "adj", "/", "vblex.pp3"), ("ar__vblex", "der_pprs", "adj", "/", "vbtr.ppres"), ("a__adj", "der_qual", "n", "eco", "n"),
+    ("o__n", "der_ala", "adj", "a", "adj"), ("o__n", "der_oz", "adj", "a", "adj"), ("o__n", "der_aro", "n", "aro", "n"),
 ]
+# Personal pronouns.
 PERSONAL_PRONOUNS = ("me", "tu", "vu", "lu", "elu", "ilu", "olu", "ni", "vi", "li", "su")
 
 # Titles and words that are page furniture.
@@ -101,3 +121,53 @@ LAYOUT_WORDS = (
     "px", "small", "big", "border", "align", "valign", "background", "font", "nbsp", "sub", "sup", "br", "hr", "ref", "nowrap",
     "width", "height", "color",
 )
+
+# Patterns that cut, clean and check words. A chain's steps are (pattern, replacement with $1 for a
+# group), applied in order; the order is part of the meaning.
+TRIMMED = " \t\n\r\f\x0b:;,.–-|"
+
+LEMMA_CHAIN = [
+    (r"'{2,}", ""),
+    (r"\[\[([^|\]]+)\|([^\]]+)\]\]", "$2"),
+    (r"\[\[([^\]]+)\]\]", "$1"),
+    (r"\{\{[a-z]{2,3}\}\}", ""),
+    (r"\{\{(?:t\+?|trad\+?|l|link|m|tr)\|[^|]+\|([^}|]+)[^}]*\}\}", "$1"),
+    (r"\{\{[^|]+\|([^}]+)\}\}", "$1"),
+    (r"\{\{[^}]+\}\}", ""),
+    (r"[\{\}\[\]]", ""),
+    (r"^'{0,3}\s*[0-9]+\.'{0,3}\s*", ""),
+    (r"(?i)\s*\([a-z]{2,3}\)\s*$", ""),
+    (r"\s*\(\s*[↓↑→←⇒⇐⇑⇓]+\s*\)\s*", " "),
+    (r"\s*[↓↑→←⇒⇐⇑⇓]\s*", " "),
+    (r"^\s*\('*[♀♂]'*\)\s*$", ""),
+    (r"\s*\('*[♀♂]'*\)\s*", " "),
+    (r"\('+\)", ""),
+]
+
+TRANSLATION_CHAIN = [
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;|&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"),
+    (r"\s*\[[\d\s,–-]+\]\s*", " "),
+    ("[↓↑]", ""),
+    (r"\{\{(?:t\+?|trad\+?|l|link|m)\|[^|]+\|([^}|]+)[^}]*\}\}", "$1"),
+    (r"\{\{[^}]*\}\}", ""),
+    (r"\[\[(?:Category|Kategorio):[^\]]*\]\]", ""),
+    (r"\[\[(?:[^\]|]*\|)?([^\]]+)\]\]", "$1"),
+    (r"\s*\([^)0-9][^)]*\)\s*", " "),
+    (r"<[^>]+>", ""),
+    (r"\|\s*\}.*$", ""),
+    (r"\s+", " "),
+]
+
+WIKITEXT_CHAIN = [
+    (r"(?s)<ref[^>]*>.*?</ref>", " "),
+    (r"\{\{[^\}]*\}\}", " "),
+    (r"(?i)\[\[(?:File|Fajlo|Dosiero|Datei|Archivo):[^\]]*\]\]", " "),
+    (r"\[\[(?:[^\]|]*\|)?([^\]]+)\]\]", "$1"),
+    (r"<[^>]+>", " "),
+]
+
+TERM_CHARS = r"^[A-Za-zĈĜĤĴŜŬĉĝĥĵŝŭ\-]+$"
+NUMERIC_SHAPES = r"^-?[0-9]+(\.[0-9]+)?$|^[0-9]+[,;:]|^[0-9.,%\-]+$|^[0-9]+(ma|st|nd|rd|th|ĝa|a|esma)$|^[A-Za-z0-9_]{0,3}[0-9]{2,}[A-Za-z0-9_]{0,3}$"
+CONJUGATED = "^[a-z]{2,}(as|is|os|us|ez)$"
+LINK_TITLE = r"^[A-Za-zĉĝĥĵŝŭĈĜĤĴŜŬ][\p{L}\p{N}_\-\s]*$"
+LABEL = r"^[a-zA-ZĈĉĜĝĤĥĴĵŜŝŬŭÀ-ÿ][a-zA-ZĈĉĜĝĤĥĴĵŜŝŬŭÀ-ÿ\-]+$"

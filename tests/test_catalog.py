@@ -10,7 +10,7 @@ from lexspark.plans import catalog
 DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 CHOSEN = [
-    "token_frequency", "coverage", "clean_lemma", "parse_meanings", "split_terms", "entry_paradigms", "merge_lexicon", "fold_inflections", "winner_diff",
+    "token_frequency", "coverage", "clean_lemma", "parse_meanings", "split_terms", "entry_paradigms", "merge_lexicon", "merged_winners", "prepare_vocabulary", "shadow_guard", "fold_inflections",
     "precision_srcrank", "identical_form_join", "supplement", "merge_case_twins", "twin_entries", "tagged_derivations", "chrf", "section_facts",
 ]
 
