@@ -24,7 +24,10 @@ HELD = 1_000_000
 BUCKETS = 4
 #: A row is a block of entries (id null) or the known places of one document.
 ROW = "bucket int, id bigint, tie bigint, n int, data binary"
-PLACES = "id bigint, tie bigint, places array<int>"
+#: Runs of n neighbouring places that count.
+PLACES = "id bigint, tie bigint, pos int, n int"
+#: Low bytes of a key that aren't sent where keys only make candidates.
+SPARED = 2
 #: Stands for a null doc_id; sorts first.
 NO_ID = -(2**63)
 
@@ -114,6 +117,8 @@ def settle(find: Callable[[pa.RecordBatch], Iterator[tuple]], kind: str, buckets
     other; ``deal`` chooses the bucket and must be equal where keys are.
     """
 
+    spared = 0 if kind == EARLIER else SPARED
+
     def send(parts):
         keys = [np.concatenate(x) for x in zip(*(p[0] for p in parts), strict=True)]
         doc, tie, pos, deal = (np.concatenate([p[k] for p in parts]) for k in (1, 2, 3, 4))
@@ -142,7 +147,7 @@ def settle(find: Callable[[pa.RecordBatch], Iterator[tuple]], kind: str, buckets
         last = np.append(first[1:], len(bucket))
         for at in range(0, len(first), 256):
             ranges = list(zip(first[at : at + 256].tolist(), last[at : at + 256].tolist(), strict=True))
-            data = [b"".join([*(planes(c[i:j]) for c in columns[:-3]), *(planes(_steps(c[i:j])) for c in columns[-3:]), ask[i:j].tobytes()]) for i, j in ranges]
+            data = [b"".join([*(planes(c[i:j])[spared * (j - i) :] for c in columns[:-3]), *(planes(_steps(c[i:j])) for c in columns[-3:]), ask[i:j].tobytes()]) for i, j in ranges]
             none = pa.nulls(len(ranges), pa.int64())
             yield pa.record_batch([pa.array(bucket[first[at : at + 256]]), none, none, pa.array([j - i for i, j in ranges], pa.int32()), pa.array(data, pa.binary())], ["bucket", "id", "tie", "n", "data"])
 
@@ -174,15 +179,23 @@ def settle(find: Callable[[pa.RecordBatch], Iterator[tuple]], kind: str, buckets
 
 def by_places(doc: np.ndarray, tie: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
     """Places, documents one after the other, as rows of PLACES."""
-    first = np.flatnonzero(_starts(doc, tie))
-    ends = np.append(first, len(doc)).astype(np.int32)
-    return pa.record_batch([pa.array(doc[first]), pa.array(tie[first]), pa.ListArray.from_arrays(pa.array(ends), pa.array(pos))], ["id", "tie", "places"])
+    new = _starts(doc, tie)
+    new[1:] |= pos[1:] != pos[:-1] + 1
+    first = np.flatnonzero(new)
+    n = np.diff(np.append(first, len(doc))).astype(np.int32)
+    return pa.record_batch([pa.array(doc[first]), pa.array(tie[first]), pa.array(pos[first].astype(np.int32)), pa.array(n)], ["id", "tie", "pos", "n"])
 
 
 def _answer(kind: str, lanes: int):
     """Over ROWs sorted by bucket: the places that count. Memory: one bucket."""
     types = [*[np.uint64] * lanes, np.int64, np.int64, np.int32, np.uint8]
-    cuts = np.cumsum([np.dtype(t).itemsize for t in types])[:-1]
+    spared = 0 if kind == EARLIER else SPARED
+    cuts = np.cumsum([np.dtype(t).itemsize - spared * (k < lanes) for k, t in enumerate(types)])[:-1]
+
+    def column(raw, t, n):
+        """A sent column; the bytes that weren't sent are zeros."""
+        missing = np.dtype(t).itemsize * n - len(raw)
+        return unplanes(np.concatenate([np.zeros(missing, np.uint8), raw]) if missing else raw, t, n)
 
     def decide(blocks):
         *keys, doc, tie, pos, ask = (np.concatenate(x) for x in zip(*blocks, strict=True))
@@ -201,16 +214,15 @@ def _answer(kind: str, lanes: int):
             if known.any():
                 part = b.filter(pa.array(known))
                 n = part.column("n").to_numpy()
-                steps = [np.cumsum(unplanes(np.frombuffer(x, np.uint8), np.int32, k), dtype=np.int32) for x, k in zip(part.column("data").to_pylist(), n.tolist(), strict=True)]
-                ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
-                yield pa.record_batch([part.column("id"), part.column("tie"), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(steps)))], ["id", "tie", "places"])
+                pos = [np.cumsum(unplanes(np.frombuffer(x, np.uint8), np.int32, k), dtype=np.int32) for x, k in zip(part.column("data").to_pylist(), n.tolist(), strict=True)]
+                yield by_places(*(np.repeat(part.column(k).to_numpy(), n) for k in ("id", "tie")), np.concatenate(pos))
             part = b.filter(pa.array(~known))
             for bucket, n, data in zip(*(part.column(k).to_pylist() for k in ("bucket", "n", "data")), strict=True):
                 if blocks and bucket != own:
                     yield decide(blocks)
                     blocks = []
                 own = bucket
-                columns = [unplanes(x, t, n) for x, t in zip(np.split(np.frombuffer(data, np.uint8), cuts * n), types, strict=True)]
+                columns = [column(x, t, n) for x, t in zip(np.split(np.frombuffer(data, np.uint8), cuts * n), types, strict=True)]
                 blocks.append([*columns[:lanes], *(np.cumsum(x, dtype=x.dtype) for x in columns[lanes:-1]), columns[-1]])
         if blocks:
             yield decide(blocks)
@@ -226,5 +238,14 @@ def repeated(rows: DataFrame, find, kind: str, lanes: int = 1) -> DataFrame:
 
 
 def by_document(places: DataFrame) -> DataFrame:
-    """One row for each (id, tie): its places, about one for each token of its text at most."""
-    return places.groupBy("id", "tie").agg(F.flatten(F.collect_list("places")).alias("places"))
+    """One row for each (id, tie): its runs of places, about one for each token of its text at most."""
+    return places.groupBy("id", "tie").agg(F.collect_list(F.struct("pos", "n")).alias("places"))
+
+
+def runs(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first place, places, number of runs in each row) of a column of ``by_document``; null has none."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    sizes = np.nan_to_num(column.value_lengths().to_numpy(zero_copy_only=False).astype(float)).astype(np.int64)
+    flat = column.flatten()
+    return *(flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("pos", "n")), sizes

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text as tx
-from ._anchors import AGAIN, EARLIER, by_document, fresh, identified, repeated
+from ._anchors import AGAIN, EARLIER, by_document, fresh, identified, repeated, runs
 from ._store import Store, table
 
 #: Every difference modulo 13 is one of two members of the cover.
@@ -50,14 +50,6 @@ def _anchors(window: int):
     return find
 
 
-def _lists(column) -> tuple[np.ndarray, np.ndarray]:
-    """(values, sizes) of a list column; a null list is empty."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    sizes = np.nan_to_num(column.value_lengths().to_numpy(zero_copy_only=False).astype(float)).astype(np.int64)
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), sizes
-
-
 def window_hashes(words: list[np.ndarray], size: int, window: int) -> tuple[list[np.ndarray], np.ndarray]:
     """(two lanes of the hash of the ``window`` words from each place on, made of those of the ``size``-grams that cover it; the least of its grams).
 
@@ -79,16 +71,16 @@ def _windows(window: int):
 
     def find(b):
         ids, ties, new = names(b)
-        places, n = _lists(b.column("places"))
+        places, many, n = runs(b.column("places"))
         ends = np.concatenate([[0], np.cumsum(n)])
         for i, j, _, lanes, _, _, row, count, first in _words(b, 2):
-            own = places[ends[i] : ends[j]]
-            if not len(own):
+            own = slice(ends[i], ends[j])
+            if not ends[j] - ends[i]:
                 continue
             owner = np.repeat(np.arange(j - i), n[i:j])
-            # A window holds the anchor if it starts up to window-size words before it.
-            low = np.maximum(own - (window - size), 0)
-            high = np.minimum(own, count[owner] - window)
+            # A window holds an anchor if it starts up to window-size words before it.
+            low = np.maximum(places[own] - (window - size), 0)
+            high = np.minimum(places[own] + many[own] - 1, count[owner] - window)
             mark = np.zeros(len(row) + 1, np.int64)
             good = high >= low
             np.add.at(mark, (first[owner] + low)[good], 1)
@@ -125,7 +117,7 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
 
     def cut(batches):
         for b in batches:
-            places, n = _lists(b.column("places"))
+            places, many, n = runs(b.column("places"))
             ends = np.concatenate([[0], np.cumsum(n)])
             data, offsets = tx.utf8(b.column("text"))
             for i, j in tx.steps(offsets):
@@ -133,10 +125,10 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
                 start, end, row = tx.word_bounds(part, offsets[i : j + 1] - offsets[i])
                 count = np.bincount(row, minlength=j - i)
                 first = np.concatenate([[0], np.cumsum(count)])
-                own, owner = places[ends[i] : ends[j]], np.repeat(np.arange(j - i), n[i:j])
+                own, owner = slice(ends[i], ends[j]), np.repeat(np.arange(j - i), n[i:j])
                 mark = np.zeros(len(row) + 1, np.int64)
-                np.add.at(mark, first[owner] + own, 1)
-                np.add.at(mark, first[owner] + own + window, -1)
+                np.add.at(mark, first[owner] + places[own], 1)
+                np.add.at(mark, first[owner] + places[own] + many[own] - 1 + window, -1)
                 keep = np.cumsum(mark[:-1]) == 0
                 raw = part.tobytes()
                 s, e = start.tolist(), end.tolist()

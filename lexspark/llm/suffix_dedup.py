@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text as tx
-from ._anchors import ELSEWHERE, _sort, _starts, by_document, identified, repeated
+from ._anchors import ELSEWHERE, _sort, _starts, by_document, identified, repeated, runs
 from ._store import Store, partitions, table
-from .substring_dedup import _lists, names
+from .substring_dedup import names
 
 WINDOW, GRAM = 50, 16
 SPAN = WINDOW - GRAM + 1
@@ -147,19 +147,40 @@ def _copies(marks: list[np.ndarray], doc: np.ndarray) -> np.ndarray:
     return out
 
 
-SENT = "key bigint, id bigint, tie bigint, pos int, ahead int, size int, context binary"
+#: The body is a head (id, tie, pos so that bytes sort as they do; where the anchor is, how many bytes follow) and the
+#: context's bytes; or, with SPAN_MARK for the anchor, the length of a span that is covered whole.
+SENT = "key bigint, body binary"
+HEAD, SPAN_MARK = 22, 255
+SIGN = np.uint64(1 << 63)
 #: Spans that are covered; or, with a window, the start of one that is still to be compared.
 COVERED = "id bigint, tie bigint, start int, end int, window binary"
 
 
+def _bodies(doc, tie, pos, ahead, size, wide, whole) -> pa.Array:
+    """Bodies of SENT; ``whole`` tells which bytes of a row of ``wide`` follow its head."""
+    head = np.empty((len(doc), HEAD), np.uint8)
+    head[:, :8] = (doc.view(np.uint64) ^ SIGN).astype(">u8").reshape(-1, 1).view(np.uint8)
+    head[:, 8:16] = tie.astype(">i8").reshape(-1, 1).view(np.uint8)
+    head[:, 16:20] = pos.astype(">u4").reshape(-1, 1).view(np.uint8)
+    head[:, 20], head[:, 21] = ahead, size
+    rows = np.concatenate([head, wide], 1)
+    kept = np.concatenate([np.ones((len(doc), HEAD), bool), whole], 1)
+    ends = np.concatenate([[0], np.cumsum(kept.sum(1))]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(rows[kept]))])
+
+
 def _settle(batches):
-    """Contexts to rows of SENT. Of equal contexts in a task only the least document's are sent; the others are covered whole: no context, a key of their document."""
+    """Contexts to rows of SENT. Of equal contexts in a task only the least document's are sent; the others are covered whole: their joint spans, under a key of their document."""
     for whole_batch in batches:
         for b in tx.slices(whole_batch, "text", tx.STEP_BYTES):
             data, offsets = tx.utf8(b.column("text"))
-            places, n = _lists(b.column("places"))
+            first, many, n = runs(b.column("places"))
             ids, ties, new = names(b)
             row = np.repeat(np.arange(len(n)), n)
+            order = np.lexsort((first, row))
+            first, many, row = first[order], many[order], row[order]
+            places = np.repeat(first, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            row = np.repeat(row, many)
             places, row = places[new[row]], row[new[row]]
             if not len(places):
                 continue
@@ -167,13 +188,38 @@ def _settle(batches):
             key, begin, end, wide, whole = contexts(data, offsets, offsets[row] + places)
             pos, ahead, size = begin - offsets[row], offsets[row] + places - begin, end - begin
             known = _copies(_marks(wide, ahead, size), doc)
-            spread = tx.mix(doc.view(np.uint64) ^ tie.view(np.uint64))
-            ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-            bodies = pa.Array.from_buffers(pa.binary(), len(key), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(wide[whole]))])
-            yield pa.record_batch({
-                "key": np.where(known, spread, key).view(np.int64), "id": doc, "tie": tie, "pos": pos.astype(np.int32), "ahead": ahead.astype(np.int32),
-                "size": size.astype(np.int32), "context": pc.if_else(pa.array(known), pa.scalar(None, pa.binary()), bodies),
-            })
+            sent = ~known
+            yield pa.record_batch([pa.array(key[sent].view(np.int64) >> 16), _bodies(doc[sent], tie[sent], pos[sent], ahead[sent], size[sent], wide[sent], whole[sent])], ["key", "body"])
+            if known.any():
+                doc, tie, pos, stop, row = doc[known], tie[known], pos[known], (pos + size)[known], row[known]
+                far = row * (int(stop.max()) + 1)  # places of a row come in order, so spans that meet are neighbours
+                apart = np.ones(len(row), bool)
+                apart[1:] = (far + pos)[1:] > np.maximum.accumulate(far + stop)[:-1]
+                at = np.flatnonzero(apart)
+                length = np.maximum.reduceat(stop, at) - pos[at]
+                spread = tx.mix(doc[at].view(np.uint64) ^ tie[at].view(np.uint64)).view(np.int64) >> 16
+                tail = length.astype("<u4").reshape(-1, 1).view(np.uint8)
+                yield pa.record_batch([pa.array(spread), _bodies(doc[at], tie[at], pos[at], np.full(len(at), SPAN_MARK), 4, tail, np.ones(tail.shape, bool))], ["key", "body"])
+
+
+def _unpack(b: pa.RecordBatch) -> tuple[dict, dict]:
+    """(contexts, spans) of a batch of SENT: columns key, id, tie, pos, ahead, size, and the contexts' bytes as rows of CONTEXT."""
+    body = b.column("body")
+    _, ends, data = body.buffers()
+    ends = np.frombuffer(ends, np.int32, len(body) + 1, body.offset * 4).astype(np.int64)
+    data = np.frombuffer(data, np.uint8)
+    head = data[ends[:-1, None] + np.arange(HEAD)]
+    field = lambda i, j, kind: np.ascontiguousarray(head[:, i:j]).view(kind)[:, 0]
+    doc = (field(0, 8, ">u8").astype(np.uint64) ^ SIGN).view(np.int64)
+    c = {"key": b.column("key").to_numpy(), "id": doc, "tie": field(8, 16, ">i8").astype(np.int64), "pos": field(16, 20, ">u4").astype(np.int64), "ahead": head[:, 20].astype(np.int64), "size": head[:, 21].astype(np.int64)}
+    known = c["ahead"] == SPAN_MARK
+    spans, rest = {k: v[known] for k, v in c.items()}, {k: v[~known] for k, v in c.items()}
+    spans["size"] = np.ascontiguousarray(data[ends[:-1][known][:, None] + HEAD + np.arange(4)]).view("<u4")[:, 0].astype(np.int64)
+    column = np.arange(CONTEXT) - (REACH - rest["ahead"])[:, None]
+    inside = (column >= 0) & (column < rest["size"][:, None])
+    from_ = ends[:-1][~known][:, None] + HEAD + column
+    rest["wide"] = np.where(inside, data[np.clip(from_, 0, max(len(data) - 1, 0))], 0).astype(np.uint8) if len(data) else np.zeros(column.shape, np.uint8)
+    return rest, spans
 
 
 def _spans(c: dict, rows: np.ndarray, start: np.ndarray, end: np.ndarray, windows: np.ndarray | None = None) -> pa.RecordBatch:
@@ -184,7 +230,7 @@ def _spans(c: dict, rows: np.ndarray, start: np.ndarray, end: np.ndarray, window
 
 
 def _cover(batches):
-    """Rows of SENT sorted by (key, id, pos) to rows of COVERED."""
+    """Rows of SENT sorted by (key, body) to rows of COVERED."""
     steps = np.arange(REACH + 1)
     held: list[dict] = []
     carried = None  # (key, marks of its windows sorted by the first lane, least doc of each) of an anchor that goes on in the next shard
@@ -263,17 +309,11 @@ def _cover(batches):
         return shard(out)
 
     for b in batches:
-        known = b.column("context").is_null().to_numpy(zero_copy_only=False)
-        c = {k: b.column(k).to_numpy().astype(np.int64) for k in ("key", "id", "tie", "pos", "ahead", "size")}
-        if known.any():
-            rows = np.flatnonzero(known)
-            yield _spans(c, rows, c["pos"][rows], (c["pos"] + c["size"])[rows])
-        if not known.all():
-            part = {k: v[~known] for k, v in c.items()}
-            column = np.arange(CONTEXT) - (REACH - part["ahead"])[:, None]
-            wide = np.zeros(column.shape, np.uint8)
-            wide[(column >= 0) & (column < part["size"][:, None])] = np.frombuffer(b"".join(b.column("context").drop_null().to_pylist()), np.uint8)
-            held.append(part | {"wide": wide})
+        c, spans = _unpack(b)
+        if len(spans["id"]):
+            yield _spans(spans, np.arange(len(spans["id"])), spans["pos"], spans["pos"] + spans["size"])
+        if len(c["id"]):
+            held.append(c)
         while sum(len(x["key"]) for x in held) >= 2 * SHARD_ROWS:
             keys = np.concatenate([x["key"][: SHARD_ROWS + 1] for x in held])[: SHARD_ROWS + 1]
             change = np.flatnonzero(keys[1:] != keys[:-1])  # cut between anchors where that is possible
@@ -305,7 +345,7 @@ def covered_bytes(docs: DataFrame, store: Store) -> DataFrame:
     docs = identified(docs, store)
     found = store.save(repeated(docs, _find, ELSEWHERE), "anchors")
     near = docs.join(by_document(found), ["id", "tie"], "left")
-    sent = near.mapInArrow(_settle, SENT).repartition(partitions(docs.sparkSession), "key").sortWithinPartitions("key", "id", "pos")
+    sent = near.mapInArrow(_settle, SENT).repartition(partitions(docs.sparkSession), "key").sortWithinPartitions("key", "body")
     covered = sent.mapInArrow(_cover, COVERED)
     meet = F.when(F.col("window").isNull(), F.xxhash64("id", "tie")).otherwise(F.xxhash64("window"))
     spans = covered.repartition(partitions(docs.sparkSession), meet).sortWithinPartitions("window", "id").mapInArrow(_left, "id bigint, tie bigint, start int, end int")
