@@ -28,6 +28,8 @@ REACH = WINDOW - GRAM
 CONTEXT = 2 * REACH + GRAM
 #: Contexts in a shard of about a megabyte: their places fit in 21 bits, so three of them sort as one 64-bit word.
 SHARD_ROWS = (1 << 20) // CONTEXT
+#: Contexts that a task remembers to have sent, 24 bytes each.
+REMEMBERED = 4_000_000
 #: Distinct windows of one anchor that are searched from shard to shard; what more it has is dealt out by whole windows.
 CARRIED = 4_000_000
 
@@ -169,8 +171,36 @@ def _bodies(doc, tie, pos, ahead, size, wide, whole) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(rows[kept]))])
 
 
+class _Seen:
+    """Contexts that a task has sent: chunks of (marks sorted by the first lane, documents). Past REMEMBERED no more are taken in; what isn't found is sent, which is as exact."""
+
+    def __init__(self):
+        self.chunks, self.size = [], 0
+
+    def smaller(self, marks: list[np.ndarray], doc: np.ndarray) -> np.ndarray:
+        """Which contexts a smaller document of the task has too."""
+        out = np.zeros(len(doc), bool)
+        for (first, second), docs in self.chunks:
+            at = np.minimum(np.searchsorted(first, marks[0]), len(docs) - 1)
+            out |= (first[at] == marks[0]) & (second[at] == marks[1]) & (docs[at] < doc)
+        return out
+
+    def add(self, marks: list[np.ndarray], doc: np.ndarray) -> None:
+        if not len(doc) or self.size >= REMEMBERED:
+            return
+        if len(self.chunks) == 8:
+            old, docs = zip(*self.chunks, strict=True)
+            marks, doc = [np.concatenate([*(o[k] for o in old), m]) for k, m in enumerate(marks)], np.concatenate([*docs, doc])
+            self.chunks = []
+        order = np.lexsort((doc, marks[1], marks[0]))
+        order = order[_starts(*(m[order] for m in marks))]  # the least document of each
+        self.chunks.append(([m[order] for m in marks], doc[order]))
+        self.size = sum(len(d) for _, d in self.chunks)
+
+
 def _settle(batches):
-    """Contexts to rows of SENT. Of equal contexts in a task only the least document's are sent; the others are covered whole: their joint spans, under a key of their document."""
+    """Contexts to rows of SENT. Of equal contexts in a task those of a smaller document than was sent before are sent; the others are covered whole: their joint spans, under a key of their document."""
+    seen = _Seen()
     for whole_batch in batches:
         for b in tx.slices(whole_batch, "text", tx.STEP_BYTES):
             data, offsets = tx.utf8(b.column("text"))
@@ -187,8 +217,10 @@ def _settle(batches):
             doc, tie = ids[row], ties[row]
             key, begin, end, wide, whole = contexts(data, offsets, offsets[row] + places)
             pos, ahead, size = begin - offsets[row], offsets[row] + places - begin, end - begin
-            known = _copies(_marks(wide, ahead, size), doc)
+            marks = _marks(wide, ahead, size)
+            known = _copies(marks, doc) | seen.smaller(marks, doc)
             sent = ~known
+            seen.add([m[sent] for m in marks], doc[sent])
             yield pa.record_batch([pa.array(key[sent].view(np.int64) >> 16), _bodies(doc[sent], tie[sent], pos[sent], ahead[sent], size[sent], wide[sent], whole[sent])], ["key", "body"])
             if known.any():
                 doc, tie, pos, stop, row = doc[known], tie[known], pos[known], (pos + size)[known], row[known]
