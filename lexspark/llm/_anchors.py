@@ -237,15 +237,20 @@ def repeated(rows: DataFrame, find, kind: str, lanes: int = 1) -> DataFrame:
     return sent.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_answer(kind, lanes), PLACES)
 
 
+def packed_pair(high: str, low: str):
+    """Two small numbers as one, which takes a quarter of a struct's room in a list."""
+    return F.shiftleft(F.col(high).cast("bigint"), 32).bitwiseOR(F.col(low).cast("bigint"))
+
+
 def by_document(places: DataFrame) -> DataFrame:
     """One row for each (id, tie): its runs of places, about one for each token of its text at most."""
-    return places.groupBy("id", "tie").agg(F.collect_list(F.struct("pos", "n")).alias("places"))
+    return places.groupBy("id", "tie").agg(F.collect_list(packed_pair("pos", "n")).alias("places"))
 
 
 def runs(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first place, places, number of runs in each row) of a column of ``by_document``; null has none."""
+    """(first numbers, second numbers, pairs in each row) of a column of lists of pairs; a null list has none."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     sizes = np.nan_to_num(column.value_lengths().to_numpy(zero_copy_only=False).astype(float)).astype(np.int64)
-    flat = column.flatten()
-    return *(flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("pos", "n")), sizes
+    both = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    return both >> 32, both & 0xFFFFFFFF, sizes

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text as tx
-from ._anchors import ELSEWHERE, _sort, _starts, by_document, identified, repeated, runs
+from ._anchors import ELSEWHERE, _sort, _starts, by_document, identified, packed_pair, repeated, runs
 from ._store import Store, partitions, table
 from .substring_dedup import names
 
@@ -373,7 +373,7 @@ def _left(batches):
 
 
 def covered_bytes(docs: DataFrame, store: Store) -> DataFrame:
-    """doc_id, id, tie, text of ``docs`` with ``spans array<struct<start, end>>`` of the bytes that repeat a smaller document; null for none."""
+    """doc_id, id, tie, text of ``docs`` with ``spans``, a list of pairs (start, end), of the bytes that repeat a smaller document; null for none."""
     docs = identified(docs, store)
     found = store.save(repeated(docs, _find, ELSEWHERE), "anchors")
     near = docs.join(by_document(found), ["id", "tie"], "left")
@@ -381,7 +381,7 @@ def covered_bytes(docs: DataFrame, store: Store) -> DataFrame:
     covered = sent.mapInArrow(_cover, COVERED)
     meet = F.when(F.col("window").isNull(), F.xxhash64("id", "tie")).otherwise(F.xxhash64("window"))
     spans = covered.repartition(partitions(docs.sparkSession), meet).sortWithinPartitions("window", "id").mapInArrow(_left, "id bigint, tie bigint, start int, end int")
-    return docs.join(spans.groupBy("id", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans")), ["id", "tie"], "left")
+    return docs.join(spans.groupBy("id", "tie").agg(F.collect_list(packed_pair("start", "end")).alias("spans")), ["id", "tie"], "left")
 
 
 def remove_repeated_bytes(docs: DataFrame) -> DataFrame:
@@ -398,12 +398,11 @@ def remove_repeated_bytes(docs: DataFrame) -> DataFrame:
     def cut(batches):
         for b in batches:
             data, offsets = tx.utf8(b.column("text"))
-            spans = b.column("spans")
-            flat, n = spans.flatten(), np.nan_to_num(spans.value_lengths().to_numpy(zero_copy_only=False).astype(float)).astype(np.int64)
+            start, end, n = runs(b.column("spans"))
             row = np.repeat(np.arange(len(n)), n)
             mark = np.zeros(len(data) + 1, np.int32)
-            np.add.at(mark, offsets[row] + flat.field("start").to_numpy(), 1)
-            np.add.at(mark, offsets[row] + flat.field("end").to_numpy(), -1)
+            np.add.at(mark, offsets[row] + start, 1)
+            np.add.at(mark, offsets[row] + end, -1)
             gone = np.cumsum(mark[:-1]) > 0
             begins = gone.copy()
             begins[1:] &= ~gone[:-1]

@@ -16,8 +16,8 @@ def sent_rows():
     data, offsets = tx.utf8(pa.array(texts))
     place, _ = S.anchors(data, offsets)
     row = np.searchsorted(offsets, place, "right") - 1
-    lists = [[{"pos": int(x), "n": 1} for x in place[row == r] - offsets[r]] for r in range(len(texts))]
-    batch = pa.record_batch({"id": np.arange(len(texts)), "tie": np.zeros(len(texts), np.int64), "text": pa.array(texts), "places": pa.array(lists, pa.list_(pa.struct([("pos", pa.int32()), ("n", pa.int32())])))})
+    lists = [(((place[row == r] - offsets[r]) << 32) + 1).tolist() for r in range(len(texts))]
+    batch = pa.record_batch({"id": np.arange(len(texts)), "tie": np.zeros(len(texts), np.int64), "text": pa.array(texts), "places": pa.array(lists, pa.list_(pa.int64()))})
     # One document in each batch: nothing is settled in the task.
     parts = pa.Table.from_batches([b for k in range(len(texts)) for b in S._settle([batch.slice(k, 1)])])
     return texts, parts.sort_by([("key", "ascending"), ("body", "ascending")])
