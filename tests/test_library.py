@@ -197,3 +197,19 @@ def test_sections(spark):
     text = "==I {{io}} (radiko)==\na\n==II {{io}} (prepoziciono)==\nb\n=== x ===\nc\n== Suomi ==\nd"
     assert apply(spark, [text, "== Suomi ==\n"], lambda c: W.language_section(c, "io")) == ["==I {{io}} (radiko)==\na\n==II {{io}} (prepoziciono)==\nb\n=== x ===\nc", None]
     assert apply(spark, ["* Semantiko: kurta formo de [[ilu]]", "formo de verbo", "x"], W.variant_base) == ["ilu", None, None]
+
+
+def test_tagged_derivations(spark):
+    rows = [("krear", "krei", "ar__vblex"), ("bona", "bona", "a__adj"), ("monto", "monto", "o__n"), ("du vorti", "du vortoj", "o__n"), ("irar", "iro", "ar__vblex")]
+    got = {tuple(r) for r in derive.tagged_derivations(spark.createDataFrame(rows, "lemma string, term string, paradigm string")).collect()}
+    assert {r for r in got if r[0] == "kre"} == {
+        ("kre", "vblex.der_pres.n", "kreanto", "n"), ("kre", "vblex.der_act.n", "kreado", "n"), ("kre", "vblex.der_past.n", "kreinto", "n"),
+        ("kre", "vblex.der_ppra.adj", "kreanta", "adj"), ("kre", "vblex.der_pfut.adj", "kreota", "adj"),
+        ("kre", "vblex.der_ppas.adj", "krei", "vblex.pp"), ("kre", "vblex.der_ppa.adj", "krei", "vblex.pp3"), ("kre", "vblex.der_pprs.adj", "krei", "vbtr.ppres"),
+    }
+    assert {r for r in got if r[0] != "kre"} == {("bon", "adj.der_qual.n", "boneco", "n"), ("mont", "n.der_ala.adj", "monta", "adj"), ("mont", "n.der_oz.adj", "monta", "adj"), ("mont", "n.der_aro.n", "montaro", "n")}
+
+
+def test_paradigm_surfaces(spark):
+    got = {r.surface: r.tags for r in derive.expand_surfaces(spark.createDataFrame([("monto", "o__n"), ("bona", "a__adj")], "lemma string, paradigm string")).collect()}
+    assert len(got) == 21 and got["montala"] == "n.der_ala.adj.sg.nom" and got["montini"] == "n.f.pl.nom" and got["boneso"] == "adj.der_qual.n.sg.nom"
