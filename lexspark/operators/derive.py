@@ -50,14 +50,26 @@ TWIN_RULES = [
 ]
 
 
+#: The rule for proper nouns of an encyclopedia, which stands before the fourth.
+ENCYCLOPEDIC_TWIN = ("a", "o__n", "ana", "a__adj", "adjective")
+
+
 def twin_entries(entries: DataFrame) -> DataFrame:
-    """entries (lemma, pos, paradigm, ord) plus twins by TWIN_RULES; a twin is made only if no earlier row has its lemma."""
+    """entries (lemma, pos, paradigm, ord, encyclopedic) plus twins by TWIN_RULES; a twin is made only if no earlier row has its lemma.
+
+    Encyclopedic nouns of more than three letters in -a also have an adjective in -ana; without that column no noun is one.
+    """
+    if "encyclopedic" not in entries.columns:
+        entries = entries.withColumn("encyclopedic", F.lit(False))
+
     def twin(rule):
         ending, asked, new, paradigm, pos = rule
         hit = F.lower("lemma").endswith(ending) & (F.col("paradigm") == asked)
+        if rule is ENCYCLOPEDIC_TWIN:
+            hit = hit & F.col("encyclopedic") & (F.length("lemma") > 3)
         return F.when(hit, F.struct(F.concat(F.expr(f"left(lemma, greatest(0, length(lemma) - {len(ending)}))"), F.lit(new)).alias("lemma"), F.lit(pos).alias("pos"), F.lit(paradigm).alias("paradigm")))
 
-    every = F.array(F.struct("lemma", "pos", "paradigm"), *map(twin, TWIN_RULES))
+    every = F.array(F.struct("lemma", "pos", "paradigm"), *map(twin, [*TWIN_RULES[:3], ENCYCLOPEDIC_TWIN, *TWIN_RULES[3:]]))
     rows = entries.select("ord", F.posexplode(every).alias("k", "e")).where("e is not null").select("e.*", "ord", "k")
     first = F.row_number().over(Window.partitionBy("lemma").orderBy("ord", "k"))
     return rows.withColumn("_n", first).where("k = 0 or _n = 1").select("lemma", "pos", "paradigm", (F.col("k") > 0).alias("made"))
@@ -86,11 +98,23 @@ def possessives(winners: DataFrame, pronouns: tuple[str, ...] = rules.PERSONAL_P
 
 
 def feature_rows(winners: DataFrame, pronouns: tuple[str, ...], features: list[str]) -> DataFrame:
-    """One reverse-only row for each pronoun winner and feature."""
+    """One reverse-only row for each pronoun winner and feature; both tables are short lists given by the caller."""
     table = rule_frame(winners.sparkSession, [(f,) for f in features], "feature string")
     return winners.where(F.col("lemma").isin(*pronouns)).join(table).select("lemma", "term", "feature", F.lit("rl").alias("direction"))
 
 
+def pronoun_rows(winners: DataFrame, table: list[tuple] = rules.PERSON_FEATURES) -> DataFrame:
+    """Reverse-only rows (lemma, term, tags, direction) of winners (lemma, term) whose term is a personal pronoun of the table.
+
+    Readings as subject, nominative, accusative and object; a masculine one also as subject of any gender.
+    """
+    features = rule_frame(winners.sparkSession, table, "term string, person string, gender string, number string")
+    core = F.concat_ws(".", "person", "gender", "number")
+    any_gender = F.when(F.col("gender") == "m", F.concat_ws(".", F.lit("subj"), "person", F.lit("mf"), "number"))
+    forms = F.array_compact(F.array(F.concat(F.lit("subj."), core), any_gender, F.concat(core, F.lit(".nom")), F.concat(core, F.lit(".acc")), F.concat(F.lit("obj."), core)))
+    return winners.join(features, "term").select("lemma", "term", F.explode(forms).alias("tags"), F.lit("rl").alias("direction"))
+
+
 def tagged_pairs(winners: DataFrame) -> DataFrame:
     """(left, left_tag, right, right_tag) of winners (lemma, term, paradigm); none without a paradigm; symbols of one or two capitals are skipped."""
     tag = X.tag_of(F.col("paradigm"))
@@ -106,9 +130,9 @@ def grid_pairs(cells: DataFrame, columns: list[tuple[str, str]], rows: list[tupl
 
 
 def page_entries(pages: DataFrame) -> DataFrame:
-    """Encyclopedia pages (title, text) as entries: lemma, pos, paradigm, text_length, n_categories."""
+    """Encyclopedia pages (title, text) as entries: lemma, pos, paradigm, text_length, n_categories, categories array."""
     cats = X.categories(F.col("text"))
-    return pages.select(F.col("title").alias("lemma"), F.lit("propn").alias("pos"), F.lit("o__n").alias("paradigm"), F.length("text").cast("bigint").alias("text_length"), F.size(cats).cast("bigint").alias("n_categories"))
+    return pages.select(F.col("title").alias("lemma"), F.lit("propn").alias("pos"), F.lit("o__n").alias("paradigm"), F.length("text").cast("bigint").alias("text_length"), F.size(cats).cast("bigint").alias("n_categories"), cats.alias("categories"))
 
 
 def keep_without_term(entries: DataFrame) -> DataFrame:
@@ -138,9 +162,14 @@ def prepare_vocabulary(entries: DataFrame) -> DataFrame:
 
 
 def validation_errors(rows: DataFrame) -> DataFrame:
-    """rows (lemma, source, confidence) with the names of failed checks in ``errors``; empty if all hold."""
+    """rows (lemma, term, source, confidence) with the names of failed checks in ``errors``; empty if all hold."""
     checks = [
-        ("lemma", F.coalesce("lemma", F.lit("")) == ""), ("source", F.coalesce("source", F.lit("")) == ""),
+        ("lemma", F.coalesce("lemma", F.lit("")) == ""), ("term", F.coalesce("term", F.lit("")) == ""), ("source", F.coalesce("source", F.lit("")) == ""),
         ("confidence", ~F.coalesce(F.col("confidence").between(0, 1), F.lit(False))),
     ]
     return rows.withColumn("errors", F.array_join(F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in checks])), ","))
+
+
+def split_bilingual(entries: DataFrame, lang: str = "eo") -> tuple[DataFrame, DataFrame]:
+    """entries (lemma, ..., translations array<struct<lang, ...>>): those with a translation into the language, and all."""
+    return entries.where(F.exists(F.coalesce("translations", F.array().cast(entries.schema["translations"].dataType)), lambda t: t["lang"] == lang)), entries

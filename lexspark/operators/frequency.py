@@ -52,6 +52,7 @@ def coverage(counts: DataFrame, known: DataFrame, n: int) -> DataFrame:
 
 
 def largest_documents(docs: DataFrame, k: int, least_words: int = 200) -> DataFrame:
-    """The k documents with most words, by (words, title, text) descending; columns title, text."""
+    """The k documents with most words that are no redirects, by (words, title, text) descending; columns title, n_words."""
+    docs = docs.where(~F.lower(F.btrim(F.coalesce("text", F.lit("")))).rlike("^#(redirect|alidirektilo)"))
     sized = docs.withColumn("n_words", F.size(F.filter(F.split("text", r"\s+"), lambda w: w != "")).cast("bigint"))
     return sized.where(F.col("n_words") >= least_words).orderBy(F.desc("n_words"), F.desc("title"), F.desc("text")).limit(k).select("title", "n_words")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import rules
 from ..functions import text as X
 
 
@@ -32,11 +33,13 @@ def link_pairs(pages: DataFrame, links: DataFrame, confidence: float = 0.85) ->
     )
 
 
-def pivot_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    """(lemma, term, pivot) of a (lemma, pivot) and b (term, pivot) that share a pivot word, case aside. Many to many by meaning; each side is made distinct first."""
-    left = a.select("lemma", F.lower("pivot").alias("pivot")).distinct()
-    right = b.select("term", F.lower("pivot").alias("pivot")).distinct()
-    return left.join(right, "pivot").select("lemma", "term", "pivot")
+def pivot_join(a: DataFrame, b: DataFrame, confidence: float = 0.7) -> DataFrame:
+    """(lemma, term, pivot, confidence, sources) of a (lemma, pivot, sources) and b (term, pivot, sources) that share a pivot word, case aside.
+
+    Many to many by meaning; each side is folded by its word and pivot first. The sources of a come first.
+    """
+    side = lambda d, word: d.groupBy(word, F.lower("pivot").alias("pivot")).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("sources")))).alias(f"_{word}"))
+    return side(a, "lemma").join(side(b, "term"), "pivot").select("lemma", "term", "pivot", F.lit(confidence).alias("confidence"), F.concat("_lemma", "_term").alias("sources"))
 
 
 def same_page_pairs(rows: DataFrame, by_meaning: bool = True) -> DataFrame:
@@ -113,14 +116,24 @@ def existing_wins(current: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def merge_case_twins(entries: DataFrame) -> DataFrame:
-    """entries (lemma, terms): a capitalised lemma is absorbed by its lower-case twin, whose terms come first."""
+    """entries (lemma, terms, sources, paradigm): a capitalised lemma is absorbed by its lower-case twin.
+
+    The twin's terms come first and terms that differ by case only count once; sources are united; a missing paradigm is taken over.
+    """
+    own = ["terms", "sources", "paradigm"]
     low = entries.where(F.col("lemma") == F.lower("lemma"))
-    high = entries.where(F.col("lemma") != F.lower("lemma")).select(F.lower("lemma").alias("_k"), F.col("lemma").alias("_l"), F.col("terms").alias("_t"))
-    merged = low.join(high.groupBy("_k").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_l", "_t"))), lambda x: x["_t"])).alias("_t")), F.col("lemma") == F.col("_k"), "left")
-    seen = F.transform(F.col("terms"), lambda t: X.casefold(t))
-    extra = F.filter(F.coalesce("_t", F.array().cast("array<string>")), lambda t: ~F.array_contains(seen, X.casefold(t)))
-    alone = high.join(low.select(F.col("lemma").alias("_k")), "_k", "left_anti").select(F.col("_l").alias("lemma"), F.col("_t").alias("terms"))
-    return merged.select("lemma", F.array_distinct(F.concat("terms", extra)).alias("terms")).unionByName(alone)
+    high = entries.where(F.col("lemma") != F.lower("lemma")).select(F.lower("lemma").alias("_k"), F.struct("lemma", *own).alias("_h"))
+    merged = low.join(high.groupBy("_k").agg(F.array_sort(F.collect_list("_h")).alias("_c")), F.col("lemma") == F.col("_k"), "left")
+    caps = F.coalesce("_c", F.array().cast(merged.schema["_c"].dataType))
+    words = F.concat("terms", F.flatten(F.transform(caps, lambda h: h["terms"])))
+    keys = F.transform(words, lambda t: X.casefold(t))
+    merged = merged.select(
+        "lemma", F.filter(words, lambda t, i: F.array_position(keys, X.casefold(t)) == i + 1).alias("terms"),
+        F.array_sort(F.array_union("sources", F.flatten(F.transform(caps, lambda h: h["sources"])))).alias("sources"),
+        F.coalesce("paradigm", F.get(F.filter(F.transform(caps, lambda h: h["paradigm"]), lambda p: p.isNotNull()), F.lit(0))).alias("paradigm"),
+    )
+    alone = high.join(low.select(F.col("lemma").alias("_k")), "_k", "left_anti").select("_h.lemma", *[f"_h.{c}" for c in own])
+    return merged.unionByName(alone)
 
 
 def class_twin(pairs: DataFrame, members: DataFrame, tag: str) -> DataFrame:
@@ -135,17 +148,17 @@ def lemmatize(tokens: DataFrame, surfaces: DataFrame) -> DataFrame:
     return tokens.join(best, tokens.token == best.surface, "left").drop("surface").withColumn("lemma", F.coalesce("lemma", "token"))
 
 
-def join_categories(words: DataFrame, pages: DataFrame) -> DataFrame:
+def join_categories(words: DataFrame, pages: DataFrame, patterns: dict = rules.CATEGORY_PATTERNS) -> DataFrame:
     """words (word) with the class of the page of that title in pages (title, categories)."""
     out = words.join(pages.withColumn("_hit", F.lit(True)), words.word == pages.title, "left")
-    return out.select("word", F.when(F.col("_hit"), X.classify(F.col("categories"))).otherwise("no_wikipedia_article").alias("class"))
+    return out.select("word", F.when(F.col("_hit"), X.classify(F.col("categories"), patterns)).otherwise("no_wikipedia_article").alias("class"))
 
 
-def output_diff(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Counts of same, changed, lost and gained outputs of tables (id, out)."""
+def output_diff(old: DataFrame, new: DataFrame, error: str = r"\[(TRANSLATION )?ERROR\]") -> DataFrame:
+    """Counts of same, changed, lost and gained outputs of tables (id, out), and how many of each status hold an error mark before and after."""
     both = old.select("id", F.col("out").alias("x")).join(new.select("id", F.col("out").alias("y")), "id", "full_outer")
     status = F.when(F.col("x").isNull(), "gained").when(F.col("y").isNull(), "lost").when(F.col("x") == F.col("y"), "same").otherwise("changed")
-    return both.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"))
+    return both.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("x").rlike(error)).alias("old_errors"), F.count_if(F.col("y").rlike(error)).alias("new_errors"))
 
 
 def top_unlinked(views: DataFrame, links: DataFrame, words: DataFrame, k: int) -> DataFrame:

@@ -115,11 +115,11 @@ def find_conflicts(cands: DataFrame) -> DataFrame:
 
 
 def source_stats(cands: DataFrame) -> DataFrame:
-    """Per short source: entries that have it and term rows that have it."""
-    flat = cands.select("lemma", "term", F.explode("sources").alias("s")).withColumn("s", X.short_source(F.col("s")))
-    entries = flat.select("lemma", "s").distinct().groupBy("s").agg(F.count(F.lit(1)).alias("n_entries"))
-    pairs = flat.groupBy("s").agg(F.count(F.lit(1)).alias("n_pairs"))
-    return entries.join(pairs, "s").withColumnRenamed("s", "source")
+    """Per short source: entries that have it, term rows that have it by full name, and terms that have it."""
+    flat = cands.select("lemma", "term", F.explode("sources").alias("s")).withColumn("source", X.short_source(F.col("s")))
+    terms = flat.groupBy("lemma", "term", "source").agg(F.count(F.lit(1)).alias("n"))
+    entries = terms.groupBy("lemma", "source").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("t"))
+    return entries.groupBy("source").agg(F.count(F.lit(1)).alias("n_entries"), F.sum("n").alias("n_pairs"), F.sum("t").alias("n_terms"))
 
 
 def union_terms(rows: DataFrame) -> DataFrame:

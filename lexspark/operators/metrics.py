@@ -92,28 +92,50 @@ def score_by_tag(scores: DataFrame, tags: DataFrame, low: float = 70.0) -> DataF
     return out.withColumn("flagged", F.col("mean") < low)
 
 
+def flagged(scores: DataFrame, low: float = 70.0) -> DataFrame:
+    """The scores (id, chrf, unknown array) under ``low`` or with unknown words."""
+    return scores.where((F.col("chrf") < low) | (F.size("unknown") > 0))
+
+
 def token_coverage(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_known of docs (doc_id, token): tokens with a letter, known if vocabulary (token) has them."""
+    """doc_id, n_words, n_known, unknown (distinct, sorted) of docs (doc_id, token): tokens with a letter, known if vocabulary (token) has them."""
     words = docs.where(F.col("token").rlike(r"\p{L}")).groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
     out = words.join(vocabulary.select("token").distinct().withColumn("hit", F.lit(1)), "token", "left")
-    return out.groupBy("doc_id").agg(F.sum("n").alias("n_words"), F.coalesce(F.sum(F.when(F.col("hit") == 1, F.col("n"))), F.lit(0)).alias("n_known"))
+    n_known = F.coalesce(F.sum(F.when(F.col("hit") == 1, F.col("n"))), F.lit(0))
+    return out.groupBy("doc_id").agg(F.sum("n").alias("n_words"), n_known.alias("n_known"), F.array_sort(F.collect_list(F.when(F.col("hit").isNull(), F.col("token")))).alias("unknown"))
+
 
+def failures(counts: DataFrame, vocabulary: DataFrame, translated: DataFrame) -> DataFrame:
+    """counts (token, ...) with ``kind``: unknown to vocabulary (token), untranslated if only translated (token) lacks it, else null; layout words and numbers are no failures."""
+    known = vocabulary.select("token").distinct().withColumn("_v", F.lit(1))
+    done = translated.select("token").distinct().withColumn("_t", F.lit(1))
+    kind = F.when(X.is_junk_lemma(F.col("token")), F.lit(None)).when(F.col("_v").isNull(), "unknown").when(F.col("_t").isNull(), "untranslated")
+    return counts.join(known, "token", "left").join(done, "token", "left").withColumn("kind", kind).drop("_v", "_t")
 
-def failure_audit(tokens: DataFrame, vocabulary: DataFrame, k: int = 30) -> DataFrame:
-    """The k most frequent unknown tokens of each ending class: class, place, token, cnt; rows (token)."""
+
+def failure_audit(tokens: DataFrame, vocabulary: DataFrame, translated: DataFrame, k: int = 30) -> DataFrame:
+    """The k most frequent failures of each kind and ending class: kind, class, place, token, cnt; rows (token)."""
     cls = F.coalesce(X.pos_by_ending(F.col("token")), F.lit("other"))
-    counts = tokens.where(~X.is_junk_lemma(F.col("token"))).groupBy("token").agg(F.count(F.lit(1)).alias("cnt"))
-    counts = counts.join(vocabulary.select("token").distinct(), "token", "left_anti").withColumn("class", cls)
-    place = F.row_number().over(Window.partitionBy("class").orderBy(F.desc("cnt"), "token"))
-    return counts.withColumn("place", place).where(F.col("place") <= k).select("class", "place", "token", "cnt")
+    counts = failures(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("cnt")), vocabulary, translated).where("kind is not null").withColumn("class", cls)
+    place = F.row_number().over(Window.partitionBy("kind", "class").orderBy(F.desc("cnt"), "token"))
+    return counts.withColumn("place", place).where(F.col("place") <= k).select("kind", "class", "place", "token", "cnt")
+
+
+def article_errors(docs: DataFrame, vocabulary: DataFrame, translated: DataFrame) -> DataFrame:
+    """doc_id, n_words, n_unknown, n_untranslated, error_rate (percent) of docs (doc_id, token)."""
+    words = failures(docs.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n")), vocabulary, translated)
+    part = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0))
+    out = words.groupBy("doc_id").agg(F.sum("n").alias("n_words"), part("unknown").alias("n_unknown"), part("untranslated").alias("n_untranslated"))
+    return out.withColumn("error_rate", F.round(100 * (F.col("n_unknown") + F.col("n_untranslated")) / F.col("n_words"), 4))
 
 
-def lexicon_stats(cands: DataFrame) -> DataFrame:
-    """One row: entries, candidates, multi, single-source and unsourced counts."""
+def lexicon_stats(cands: DataFrame, encyclopedia: str = "wikipedia") -> DataFrame:
+    """One row: entries, candidates, multi, single-source, unsourced and encyclopedia-only counts."""
     per = cands.groupBy("lemma").agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.flatten(F.collect_list("sources"))).alias("s"))
     return per.agg(
         F.count(F.lit(1)).alias("entries"), F.sum("n").alias("candidates"), F.count_if(F.col("n") > 1).alias("multi"),
         F.count_if(F.size("s") == 1).alias("single_source"), F.count_if(F.size("s") == 0).alias("unsourced"),
+        F.count_if((F.size("s") > 0) & F.forall("s", lambda x: x.contains(encyclopedia))).alias("encyclopedia_only"),
     )
 
 

@@ -78,3 +78,15 @@ def order_terms(cands: DataFrame, table: dict = rules.SOURCE_RANK) -> DataFrame:
     """lemma, terms: joined in display order."""
     listed = F.array_sort(F.collect_list(F.struct(X.source_rank(F.col("sources"), table).alias("r"), "idx", "term")))
     return cands.groupBy("lemma").agg(listed.alias("l")).select("lemma", F.array_join(F.transform("l", lambda x: x["term"]), ",").alias("terms"))
+
+
+def entry_quality(sources: Column, embedding: tuple[str, ...] = rules.EMBEDDING_SOURCES, via: tuple[str, ...] = rules.VIA_SOURCES) -> Column:
+    """0: dictionaries alone, 1: dictionaries and embeddings, 2: found by way of a third language, 3: the rest."""
+    has = lambda names: F.arrays_overlap(sources, F.array(*map(F.lit, names)))
+    strong = F.size(F.array_except(sources, F.array(*map(F.lit, embedding + via)))) > 0
+    return F.when(strong, F.when(has(embedding), 1).otherwise(0)).when(has(via), 2).otherwise(3)
+
+
+def order_entries(entries: DataFrame, **names) -> DataFrame:
+    """entries (lemma, sources) with ``quality``, sorted by lower-case lemma, quality, lemma; the sort is by ranges."""
+    return entries.withColumn("quality", entry_quality(F.col("sources"), **names)).orderBy(F.lower("lemma"), "quality", "lemma")

@@ -59,16 +59,16 @@ def missing_tokens(spark, d):
     return frequency.missing_tokens(V.vocabulary(spark, d), V.known_words(spark, d), 5000)
 
 
-@query("largest_documents", r"""SELECT source || ':' || doc_id AS title, n_words FROM (SELECT *, len(list_filter(string_split_regex(text, '\s+'), lambda w: w <> '')) AS n_words FROM documents)
+@query("largest_documents", r"""SELECT source || ':' || doc_id AS title, n_words FROM (SELECT *, len(list_filter(string_split_regex(text, '\s+'), lambda w: w <> '')) AS n_words FROM documents WHERE NOT regexp_matches(lower(trim(coalesce(text, ''))), '^#(redirect|alidirektilo)'))
     WHERE n_words >= 200 ORDER BY n_words DESC, title DESC, text DESC LIMIT 100""")
 def largest_documents(spark, d):
     docs = V.table(spark, d, "documents").select(F.concat_ws(":", "source", "doc_id").alias("title"), "text")
     return frequency.largest_documents(docs, 100)
 
 
-@query("token_coverage", rf"""WITH {V.TOK}, {V.KNOWN} SELECT doc_id, count(*) AS n_words, count(k.token) AS n_known FROM tok LEFT JOIN known k USING (token) WHERE regexp_matches(token, '\p{{L}}') GROUP BY doc_id""")
+@query("token_coverage", rf"""WITH {V.TOK}, {V.KNOWN} SELECT doc_id, count(*) AS n_words, count(k.token) AS n_known, coalesce(string_agg(DISTINCT tok.token, ',' ORDER BY tok.token) FILTER (WHERE k.token IS NULL), '') AS unknown FROM tok LEFT JOIN known k ON tok.token = k.token WHERE regexp_matches(tok.token, '\p{{L}}') GROUP BY doc_id""")
 def token_coverage(spark, d):
-    return metrics.token_coverage(V.tokens(spark, d).select("doc_id", "token"), V.known_words(spark, d))
+    return metrics.token_coverage(V.tokens(spark, d).select("doc_id", "token"), V.known_words(spark, d)).withColumn("unknown", F.array_join("unknown", ","))
 
 
 _JUNK = r"(trim(coalesce({0}, '')) = '' OR regexp_matches({0}, '[^\x00-\x7f]') OR lower({0}) IN (" + ", ".join(f"'{w}'" for w in rules.LAYOUT_WORDS) + r") OR regexp_matches({0}, '^-?[0-9]+(\.[0-9]+)?$|^[0-9]+[,;:]|^[0-9.,%\-]+$|^[0-9]+(ma|st|nd|rd|th|ĝa|a|esma)$|^[A-Za-z0-9_]{{0,3}}[0-9]{{2,}}[A-Za-z0-9_]{{0,3}}$'))"
@@ -83,10 +83,23 @@ def recall(spark, d):
 _CLASS = "CASE WHEN regexp_matches({0}, '(ar|ir)$') THEN 'v' WHEN {0} LIKE '%o' THEN 'n' WHEN {0} LIKE '%a' THEN 'adj' WHEN {0} LIKE '%e' THEN 'adv' END"
 
 
-@query("failure_audit", f"""WITH {V.TOK}, {V.KNOWN}, c AS (SELECT token, count(*) AS cnt, coalesce({_CLASS.format('token')}, 'other') AS class FROM tok WHERE lang = 'es' AND NOT {_JUNK.format('token')} AND token NOT IN (SELECT token FROM known) GROUP BY token)
-    SELECT class, place, token, cnt FROM (SELECT *, row_number() OVER (PARTITION BY class ORDER BY cnt DESC, token) AS place FROM c) WHERE place <= 30""")
+# Words of two documents or more can be analysed, those of the benchmark are translated too.
+_FAIL = f"""{V.VOC}, {V.KNOWN}, seen AS (SELECT token FROM tok GROUP BY token HAVING count(DISTINCT doc_id) >= 2), kinds AS (SELECT voc.token, CASE WHEN {_JUNK.format('voc.token')} THEN NULL WHEN s.token IS NULL THEN 'unknown' WHEN k.token IS NULL THEN 'untranslated' END AS kind FROM voc LEFT JOIN seen s ON voc.token = s.token LEFT JOIN known k ON voc.token = k.token)"""
+
+
+def _analysed(spark, d):
+    return V.tokens(spark, d).groupBy("token").agg(F.count_distinct("doc_id").alias("n")).where("n >= 2").select("token")
+
+
+@query("failure_audit", f"""WITH {_FAIL}, c AS (SELECT kind, tok.token, count(*) AS cnt, coalesce({_CLASS.format('tok.token')}, 'other') AS class FROM tok JOIN kinds ON tok.token = kinds.token WHERE lang = 'es' AND kind IS NOT NULL GROUP BY kind, tok.token)
+    SELECT kind, class, place, token, cnt FROM (SELECT *, row_number() OVER (PARTITION BY kind, class ORDER BY cnt DESC, token) AS place FROM c) WHERE place <= 30""")
 def failure_audit(spark, d):
-    return metrics.failure_audit(V.tokens(spark, d).where("lang = 'es'").select("token"), V.known_words(spark, d))
+    return metrics.failure_audit(V.tokens(spark, d).where("lang = 'es'").select("token"), _analysed(spark, d), V.known_words(spark, d))
+
+
+@query("article_errors", f"""WITH {_FAIL} SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE kind = 'unknown') AS n_unknown, count(*) FILTER (WHERE kind = 'untranslated') AS n_untranslated, round(100.0 * count(kind) / count(*), 4) AS error_rate FROM tok JOIN kinds ON tok.token = kinds.token GROUP BY doc_id""")
+def article_errors(spark, d):
+    return metrics.article_errors(V.tokens(spark, d).select("doc_id", "token"), _analysed(spark, d), V.known_words(spark, d))
 
 
 # -- cleaning ---------------------------------------------------------------------------------------
@@ -109,6 +122,11 @@ def clean_translation(spark, d):
     return V.marked(spark, d).select("token", X.clean_translation(F.col("raw")).alias("term"))
 
 
+@query("clean_term", f"WITH {V.MARKED} SELECT token, trim({V.sql_chain('raw', rules.TERM_MARKS)}) AS term FROM marked")
+def clean_term(spark, d):
+    return V.marked(spark, d).select("token", X.clean_term(F.col("raw")).alias("term"))
+
+
 @query("parse_meanings", rf"""WITH {V.MARKED}, t AS (SELECT token, {_TRANSLATION} AS t FROM marked), p AS (SELECT token, t, regexp_extract_all(t, '\(([0-9]+)\)\s*([^;()]+)', 2) AS num, list_transform(string_split(t, ','), lambda x: trim(x)) AS parts FROM t),
     m AS (SELECT token, CASE WHEN t = '' THEN [] WHEN len(num) > 0 THEN num WHEN contains(t, ';') THEN string_split(t, ';') WHEN len(parts) BETWEEN 2 AND 8 AND len(list_filter(parts, lambda x: length(x) >= 20)) = 0 THEN [t] ELSE [replace(t, ',', chr(1))] END AS ms FROM p)
     SELECT token, array_to_string(list_filter(list_transform(ms, lambda x: replace(array_to_string(list_filter(list_transform(string_split(x, ','), lambda y: trim(y)), lambda y: y <> ''), '+'), chr(1), ',')), lambda z: z <> ''), '/') AS meanings FROM m""")
@@ -165,6 +183,11 @@ def classify_categories(spark, d):
     return cats.select("doc_id", X.classify(F.col("cats"), _PATTERNS).alias("class"))
 
 
+@query("category_counts", f"SELECT class, count(*) AS n FROM ({SQL['classify_categories']}) GROUP BY class")
+def category_counts(spark, d):
+    return metrics.histogram(classify_categories(spark, d), "class")
+
+
 @query("pos_and_stem", f"""WITH {V.VOC}, p AS (SELECT token, {_CLASS.format('token')} AS pos FROM voc), q AS (SELECT *, CASE pos WHEN 'v' THEN 'ar__vblex' WHEN 'n' THEN 'o__n' WHEN 'adj' THEN 'a__adj' WHEN 'adv' THEN 'e__adv' END AS paradigm FROM p)
     SELECT token, pos, CASE pos WHEN 'v' THEN regexp_replace(token, '(ar|ir|or)$', '') WHEN 'n' THEN regexp_replace(token, 'o$', '') WHEN 'adj' THEN regexp_replace(token, 'a$', '') WHEN 'adv' THEN regexp_replace(token, 'e$', '') ELSE token END AS stem,
     CASE pos WHEN 'v' THEN 5 WHEN 'adj' THEN 5 WHEN 'adv' THEN 5 ELSE 1 END AS priority, CASE pos WHEN 'v' THEN 'vblex' ELSE pos END AS tag FROM q""")
@@ -199,10 +222,10 @@ def fold_case(spark, d):
     return out.select("lemma", "pos", X.fold_case(F.col("lemma"), F.col("terms"), F.col("pos")).alias("folded"))
 
 
-@query("validate_entries", f"""WITH {V.LEX}, r AS (SELECT lemma, term, CASE WHEN idx % 3 = 0 THEN NULL ELSE sources[1] END AS source, idx * 0.4 AS confidence FROM lex)
-    SELECT lemma, term, concat_ws(',', CASE WHEN source IS NULL THEN 'source' END, CASE WHEN confidence > 1 THEN 'confidence' END) AS errors FROM r""")
+@query("validate_entries", f"""WITH {V.LEX}, r AS (SELECT lemma, CASE WHEN idx % 4 <> 0 THEN term END AS term, CASE WHEN idx % 3 = 0 THEN NULL ELSE sources[1] END AS source, idx * 0.4 AS confidence FROM lex)
+    SELECT lemma, term, concat_ws(',', CASE WHEN term IS NULL THEN 'term' END, CASE WHEN source IS NULL THEN 'source' END, CASE WHEN confidence > 1 THEN 'confidence' END) AS errors FROM r""")
 def validate_entries(spark, d):
-    rows = V.lexicon(spark, d).select("lemma", "term", F.when(F.col("idx") % 3 != 0, F.get("sources", F.lit(0))).alias("source"), (F.col("idx") * 0.4).alias("confidence"))
+    rows = V.lexicon(spark, d).select("lemma", F.when(F.col("idx") % 4 != 0, F.col("term")).alias("term"), F.when(F.col("idx") % 3 != 0, F.get("sources", F.lit(0))).alias("source"), (F.col("idx") * 0.4).alias("confidence"))
     return derive.validation_errors(rows).select("lemma", "term", "errors")
 
 
@@ -238,6 +261,14 @@ def order_terms(spark, d):
     return rank.order_terms(V.lexicon(spark, d), V.RANKS)
 
 
+@query("entry_quality", f"""WITH {V.LEX}, e AS (SELECT lemma, list_distinct(flatten(list(list_filter(sources, lambda s: CAST(substr(s, 4) AS INT) % (1 + length(term) % 7) = 0)))) AS s FROM lex GROUP BY lemma)
+    SELECT lemma, CASE WHEN len(list_filter(s, lambda x: x NOT IN ('src0', 'src4'))) > 0 THEN CASE WHEN list_contains(s, 'src0') THEN 1 ELSE 0 END WHEN list_contains(s, 'src4') THEN 2 ELSE 3 END AS quality FROM e""")
+def entry_quality(spark, d):
+    some = F.filter("sources", lambda s: F.substr(s, F.lit(4)).cast("int") % (1 + F.length("term") % 7) == 0)
+    e = V.lexicon(spark, d).groupBy("lemma").agg(F.array_distinct(F.flatten(F.collect_list(some))).alias("sources"))
+    return rank.order_entries(e, embedding=("src0",), via=("src4",)).select("lemma", "quality")
+
+
 @query("demote", f"""WITH {V.LEX}, x AS (SELECT lemma, term, idx, (regexp_matches(lemma, '(o|a|e|ar|ir|or|n|s)$') AND lemma NOT LIKE '%eskar' AND term LIKE '%es' AND list_contains(list(term) OVER (PARTITION BY lemma), regexp_replace(term, 'es$', 'e'))) AS low FROM lex)
     SELECT lemma, term, row_number() OVER (PARTITION BY lemma ORDER BY low, idx) - 1 AS idx FROM x""")
 def demote(spark, d):
@@ -347,7 +378,7 @@ def find_conflicts(spark, d):
     return merge.find_conflicts(V.lexicon(spark, d))
 
 
-@query("source_stats", f"WITH {V.LEX}, f AS (SELECT lemma, term, unnest(sources) AS source FROM lex) SELECT source, count(DISTINCT lemma) AS n_entries, count(*) AS n_pairs FROM f GROUP BY source")
+@query("source_stats", f"WITH {V.LEX}, f AS (SELECT lemma, term, unnest(sources) AS source FROM lex) SELECT source, count(DISTINCT lemma) AS n_entries, count(*) AS n_pairs, count(DISTINCT lemma || ' ' || term) AS n_terms FROM f GROUP BY source")
 def source_stats(spark, d):
     return merge.source_stats(V.lexicon(spark, d))
 
@@ -365,9 +396,9 @@ def apply_overrides(spark, d):
     return merge.apply_overrides(lex, table).select("lemma", "term", F.array_join("sources", ",").alias("sources"))
 
 
-@query("lexicon_stats", f"""WITH {V.LEX}, p AS (SELECT lemma, count(*) AS n, len(list_distinct(flatten(list(sources)))) AS s FROM lex GROUP BY lemma) SELECT count(*) AS entries, sum(n)::BIGINT AS candidates, count(*) FILTER (WHERE n > 1) AS multi, count(*) FILTER (WHERE s = 1) AS single_source, count(*) FILTER (WHERE s = 0) AS unsourced FROM p""")
+@query("lexicon_stats", f"""WITH {V.LEX}, p AS (SELECT lemma, count(*) AS n, len(list_distinct(flatten(list(sources)))) AS s, len(list_filter(list_distinct(flatten(list(sources))), lambda x: contains(x, 'src1'))) AS e FROM lex GROUP BY lemma) SELECT count(*) AS entries, sum(n)::BIGINT AS candidates, count(*) FILTER (WHERE n > 1) AS multi, count(*) FILTER (WHERE s = 1) AS single_source, count(*) FILTER (WHERE s = 0) AS unsourced, count(*) FILTER (WHERE s > 0 AND e = s) AS encyclopedia_only FROM p""")
 def lexicon_stats(spark, d):
-    return metrics.lexicon_stats(V.lexicon(spark, d))
+    return metrics.lexicon_stats(V.lexicon(spark, d), encyclopedia="src1")
 
 
 # -- joins ------------------------------------------------------------------------------------------
@@ -401,11 +432,12 @@ def link_pairs(spark, d):
     return joins.link_pairs(pages, links)
 
 
-@query("pivot_join", f"""WITH {V.LEX}, a AS (SELECT DISTINCT lemma, lower(substr(term, 1, 6)) AS "pivot" FROM lex), b AS (SELECT DISTINCT term, lower(substr(term, 1, 6)) AS "pivot" FROM lex) SELECT lemma, term, "pivot" FROM a JOIN b USING ("pivot")""")
+@query("pivot_join", f"""WITH {V.LEX}, a AS (SELECT lemma, lower(substr(term, 1, 6)) AS "pivot", list_sort(list_distinct(flatten(list(sources)))) AS s FROM lex GROUP BY ALL), b AS (SELECT term, lower(substr(term, 1, 6)) AS "pivot", list_sort(list_distinct(flatten(list(sources)))) AS t FROM lex GROUP BY ALL)
+    SELECT lemma, term, "pivot", CAST(0.7 AS DOUBLE) AS confidence, array_to_string(list_concat(s, t), ',') AS sources FROM a JOIN b USING ("pivot")""")
 def pivot_join(spark, d):
     lex = V.lexicon(spark, d)
     pivot = F.substring("term", 1, 6).alias("pivot")
-    return joins.pivot_join(lex.select("lemma", pivot), lex.select("term", pivot))
+    return joins.pivot_join(lex.select("lemma", pivot, "sources"), lex.select("term", pivot, "sources")).withColumn("sources", F.array_join("sources", ","))
 
 
 def _page_rows(spark, d):
@@ -493,13 +525,15 @@ def existing_wins(spark, d):
     return joins.existing_wins(V.known_words(spark, d).select(word, F.lit("old").alias("origin")), V.vocabulary(spark, d).select(word, F.lit("new").alias("origin")))
 
 
-@query("merge_case_twins", f"""WITH {V.LEX}, l AS (SELECT lemma, list_sort(list(term)) AS t FROM lex WHERE length(lemma) % 3 <> 0 GROUP BY lemma), h AS (SELECT upper(substr(lemma, 1, 1)) || substr(lemma, 2) AS lemma, lemma AS k, list_sort(list(term || CASE WHEN idx % 2 = 0 THEN 'x' ELSE '' END)) AS t FROM lex GROUP BY lemma)
-    SELECT l.lemma, array_to_string(list_concat(l.t, list_filter(h.t, lambda x: NOT list_contains(l.t, x))), ',') AS terms FROM l JOIN h ON h.k = l.lemma UNION ALL SELECT lemma, array_to_string(t, ',') FROM h WHERE k NOT IN (SELECT lemma FROM l)""")
+@query("merge_case_twins", f"""WITH {V.LEX}, l AS (SELECT lemma, list_sort(list(term)) AS t, list_sort(list_append(list_distinct(flatten(list(sources))), 'cap')) AS s, CASE WHEN length(lemma) % 2 = 0 THEN 'o__n' ELSE 'a__adj' END AS p FROM lex WHERE length(lemma) % 3 <> 0 GROUP BY lemma), h AS (SELECT upper(substr(lemma, 1, 1)) || substr(lemma, 2) AS lemma, lemma AS k, list_sort(list(term || CASE WHEN idx % 2 = 0 THEN 'x' ELSE '' END)) AS t FROM lex GROUP BY lemma)
+    SELECT l.lemma, array_to_string(list_concat(l.t, list_filter(h.t, lambda x: NOT list_contains(l.t, x))), ',') AS terms, array_to_string(l.s, ',') AS sources, p AS paradigm FROM l JOIN h ON h.k = l.lemma UNION ALL SELECT lemma, array_to_string(t, ','), 'cap', 'a__adj' FROM h WHERE k NOT IN (SELECT lemma FROM l)""")
 def merge_case_twins(spark, d):
     lex = V.lexicon(spark, d)
-    low = lex.where("length(lemma) % 3 != 0").groupBy("lemma").agg(F.array_sort(F.collect_list("term")).alias("terms"))
+    low = lex.where("length(lemma) % 3 != 0").groupBy("lemma").agg(F.array_sort(F.collect_list("term")).alias("terms"), F.array_distinct(F.flatten(F.collect_list("sources"))).alias("sources"))
+    low = low.withColumn("paradigm", F.when(F.length("lemma") % 2 == 0, "o__n"))
     high = lex.groupBy(F.concat(F.upper(F.substring("lemma", 1, 1)), F.substr("lemma", F.lit(2))).alias("lemma")).agg(F.array_sort(F.collect_list(F.when(F.col("idx") % 2 == 0, F.concat("term", F.lit("x"))).otherwise(F.col("term")))).alias("terms"))
-    return joins.merge_case_twins(low.unionByName(high)).withColumn("terms", F.array_join("terms", ","))
+    high = high.withColumns({"sources": F.array(F.lit("cap")), "paradigm": F.lit("a__adj")})
+    return joins.merge_case_twins(low.unionByName(high)).withColumns({"terms": F.array_join("terms", ","), "sources": F.array_join("sources", ",")})
 
 
 @query("class_twin", f"WITH {V.LEX}, {V.KNOWN} SELECT lemma, term, 'both' AS direction FROM lex UNION ALL SELECT lemma || '<f>', term, 'rl' FROM lex WHERE term IN (SELECT token FROM voc WHERE cnt > 3)")
@@ -527,18 +561,20 @@ def lemmatize(spark, d):
     return joins.lemmatize(V.vocabulary(spark, d), derive.expand_surfaces(_stems(spark, d)))
 
 
-@query("join_categories", f"""WITH {V.TOK}, {V.KNOWN}, p AS (SELECT token AS title, list_sort(list(DISTINCT source))[1:3] AS cats FROM tok GROUP BY token)
-    SELECT k.token AS word, CASE WHEN p.title IS NULL THEN 'no_wikipedia_article' ELSE 'vocabulary' END AS class FROM known k LEFT JOIN p ON k.token = p.title""")
+@query("join_categories", f"""WITH {V.TOK}, {V.KNOWN}, p AS (SELECT token AS title, list_sort(list(DISTINCT lang || ':' || source))[1:3] AS cats FROM tok GROUP BY token),
+    c AS (SELECT title, list_filter(list_transform(cats, lambda c: CASE WHEN regexp_matches(c, 'es:src1') THEN 'geography' WHEN regexp_matches(c, 'fr:|de:src2') THEN 'people' WHEN regexp_matches(c, 'src[37]$') THEN 'temporal' END), lambda x: x IS NOT NULL) AS f FROM p)
+    SELECT k.token AS word, CASE WHEN p.title IS NULL THEN 'no_wikipedia_article' ELSE coalesce(f[1], 'vocabulary') END AS class FROM known k LEFT JOIN c p ON k.token = p.title""")
 def join_categories(spark, d):
-    pages = V.tokens(spark, d).groupBy(F.col("token").alias("title")).agg(F.slice(F.array_sort(F.collect_set("source")), 1, 3).alias("categories"))
-    return joins.join_categories(V.known_words(spark, d).select(F.col("token").alias("word")), pages)
+    pages = V.tokens(spark, d).groupBy(F.col("token").alias("title")).agg(F.slice(F.array_sort(F.collect_set(F.concat_ws(":", "lang", "source"))), 1, 3).alias("categories"))
+    patterns = {"geography": ("es:src1",), "people": ("fr:", "de:src2"), "temporal": ("src[37]$",)}
+    return joins.join_categories(V.known_words(spark, d).select(F.col("token").alias("word")), pages, patterns)
 
 
-@query("output_diff", """WITH o AS (SELECT o_orderkey AS id, o_orderstatus AS out FROM orders WHERE o_orderkey % 10 <> 0), n AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS out FROM orders WHERE o_orderkey % 11 <> 0)
-    SELECT CASE WHEN o.out IS NULL THEN 'gained' WHEN n.out IS NULL THEN 'lost' WHEN o.out = n.out THEN 'same' ELSE 'changed' END AS status, count(*) AS n FROM o FULL JOIN n ON o.id = n.id GROUP BY 1""")
+@query("output_diff", """WITH o AS (SELECT o_orderkey AS id, o_orderstatus AS out FROM orders WHERE o_orderkey % 10 <> 0), n AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 = 0 THEN '[ERROR] ' || o_orderstatus ELSE o_orderstatus END AS out FROM orders WHERE o_orderkey % 11 <> 0)
+    SELECT CASE WHEN o.out IS NULL THEN 'gained' WHEN n.out IS NULL THEN 'lost' WHEN o.out = n.out THEN 'same' ELSE 'changed' END AS status, count(*) AS n, count(*) FILTER (WHERE contains(o.out, '[ERROR]')) AS old_errors, count(*) FILTER (WHERE contains(n.out, '[ERROR]')) AS new_errors FROM o FULL JOIN n ON o.id = n.id GROUP BY 1""")
 def output_diff(spark, d):
     o = V.table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("out"))
-    return joins.output_diff(o.where("id % 10 != 0"), o.where("id % 11 != 0").withColumn("out", F.when(F.col("id") % 7 == 0, "X").otherwise(F.col("out"))))
+    return joins.output_diff(o.where("id % 10 != 0"), o.where("id % 11 != 0").withColumn("out", F.when(F.col("id") % 7 == 0, F.concat(F.lit("[ERROR] "), "out")).otherwise(F.col("out"))))
 
 
 @query("top_unlinked", r"""WITH e AS (SELECT user_id % (SELECT count(*) FROM pages) AS page_id, count(*) AS views FROM events GROUP BY 1), p AS (SELECT regexp_extract(url, '([^/]*/[^/?#]*)[/?#]?[^/]*$', 1) AS page, sum(views)::BIGINT AS views FROM pages JOIN e USING (page_id) GROUP BY 1),
@@ -588,14 +624,15 @@ def derive_pairs(spark, d):
     return derive.derive_pairs(pairs, V.vocabulary(spark, d), V.known_words(spark, d).select(F.col("token").alias("lemma")))
 
 
-@query("twin_entries", f"""WITH {V.VOC}, e AS (SELECT token AS lemma, CASE WHEN token LIKE '%a' AND length(token) % 2 = 0 THEN 'a__adj' ELSE 'o__n' END AS paradigm, row_number() OVER (ORDER BY token) AS ord FROM voc WHERE regexp_matches(token, '[oa]$')),
+@query("twin_entries", f"""WITH {V.VOC}, e AS (SELECT token AS lemma, CASE WHEN token LIKE '%a' AND length(token) % 2 = 0 THEN 'a__adj' ELSE 'o__n' END AS paradigm, row_number() OVER (ORDER BY token) AS ord, length(token) % 3 = 0 AS w FROM voc WHERE regexp_matches(token, '[oa]$')),
     x AS (SELECT lemma, 'x' AS pos, paradigm, ord, 0 AS k FROM e UNION ALL SELECT left(lemma, length(lemma) - 3) || 'ana', 'adjective', 'a__adj', ord, 1 FROM e WHERE lemma LIKE '%ano' AND paradigm = 'o__n'
     UNION ALL SELECT left(lemma, length(lemma) - 3) || 'ano', 'noun', 'o__n', ord, 2 FROM e WHERE lemma LIKE '%ana' AND paradigm = 'a__adj' UNION ALL SELECT lemma || 'na', 'adjective', 'a__adj', ord, 3 FROM e WHERE lemma LIKE '%ia' AND paradigm = 'o__n'
+    UNION ALL SELECT lemma || 'na', 'adjective', 'a__adj', ord, 3.5 FROM e WHERE w AND lemma LIKE '%a' AND paradigm = 'o__n' AND length(lemma) > 3
     UNION ALL SELECT left(lemma, length(lemma) - 2), 'noun', 'o__n', ord, 4 FROM e WHERE lemma LIKE '%iana' AND paradigm = 'a__adj' UNION ALL SELECT left(lemma, length(lemma) - 2), 'noun', 'o__n', ord, 5 FROM e WHERE lemma LIKE '%ana' AND paradigm = 'a__adj'),
     r AS (SELECT *, row_number() OVER (PARTITION BY lemma ORDER BY ord, k) AS n FROM x) SELECT lemma, pos, paradigm, k > 0 AS made FROM r WHERE k = 0 OR n = 1""")
 def twin_entries(spark, d):
     e = V.vocabulary(spark, d).where(F.col("token").rlike("[oa]$"))
-    e = e.select(F.col("token").alias("lemma"), F.lit("x").alias("pos"), F.when(F.col("token").endswith("a") & (F.length("token") % 2 == 0), "a__adj").otherwise("o__n").alias("paradigm"), F.col("token").alias("ord"))
+    e = e.select(F.col("token").alias("lemma"), F.lit("x").alias("pos"), F.when(F.col("token").endswith("a") & (F.length("token") % 2 == 0), "a__adj").otherwise("o__n").alias("paradigm"), F.col("token").alias("ord"), (F.length("token") % 3 == 0).alias("encyclopedic"))
     return derive.twin_entries(e)
 
 
@@ -636,6 +673,15 @@ def feature_rows(spark, d):
     return derive.feature_rows(V.vocabulary(spark, d).select(F.col("token").alias("lemma"), F.reverse("token").alias("term")), ("le", "la", "de", "en", "the", "of", "and", "el"), ["m.sg", "f.sg", "mf.pl", "nt"])
 
 
+_PERSONS = [("el", "p3", "m", "sg"), ("al", "p3", "f", "sg"), ("ed", "p1", "mf", "pl"), ("ne", "p3", "nt", "sg"), ("eht", "p2", "mf", "sp")]
+
+
+@query("pronoun_rows", f"""WITH {V.VOC}, f(term, p, g, n) AS (VALUES {', '.join(map(str, _PERSONS))}), r(k, tags) AS (SELECT term, unnest(['subj.' || p || '.' || g || '.' || n, CASE WHEN g = 'm' THEN 'subj.' || p || '.mf.' || n END, p || '.' || g || '.' || n || '.nom', p || '.' || g || '.' || n || '.acc', 'obj.' || p || '.' || g || '.' || n]) FROM f)
+    SELECT token AS lemma, reverse(token) AS term, tags, 'rl' AS direction FROM voc JOIN r ON reverse(token) = k WHERE tags IS NOT NULL""")
+def pronoun_rows(spark, d):
+    return derive.pronoun_rows(V.vocabulary(spark, d).select(F.col("token").alias("lemma"), F.reverse("token").alias("term")), _PERSONS)
+
+
 _COLS, _ROWS = [("th", "ti"), ("an", "iu"), ("er", "ki"), ("qu", "neni")], [("e", "e"), ("at", "a"), ("er", "u"), ("is", "o")]
 
 
@@ -644,9 +690,9 @@ def grid_pairs(spark, d):
     return derive.grid_pairs(V.vocabulary(spark, d).select(F.col("token").alias("lemma")), _COLS, _ROWS)
 
 
-@query("page_entries", r"SELECT url AS lemma, 'propn' AS pos, 'o__n' AS paradigm, length(html) AS text_length, len(regexp_extract_all(coalesce(html, ''), '(?i)\[\[kategorio:([^\]|]+)', 1)) AS n_categories FROM pages")
+@query("page_entries", r"SELECT url AS lemma, 'propn' AS pos, 'o__n' AS paradigm, length(html) AS text_length, len(regexp_extract_all(coalesce(html, ''), '(?i)\[\[kategorio:([^\]|]+)', 1)) AS n_categories, array_to_string(regexp_extract_all(coalesce(html, ''), '(?i)\[\[kategorio:([^\]|]+)', 1), '|') AS categories FROM pages")
 def page_entries(spark, d):
-    return derive.page_entries(V.table(spark, d, "pages").select(F.col("url").alias("title"), F.col("html").alias("text")))
+    return derive.page_entries(V.table(spark, d, "pages").select(F.col("url").alias("title"), F.col("html").alias("text"))).withColumn("categories", F.array_join("categories", "|"))
 
 
 @query("keep_without_term", f"""WITH {V.VOC}, e AS (SELECT token AS lemma, CASE WHEN cnt % 5 = 0 THEN 'adv' ELSE 'n' END AS pos, cnt % 2 AS n_terms, cnt % 3 AS n_other FROM voc)
@@ -703,6 +749,17 @@ def score_by_tag(spark, d):
     return metrics.score_by_tag(metrics.chrf(pairs.select("id", "hyp", "ref")), pairs.select("id", F.col("role").alias("tag")))
 
 
+@query("flagged_pairs", rf"""WITH {_CHRF}, {V.KNOWN}, u0 AS (SELECT id, unnest(string_split_regex(lower(coalesce(hyp, '')), '[^\p{{L}}\p{{N}}_]+')) AS token FROM p),
+    u AS (SELECT id, string_agg(DISTINCT u0.token, ',' ORDER BY u0.token) AS unknown FROM u0 LEFT JOIN known k ON u0.token = k.token WHERE length(u0.token) >= 2 AND regexp_matches(u0.token, '\p{{L}}') AND k.token IS NULL GROUP BY id)
+    SELECT chr.id, chrf, coalesce(unknown, '') AS unknown FROM chr LEFT JOIN u ON chr.id = u.id WHERE chrf < 70 OR unknown IS NOT NULL""")
+def flagged_pairs(spark, d):
+    pairs = _turn_pairs(spark, d).select("id", "hyp", "ref")
+    words = frequency.tokens(pairs.select(F.col("id").alias("doc_id"), "hyp"), "hyp")
+    unknown = metrics.token_coverage(words, V.known_words(spark, d)).select(F.col("doc_id").alias("id"), "unknown")
+    scores = metrics.chrf(pairs).join(unknown, "id", "left").withColumn("unknown", F.coalesce("unknown", F.array().cast("array<string>")))
+    return metrics.flagged(scores).withColumn("unknown", F.array_join("unknown", ","))
+
+
 @query("gap_stats", f"WITH {V.VOC}, e AS (SELECT cnt % 3 AS t, cnt % 2 AS p FROM voc) SELECT count(*) AS total, count(*) FILTER (WHERE t = 0) AS without_target, count(*) FILTER (WHERE t = 0 AND p > 0) AS pivot_only, count(*) FILTER (WHERE t = 0 AND p = 0) AS bare FROM e")
 def gap_stats(spark, d):
     return metrics.gap_stats(V.vocabulary(spark, d).select(F.col("token").alias("lemma"), (F.col("cnt") % 3).alias("n_target"), (F.col("cnt") % 2).alias("n_pivot")))
@@ -724,6 +781,18 @@ def batch_metadata(spark, d):
     return metrics.batch_metadata(V.vocabulary(spark, d).select((F.col("cnt") % 3).alias("n_terms"), X.pos_by_ending(F.col("token")).alias("paradigm")))
 
 
+@query("source_breakdown", f"WITH {V.ENT} SELECT source, count(*) AS n FROM ent GROUP BY source")
+def source_breakdown(spark, d):
+    return metrics.histogram(V.entries(spark, d), "source")
+
+
+@query("split_bilingual", f"""WITH {V.LEX}, e AS (SELECT lemma, count(*) FILTER (WHERE len(sources) % 3 = 0) AS k FROM lex GROUP BY lemma) SELECT lemma, 'all' AS part FROM e UNION ALL SELECT lemma, 'bilingual' FROM e WHERE k > 0""")
+def split_bilingual(spark, d):
+    t = F.struct("term", F.when(F.size("sources") % 3 == 0, "eo").otherwise("en").alias("lang"))
+    both, every = derive.split_bilingual(V.lexicon(spark, d).groupBy("lemma").agg(F.collect_list(t).alias("translations")))
+    return every.select("lemma", F.lit("all").alias("part")).unionByName(both.select("lemma", F.lit("bilingual").alias("part")))
+
+
 @query("to_unified", f"WITH {V.ENT} SELECT DISTINCT lower(lemma) AS lemma, term, pos AS lang, CAST(0.6 AS DOUBLE) AS confidence, 'corpus' AS source FROM ent")
 def to_unified(spark, d):
     return writers.to_unified(V.entries(spark, d).select(F.lower("lemma").alias("lemma"), "term", F.col("pos").alias("lang"), "ord"), "corpus")

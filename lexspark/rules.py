@@ -13,6 +13,18 @@ SOURCE_RANK = {
 DEFAULT_RANK = 2
 # Sources that are known from embeddings alone.
 EMBEDDING_SOURCES = ("bert_embeddings",)
+# Sources that come by way of a third language.
+VIA_SOURCES = ("en_wiktionary_via",)
+# Person, gender and number of the target language's personal pronouns.
+PERSON_FEATURES = [
+    ("mi", "p1", "mf", "sg"), ("ni", "p1", "mf", "pl"), ("ci", "p2", "mf", "sp"), ("vi", "p2", "mf", "sp"),
+    ("li", "p3", "m", "sg"), ("ŝi", "p3", "f", "sg"), ("ĝi", "p3", "nt", "sg"), ("ili", "p3", "mf", "pl"),
+]
+# Marks that a page leaves in a dictionary term, removed in this order.
+TERM_MARKS = [
+    (r"(?i)\s*Kategorio:.*", ""), (r"\[\[([^\]|]+)(?:\|[^\]]+)?\]\]", "$1"), (r"\s*[↓→←↑]\s*", " "), (r"\s*\([^)]*\)\s*", " "),
+    (r"\s*\[[^\]]*\]\s*", " "), (r"\s+", " "), (" ,", ","), (",  ", ", "),
+]
 
 # Long part-of-speech names and their short tags.
 SHORT_POS = {

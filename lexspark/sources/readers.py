@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +53,7 @@ def read_sql_tuples(spark: SparkSession, path: str, kind: str, arg: str = "") ->
 
 
 def read_lexicon(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Entries of JSON files, a list or ``{metadata, entries}``, senses or top-level translations: lemma, pos, lang, term, confidence, source, ord."""
+    """Entries of JSON files, a list or ``{metadata, entries}``, senses or top-level translations: lemma, pos, lang, term, confidence, source, ord. A missing file is warned about and left out."""
     schema = (
         "lemma string, pos string, language string, source string, entries array<struct<lemma: string, pos: string, language: string, source: string, "
         "translations: array<struct<term: string, lang: string, confidence: double, source: string>>, senses: array<struct<translations: array<struct<term: string, lang: string, confidence: double, source: string>>>>>>, "
@@ -65,7 +67,17 @@ def read_lexicon(spark: SparkSession, paths: list[str]) -> DataFrame:
         rows = entries.select("row", "at", "e", F.posexplode_outer(terms).alias("k", "t"))
         return rows.select("e.lemma", "e.pos", "t.lang", "t.term", "t.confidence", F.coalesce("t.source", "e.source").alias("source"), F.struct(F.lit(seq).alias("file"), "row", "at", F.coalesce("k", F.lit(0)).alias("k")).alias("ord"))
 
-    return reduce(DataFrame.unionByName, [one(i, p) for i, p in enumerate(paths)])
+    found = []
+    for i, path in enumerate(paths):
+        try:
+            found.append(one(i, path))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            warnings.warn(f"no lexicon file {path}", stacklevel=2)
+    if not found:
+        raise FileNotFoundError(", ".join(paths))
+    return reduce(DataFrame.unionByName, found)
 
 
 def read_parallel_tsv(spark: SparkSession, path: str) -> DataFrame:

@@ -85,19 +85,20 @@ def test_twin_entries_against_a_sequential_version(spark):
     rng = random.Random(4)
     words = sorted({"".join(rng.choices(["a", "o", "i", "n", "ano", "ia", "iana", "b"], k=rng.randint(1, 3))) for _ in range(150)})
     rng.shuffle(words)
-    rows = [(w, "x", "a__adj" if w.endswith("a") and len(w) % 2 else "o__n", i) for i, w in enumerate(words)]
+    rows = [(w, "x", "a__adj" if w.endswith("a") and len(w) % 2 else "o__n", i, i % 3 == 0) for i, w in enumerate(words)]
     seen, want = set(), []
     # A twin is made only where no earlier row or twin has its lemma; the rows themselves always stay.
-    for w, pos, par, _ in rows:
+    for w, pos, par, _, wiki in rows:
         seen.add(w)
         want.append((w, pos, par, False))
-        for ending, asked, new, made, tag in derive.TWIN_RULES:
+        rules_of = [*derive.TWIN_RULES[:3], *([derive.ENCYCLOPEDIC_TWIN] if wiki and len(w) > 3 else []), *derive.TWIN_RULES[3:]]
+        for ending, asked, new, made, tag in rules_of:
             if w.endswith(ending) and par == asked:
                 twin = w[: -len(ending)] + new
                 if twin not in seen:
                     seen.add(twin)
                     want.append((twin, tag, made, True))
-    got = [tuple(r) for r in derive.twin_entries(spark.createDataFrame(rows, "lemma string, pos string, paradigm string, ord int")).collect()]
+    got = [tuple(r) for r in derive.twin_entries(spark.createDataFrame(rows, "lemma string, pos string, paradigm string, ord int, encyclopedic boolean")).collect()]
     assert sorted(got) == sorted(want)
 
 
@@ -213,3 +214,63 @@ def test_tagged_derivations(spark):
 def test_paradigm_surfaces(spark):
     got = {r.surface: r.tags for r in derive.expand_surfaces(spark.createDataFrame([("monto", "o__n"), ("bona", "a__adj")], "lemma string, paradigm string")).collect()}
     assert len(got) == 21 and got["montala"] == "n.der_ala.adj.sg.nom" and got["montini"] == "n.f.pl.nom" and got["boneso"] == "adj.der_qual.n.sg.nom"
+
+
+def test_case_twins(spark):
+    schema = "lemma string, terms array<string>, sources array<string>, paradigm string"
+    rows = [("kato", ["Kat", "miao"], ["b"], None), ("Kato", ["KAT", "felo"], ["a"], "o__n"), ("KATO", ["Felo", "besto"], ["c"], "x"), ("Korea", ["Koreio"], ["a"], None), ("muso", ["a", "A"], ["b"], None)]
+    # The larger spelling of capitals comes first in binary order.
+    want = {"kato": (["Kat", "miao", "Felo", "besto"], ["a", "b", "c"], "x"), "Korea": (["Koreio"], ["a"], None), "muso": (["a"], ["b"], None)}
+    got = joins.merge_case_twins(spark.createDataFrame(rows, schema)).collect()
+    assert {r.lemma: (r.terms, r.sources, r.paradigm) for r in got} == want
+    assert joins.merge_case_twins(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_pronoun_rows(spark):
+    got = derive.pronoun_rows(spark.createDataFrame([("il", "li"), ("el", "ŝi"), ("kato", "kato"), (None, None)], "lemma string, term string"))
+    assert sorted((r.lemma, r.tags) for r in got.collect()) == sorted(
+        [("el", "subj.p3.f.sg"), ("el", "p3.f.sg.nom"), ("el", "p3.f.sg.acc"), ("el", "obj.p3.f.sg")]
+        + [("il", "subj.p3.m.sg"), ("il", "subj.p3.mf.sg"), ("il", "p3.m.sg.nom"), ("il", "p3.m.sg.acc"), ("il", "obj.p3.m.sg")]
+    )
+
+
+def test_entry_quality(spark):
+    rows = [("b", ["en_wiktionary_via"]), ("A", ["io_wiktionary"]), ("a", ["io_wiktionary", "bert_embeddings"]), ("c", ["bert_embeddings"]), ("d", []), ("B", ["bert_embeddings", "en_wiktionary_via"])]
+    got = rank.order_entries(spark.createDataFrame(rows, "lemma string, sources array<string>")).collect()
+    assert [(r.lemma, r.quality) for r in got] == [("A", 0), ("a", 1), ("B", 2), ("b", 2), ("c", 3), ("d", 3)]
+
+
+def test_failures_and_errors(spark):
+    docs = spark.createDataFrame([(1, "kato"), (1, "xo"), (1, "xo"), (1, "12"), (2, "hundo"), (2, "kato")], "doc_id long, token string")
+    known, done = (spark.createDataFrame([(w,) for w in ws], "token string") for ws in (["kato", "hundo"], ["kato"]))
+    assert sorted(tuple(r) for r in metrics.failure_audit(docs.select("token"), known, done).collect()) == [("unknown", "n", 1, "xo", 2), ("untranslated", "n", 1, "hundo", 1)]
+    assert sorted(tuple(r) for r in metrics.article_errors(docs, known, done).collect()) == [(1, 4, 2, 0, 50.0), (2, 2, 0, 1, 50.0)]
+    assert sorted(tuple(r) for r in metrics.token_coverage(docs, done).collect()) == [(1, 3, 1, ["xo"]), (2, 2, 1, ["hundo"])]
+    scores = spark.createDataFrame([(1, 80.0, ["x"]), (2, 60.0, []), (3, 90.0, [])], "id int, chrf double, unknown array<string>")
+    assert sorted(r.id for r in metrics.flagged(scores).collect()) == [1, 2]
+    old, new = (spark.createDataFrame(r, "id int, out string") for r in ([(1, "a"), (2, "[ERROR] b"), (3, "c")], [(1, "a"), (2, "b"), (4, "[TRANSLATION ERROR]")]))
+    assert sorted(tuple(r) for r in joins.output_diff(old, new).collect()) == [("changed", 1, 1, 0), ("gained", 1, 0, 1), ("lost", 1, 0, 0), ("same", 1, 0, 0)]
+
+
+def test_clean_term_redirects_and_split(spark):
+    raw = ["de ↓ (indikante aganton)", "en ↓", "[[vorto]]", "[[a|b]] x", "klara ↓, distinta", "x Kategorio:Eo y", "a [b] c", None]
+    assert apply(spark, raw, X.clean_term) == ["de", "en", "vorto", "a x", "klara, distinta", "x", "a c", ""]
+    docs = spark.createDataFrame([("r", " #REDIRECT [[x]]" + " a" * 300), ("t", "b " * 200), ("s", "c " * 199), ("n", None)], "title string, text string")
+    assert [(r.title, r.n_words) for r in frequency.largest_documents(docs, 5).collect()] == [("t", 200)]
+    entries = spark.createDataFrame([("a", [("x", "eo")]), ("b", [("y", "en")]), ("c", None)], "lemma string, translations array<struct<term: string, lang: string>>")
+    both, every = derive.split_bilingual(entries)
+    assert ([r.lemma for r in both.collect()], every.count()) == (["a"], 3)
+
+
+def test_missing_lexicon_file(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"lemma": "hundo"}]')
+    with pytest.warns(UserWarning, match="no lexicon file"):
+        assert [r.lemma for r in readers.read_lexicon(spark, [str(tmp_path / "none.json"), str(tmp_path / "a.json")]).collect()] == ["hundo"]
+    with pytest.warns(UserWarning), pytest.raises(FileNotFoundError):
+        readers.read_lexicon(spark, [str(tmp_path / "none.json")])
+
+
+def test_pivot_join(spark):
+    a = spark.createDataFrame([("kato", "Cat", ["s"]), ("kato", "cat", ["r"]), ("x", None, ["s"])], "lemma string, pivot string, sources array<string>")
+    b = spark.createDataFrame([("felo", "cat", ["t"]), ("y", None, ["t"])], "term string, pivot string, sources array<string>")
+    assert [tuple(r) for r in joins.pivot_join(a, b).collect()] == [("kato", "felo", "cat", 0.7, ["r", "s", "t"])]
