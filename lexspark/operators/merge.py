@@ -31,9 +31,23 @@ def canonical_lemma(rows: DataFrame) -> DataFrame:
 
 
 def merge_by_lemma(rows: DataFrame) -> DataFrame:
-    """Per lower-case lemma the pos of the source with the highest priority, the first at a tie; rows (lemma, pos, source, priority, ord)."""
-    best = F.max_by(F.struct("pos", "source"), F.struct("priority", -F.col("ord")))
-    return rows.groupBy(F.lower("lemma").alias("key")).agg(best.alias("b"), F.count(F.lit(1)).alias("n")).select("key", "b.pos", "b.source", "n")
+    """Per lower-case lemma: key, pos, paradigm, source (that of the pos), n; rows (lemma, pos, paradigm, source, priority, ord, encyclopedic).
+
+    Part of speech and paradigm each come from the source with the highest priority that gives one, the first
+    at a tie. A proper noun of an encyclopedia wins over all; a function word has the paradigm of its class; a missing paradigm
+    is that of the class. A lemma of a single row keeps what it has.
+    """
+    order = F.struct("priority", -F.col("ord"))
+    told = (F.coalesce("pos", F.lit("")) != "") & (F.col("priority") > 0)
+    best = rows.groupBy(F.lower("lemma").alias("key")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.col("encyclopedic") & (F.col("pos") == "np")).alias("np"), F.min_by(F.struct("pos", "source"), "ord").alias("first"),
+        F.max_by(F.struct("pos", "source"), F.when(told, order)).alias("best"), F.max_by("paradigm", F.when(F.col("paradigm").isNotNull() & (F.col("priority") > 0), order)).alias("par"), F.min_by("paradigm", "ord").alias("own"),
+    )
+    proper = F.coalesce("np", F.lit(False))
+    pos = F.when(F.col("n") == 1, F.col("first.pos")).when(proper, "np").otherwise(F.coalesce("best.pos", "first.pos"))
+    of_class = X.lookup(rules.POS_PARADIGM, X.short_pos(F.col("pos")))
+    merged = F.when(F.col("n") == 1, F.col("own")).when(proper, "np__np").when(of_class.startswith("__"), of_class).otherwise(F.coalesce("par", of_class))
+    return best.withColumn("pos", pos).select("key", "pos", merged.alias("paradigm"), F.coalesce("best.source", "first.source").alias("source"), "n")
 
 
 def _union_sources():
@@ -61,17 +75,19 @@ def fold_inflections(cands: DataFrame, keys: tuple[str, ...] = ("lemma",)) -> Da
     return out.groupBy(*keys, "_b").agg(first.alias("term"), _union_sources(), F.min("idx").alias("idx")).drop("_b")
 
 
-def merge_lexicon(rows: DataFrame, embedding: tuple[str, ...] = rules.EMBEDDING_SOURCES, overrides: list[tuple[str, str, str]] | None = None) -> DataFrame:
+def merge_lexicon(rows: DataFrame, embedding: tuple[str, ...] = rules.EMBEDDING_SOURCES, overrides: list[tuple[str, str, str]] | None = None, attesting: str = "io_wiktionary") -> DataFrame:
     """One row per (key lemma, pos): lemma, pos, paradigm, candidates array<struct<idx, term, sources>>, sources.
 
     rows: lemma, pos, term (a list of terms in one string, or null), source, ord. Terms are split and
     cleaned, parts of speech made sane; a common word prefers its lower-case spelling; case variants
     and inflections of a term are folded; terms known from embeddings alone go if the entry has any
-    other source, or if they do not share the lemma's first four letters. Entries left without a term
-    are kept. Everything is grouped and joined by (key, pos, ...), so shuffles are on high-cardinality keys.
+    other source, or if they do not share the lemma's first four letters. Embedding rows whose lemma has no
+    lemma's shape are left out, and so are nouns in -o that only embeddings translate, where ``attesting`` has the
+    lemma in -ino. Entries left without a term are kept. Everything is grouped and joined by (key, pos, ...), so shuffles are on high-cardinality keys.
     """
     bad_lemma = F.col("lemma").rlike(r"[(),;:!@#$%^&*\[\]{}|<>?/\\]") | ~F.col("lemma").rlike(r"^\p{L}")
     rows = rows.withColumn("lemma", F.btrim(F.coalesce("lemma", F.lit("")))).where(~bad_lemma)
+    rows = rows.where(~F.coalesce(F.col("source").isin(*embedding), F.lit(False)) | X.has_lemma_shape(F.col("lemma")))
     rows = rows.withColumn("pos", X.sane_pos(F.col("lemma"), X.short_pos(F.col("pos"))))
     rows = rows.withColumn("lemma", F.when(F.col("pos").isin(*rules.LOWERED_CLASS), F.lower("lemma")).otherwise(F.col("lemma")))
     rows = rows.withColumn("key", F.lower("lemma"))
@@ -101,6 +117,10 @@ def merge_lexicon(rows: DataFrame, embedding: tuple[str, ...] = rules.EMBEDDING_
     weak = F.array(*map(F.lit, embedding))
     only_weak = lambda s: F.size(F.array_except(s, weak)) == 0
     strong = F.exists("c", lambda x: ~only_weak(x["sources"]))
+    longer = entries.where(F.col("key").endswith("ino") & F.exists("c", lambda x: F.array_contains(x["sources"], attesting)))
+    longer = longer.select(F.regexp_replace("key", "ino$", "o").alias("key"), F.lit(True).alias("_longer")).distinct()
+    shadow = F.col("_longer").isNotNull() & (F.coalesce("paradigm", F.lit("")) == "o__n") & ~strong
+    entries = entries.join(longer, "key", "left").where(~shadow)
     cognate = lambda t: F.lower(F.substring(t, 1, 4)) == F.substring("key", 1, 4)
     kept = F.filter("c", lambda x: ~only_weak(x["sources"]) | (~strong & cognate(x["term"])))
     return entries.select("key", "lemma", "pos", "paradigm", kept.alias("candidates"), "sources")

@@ -301,11 +301,18 @@ def canonical_lemma(spark, d):
     return merge.canonical_lemma(e.unionByName(e.where("length(lemma) % 2 = 0").select(F.upper("lemma").alias("lemma"), F.lit(99).alias("priority"))))
 
 
-@query("merge_by_lemma", f"""WITH {V.ENT}, r AS (SELECT DISTINCT lower(lemma) AS key, pos, source, CAST(substr(source, 4) AS INT) % 4 AS p, CAST(substr(source, 4) AS INT) AS o FROM ent)
-    SELECT key, arg_max(pos, p * 100 - o) AS pos, arg_max(source, p * 100 - o) AS source, count(*) AS n FROM r GROUP BY key""")
+_CLASS_PARADIGM = "CASE pos WHEN 'noun' THEN 'o__n' WHEN 'adjective' THEN 'a__adj' WHEN 'pr' THEN '__pr' END"
+
+
+@query("merge_by_lemma", f"""WITH {V.ENT}, r AS (SELECT DISTINCT lower(lemma) AS key, CASE WHEN o % 7 = 6 THEN 'np' WHEN o % 5 = 4 THEN 'pr' ELSE pos END AS pos, CASE o % 3 WHEN 0 THEN 'o__n' WHEN 2 THEN 'a__adj' END AS paradigm, source, o % 4 + 1 AS p, o FROM (SELECT *, CAST(substr(source, 4) AS INT) AS o FROM ent)),
+    a AS (SELECT key, count(*) AS n, bool_or(o % 2 = 0 AND pos = 'np') AS np, arg_max(pos, p * 100 - o) FILTER (WHERE pos <> '') AS bp, arg_max(source, p * 100 - o) FILTER (WHERE pos <> '') AS bs, arg_max(paradigm, p * 100 - o) FILTER (WHERE paradigm IS NOT NULL) AS par, arg_min(pos, o) AS fp, arg_min(source, o) AS fs FROM r GROUP BY key),
+    b AS (SELECT *, CASE WHEN n = 1 THEN fp WHEN np THEN 'np' ELSE coalesce(bp, fp) END AS pos FROM a), c AS (SELECT *, {_CLASS_PARADIGM} AS cp FROM b)
+    SELECT key, pos, CASE WHEN n = 1 THEN par WHEN np THEN 'np__np' WHEN cp = '__pr' THEN cp ELSE coalesce(par, cp) END AS paradigm, coalesce(bs, fs) AS source, n FROM c""")
 def merge_by_lemma(spark, d):
-    n = F.substr("source", F.lit(4)).cast("int")
-    return merge.merge_by_lemma(V.entries(spark, d).select(F.lower("lemma").alias("lemma"), "pos", "source", (n % 4).alias("priority"), n.alias("ord")).distinct())
+    o = F.substr("source", F.lit(4)).cast("int")
+    pos = F.when(o % 7 == 6, "np").when(o % 5 == 4, "pr").otherwise(F.col("pos"))
+    rows = V.entries(spark, d).select(F.lower("lemma").alias("lemma"), pos.alias("pos"), F.when(o % 3 == 0, "o__n").when(o % 3 == 2, "a__adj").alias("paradigm"), "source", (o % 4 + 1).alias("priority"), o.alias("ord"), (o % 2 == 0).alias("encyclopedic"))
+    return merge.merge_by_lemma(rows.distinct())
 
 
 _CASED = f"{V.LEX}, cased AS (SELECT lemma, term, sources, idx * 2 AS idx FROM lex UNION ALL SELECT lemma, upper(substr(term, 1, 1)) || substr(term, 2), ['extra'], idx * 2 + 1 FROM lex WHERE length(term) % 2 = 0)"
@@ -341,10 +348,10 @@ def fold_inflections(spark, d):
 
 
 def _merged(spark, d):
-    return merge.merge_lexicon(V.entries(spark, d), embedding=("src0", "src5"))
+    return merge.merge_lexicon(V.entries(spark, d), embedding=("src0", "src5"), attesting="src1")
 
 
-_MERGED = rf"""{V.ENT}, m0 AS (SELECT lemma, {_SHORT} AS p, term, source, ord FROM ent), m1 AS (SELECT *, {_SANE} AS pos FROM m0),
+_MERGED = rf"""{V.ENT}, m0 AS (SELECT lemma, {_SHORT} AS p, term, source, ord FROM ent WHERE source NOT IN ('src0', 'src5') OR {_SHAPE.replace('token', 'lemma')}), m1 AS (SELECT *, {_SANE} AS pos FROM m0),
 m2 AS (SELECT lower(lemma) AS key, pos, lemma, source, ord, generate_subscripts(string_split_regex(term, '[,;]'), 1) AS place, trim(unnest(string_split_regex(term, '[,;]'))) AS term FROM m1),
 m3 AS (SELECT * FROM m2 WHERE regexp_matches(term, '{rules.TERM_CHARS}')),
 ends AS (SELECT key, pos, coalesce(arg_min(lemma, ord) FILTER (pos IN ('n','adj','adv','vblex') AND lemma = lower(lemma)), arg_min(lemma, ord)) AS lemma, list_sort(list(DISTINCT source)) AS sources FROM m1 JOIN (SELECT DISTINCT lower(lemma) AS key, lemma AS l2 FROM m1) k ON k.l2 = m1.lemma GROUP BY key, pos),
@@ -356,7 +363,9 @@ m8 AS (SELECT *, len(list_filter(ss, lambda s: s NOT IN ('src0', 'src5'))) > 0 A
 m10 AS (SELECT key, pos, string_agg(term, ',' ORDER BY o) AS terms FROM m9 WHERE strong OR (NOT covered AND lower(substr(term, 1, 4)) = substr(key, 1, 4)) GROUP BY key, pos),
 m11 AS (SELECT e.key, e.pos, e.lemma, coalesce(m10.terms, '') AS terms, array_to_string(e.sources, ',') AS sources FROM ends e LEFT JOIN m10 ON e.key = m10.key AND e.pos = m10.pos)"""
 _FALLBACK = "coalesce({0}, CASE pos WHEN 'n' THEN 'o__n' WHEN 'adj' THEN 'a__adj' WHEN 'adv' THEN 'e__adv' WHEN 'vblex' THEN 'ar__vblex' END)"
-_LIVE = rf"live AS (SELECT *, {_FALLBACK.format(_PARADIGM)} AS paradigm FROM m11 WHERE NOT {_JUNK.format('lemma')})"
+_LIVE = rf"""live0 AS (SELECT *, {_FALLBACK.format(_PARADIGM)} AS paradigm FROM m11 WHERE NOT {_JUNK.format('lemma')}),
+att AS (SELECT DISTINCT left(key, length(key) - 3) || 'o' AS sk FROM m9 WHERE key LIKE '%ino' AND list_contains(ss, 'src1')), sg AS (SELECT key, pos, bool_or(strong) AS st FROM m9 GROUP BY key, pos),
+live AS (SELECT live0.* FROM live0 LEFT JOIN att ON live0.key = sk LEFT JOIN sg ON live0.key = sg.key AND live0.pos = sg.pos WHERE sk IS NULL OR coalesce(paradigm, '') <> 'o__n' OR coalesce(st, false))"""
 
 
 @query("merge_lexicon", f"WITH {_MERGED}, {_LIVE} SELECT key, pos, lemma, paradigm, terms, sources FROM live")

@@ -107,8 +107,15 @@ def table_cells(pages: DataFrame) -> DataFrame:
 
 
 def extract_entries(pages: DataFrame, lang: str, target: str) -> DataFrame:
-    """pages (title, text) to lemma, pos, form_of, paradigm, meaning_no, term, confidence; inflected forms and pages without translations are left out."""
+    """pages (title, text) to lemma, pos, form_of, paradigm, meaning_no, term, confidence; inflected forms and pages without translations are left out.
+
+    A page of "eo" whose section has no translation into "io" is searched in its block of translations, then as a whole.
+    """
     found = pages.where(X.is_valid_title(F.col("title")) & W.has_section_hint(F.col("text"), lang)).withColumn("s", W.language_section(F.col("text"), lang))
     found = found.where("s is not null").where(~W.is_inflected_form(F.col("s")))
-    found = found.select("title", W.pos_of_section(F.col("s")).alias("pos"), W.variant_base(F.col("s")).alias("form_of"), W.morphology(F.col("s"))["paradigm"].alias("paradigm"), F.posexplode(W.translations(F.col("s"), target)).alias("meaning_no", "terms"))
+    terms = W.translations(F.col("s"), target)
+    if (lang, target) == ("eo", "io"):
+        for wider in (W.translation_block(F.col("text")), F.col("text")):
+            terms = F.when(F.size(terms) > 0, terms).otherwise(W.translations(wider, target))
+    found = found.select("title", W.pos_of_section(F.col("s")).alias("pos"), W.variant_base(F.col("s")).alias("form_of"), W.morphology(F.col("s"))["paradigm"].alias("paradigm"), F.posexplode(terms).alias("meaning_no", "terms"))
     return found.select(X.clean_lemma(F.col("title")).alias("lemma"), "pos", "form_of", "paradigm", "meaning_no", F.explode("terms").alias("term"), F.lit(0.6).alias("confidence"))

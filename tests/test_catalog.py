@@ -12,7 +12,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 CHOSEN = [
     "token_frequency", "coverage", "clean_lemma", "parse_meanings", "split_terms", "entry_paradigms", "merge_lexicon", "merged_winners", "prepare_vocabulary", "shadow_guard", "fold_inflections",
     "precision_srcrank", "identical_form_join", "supplement", "merge_case_twins", "twin_entries", "tagged_derivations", "chrf", "section_facts",
-    "failure_audit", "article_errors", "entry_quality", "flagged_pairs", "pronoun_rows", "pivot_join", "read_wiki_dump", "read_sql_tuples", "read_lexicon", "read_tagged_pairs",
+    "merge_by_lemma", "failure_audit", "article_errors", "entry_quality", "flagged_pairs", "pronoun_rows", "pivot_join", "read_wiki_dump", "read_sql_tuples", "read_lexicon", "read_tagged_pairs",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DIR), reason="no tables")

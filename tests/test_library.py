@@ -274,3 +274,40 @@ def test_pivot_join(spark):
     a = spark.createDataFrame([("kato", "Cat", ["s"]), ("kato", "cat", ["r"]), ("x", None, ["s"])], "lemma string, pivot string, sources array<string>")
     b = spark.createDataFrame([("felo", "cat", ["t"]), ("y", None, ["t"])], "term string, pivot string, sources array<string>")
     assert [tuple(r) for r in joins.pivot_join(a, b).collect()] == [("kato", "felo", "cat", 0.7, ["r", "s", "t"])]
+
+
+def test_parts_of_speech(spark):
+    sections = [
+        "==II {{io}} (Prepoziciono)==\n=== verbo ===", "== Ido ==\n=== Adverb ===", "{{head|io|verb}}", "{{head|en|verb}} {{io-adj|x}}", "[[Kategorio:Numeri]]",
+        "kompunda formo de la prepoziciono di e l'artiklo la", "* Semantiko: [[adverbo]]", "* Semantiko: artiklo", "x", None,
+    ]
+    assert apply(spark, sections, W.pos_of_section) == ["preposition", "adverb", "verb", "adjective", "numeral", "prep_art", "adverb", "determiner", None, None]
+
+
+def test_translations_outside_the_section(spark):
+    pages = [
+        ("kato", "== Esperanto ==\nx\n== Y ==\n===={{Tradukoj}}====\n* Ido: kato\n==== z ====\n* Ido: ne"),
+        ("hundo", "== Esperanto ==\nx\n== Y ==\n* Ido: hundo"),
+        ("domo", "== Esperanto ==\n* Ido: domo\n== Y ==\n=== Tradukoj ===\n* Ido: ne"),
+        ("nulo", "== Esperanto ==\nx"),
+    ]
+    got = readers.extract_entries(spark.createDataFrame(pages, "title string, text string"), "eo", "io").collect()
+    assert sorted((r.lemma, r.term) for r in got) == [("domo", "domo"), ("hundo", "hundo"), ("kato", "kato")]
+
+
+def test_merge_by_lemma(spark):
+    schema = "lemma string, pos string, paradigm string, source string, priority int, ord int, encyclopedic boolean"
+    rows = [
+        ("e", "cnjcoo", None, "dict", 3, 0, False), ("E", "adv", "e__adv", "wiki", 2, 1, True),
+        ("Roma", "vblex", "ar__vblex", "dict", 4, 2, False), ("roma", "np", "o__n", "wiki", 2, 3, True),
+        ("kato", "n", None, "a", 3, 4, False), ("kato", "adj", None, "b", 3, 5, False), ("sola", "pr", "o__n", "a", 1, 6, False), ("nul", None, None, "a", 1, 7, False), ("nul", "", None, "b", 1, 8, False),
+    ]
+    got = {r.key: (r.pos, r.paradigm, r.n) for r in merge.merge_by_lemma(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {"e": ("cnjcoo", "__cnjcoo", 2), "roma": ("np", "np__np", 2), "kato": ("n", "o__n", 2), "sola": ("pr", "o__n", 1), "nul": (None, None, 2)}
+
+
+def test_guards_of_the_merge(spark):
+    bert, wikt = "bert_embeddings", "io_wiktionary"
+    rows = [("origo", "noun", "origxo", bert, 0), ("origino", "noun", "origino", wikt, 1), ("dano", "noun", "dano", "wikidata_labels", 2), ("danino", "noun", "danino", wikt, 3), ("kavo", "noun", "kavo", bert, 4), ("kavino", "noun", "kavino", bert, 5), ("esas", "noun", "esas", bert, 6), ("savas", "noun", "savas", wikt, 7)]
+    got = {r.key for r in merge.merge_lexicon(spark.createDataFrame(rows, "lemma string, pos string, term string, source string, ord int")).collect()}
+    assert got == {"origino", "dano", "danino", "kavo", "kavino", "savas"}
