@@ -117,8 +117,7 @@ def merge_lexicon(rows: DataFrame, embedding: tuple[str, ...] = rules.EMBEDDING_
     weak = F.array(*map(F.lit, embedding))
     only_weak = lambda s: F.size(F.array_except(s, weak)) == 0
     strong = F.exists("c", lambda x: ~only_weak(x["sources"]))
-    longer = entries.where(F.col("key").endswith("ino") & F.exists("c", lambda x: F.array_contains(x["sources"], attesting)))
-    longer = longer.select(F.regexp_replace("key", "ino$", "o").alias("key"), F.lit(True).alias("_longer")).distinct()
+    longer = parts.where((F.col("source") == attesting) & F.col("key").endswith("ino") & F.col("term").isNotNull()).select(F.regexp_replace("key", "ino$", "o").alias("key"), F.lit(True).alias("_longer")).distinct()
     shadow = F.col("_longer").isNotNull() & (F.coalesce("paradigm", F.lit("")) == "o__n") & ~strong
     entries = entries.join(longer, "key", "left").where(~shadow)
     cognate = lambda t: F.lower(F.substring(t, 1, 4)) == F.substring("key", 1, 4)
