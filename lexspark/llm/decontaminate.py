@@ -258,7 +258,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 r, item, distance, start, end = (np.array(x, np.int64) for x in zip(*hits, strict=True)) if hits else [np.zeros(0, np.int64)] * 5
                 yield pa.record_batch({"doc_id": b.column("doc_id").take(pa.array(r)), "item_id": known.ids[item], "distance": distance.astype(np.int32), "start_byte": start, "end_byte": end})
 
-        scanned = docs.mapInArrow(run, schema)
+        scanned = docs.mapInArrow(tx.lean(run), schema)
         out = scanned if out is None else out.unionAll(scanned)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
@@ -279,7 +279,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 clean[[r for r, *_ in _found(known, b)]] = False
                 yield b.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(tx.lean(run), docs.schema)
     return docs
 
 

@@ -50,7 +50,7 @@ def gram_frequencies(docs: DataFrame, words: int) -> np.ndarray:
         found = np.flatnonzero(total)
         yield pa.record_batch({"bucket": found.astype(np.int32), "n": total[found]})
 
-    rows = docs.select("text").mapInArrow(count, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    rows = docs.select("text").mapInArrow(tx.lean(count), "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(FREQUENCY_BUCKETS, np.int64)
     out[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
     return np.minimum(out, 2**31 - 1).astype(np.int32)
@@ -88,7 +88,7 @@ def profiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 })
 
     schema = "doc_id bigint, n bigint, f1 bigint, f2 bigint, sketch array<bigint>, prefix array<bigint>"
-    return docs.mapInArrow(profile, schema)
+    return docs.mapInArrow(tx.lean(profile), schema)
 
 
 def _fit(percent: int, nx, ny, px, py):
@@ -186,7 +186,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     # Only the texts of pairs go on: with few pairs their ids are broadcast and no text is shuffled.
     texts = docs.join(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "text")
     both = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
-    return both.mapInArrow(verify, "a bigint, b bigint").distinct()
+    return both.mapInArrow(tx.lean(verify), "a bigint, b bigint").distinct()
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -212,7 +212,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     heads = store.save(sets.join(classes.select("class_id", "f1", "f2", "n"), (sets.doc_id == classes.class_id) & (sets.f1 == classes.f1) & (sets.f2 == classes.f2)).select(sets.doc_id.alias("id"), sets.n, "sketch", "prefix"), "heads")
     postings = heads.select(F.posexplode("prefix").alias("pos", "g"), "id", "n").select("g", "id", "n", F.col("pos").cast("bigint").alias("pos"))
     met = postings.repartition(partitions(spark), "g").sortWithinPartitions("g", "pos", "n", "id")
-    met = store.save(met.mapInArrow(_meet(percent), "hot boolean, a bigint, b bigint, g bigint, n bigint, pos bigint"), "met")
+    met = store.save(met.mapInArrow(tx.lean(_meet(percent)), "hot boolean, a bigint, b bigint, g bigint, n bigint, pos bigint"), "met")
     traits = heads.drop("prefix")
     pairs = met.where("not hot").select("a", "b").distinct()
     pairs = pairs.join(traits.alias("x"), F.col("a") == F.col("x.id")).join(traits.alias("y"), F.col("b") == F.col("y.id"))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import _text as tx
 from ._store import table
 
 #: Kinds in the order that ties follow. The first four are the base kinds.
@@ -141,7 +142,7 @@ def pii_spans(docs: DataFrame) -> DataFrame:
             yield b.append_column("pii", pa.array(found, pa.list_(fields)))
 
     kind = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("kind", T.StringType())]))
-    return docs.drop("pii").mapInArrow(run, T.StructType([*schema.fields, T.StructField("pii", kind)]))
+    return docs.drop("pii").mapInArrow(tx.lean(run), T.StructType([*schema.fields, T.StructField("pii", kind)]))
 
 
 def redact_documents(docs: DataFrame) -> DataFrame:
@@ -153,7 +154,7 @@ def redact_documents(docs: DataFrame) -> DataFrame:
             texts = [t if t is None else redact(t, find_spans(t)) for t in b.column("text").to_pylist()]
             yield b.set_column(at, "text", pa.array(texts, pa.string()))
 
-    out = docs.mapInArrow(run, docs.schema)
+    out = docs.mapInArrow(tx.lean(run), docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
     return out

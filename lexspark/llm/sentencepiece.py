@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import _text as tx
 from ._store import table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -248,7 +249,7 @@ def _with(docs: DataFrame, column: str, kind: T.DataType, batch_values) -> DataF
                 state = batch_values(None, None)
             yield pa.RecordBatch.from_arrays([*b.columns, batch_values(state, b)], [*b.schema.names, column])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, kind)]))
+    return docs.mapInArrow(tx.lean(run), T.StructType([*docs.schema.fields, T.StructField(column, kind)]))
 
 
 def encode_documents(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
@@ -302,7 +303,7 @@ def encode_and_check(docs: DataFrame, model: bytes, text: str = "text") -> DataF
                 yield pa.RecordBatch.from_arrays([*part.columns, ids, pa.array([decoder.decode(x) for x in got], pa.string())], [*b.schema.names, "ids", "decoded"])
 
     fields = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *fields]))
+    return docs.mapInArrow(tx.lean(run), T.StructType([*docs.schema.fields, *fields]))
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -153,7 +153,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, fit_row
             yield pa.record_batch([pa.array(words.view(np.int64)), *map(pa.array, sums)], ["word", "n", *names])
 
     totals = sample.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in names]).first()
-    stats = sample.mapInArrow(count, f"word bigint, n bigint, {', '.join(f'{k} bigint' for k in names)}").groupBy("word").agg(*[F.sum(c).alias(c) for c in ["n", *names]])
+    stats = sample.mapInArrow(tx.lean(count), f"word bigint, n bigint, {', '.join(f'{k} bigint' for k in names)}").groupBy("word").agg(*[F.sum(c).alias(c) for c in ["n", *names]])
     stats = store.save(stats.where("n >= 3"), "stats")
     words: set[int] = set()
     for k in names:
@@ -171,7 +171,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, fit_row
             ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=b.num_rows))]).astype(np.int32)
             yield pa.record_batch([b.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(at.astype(np.int32))), *[b.column(k) for k in names]], ["doc_id", "at", *names])
 
-    got = sample.mapInArrow(index, f"doc_id bigint, at array<int>, {', '.join(f'{k} int' for k in names)}").toArrow().sort_by("doc_id")
+    got = sample.mapInArrow(tx.lean(index), f"doc_id bigint, at array<int>, {', '.join(f'{k} int' for k in names)}").toArrow().sort_by("doc_id")
     lists = got["at"].combine_chunks() if got.num_rows else pa.array([], pa.list_(pa.int32()))
     sizes = np.diff(lists.offsets.to_numpy()) if got.num_rows else np.zeros(0, np.int64)
     at, row = lists.flatten().to_numpy().astype(np.int64), np.repeat(np.arange(got.num_rows), sizes)
@@ -199,7 +199,7 @@ def score_chain(docs: DataFrame, chain: Chain) -> DataFrame:
             p = _sigmoid(model.predict(*model.features(*_presence(b.column("text"))), b.num_rows))
             yield pa.RecordBatch.from_arrays([*b.columns, *map(pa.array, p)], [*b.schema.names, *names])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *[T.StructField(k, T.DoubleType()) for k in names]]))
+    return docs.mapInArrow(tx.lean(run), T.StructType([*docs.schema.fields, *[T.StructField(k, T.DoubleType()) for k in names]]))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
