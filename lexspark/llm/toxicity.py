@@ -131,13 +131,14 @@ def _best_threshold(p: np.ndarray, y: np.ndarray) -> float:
 
 def fit_chain(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, fit_rows: int = FIT_ROWS) -> Chain:
     """A chain fitted on about ``fit_rows`` labelled documents at most; null labels and texts are left out.
+    Where labels of one doc_id differ, the least count.
 
     Only that bounded sample is broadcast, stored and, as word indices, collected. No labels at all
     give models that always answer no.
     """
     store = Store(docs.sparkSession)
     columns = [c for _, c, _ in categories]
-    labels = labels.select("doc_id", *columns).dropna().dropDuplicates(["doc_id"])
+    labels = labels.select("doc_id", *columns).dropna().groupBy("doc_id").agg(F.min(F.struct(*columns)).alias("label")).select("doc_id", "label.*")
     share = min(1.0, fit_rows / max(1, labels.count()))
     chosen = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
     yes = [F.expr(f"int({c} = {v})").alias(k) for k, c, v in categories]
