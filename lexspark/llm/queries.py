@@ -6,6 +6,10 @@ from .decontaminate import op4_decontaminate
 from .fingerprint import op3_fingerprint
 from .jaccard_join import op2_jaccard_join
 from .lm_score import op9_lm_score
+from .merkle import ORACLE as MERKLE_SQL
+from .merkle import op11_merkle
+from .mixing import ORACLE as MIXING_SQL
+from .mixing import op12_mixing
 from .pii import op6_pii
 from .sentencepiece import op1_sentencepiece
 from .substring_dedup import op7_substring_dedup
@@ -25,8 +29,12 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_lm_score": op9_lm_score,
     "op10_url_filter": op10_url_filter,
+    "op11_merkle": op11_merkle,
+    "op12_mixing": op12_mixing,
 }
 
 SQL = {
     "op10_url_filter": URL_SQL,
+    "op11_merkle": MERKLE_SQL,
+    "op12_mixing": MIXING_SQL,
 }
