@@ -52,9 +52,9 @@ def _tops(nodes: DataFrame, levels: int) -> DataFrame:
         runs = F.sequence(F.lit(0), F.floor((F.size(a) - 1) / FANOUT).cast("int"))
         return F.transform(runs, lambda i: F.sha2(F.array_join(F.slice(a, i * FANOUT + 1, FANOUT), ""), 256))
 
-    blocks = nodes.groupBy("key", F.floor(F.col("pos") / size).alias("pos")).agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("pos", "digest")))["digest"].alias("a"))
-    top = F.aggregate(F.sequence(F.lit(1), F.lit(levels)), "a", lambda a, _: F.when((F.col("n") > size) | (F.size(a) > 1), step(a)).otherwise(a))
-    return blocks.select("key", F.ceil(F.col("n") / size).alias("n"), "pos", F.element_at(top, 1).alias("digest"))
+    blocks = nodes.groupBy("key", F.floor(F.col("pos") / size).alias("pos")).agg(F.first("n").alias("rows"), F.sort_array(F.collect_list(F.struct("pos", "digest")))["digest"].alias("a"))
+    top = F.aggregate(F.sequence(F.lit(1), F.lit(levels)), "a", lambda a, _: F.when((F.col("rows") > size) | (F.size(a) > 1), step(a)).otherwise(a))
+    return blocks.select("key", F.ceil(F.col("rows") / size).alias("n"), "pos", F.element_at(top, 1).alias("digest"))
 
 
 def _rounds(nodes: DataFrame, store: Store, levels: int) -> list[DataFrame]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .conversation_repair import op13_conversation_repair
 from .decontaminate import op4_decontaminate
 from .fingerprint import op3_fingerprint
 from .jaccard_join import op2_jaccard_join
@@ -31,6 +32,7 @@ QUERIES = {
     "op10_url_filter": op10_url_filter,
     "op11_merkle": op11_merkle,
     "op12_mixing": op12_mixing,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 SQL = {
