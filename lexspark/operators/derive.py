@@ -115,13 +115,6 @@ def pronoun_rows(winners: DataFrame, table: list[tuple] = rules.PERSON_FEATURES)
     return winners.join(features, "term").select("lemma", "term", F.explode(forms).alias("tags"), F.lit("rl").alias("direction"))
 
 
-def tagged_pairs(winners: DataFrame) -> DataFrame:
-    """(left, left_tag, right, right_tag) of winners (lemma, term, paradigm); none without a paradigm; symbols of one or two capitals are skipped."""
-    tag = X.tag_of(F.col("paradigm"))
-    out = winners.where(F.col("paradigm").isNotNull() & ~F.col("term").rlike("^[A-Z][a-z]?$")).withColumn("t", tag).where("t is not null")
-    return out.select(X.stem(F.col("lemma"), F.col("paradigm")).alias("left"), F.col("t").alias("left_tag"), F.col("term").alias("right"), F.col("t").alias("right_tag"))
-
-
 def grid_pairs(cells: DataFrame, columns: list[tuple[str, str]], rows: list[tuple[str, str]]) -> DataFrame:
     """Correlatives (lemma, term): a column's prefix pair with a row's suffix pair, if cells (lemma) attests the lemma."""
     spark = cells.sparkSession

@@ -653,11 +653,6 @@ def _winners(spark, d):
     return rank.pick_best(V.lexicon(spark, d), V.RANKS).join(_stems(spark, d), "lemma")
 
 
-@query("tagged_pairs", f"WITH {_WIN} SELECT {_STEM} AS \"left\", CASE paradigm WHEN 'ar__vblex' THEN 'vblex' WHEN 'o__n' THEN 'n' WHEN 'a__adj' THEN 'adj' ELSE 'adv' END AS left_tag, term AS \"right\", CASE paradigm WHEN 'ar__vblex' THEN 'vblex' WHEN 'o__n' THEN 'n' WHEN 'a__adj' THEN 'adj' ELSE 'adv' END AS right_tag FROM w WHERE paradigm IS NOT NULL AND NOT regexp_matches(term, '^[A-Z][a-z]?$')")
-def tagged_pairs(spark, d):
-    return derive.tagged_pairs(_winners(spark, d))
-
-
 _DERIV = ", ".join(str(r) for r in rules.TAGGED_DERIVATIONS)
 
 
@@ -830,11 +825,6 @@ def wiki_pages(spark, d):
     return lex.select(F.col("lemma").alias("title"), text.alias("text"))
 
 
-@query("extract_entries")
-def extract_entries(spark, d):
-    return readers.extract_entries(wiki_pages(spark, d), "io", "eo")
-
-
 @query("table_cells", f"WITH {V.LEX} SELECT lemma AS title, 0 AS table_no, 0 AS row_no, k AS cell_no, CASE k WHEN 0 THEN 'a' ELSE lemma END AS cell FROM (SELECT DISTINCT lemma FROM lex), (VALUES (0), (1)) v(k)")
 def table_cells(spark, d):
     return readers.table_cells(wiki_pages(spark, d))
@@ -842,7 +832,7 @@ def table_cells(spark, d):
 
 @query("section_facts", f"""WITH {V.LEX}, e AS (SELECT DISTINCT lemma, length(lemma) % 5 AS n, right(lemma, 1) AS z FROM lex)
     SELECT lemma AS title, CASE n WHEN 1 THEN 'verb' WHEN 2 THEN 'noun' WHEN 4 THEN 'verb' ELSE 'adjective' END AS pos, n = 4 AS inflected,
-    CASE z WHEN 'o' THEN 'o__n' WHEN 'a' THEN 'a__adj' WHEN 'e' THEN 'e__adv' END AS paradigm FROM e""")
+    CASE z WHEN 'o' THEN 'o__n' END AS paradigm FROM e""")
 def section_facts(spark, d):
     p = wiki_pages(spark, d).withColumn("s", W.language_section(F.col("text"), "io"))
     return p.select("title", W.pos_of_section(F.col("s")).alias("pos"), W.is_inflected_form(F.col("s")).alias("inflected"), W.morphology(F.col("s"))["paradigm"].alias("paradigm"))

@@ -183,3 +183,36 @@ NUMERIC_SHAPES = r"^-?[0-9]+(\.[0-9]+)?$|^[0-9]+[,;:]|^[0-9.,%\-]+$|^[0-9]+(ma|s
 CONJUGATED = "^[a-z]{2,}(as|is|os|us|ez)$"
 LINK_TITLE = r"^[A-Za-zĉĝĥĵŝŭĈĜĤĴŜŬ][\p{L}\p{N}_\-\s]*$"
 LABEL = r"^[a-zA-ZĈĉĜĝĤĥĴĵŜŝŬŭÀ-ÿ][a-zA-ZĈĉĜĝĤĥĴĵŜŝŬŭÀ-ÿ\-]+$"
+
+# Contractions of a preposition with the article, and what the preposition is in the target.
+CONTRACTIONS = [("dal", "da", "de"), ("del", "de", "de"), ("dil", "di", "de"), ("el", "e", "al"), ("sil", "si", "al")]
+
+# Parts of speech that stand for a tag where the paradigm has none.
+TAG_POS = ("pr", "det", "prn", "cnjcoo", "cnjsub", "ij")
+
+# Tags of parts of speech in the confidence-sorted pair table, names that it knows besides, and those without a tag or without an ending to cut.
+PAIR_TAGS = {"n": "n", "v": "vblex", "vblex": "vblex", "adj": "adj", "adv": "adv", "num": "num", "np": "np", "ij": "ij"}
+PAIR_POS = {"conjunction": "cnjcoo", "coordinating conjunction": "cnjcoo", "subordinating conjunction": "cnjsub", "preposition": "prep"}
+INVARIABLE = ("pr", "prep", "cnjcoo", "cnjsub", "det", "prn", "ij", "num")
+STEM_ENDINGS = {"n": "o", "v": "ar", "vblex": "ar", "adj": "a", "adv": "e"}
+
+# Ordered endings of words, the class that each tells and the least letters of a word that it holds for.
+ENDING_LISTS = {
+    "source": [("ar", "vblex", 0), ("o", "n", 0), ("a", "adj", 0), ("e", "adv", 0)],
+    "target": [("o", "n", 0), ("i", "vblex", 0), ("a", "adj", 0), ("e", "adv", 0)],
+    "morphology": [
+        ("is", "vblex", 4), ("ar", "vblex", 0), ("as", "vblex", 4), ("os", "vblex", 4), ("us", "vblex", 4), ("ez", "vblex", 4),
+        ("o", "n", 0), ("i", "n", 3), ("a", "adj", 0), ("e", "adv", 3),
+    ],
+    "audit": [
+        ("ar", "verb (inf)", 0), ("ir", "verb (inf)", 0), ("or", "verb (inf)", 0), ("o", "noun (-o)", 0), ("a", "adj (-a)", 0), ("e", "adv (-e)", 0),
+        ("os", "verb (conjugated)", 0), ("as", "verb (conjugated)", 0), ("is", "verb (conjugated)", 0), ("us", "verb (conjugated)", 0), ("ez", "verb (conjugated)", 0),
+    ],
+}
+MORPHOLOGY_CLASSES = {"vblex": "ar__vblex", "n": "o__n", "adj": "a__adj", "adv": "e__adv"}
+
+# What the audit of articles cuts from wikitext, in this order.
+AUDIT_CHAIN = [
+    (r"(?s)\{\|.*?\|\}", ""), (r"(?s)<ref[^/]*/?>.*?</ref>", ""), (r"\{\{[^}]*\}\}", ""), (r"(?i)\[\[(?:File|Image|Imajo):[^\]]*\]\]", ""),
+    (r"\[\[(?:[^|\]]*\|)?([^\]]*)\]\]", "$1"), ("<[^>]+>", ""), ("==+[^=]+=+", ""), ("'{2,}", ""), (r"(?m)^\*[^\n]*$", ""), (r"(?m)^\|[^\n]*$", ""), (r"(?m)^![^\n]*$", ""), (r"\n{3,}", "\n\n"),
+]

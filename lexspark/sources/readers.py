@@ -106,16 +106,39 @@ def table_cells(pages: DataFrame) -> DataFrame:
     return out.select("title", "table_no", "row_no", F.posexplode("r").alias("cell_no", "cell"))
 
 
-def extract_entries(pages: DataFrame, lang: str, target: str) -> DataFrame:
-    """pages (title, text) to lemma, pos, form_of, paradigm, meaning_no, term, confidence; inflected forms and pages without translations are left out.
+def extract_entries(pages: DataFrame, lang: str, target: str, pivots: bool = True) -> DataFrame:
+    """pages (title, text) to lemma, pos, form_of, morphology, paradigm, sense_no, lang, term, confidence.
 
-    A page of "eo" whose section has no translation into "io" is searched in its block of translations, then as a whole.
+    One pass yields the translations into ``target`` (confidence .6) and, as senses after those, into the
+    pivots: English and French for "io" and "eo" (.5), "io" and "eo" for English pages (.6). A page stays if it has any
+    of them or names the lemma that it is a form of; one without terms is a row with nulls. Inflected forms go.
+    A page of "eo" without a direct translation is searched in its block of translations, then as a whole.
     """
     found = pages.where(X.is_valid_title(F.col("title")) & W.has_section_hint(F.col("text"), lang)).withColumn("s", W.language_section(F.col("text"), lang))
-    found = found.where("s is not null").where(~W.is_inflected_form(F.col("s")))
-    terms = W.translations(F.col("s"), target)
-    if (lang, target) == ("eo", "io"):
-        for wider in (W.translation_block(F.col("text")), F.col("text")):
-            terms = F.when(F.size(terms) > 0, terms).otherwise(W.translations(wider, target))
-    found = found.select("title", W.pos_of_section(F.col("s")).alias("pos"), W.variant_base(F.col("s")).alias("form_of"), W.morphology(F.col("s"))["paradigm"].alias("paradigm"), F.posexplode(terms).alias("meaning_no", "terms"))
-    return found.select(X.clean_lemma(F.col("title")).alias("lemma"), "pos", "form_of", "paradigm", "meaning_no", F.explode("terms").alias("term"), F.lit(0.6).alias("confidence"))
+    found = found.where("s is not null").where(~W.is_inflected_form(F.col("s"))).withColumn("direct", W.translations(F.col("s"), target))
+    if lang == "eo":
+        for wider in (W.block_translations(F.col("s")), W.translations(F.col("text"), target)):
+            found = found.withColumn("direct", F.when(F.size("direct") > 0, F.col("direct")).otherwise(wider))
+    senses = [("direct", target, 0.6)]
+    for pivot, confidence in (("en", 0.5), ("fr", 0.5)) if lang in ("io", "eo") else (("io", 0.6), ("eo", 0.6)):
+        if pivots:
+            found = found.withColumn(f"in_{pivot}", W.translations(F.col("s"), pivot))
+            senses.append((f"in_{pivot}", pivot, confidence))
+    base = W.variant_base(F.col("s")) if lang == "io" else F.lit(None).cast("string")
+
+    def told(meanings: str, lang: str, confidence: float):
+        return F.transform(meanings, lambda m: F.struct(F.lit(lang).alias("lang"), F.lit(confidence).alias("confidence"), m.alias("terms")))
+
+    found = found.withColumns({"senses": F.concat(*[told(*x) for x in senses]), "base": base, "m": W.morphology(F.col("s"))})
+    found = found.where((F.size("senses") > 0) | F.col("base").isNotNull())
+    out = found.select(
+        F.col("title").alias("lemma"), F.coalesce(W.pos_of_section(F.col("s")), "m.pos").alias("pos"), F.when(F.col("base") != F.lower("title"), F.col("base")).alias("form_of"),
+        F.col("m.raw").alias("morphology"), F.col("m.paradigm").alias("paradigm"), F.posexplode_outer("senses").alias("sense_no", "sense"),
+    )
+    return out.select("lemma", "pos", "form_of", "morphology", "paradigm", "sense_no", "sense.lang", F.explode_outer("sense.terms").alias("term"), "sense.confidence")
+
+
+def entry_terms(entries: DataFrame, lang: str) -> DataFrame:
+    """Rows of ``extract_entries`` to lemma, form_of, terms (those in ``lang``, in order), as ``resolve_variants`` takes them."""
+    own = F.when(F.col("lang") == lang, F.struct("sense_no", "term"))
+    return entries.groupBy("lemma", "form_of").agg(F.array_distinct(F.sort_array(F.collect_list(own))["term"]).alias("terms"))
