@@ -48,7 +48,7 @@ def test_entries_of_pages(spark):
 
 def test_entries_of_other_languages(spark):
     pages = [
-        ("domo", "== {{Lingvo|eo}} ==\nx\n===={{Tradukoj}}====\n* Ido = [[domo]]; dometo\n===Y===\n* Ido: ne"),
+        ("domo", "== {{Lingvo|eo}} ==\nx\n===={{Tradukoj}}====\n* Ido = [[domo]]; dometo\n== Y ==\n* Ido: ne"),
         ("kato", "== Esperanto ==\nx\n== Z ==\n* Ido: kato"),
     ]
     got = readers.extract_entries(spark.createDataFrame(pages, PAGES), "eo", "io").collect()
