@@ -25,8 +25,12 @@ EDIT_SHARE = 0.10
 SAMPLED, REPEATS = 2, 160
 #: Items in one broadcast; more items go in further passes, so a broadcast has a known bound.
 ITEMS_PER_PASS, MAX_ITEM_BYTES = 20_000, 4096
-#: Bytes of a piece; items of under 40 bytes may have shorter ones. Items of fewer words match nothing.
-PIECE, LEAST_WORDS = 8, 3
+#: Bytes of a piece; items of under 40 bytes may have shorter ones.
+PIECE = 8
+#: Items of fewer words and fewer bytes are too short to tell and match nothing; many scripts, code and URLs have no spaces, so either is enough.
+LEAST_WORDS, LEAST_BYTES = 3, 32
+#: Times that a piece may stand in an item before its places count as one stretch.
+REPEATED = 4
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 FOLD = np.arange(256, dtype=np.uint8)
@@ -89,6 +93,23 @@ def sample_keys(embedded: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return key
 
 
+def _joined(found: np.ndarray) -> np.ndarray:
+    """Rows (item, row, low, high) with those of one item and row that overlap joined."""
+    if not len(found):
+        return found
+    found = found[np.lexsort((found[:, 2], found[:, 1], found[:, 0]))]
+    item, row, low, high = found.T
+    new = np.ones(len(found), bool)
+    new[1:] = (item[1:] != item[:-1]) | (row[1:] != row[:-1])
+    group = np.cumsum(new) - 1
+    span = int(high.max() - low.min()) + 2
+    reach = np.maximum.accumulate(high - low.min() + group * span) - group * span + low.min()  # the greatest end so far, within the item and row
+    new[1:] |= low[1:] > reach[:-1]
+    first = np.flatnonzero(new)
+    end = np.concatenate([first[1:], [len(found)]]) - 1
+    return np.stack([item[first], row[first], low[first], reach[end]], 1)
+
+
 class Items:
     """A pass's benchmark items, their pieces and their sample keys."""
 
@@ -102,33 +123,47 @@ class Items:
         size = np.where(self.lengths // PIECE > self.limits, PIECE, self.lengths // (self.limits + 1))
         self.need = self.lengths // np.maximum(size, 1) - self.limits
         self.pieces = {}
-        for q in np.unique(size[words >= LEAST_WORDS]).tolist():
-            whose = np.flatnonzero((size == q) & (words >= LEAST_WORDS)).tolist()
-            value = [int.from_bytes(self.raw[i][at : at + q], "little") for i in whose for at in range(0, len(self.raw[i]) - q + 1, q)]
+        told = (words >= LEAST_WORDS) | (self.lengths >= LEAST_BYTES)
+        for q in np.unique(size[told]).tolist():
+            whose = np.flatnonzero((size == q) & told).tolist()
+            value = np.array([int.from_bytes(self.raw[i][at : at + q], "little") for i in whose for at in range(0, len(self.raw[i]) - q + 1, q)], np.uint64)
             offset = np.array([at for i in whose for at in range(0, len(self.raw[i]) - q + 1, q)], np.int64)
             owner = np.repeat(whose, self.lengths[whose] // q)
-            order = np.argsort(np.array(value, np.uint64), kind="stable")
-            kinds, begin, count = np.unique(np.array(value, np.uint64)[order], return_index=True, return_counts=True)
+            # A piece that an item repeats often is one entry, from its first to its last offset.
+            order = np.lexsort((offset, owner, value))
+            value, owner, offset = value[order], owner[order], offset[order]
+            new = np.ones(len(value), bool)
+            new[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
+            group = np.cumsum(new) - 1
+            often = np.bincount(group)[group] > REPEATED
+            last = offset[np.concatenate([np.flatnonzero(new)[1:], [len(value)]]) - 1][group]
+            keep = new | ~often
+            value, owner, offset, last = value[keep], owner[keep], offset[keep], np.where(often, last, -1)[keep]
+            kinds, begin, count = np.unique(value, return_index=True, return_counts=True)
             bits = max(18, int(32 * len(kinds)).bit_length())
             near, shift = np.zeros(1 << bits, bool), np.uint64(64 - bits)
             near[(kinds * SPREAD) >> shift] = True
-            self.pieces[q] = near, shift, kinds, begin, count, owner[order], offset[order]
+            self.pieces[q] = near, shift, kinds, begin, count, owner, offset, last
         self.bits = walk_bits(int(2 * self.lengths.max(initial=1)))
         wide = np.zeros((len(ids), int(self.lengths.max(initial=1))), np.uint8)
         for i, r in enumerate(self.raw):
             wide[i, : len(r)] = np.frombuffer(r, np.uint8)
         self.keys = sample_keys(embed(wide, self.lengths, self.bits), self.lengths)
 
-    def hits(self, folded: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(item, row, place) where a piece of an item stands in a row's text; place: of the item's start, if nothing were inserted or deleted between."""
+    def hits(self, folded: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(item, row, place) where a piece of an item stands in a row's text, and (item, row, least, greatest place) of often repeated pieces.
+
+        The place is that of the item's start, if nothing were inserted or deleted between. Places of a
+        repeated piece are joined as they come, so a text of one character costs a few stretches, not a row for each pair of occurrences.
+        """
         padded = np.concatenate([folded, np.zeros(PIECE, np.uint8)])
-        items, rows, places = [], [], []
+        single, stretches = [np.zeros((0, 3), np.int64)], [np.zeros((0, 4), np.int64)]
         for at in range(0, len(folded), 1 << 18):
             n = min(1 << 18, len(folded) - at)
             eight = np.empty(n, np.uint64)
             for i in range(min(PIECE, n)):
                 eight[i::PIECE] = padded[at + i : at + i + (n - i + PIECE - 1) // PIECE * PIECE].view("<u8")
-            for q, (near, shift, kinds, begin, count, owner, offset) in self.pieces.items():
+            for q, (near, shift, kinds, begin, count, owner, offset, last) in self.pieces.items():
                 value = eight if q == PIECE else eight & np.uint64((1 << 8 * q) - 1)
                 pos = np.flatnonzero(near[(value * SPREAD) >> shift])
                 value = value[pos]
@@ -140,34 +175,36 @@ class Items:
                 pos, kind, row = pos[inside], kind[inside], row[inside]
                 n_of = count[kind]
                 entry = np.arange(int(n_of.sum())) - np.repeat(np.cumsum(n_of) - n_of - begin[kind], n_of)
-                items.append(owner[entry])
-                rows.append(np.repeat(row, n_of))
-                places.append(np.repeat(pos, n_of) - offset[entry])
-        return (np.concatenate(items), np.concatenate(rows), np.concatenate(places)) if items else (np.zeros(0, np.int64),) * 3
+                item, row, pos, last_of = owner[entry], np.repeat(row, n_of), np.repeat(pos, n_of), last[entry]
+                one = last_of < 0
+                single.append(np.stack([item[one], row[one], pos[one] - offset[entry[one]]], 1))
+                many = ~one
+                stretches.append(_joined(np.stack([item[many], row[many], pos[many] - last_of[many], pos[many] - offset[entry[many]]], 1)))
+        return np.concatenate(single), _joined(np.concatenate(stretches))
 
     def segments(self, folded: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Rows (item, row, least start, greatest start) between which each occurrence within the limit starts.
+        """Rows (item, row, least start, greatest start, whether the text's edge is within the limit) between which each occurrence within the limit starts.
 
         Of ``count`` pieces, ``limit`` edits leave count - limit whole, and inserted and deleted bytes move
         their places apart by at most ``limit``: where that many hits lie that close, a segment begins.
+        A stretch of an often repeated piece counts as enough by itself.
         """
-        item, row, at = self.hits(folded, offsets)
-        order = np.lexsort((at, row, item))
-        item, row, at = item[order], row[order], at[order]
+        single, stretches = self.hits(folded, offsets)
+        single = single[np.lexsort((single[:, 2], single[:, 1], single[:, 0]))]
+        item, row, at = single.T
         need, limit = self.need[item], self.limits[item]
         last = np.arange(len(item)) + need - 1
         ok = last < len(item)
         last = np.minimum(last, max(len(item) - 1, 0))
         ok &= (item[last] == item) & (row[last] == row) & (at[last] - at <= limit)
-        item, row, limit, low, high = item[ok], row[ok], limit[ok], at[last[ok]] - limit[ok], at[ok] + limit[ok]
-        if not len(item):
-            return np.zeros((0, 4), np.int64)
-        new = np.ones(len(item), bool)
-        new[1:] = (item[1:] != item[:-1]) | (row[1:] != row[:-1]) | (low[1:] > high[:-1])
-        first = np.flatnonzero(new)
-        end = np.concatenate([first[1:], [len(item)]]) - 1
-        top = offsets[row[first]]
-        return np.stack([item[first], row[first], np.maximum(low[first], top), np.maximum(high[end], top)], 1)
+        limits = self.limits[stretches[:, 0]]
+        wide = np.stack([stretches[:, 0], stretches[:, 1], stretches[:, 2] - limits, stretches[:, 3] + limits], 1)
+        found = _joined(np.concatenate([np.stack([item[ok], row[ok], at[last[ok]] - limit[ok], at[ok] + limit[ok]], 1), wide]))
+        top, bottom = offsets[found[:, 1]], offsets[found[:, 1] + 1]
+        length = self.lengths[found[:, 0]]
+        edge = (found[:, 2] < top) | (found[:, 3] + length > bottom)
+        inside = found[:, 2] < bottom
+        return np.stack([found[:, 0], found[:, 1], np.maximum(found[:, 2], top), np.maximum(found[:, 3], top), edge], 1)[inside]
 
     def agree(self, folded: np.ndarray, offsets: np.ndarray, item: np.ndarray, row: np.ndarray, start: np.ndarray) -> np.ndarray:
         """Whether the item-sized windows at ``start`` share a sample of their embedding with their item."""
@@ -187,23 +224,26 @@ class Items:
         folded = FOLD[data]
         found: dict[tuple[int, int], tuple[int, int, int]] = {}
         parts = []
-        for i, r, lo, hi in self.segments(folded, offsets).tolist():
+        for i, r, lo, hi, edge in self.segments(folded, offsets).tolist():
             top, end = int(offsets[r]), min(int(offsets[r + 1]), hi + int(self.lengths[i] + self.limits[i]))
             # A whole copy shares every sample with its item.
             exact = folded[lo:end].tobytes().find(self.raw[i])
             if exact < 0:
-                parts.append((i, r, lo, hi, end))
+                parts.append((i, r, lo, hi, end, edge))
             elif (r, i) not in found:
                 found[r, i] = 0, lo + exact - top, lo + exact + len(self.raw[i]) - top
-        parts = np.array([x for x in parts if (x[1], x[0]) not in found], np.int64).reshape(-1, 5)
+        parts = np.array([x for x in parts if (x[1], x[0]) not in found], np.int64).reshape(-1, 6)
         # A window at every start of a segment: the walk must begin where the item does.
         for a in range(0, len(parts), 64):
-            item, row, low, high, end = parts[a : a + 64].T
+            item, row, low, high, end, edge = parts[a : a + 64].T
             n = np.minimum(high + 1, end) - low
             owner = np.repeat(np.arange(len(n)), n)
             start = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n - low, n)
-            for which in np.unique(owner[self.agree(folded, offsets, item[owner], row[owner], start)]).tolist():
-                i, r, lo, _, hi = parts[a + which].tolist()
+            # Where an item's start or end may be cut off by the text's, no window stands for it: these few are compared at once.
+            inner = np.flatnonzero(edge[owner] == 0)
+            agreed = owner[inner[self.agree(folded, offsets, item[owner[inner]], row[owner[inner]], start[inner])]]
+            for which in np.union1d(agreed, np.flatnonzero(edge)).tolist():
+                i, r, lo, _, hi, _ = parts[a + which].tolist()
                 key, top, part = (r, i), int(offsets[r]), folded[lo:hi].tobytes()
                 distance, size = edit_occurrence(self.raw[i], part)
                 if distance <= self.limits[i] and (key not in found or distance < found[key][0]):
@@ -241,7 +281,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     A-Z count as a-z and each white-space character as a space. One row for each document row and item:
     the closest occurrence. Null and empty texts and items match nothing; nor do items of fewer than
-    three words, which are too short to tell. Items are cut at MAX_ITEM_BYTES only for their number in
+    LEAST_WORDS words and LEAST_BYTES bytes, which are too short to tell. Items are cut at MAX_ITEM_BYTES only for their number in
     a pass, never in their text: longer items go in passes of their own. Repeated rows each give their
     rows. An empty side gives no rows. Other columns are ignored.
     """
