@@ -247,17 +247,19 @@ def score_documents(docs: DataFrame) -> DataFrame:
     Learns from the rows that are not held out. Null text is empty: its only token is the end. Rows
     are scored one by one, so repeated rows and ids are fine; a null doc_id counts as not held out.
     With no training rows, counts are 0 and N and V are 0. ``score`` is the model's log10
-    probability: P(w|v) = BIGRAM_WEIGHT * c(vw)/c(v) + (1-BIGRAM_WEIGHT) * (c(w)+1)/(N+V+1). Its counts
-    are the filter's at every size: c(w) the middle of the word's level, c(vw) the least count of the
-    bigram's level and c(v) the most of the context's, so the shares of a context add up to one at most.
+    probability: P(w|v) = BIGRAM_WEIGHT * c(vw)/c(v) + (1-BIGRAM_WEIGHT) * P(w), and P(w) alone after an unknown v, with
+    P(w) = (c(w)+1)/(S+V+1). Its counts are the filter's at every size: c(w) the middle of the word's
+    level, S the sum of these over all training words, c(vw) the least count of the bigram's level and c(v) the
+    most of the context's. So the next words after a known or unknown v, and one unknown word, add up to one at most.
     """
     spark = docs.sparkSession
     store = Store(spark)
     docs = docs.select(F.col("doc_id"), F.col("text"), F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"))
     ngrams = store.save(count_ngrams(docs.where("not held_out")), "ngrams")
     words = ngrams.where("kind = 1").select("key", "n")
-    totals = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("N"), F.count(F.lit(1)).alias("V")).first()
-    total, kinds = int(totals.N), int(totals.V)
+    middle = 1.5 * F.pow(F.lit(2.0), F.length(F.bin("n")) - 1) - 0.5  # of the level of a count, as the filter gives it
+    totals = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("N"), F.count(F.lit(1)).alias("V"), F.coalesce(F.sum(middle), F.lit(0.0)).alias("S")).first()
+    total, kinds, mass = int(totals.N), int(totals.V), float(totals.S)
     common = words.orderBy(F.desc("n"), "key").limit(COMMON_WORDS).toArrow().sort_by("key") if kinds else None
     keys = common["key"].to_numpy() if kinds else np.zeros(0, np.int64)
     counts = common["n"].to_numpy() if kinds else np.zeros(0, np.int64)
@@ -283,7 +285,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
             both = np.unique(np.concatenate([kind, pair]))
             level, level2 = found[np.searchsorted(both, kind)], found[np.searchsorted(both, pair)]
         estimate = np.where(level > 0, 1.5 * 2.0 ** np.maximum(level - 1, 0) - 0.5, 0)
-        p_word = (estimate + 1) / (total + kinds + 1)
+        p_word = (estimate + 1) / (mass + kinds + 1)
         most = 2.0**level - (level > 0)
         before = np.empty_like(back)
         before[1:] = back[:-1]
@@ -294,7 +296,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
         both = np.where(level2 > 0, 2.0 ** np.maximum(level2 - 1, 0), 0)[where]
         context = most[before]
         share = np.where(context > 0, np.minimum(both / np.maximum(context, 1), 1.0), 0.0)
-        p = BIGRAM_WEIGHT * share + (1 - BIGRAM_WEIGHT) * p_word[back]
+        p = np.where(context > 0, BIGRAM_WEIGHT * share + (1 - BIGRAM_WEIGHT) * p_word[back], p_word[back])
         score = np.bincount(row, np.log10(p), n)
         sure = exact[back]
         logs = np.log10(known + 1.0)[back]

@@ -269,20 +269,26 @@ def test_lm_score(docs, rows, empty):
 
 
 def test_lm_score_against_exact_levels(docs, rows):
-    """The score from exact counts, quantised as the filter does. A false yes of the filter can only move a few tokens."""
+    """The score from exact counts, quantised as the filter does; a false yes of the filter can only move a few tokens. Next words add up to one at most."""
     tokens = {i: [*split((t or "").translate(LOWER)), "\n"] for i, t, *_ in rows}
     train = [ws for i, ws in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2]
     ones, twos = Counter(w for ws in train for w in ws), Counter(p for ws in train for p in zip(["\n", *ws], ws))
-    total, kinds, level = sum(ones.values()), len(ones), int.bit_length
+    level = int.bit_length
+    middle = lambda w: 1.5 * 2 ** (level(ones[w]) - 1) - 0.5 if ones[w] else 0
+    known = list(ones)
+    mass = sum(map(middle, known))
+
+    def probability(v, w):
+        alone = (middle(w) + 1) / (mass + len(known) + 1)
+        pair, most = (2 ** (level(twos[v, w]) - 1) if twos[v, w] else 0), 2 ** level(ones[v]) - 1
+        return lm_score.BIGRAM_WEIGHT * min(pair / most, 1) + (1 - lm_score.BIGRAM_WEIGHT) * alone if most else alone
+
+    for v in [*random.Random(3).sample(known, 40), "\n", "never seen"]:
+        assert sum(probability(v, w) for w in [*known, "never seen either"]) <= 1 + 1e-9
+    assert sum(probability("never seen", w) for w in [*known, "never seen either"]) > 1 - 1e-9
 
     def score(ws):
-        out = 0.0
-        for v, w in zip(["\n", *ws], ws):
-            word = 1.5 * 2 ** (level(ones[w]) - 1) - 0.5 if ones[w] else 0
-            pair, most = (2 ** (level(twos[v, w]) - 1) if twos[v, w] else 0), 2 ** level(ones[v]) - 1
-            share = min(pair / most, 1) if most else 0
-            out += math.log10(lm_score.BIGRAM_WEIGHT * share + (1 - lm_score.BIGRAM_WEIGHT) * (word + 1) / (total + kinds + 1))
-        return out
+        return sum(math.log10(probability(v, w)) for v, w in zip(["\n", *ws], ws))
 
     got = {r.doc_id: r.score for r in lm_score.score_documents(docs).collect()}
     apart = {i: abs(got[i] - score(ws)) / len(ws) for i, ws in tokens.items()}
