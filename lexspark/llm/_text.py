@@ -124,14 +124,19 @@ def eights(data: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lanes: int = 1) -> list[np.ndarray]:
-    """A 64-bit hash of each span's bytes for each lane; blocks of eight bytes are mixed in one after the other."""
+    """A 64-bit hash of each span's bytes for each lane; blocks of eight bytes are mixed in one after the other.
+
+    The first block is mixed by a bijection, so short spans never collide. A later one goes through two
+    different mixes, keyed by the state before, of which the sum is taken: no block can be solved for that cancels another.
+    """
     view, size = eights(data), end - start
     out = [mix(size.astype(np.uint64) * _ODD ^ seed) for seed in LANES[:lanes]]
     busy, k = np.flatnonzero(size <= LONG), 0
     while len(busy):
         block = view[start[busy] + k] & _MASKS[np.minimum(size[busy] - k, 8)]
         for h in out:
-            h[busy] = mix((h[busy] ^ block) * _ODD)
+            held = h[busy]
+            h[busy] = mix((held ^ block) * _ODD) if k == 0 else mix(held ^ block) + mix(block * _ODD + held)
         k += 8
         busy = busy[size[busy] > k]
     large = np.flatnonzero(size > LONG)
@@ -143,10 +148,10 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lanes: int
     return out
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, start, end, row) of every word; ``fold`` lower-cases A-Z."""
+def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: bool, lane: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash in ``lane``, start, end, row) of every word; ``fold`` lower-cases A-Z."""
     start, end, row = word_bounds(data, offsets)
-    return span_hashes(FOLD[data] if fold else data, start, end)[0], start, end, row
+    return span_hashes(FOLD[data] if fold else data, start, end, lane + 1)[lane], start, end, row
 
 
 def gram_hashes(words: np.ndarray, n: int, lane: int = 0) -> np.ndarray:
@@ -156,24 +161,25 @@ def gram_hashes(words: np.ndarray, n: int, lane: int = 0) -> np.ndarray:
         return np.zeros(0, np.uint64)
     out = np.full(m, LANES[lane])
     for i in range(n):
-        out = (out ^ words[i : i + m]) * _ODD
-        out = out ^ (out >> np.uint64(32))
+        w = words[i : i + m]
+        out = (out ^ w) * _ODD
+        out = (out ^ (out >> np.uint64(32))) + (w ^ (w >> np.uint64(29))) * LANES[1]  # a word counts twice, so it can't be solved for
     return mix(out)
 
 
-def row_grams(words: np.ndarray, row: np.ndarray, rows: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+def row_grams(words: np.ndarray, row: np.ndarray, rows: int, n: int, lane: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """(gram, row): n-grams of words in each row; a row of 1 to n-1 words has its whole sequence as one gram."""
     counts = np.bincount(row, minlength=rows)
     m = len(words) - n + 1
     if m > 0:
         full = row[:m] == row[n - 1 :]
-        grams, owner = gram_hashes(words, n)[full], row[:m][full]
+        grams, owner = gram_hashes(words, n, lane)[full], row[:m][full]
     else:
         grams, owner = np.zeros(0, np.uint64), np.zeros(0, row.dtype)
     short = np.flatnonzero((counts > 0) & (counts < n))
     if len(short):
         first = np.concatenate([[0], np.cumsum(counts)])
-        whole = [gram_hashes(words[first[r] : first[r] + counts[r]], int(counts[r]))[0] ^ np.uint64(counts[r]) for r in short]
+        whole = [gram_hashes(words[first[r] : first[r] + counts[r]], int(counts[r]), lane)[0] ^ np.uint64(counts[r]) for r in short]
         grams, owner = np.concatenate([grams, np.array(whole, np.uint64)]), np.concatenate([owner, short])
     return grams, owner
 

@@ -31,12 +31,12 @@ FREQUENCY_BUCKETS = 1 << 18
 WINDOW = 1
 
 
-def _sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _sets(batch: pa.RecordBatch, words: int, lane: int = 0) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, distinct grams, their row within the step)."""
     data, offsets = tx.utf8(batch.column("text"))
     for i, j in tx.steps(offsets):
-        h, _, _, row = tx.word_hashes(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], True)
-        yield i, j, *tx.row_sets(*tx.row_grams(h, row, j - i, words))
+        h, _, _, row = tx.word_hashes(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], True, lane)
+        yield i, j, *tx.row_sets(*tx.row_grams(h, row, j - i, words, lane))
 
 
 def gram_frequencies(docs: DataFrame, words: int) -> np.ndarray:
@@ -169,7 +169,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
 
     def sets(batch, column):
         out = []
-        for i, j, grams, owner in _sets(pa.record_batch({"text": batch.column(column)}), words):
+        for i, j, grams, owner in _sets(pa.record_batch({"text": batch.column(column)}), words, 1):  # hashes that the candidates weren't found by
             out += np.split(grams, np.cumsum(np.bincount(owner, minlength=j - i))[:-1])
         return out
 
@@ -198,7 +198,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     component_id the smallest reachable by links. Null and wordless texts have an empty set, link with
     nothing and keep their own id. Rows that share a doc_id are one node. A row without a doc_id takes no
     part in links; its class is that of its set, if a document has the same. Other columns of ``docs`` are ignored; an empty table gives no rows.
-    N-grams are compared by 64-bit hashes, equal sets by 128 bits.
+    Candidates are found by 64-bit hashes of n-grams and verified from their texts by other, independent ones; equal sets are told by 128 bits.
     """
     if not 1 <= percent <= 100:
         raise ValueError("a percentage from 1 to 100")
