@@ -28,6 +28,8 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Words and piece pairs that a worker remembers; what comes later is worked out again, which costs time and changes no result.
 REMEMBERED = 200_000
+#: Characters of the longest word that is remembered; texts without spaces are one word each.
+LONGEST_REMEMBERED = 128
 
 
 def _fields(data: bytes) -> Iterable[tuple[int, object]]:
@@ -194,8 +196,8 @@ class Encoder:
         passing = len(self.words) + len(fresh) > REMEMBERED
         self.encode_words(fresh)
         out = [b"".join(map(self.words.__getitem__, words)) for words in cut]
-        if passing:  # the most frequent words came first and stay
-            for word in fresh:
+        for word in fresh:  # the most frequent words came first and stay
+            if passing or len(word) > LONGEST_REMEMBERED:
                 del self.words[word]
         return out
 
