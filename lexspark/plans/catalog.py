@@ -825,11 +825,6 @@ def wiki_pages(spark, d):
     return lex.select(F.col("lemma").alias("title"), text.alias("text"))
 
 
-@query("table_cells", f"WITH {V.LEX} SELECT lemma AS title, 0 AS table_no, 0 AS row_no, k AS cell_no, CASE k WHEN 0 THEN 'a' ELSE lemma END AS cell FROM (SELECT DISTINCT lemma FROM lex), (VALUES (0), (1)) v(k)")
-def table_cells(spark, d):
-    return readers.table_cells(wiki_pages(spark, d))
-
-
 @query("section_facts", f"""WITH {V.LEX}, e AS (SELECT DISTINCT lemma, length(lemma) % 5 AS n, right(lemma, 1) AS z FROM lex)
     SELECT lemma AS title, CASE n WHEN 1 THEN 'verb' WHEN 2 THEN 'noun' WHEN 4 THEN 'verb' ELSE 'adjective' END AS pos, n = 4 AS inflected,
     CASE z WHEN 'o' THEN 'o__n' END AS paradigm FROM e""")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import wikitext as W
-from ..operators import joins
+from ..operators import closed_class, joins
 from ..sources import readers
 from . import views as V
 from .catalog import _TRANSLATION, QUERIES, SQL, query  # noqa: F401  (one registry)
@@ -86,3 +86,92 @@ def variant_entries(spark, d):
     e = readers.entry_terms(readers.extract_entries(entry_pages(spark, d), "io", "eo"), "eo")
     out = joins.resolve_variants(e.withColumn("own", F.size("terms")))
     return out.select("lemma", "form_of", F.size("terms").cast("bigint").alias("n_terms"), ((F.col("own") == 0) & F.col("form_of").isNotNull()).alias("inherits"))
+
+
+#: A page with a pronoun table, a grid and a table after them, for a headword ‹w› with the first term ‹t›.
+TABLES = """a
+{| class="x"
+| b || ‹w›
+|}
+== Pronomi ==
+{| class=x
+|+ titolo ‹w›
+! Ido !! x
+|- style=y
+! Ido
+| il(u) || style="b" | ‹w› || eli || nova
+|-
+
+|-
+! [[x|Esperanto]]
+| li¹
+| ''[[y|‹t›]]'' / x<sup>2</sup>ri || || / z
+|}
+texto Tabelo plu granda
+{|
+! Individuo
+| ‹w› || it‹w›<br>ita, pro it‹w› || ula‹w› || nula‹w›x&lt;br&gt;Ne || - || a b c
+|-
+! Qualeso
+| 1 || 2
+|-
+! nekonata
+| a || b || c || d || e || f
+|-
+!
+| ‹w› || ita || c || d || e || f
+|}
+{|
+| [[z|q]] || a=b | c | d
+|}
+fino"""
+
+
+def table_pages(spark, d):
+    """title, text: a page with tables for each lemma of the lexicon."""
+    lex = V.lexicon(spark, d).groupBy("lemma").agg(F.min("term").alias("t"))
+    pieces = [F.lit(p) if j % 2 == 0 else {"w": F.col("lemma"), "t": F.col("t")}[p] for j, p in enumerate(TABLES.replace("›", "‹").split("‹"))]
+    return lex.select(F.col("lemma").alias("title"), F.concat(*pieces).alias("text"))
+
+
+_WORDS = f"{V.LEX}, b AS (SELECT lemma AS w, min(term) AS t FROM lex GROUP BY lemma)"
+
+
+def _cells(table: int, context: str, rows: list[list[tuple[str, str]]]) -> list[str]:
+    return [f"({table}, {context}, {i}, {j}, '{kind}', {cell})" for i, row in enumerate(rows) for j, (kind, cell) in enumerate(row)]
+
+
+_d = lambda *cells: [("|", c) for c in cells]
+_CELLS = [
+    *_cells(0, r"'a' || chr(10)", [_d("'b'", "w")]),
+    *_cells(1, r"chr(10) || '== Pronomi ==' || chr(10) || '|+ titolo ' || w", [
+        [("!", "'Ido'"), ("!", "'x'")], [("!", "'Ido'"), *_d("'il(u)'", "w", "'eli'", "'nova'")],
+        [("!", "'[[x|Esperanto]]'"), *_d("'li¹'", "'''''[[y|' || t || ']]'''' / x<sup>2</sup>ri'", "''", "'/ z'")],
+    ]),
+    *_cells(2, r"chr(10) || 'texto Tabelo plu granda' || chr(10)", [
+        [("!", "'Individuo'"), *_d("w", "'it' || w || '<br>ita, pro it' || w", "'ula' || w", "'nula' || w || 'x&lt;br&gt;Ne'", "'-'", "'a b c'")],
+        [("!", "'Qualeso'"), *_d("'1'", "'2'")], [("!", "'nekonata'"), *_d("'a'", "'b'", "'c'", "'d'", "'e'", "'f'")], [("!", "''"), *_d("w", "'ita'", "'c'", "'d'", "'e'", "'f'")],
+    ]),
+    *_cells(3, "chr(10)", [_d("'[[z|q]]'", "'d'")]),
+]
+
+
+@query("table_cells", f"WITH {_WORDS} SELECT w AS title, c.* FROM b, LATERAL (VALUES {', '.join(_CELLS)}) c(table_no, context, row_no, cell_no, kind, cell)")
+def table_cells(spark, d):
+    return readers.table_cells(table_pages(spark, d))
+
+
+@query("pronoun_pairs", f"""WITH {_WORDS} SELECT w AS page, c.lemma, 'prn' AS pos, c.term, c.source, c.cell FROM b, LATERAL (VALUES
+    ('il', 'li', 'closed_class_tables_qualified', 'il(u)→li¹'), ('ilu', 'li', 'closed_class_tables_qualified', 'il(u)→li¹'), (w, t, 'closed_class_tables_qualified', w || '→' || t || ' / x<sup>2</sup>ri')) c(lemma, term, source, cell)""")
+def pronoun_pairs(spark, d):
+    return closed_class.pronoun_pairs(readers.wiki_tables(table_pages(spark, d).withColumnRenamed("title", "page")), ["page"])
+
+
+@query("grid_entries", f"""WITH {_WORDS}, g AS (SELECT w AS page, c.* FROM b, LATERAL (VALUES
+    (w, 'prn', 'kiu', w), ('it' || w, 'prn', 'tiu', 'it' || w), ('t' || w, 'prn', 'tiu', 'it' || w), ('ic' || w, 'prn', 'ĉi tiu', 'it' || w), ('ita', 'prn', 'tiu', 'ita'), ('ta', 'prn', 'tiu', 'ita'), ('ica', 'prn', 'ĉi tiu', 'ita'),
+    ('pro it' || w, 'prn', 'tiu', 'pro it' || w), ('pro t' || w, 'prn', 'tiu', 'pro it' || w), ('ula' || w, 'prn', 'iu', 'ula' || w), ('ul' || w, 'prn', 'iu', 'ula' || w),
+    ('nula' || w || 'x', 'prn', 'iu ajn', 'nula' || w || 'x'), ('nul' || w || 'x', 'prn', 'iu ajn', 'nula' || w || 'x'),
+    (w, 'adj', 'kiu', w), ('ita', 'adj', 'tiu', 'ita'), ('ta', 'adj', 'tiu', 'ita'), ('ica', 'prn', 'ĉi tiu', 'ita'), ('c', 'adj', 'iu', 'c'), ('d', 'adj', 'iu ajn', 'd'), ('e', 'adj', 'neniu', 'e'), ('f', 'adj', 'ĉiu', 'f')) c(lemma, pos, term, word))
+    SELECT page, lemma, pos, term, 'closed_class_tables' AS source, word || '→' || term AS cell FROM g WHERE regexp_matches(word, '^[a-z]+( [a-z]+)?$')""")
+def grid_entries(spark, d):
+    return closed_class.grid_entries(readers.wiki_tables(table_pages(spark, d).withColumnRenamed("title", "page")), ["page"])

@@ -216,3 +216,16 @@ AUDIT_CHAIN = [
     (r"(?s)\{\|.*?\|\}", ""), (r"(?s)<ref[^/]*/?>.*?</ref>", ""), (r"\{\{[^}]*\}\}", ""), (r"(?i)\[\[(?:File|Image|Imajo):[^\]]*\]\]", ""),
     (r"\[\[(?:[^|\]]*\|)?([^\]]*)\]\]", "$1"), ("<[^>]+>", ""), ("==+[^=]+=+", ""), ("'{2,}", ""), (r"(?m)^\*[^\n]*$", ""), (r"(?m)^\|[^\n]*$", ""), (r"(?m)^![^\n]*$", ""), (r"\n{3,}", "\n\n"),
 ]
+
+# Closed-class tables: the heading that marks each, the labels of the rows, the sources of what is read from them.
+PRONOUN_TABLE, PRONOUN_ROWS = "Pronomi", ("Ido", "Esperanto")
+GRID_TABLE = "Tabelo plu granda"
+GRID_SOURCES = ("closed_class_tables", "closed_class_tables_qualified")
+# Footnote marks in cells.
+FOOTNOTE = r"[¹²³⁴⁵]|&lt;sup&gt;.*?&lt;/sup&gt;|<sup>.*?</sup>"
+# The columns' target prefixes and what follows the word, and the rows' suffixes and parts of speech.
+GRID_COLUMNS = [("ki", ""), ("ti", ""), ("i", ""), ("i", " ajn"), ("neni", ""), ("ĉi", "")]
+GRID_ROWS = [
+    ("", "u", "adj"), ("individuo", "u", "prn"), ("kozo", "o", "prn"), ("pluralo", "uj", "prn"), ("motivo", "al", "adv"), ("loko", "e", "adv"),
+    ("tempo", "am", "adv"), ("qualeso", "a", "adj"), ("maniero", "el", "adv"), ("quanto substantivala", "om", "prn"),
+]

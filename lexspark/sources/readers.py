@@ -99,11 +99,15 @@ def read_word_pairs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema="source_word string, target_word string, in_current_dict boolean")
 
 
+def wiki_tables(pages: DataFrame) -> DataFrame:
+    """pages (title, text, ...) to their other columns, table_no, context and rows of each table; see ``wikitext.tables``."""
+    return pages.select(*[c for c in pages.columns if c != "text"], F.posexplode(W.tables(F.col("text"))).alias("table_no", "_t")).select("*", "_t.context", "_t.rows").drop("_t")
+
+
 def table_cells(pages: DataFrame) -> DataFrame:
-    """pages (title, text) to title, table_no, row_no, cell_no, cell."""
-    out = pages.select("title", F.posexplode(W.tables(F.col("text"))).alias("table_no", "t"))
-    out = out.select("title", "table_no", F.posexplode("t").alias("row_no", "r"))
-    return out.select("title", "table_no", "row_no", F.posexplode("r").alias("cell_no", "cell"))
+    """pages (title, text) to title, table_no, context, row_no, cell_no, kind, cell."""
+    out = wiki_tables(pages.select("title", "text")).select("title", "table_no", "context", F.posexplode("rows").alias("row_no", "r"))
+    return out.select("title", "table_no", "context", "row_no", F.posexplode("r").alias("cell_no", "c")).select("title", "table_no", "context", "row_no", "cell_no", "c.kind", "c.cell")
 
 
 def extract_entries(pages: DataFrame, lang: str, target: str, pivots: bool = True) -> DataFrame:

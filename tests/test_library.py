@@ -190,8 +190,10 @@ def test_lexicon_files(spark, tmp_path):
 
 
 def test_tables(spark):
-    text = 'x\n{| class="a"\n|+ caption\n|-\n! h1 !! h2\n|- style=x\n| style="b" | c1 || c2\n| c3\n|}\ny'
-    assert apply(spark, [text, None], W.tables) == [[[["h1", "h2"], ["c1", "c2", "c3"]]], []]
+    text = 'x\n{| class="a"\n|+ caption\n|-\n! h1 !! h2\n|- style=x\n| style="b" | c1 || [[a|c2]]\n| c3\n|}\ny\n{|\n|-\n|}'
+    got = apply(spark, [text, None, "{|\n|}"], W.tables)
+    rows = [[("!", "h1"), ("!", "h2")], [("|", "c1"), ("|", "[[a|c2]]"), ("|", "c3")]]
+    assert [[(t.context, [[tuple(c) for c in r] for r in t.rows]) for t in ts] for ts in got] == [[("x\n|+ caption", rows), ("\ny\n", [])], [], [("", [])]]
 
 
 def test_sections(spark):
