@@ -58,6 +58,7 @@ def twin_entries(entries: DataFrame) -> DataFrame:
     """entries (lemma, pos, paradigm, ord, encyclopedic) plus twins by TWIN_RULES; a twin is made only if no earlier row has its lemma.
 
     Encyclopedic nouns of more than three letters in -a also have an adjective in -ana; without that column no noun is one.
+    Other columns go with the twins.
     """
     if "encyclopedic" not in entries.columns:
         entries = entries.withColumn("encyclopedic", F.lit(False))
@@ -70,9 +71,10 @@ def twin_entries(entries: DataFrame) -> DataFrame:
         return F.when(hit, F.struct(F.concat(F.expr(f"left(lemma, greatest(0, length(lemma) - {len(ending)}))"), F.lit(new)).alias("lemma"), F.lit(pos).alias("pos"), F.lit(paradigm).alias("paradigm")))
 
     every = F.array(F.struct("lemma", "pos", "paradigm"), *map(twin, [*TWIN_RULES[:3], ENCYCLOPEDIC_TWIN, *TWIN_RULES[3:]]))
-    rows = entries.select("ord", F.posexplode(every).alias("k", "e")).where("e is not null").select("e.*", "ord", "k")
+    rest = [c for c in entries.columns if c not in ("lemma", "pos", "paradigm", "ord", "encyclopedic")]
+    rows = entries.select("ord", *rest, F.posexplode(every).alias("k", "e")).where("e is not null").select("e.*", "ord", "k", *rest)
     first = F.row_number().over(Window.partitionBy("lemma").orderBy("ord", "k"))
-    return rows.withColumn("_n", first).where("k = 0 or _n = 1").select("lemma", "pos", "paradigm", (F.col("k") > 0).alias("made"))
+    return rows.withColumn("_n", first).where("k = 0 or _n = 1").select("lemma", "pos", "paradigm", (F.col("k") > 0).alias("made"), *rest)
 
 
 def expand_surfaces(entries: DataFrame, table: list[tuple] = rules.PARADIGMS) -> DataFrame:
@@ -131,7 +133,7 @@ def page_entries(pages: DataFrame) -> DataFrame:
 def keep_without_term(entries: DataFrame) -> DataFrame:
     """entries (lemma, pos, n_terms, n_other): those without a target term that still help to recognise words."""
     low = F.lower("lemma")
-    shaped = low.rlike("(o|a|e|ar|ir)$") | F.col("pos").isin("adv", "pr", "det", "prn", "num", "cnjcoo", "cnjsub", "ij", "prep_art")
+    shaped = low.rlike("(o|a|e|ar|ir)$") | F.col("pos").isin(*rules.CLOSED_POS)
     return entries.where((F.col("n_terms") == 0) & (F.col("n_other") > 0) & ~low.rlike("(as|is|os|us|ez)$") & shaped)
 
 

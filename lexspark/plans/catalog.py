@@ -203,7 +203,7 @@ _SANE = f"""CASE WHEN lower(lemma) IN ('qua','qui','quo','quan','quin','quon','d
     WHEN p = '' THEN CASE WHEN regexp_matches(lemma, '..ar$') THEN 'vblex' WHEN lemma LIKE '%o' THEN 'n' WHEN lemma LIKE '%a' AND lemma NOT LIKE '%ia' THEN 'adj' WHEN lemma LIKE '%e' AND length(lemma) > 2 THEN 'adv' ELSE '' END
     WHEN lower(lemma) LIKE '%o' THEN 'n' WHEN lower(lemma) LIKE '%ar' AND length(lemma) > 3 THEN 'vblex' WHEN lower(lemma) LIKE '%a' AND lower(lemma) NOT LIKE '%ia' THEN 'adj' WHEN lower(lemma) LIKE '%e' AND length(lemma) > 2 THEN 'adv' ELSE p END"""
 _PARADIGM = """CASE WHEN regexp_matches(lemma, '^[0-9]+(\\.[0-9]+)?$') THEN 'num' WHEN regexp_matches(lemma, '[ -]') THEN 'o__n' WHEN lower(lemma) LIKE '%ano' THEN 'o__n' WHEN lower(lemma) LIKE '%ana' THEN 'a__adj'
-    WHEN lower(lemma) LIKE '%ia' AND length(lemma) > 3 THEN 'o__n' WHEN regexp_matches(lower(lemma), '(ar|ir)$') AND NOT regexp_matches(lemma, '^\\p{Lu}') THEN 'ar__vblex'
+    WHEN lower(lemma) LIKE '%ia' AND length(lemma) > 3 THEN CASE WHEN pos = 'adj' THEN 'a__adj' ELSE 'o__n' END WHEN regexp_matches(lower(lemma), '(ar|ir)$') AND NOT regexp_matches(lemma, '^\\p{Lu}') THEN 'ar__vblex'
     WHEN pos = 'adv' THEN CASE WHEN lower(lemma) LIKE '%e' THEN 'e__adv' ELSE '__adv' END WHEN pos = 'n' THEN 'o__n' WHEN pos = 'adj' THEN 'a__adj' WHEN pos = 'vblex' THEN 'ar__vblex' WHEN pos = 'prn' THEN '__prn'
     WHEN lower(lemma) LIKE '%a' THEN 'a__adj' WHEN lower(lemma) LIKE '%e' THEN 'e__adv' WHEN lower(lemma) LIKE '%o' THEN 'o__n' WHEN regexp_matches(lower(lemma), '(ar|ir)$') THEN 'ar__vblex'
     WHEN regexp_matches(lemma, '^\\p{Lu}') AND length(lemma) > 2 THEN 'o__n' END"""

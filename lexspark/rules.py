@@ -229,3 +229,15 @@ GRID_ROWS = [
     ("", "u", "adj"), ("individuo", "u", "prn"), ("kozo", "o", "prn"), ("pluralo", "uj", "prn"), ("motivo", "al", "adv"), ("loko", "e", "adv"),
     ("tempo", "am", "adv"), ("qualeso", "a", "adj"), ("maniero", "el", "adv"), ("quanto substantivala", "om", "prn"),
 ]
+
+# What goes from a translation when a vocabulary is prepared.
+VOCABULARY_CHAIN = [(r"^[0-9]+\)\s*", ""), (r"(?i)\s*kategorio:[^\s]+[^\n]*$", ""), (r"\s*#[^\s]+", "")]
+
+# The ending of the citation form for each class of an analysis.
+CITATION_ENDINGS = {"n": "o", "vblex": "ar", "vbser": "ar", "vbmod": "ar", "adj": "a", "adv": "e"}
+
+# Parts of speech whose words need no ending.
+CLOSED_POS = (
+    "adv", "pr", "det", "prn", "num", "cnjcoo", "cnjsub", "ij", "prep_art", "adverb", "preposition", "determiner", "pronoun", "numeral",
+    "conjunction", "interjection", "subordinating conjunction",
+)
