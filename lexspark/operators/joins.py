@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions import text as X
+from .skew import split_join
 
 
 def identical_form(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -25,29 +26,33 @@ def identical_form(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.where(~clash).select("x.lemma", "x.pos", F.explode("x.terms").alias("t")).select("lemma", "pos", "t.term", F.least(F.lit(1.0), F.round(F.col("t.confidence") + 0.2, 6)).alias("confidence"))
 
 
-def link_pairs(pages: DataFrame, links: DataFrame, confidence: float = 0.85) -> DataFrame:
-    """(source title, target title) of pages (page_id, title) and links (page_id, target) that both look like words."""
+def link_pairs(pages: DataFrame, links: DataFrame, confidence: float = 0.85, source_pages: bool = True) -> DataFrame:
+    """(source title, target title) of pages (page_id, title) and links (page_id, target) that both look like words.
+
+    The pages are the source language's, or, without ``source_pages``, the target's; lemmas are of the source either way.
+    """
+    lemma, term = ("title", "target") if source_pages else ("target", "title")
     return (
         pages.join(links, "page_id").where(X.is_link_title(F.col("title")) & X.is_link_title(F.col("target")))
-        .select(F.col("title").alias("lemma"), F.col("target").alias("term"), F.lit(confidence).alias("confidence"))
+        .select(F.col(lemma).alias("lemma"), F.col(term).alias("term"), F.lit(confidence).alias("confidence"))
     )
 
 
 def pivot_join(a: DataFrame, b: DataFrame, confidence: float = 0.7) -> DataFrame:
     """(lemma, term, pivot, confidence, sources) of a (lemma, pivot, sources) and b (term, pivot, sources) that share a pivot word, case aside.
 
-    Many to many by meaning; each side is folded by its word and pivot first. The sources of a come first.
+    Many to many by meaning; each side is folded by its word and pivot first. The sources of a come first. Pairs of a pivot that very many words share are dealt out.
     """
     side = lambda d, word: d.groupBy(word, F.lower("pivot").alias("pivot")).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("sources")))).alias(f"_{word}"))
-    return side(a, "lemma").join(side(b, "term"), "pivot").select("lemma", "term", "pivot", F.lit(confidence).alias("confidence"), F.concat("_lemma", "_term").alias("sources"))
+    return split_join(side(a, "lemma"), side(b, "term"), ["pivot"]).select("lemma", "term", "pivot", F.lit(confidence).alias("confidence"), F.concat("_lemma", "_term").alias("sources"))
 
 
 def same_page_pairs(rows: DataFrame, by_meaning: bool = True) -> DataFrame:
-    """Distinct (page, lemma, term) of rows (page, meaning, lang, term), lang 'a' or 'b', on one page and, if asked, one meaning."""
+    """Distinct (page, lemma, term) of rows (page, meaning, lang, term), lang 'a' or 'b', on one page and, if asked, one meaning; a page that holds very many terms is dealt out."""
     keys = ["page", "meaning"] if by_meaning else ["page"]
     left = rows.where("lang = 'a'").select(*keys, F.col("term").alias("lemma")).distinct()
     right = rows.where("lang = 'b'").select(*keys, "term").distinct()
-    return left.join(right, keys).select("page", "lemma", "term").distinct()
+    return split_join(left, right, keys).select("page", "lemma", "term").distinct()
 
 
 def attach_pos(pairs: DataFrame, lexicon: DataFrame) -> DataFrame:

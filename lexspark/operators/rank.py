@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import rules
 from ..functions import text as X
+from ..functions.likeness import ratio
 
 
 def pick_best(cands: DataFrame, table: dict = rules.SOURCE_RANK, default: int = rules.DEFAULT_RANK) -> DataFrame:
@@ -16,14 +15,6 @@ def pick_best(cands: DataFrame, table: dict = rules.SOURCE_RANK, default: int =
     return cands.groupBy("lemma").agg(F.min_by("term", F.struct(X.source_rank(F.col("sources"), table, default), "idx")).alias("term"))
 
 
-@F.pandas_udf(T.DoubleType())
-def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratcliff/Obershelp similarity of two strings, case folded; 0 if one is empty or null."""
-    from difflib import SequenceMatcher
-
-    return pd.Series([SequenceMatcher(None, x.casefold(), y.casefold()).ratio() if x and y else 0.0 for x, y in zip(a, b, strict=True)])
-
-
 def confidence(table: dict = rules.SOURCE_RANK, corroboration: bool = True, cognate: bool = False) -> Column:
     """A candidate's display score: reliability first, then corroboration, then likeness to the lemma."""
     score = -10.0 * X.source_rank(F.col("sources"), table)

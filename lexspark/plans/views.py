@@ -1,6 +1,6 @@
 """Views that the registered queries share, as DataFrames and as SQL: tokens, vocabulary, and a lexicon made of the corpus.
 
-The lexicon pairs all Spanish and French words of five letters or more that share their first five; its
+The lexicon pairs all Spanish and French words that share their first five letters, or all of a shorter one; its
 sources are those of the French word's documents.
 """
 
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import frequency
+from ..operators.skew import split_join
 
 #: Ranks of the tables' sources in the registered queries.
 RANKS = {f"src{n}": n % 5 for n in range(20)}
@@ -34,12 +35,12 @@ def known_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lemma, term, sources, idx."""
-    word = tokens(spark, sf_dir).where("lang in ('es', 'fr') and length(token) >= 5")
+    word = tokens(spark, sf_dir).where("lang in ('es', 'fr')")
     word = word.groupBy("lang", "token").agg(F.array_sort(F.collect_set("source")).alias("sources")).withColumn("head", F.substring("token", 1, 5))
     a = word.where("lang = 'es'").select("head", F.col("token").alias("lemma"))
     b = word.where("lang = 'fr'").select("head", F.col("token").alias("term"), "sources")
     idx = F.row_number().over(Window.partitionBy("lemma").orderBy("term")) - 1
-    return a.join(b, "head").select("lemma", "term", "sources", idx.alias("idx"))
+    return split_join(a, b, ["head"]).select("lemma", "term", "sources", idx.alias("idx"))
 
 
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +77,7 @@ VOC = TOK + ", voc AS (SELECT token, count(*) AS cnt FROM tok GROUP BY token)"
 KNOWN = r"""known AS (SELECT DISTINCT token FROM (SELECT unnest(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}_]+')) AS token FROM benchmark) WHERE length(token) >= 2)"""
 LEX = (
     VOC
-    + """, word AS (SELECT lang, token, list_sort(list(DISTINCT source)) AS sources FROM tok WHERE lang IN ('es', 'fr') AND length(token) >= 5 GROUP BY lang, token),
+    + """, word AS (SELECT lang, token, list_sort(list(DISTINCT source)) AS sources FROM tok WHERE lang IN ('es', 'fr') GROUP BY lang, token),
 lex AS (SELECT a.token AS lemma, b.token AS term, b.sources, row_number() OVER (PARTITION BY a.token ORDER BY b.token) - 1 AS idx
     FROM word a JOIN word b ON a.lang = 'es' AND b.lang = 'fr' AND substr(a.token, 1, 5) = substr(b.token, 1, 5))"""
 )

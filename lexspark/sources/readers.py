@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import warnings
 from functools import reduce
 
@@ -15,8 +16,8 @@ from ..functions import wikitext as W
 PAGE = "title string, ns int, id bigint, revision struct<id: bigint, text: struct<_VALUE: string>>"
 
 
-def read_wiki_dump(spark: SparkSession, path: str, ns: int | None = 0) -> DataFrame:
-    """MediaWiki XML, plain or compressed: title, ns, page_id, rev_id, text.
+def read_wiki_dump(spark: SparkSession, path: str | list[str], ns: int | None = 0, dump: bool = False) -> DataFrame:
+    """MediaWiki XML, plain or compressed: title, ns, page_id, rev_id, text, and if asked dump_file, dump_date, dump_mb.
 
     Cut at ``</page>``, so plain and bz2 dumps are read in splits; the namespace is tested on the raw
     piece before the XML is parsed.
@@ -25,8 +26,22 @@ def read_wiki_dump(spark: SparkSession, path: str, ns: int | None = 0) -> DataFr
     if ns is not None:
         raw = raw.where(F.col("value").contains(f"<ns>{ns}</ns>"))
     xml = F.concat(F.lit("<page>"), F.regexp_extract("value", r"(?s)<page>(.*)$", 1), F.lit("</page>"))
-    page = raw.select(F.from_xml(xml, PAGE).alias("p"))
-    return page.select("p.title", "p.ns", F.col("p.id").alias("page_id"), F.col("p.revision.id").alias("rev_id"), F.coalesce("p.revision.text._VALUE", F.lit("")).alias("text"))
+    extra = ["dump_file", "dump_date", "dump_mb"] if dump else []
+    page = (with_dump(raw) if dump else raw).select(F.from_xml(xml, PAGE).alias("p"), *extra)
+    return page.select("p.title", "p.ns", F.col("p.id").alias("page_id"), F.col("p.revision.id").alias("rev_id"), F.coalesce("p.revision.text._VALUE", F.lit("")).alias("text"), *extra)
+
+
+def with_dump(files: DataFrame) -> DataFrame:
+    """Rows of a file scan with dump_file, dump_date and dump_mb: name, date and size of the file that each comes from.
+
+    The date is the first eight digits of the name, or the day on which the file was last changed for a name with ``latest`` or without
+    digits. A folder of part files counts as one file by its own name, with the part's size.
+    """
+    meta = F.col("_metadata")
+    name = F.when(meta["file_name"].startswith("part-"), F.element_at(F.split(meta["file_path"], "/"), -2)).otherwise(meta["file_name"])
+    digits = F.regexp_extract(name, "([0-9]{8})", 1)
+    day = F.when(name.contains("latest") | (digits == ""), F.date_format(meta["file_modification_time"], "yyyy-MM-dd")).otherwise(F.concat_ws("-", F.left(digits, F.lit(4)), F.substring(digits, 5, 2), F.substring(digits, 7, 2)))
+    return files.select("*", name.alias("dump_file"), day.alias("dump_date"), F.round(meta["file_size"] / (1024 * 1024), 2).alias("dump_mb"))
 
 
 def read_pages_by_title(spark: SparkSession, path: str, titles: list[str]) -> DataFrame:
@@ -52,20 +67,30 @@ def read_sql_tuples(spark: SparkSession, path: str, kind: str, arg: str = "") ->
     return rows.groupBy("page_id").agg(F.max_by("value", "ord").alias("value")).select("page_id", plain.alias("value"))
 
 
+_TERMS = "array<struct<term: string, lang: string, confidence: double, source: string>>"
+_ENTRY = f"lemma string, pos string, language string, source string, translations {_TERMS}, senses array<struct<translations: {_TERMS}>>"
+
+
+def _entry_terms(entries: DataFrame) -> DataFrame:
+    """(e, ord) to lemma, pos, lang, term, confidence, source, ord: the terms of senses, then the entry's own; an entry without terms is a row of nulls."""
+    none = F.array().cast(_TERMS)
+    terms = F.concat(F.coalesce(F.flatten(F.transform("e.senses", lambda s: F.coalesce(s["translations"], none))), none), F.coalesce("e.translations", none))
+    rows = entries.select("e", "ord", F.posexplode_outer(terms).alias("k", "t"))
+    return rows.select("e.lemma", "e.pos", "t.lang", "t.term", "t.confidence", F.coalesce("t.source", "e.source").alias("source"), F.struct("ord.*", F.coalesce("k", F.lit(0)).alias("k")).alias("ord"))
+
+
 def read_lexicon(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Entries of JSON files, a list or ``{metadata, entries}``, senses or top-level translations: lemma, pos, lang, term, confidence, source, ord. A missing file is warned about and left out."""
-    schema = (
-        "lemma string, pos string, language string, source string, entries array<struct<lemma: string, pos: string, language: string, source: string, "
-        "translations: array<struct<term: string, lang: string, confidence: double, source: string>>, senses: array<struct<translations: array<struct<term: string, lang: string, confidence: double, source: string>>>>>>, "
-        "translations array<struct<term: string, lang: string, confidence: double, source: string>>, senses array<struct<translations: array<struct<term: string, lang: string, confidence: double, source: string>>>>"
-    )
+    """Entries of JSON files, a list or ``{metadata, entries}``, senses or top-level translations: lemma, pos, lang, term, confidence, source, ord. A missing file is warned about and left out.
+
+    A file is one value and so one task; ``read_large_lexicon`` reads one file by many tasks.
+    """
+    inner = _ENTRY.replace("lemma string, pos string, language string, source string, translations ", "lemma: string, pos: string, language: string, source: string, translations: ").replace(", senses ", ", senses: ")
+
     def one(seq, path):
-        raw = spark.read.schema(schema).json(path, multiLine=True).withColumn("row", F.monotonically_increasing_id())
+        raw = spark.read.schema(f"{_ENTRY}, entries array<struct<{inner}>>").json(path, multiLine=True).withColumn("row", F.monotonically_increasing_id())
         own = F.array(F.struct("lemma", "pos", "language", "source", "translations", "senses"))
         entries = raw.select("row", F.posexplode(F.coalesce("entries", own)).alias("at", "e"))
-        terms = F.concat(F.coalesce(F.flatten(F.transform("e.senses", lambda s: F.coalesce(s["translations"], F.array().cast("array<struct<term: string, lang: string, confidence: double, source: string>>")))), F.array().cast("array<struct<term: string, lang: string, confidence: double, source: string>>")), F.coalesce("e.translations", F.array().cast("array<struct<term: string, lang: string, confidence: double, source: string>>")))
-        rows = entries.select("row", "at", "e", F.posexplode_outer(terms).alias("k", "t"))
-        return rows.select("e.lemma", "e.pos", "t.lang", "t.term", "t.confidence", F.coalesce("t.source", "e.source").alias("source"), F.struct(F.lit(seq).alias("file"), "row", "at", F.coalesce("k", F.lit(0)).alias("k")).alias("ord"))
+        return _entry_terms(entries.select("e", F.struct(F.lit(seq).alias("file"), "row", "at").alias("ord")))
 
     found = []
     for i, path in enumerate(paths):
@@ -80,6 +105,35 @@ def read_lexicon(spark: SparkSession, paths: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+def read_large_lexicon(spark: SparkSession, path: str, first_key: str = "lemma") -> DataFrame:
+    """As ``read_lexicon`` for one large file, which is cut between entries and read by as many tasks as it has splits.
+
+    The file is a list or ``{metadata, entries}``, entries last, either with every entry's braces on lines of their own, all indented
+    alike, or on one line with ``first_key`` first in every entry and only there. Such a boundary can't stand within a string, where line
+    breaks and quotes are escaped. Only the head of the file, 2,000 lines, is read to tell which form it has; the metadata end within it. ``ord`` holds the place by file,
+    split and entry.
+    """
+    head = [r.value for r in spark.read.text(path).limit(2000).collect()]
+    wrapped = next((x.lstrip()[0] for x in head if x.strip()), "[") == "{"
+    begins = r'"entries"\s*:\s*\[\s*$' if wrapped else r"^\s*\[\s*$"
+    opening = next((y for x, y in zip(head, head[1:], strict=False) if re.search(begins, x)), "").rstrip()
+    indent = opening[:-1] if re.fullmatch(r"[ \t]+\{", opening) else None
+    between = f'}},{{"{first_key}":' if indent is None else f"\n{indent}}},\n{indent}{{"
+    start, end = (f'{{"{first_key}":' if indent is None else "{"), "}"
+    pieces = spark.read.option("lineSep", between).text(path).select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+    first = F.col("value").rlike(r"^\s*[\[{]")
+    inside = (r'(?s)^.*?"entries"\s*:\s*\[\s*\{' if wrapped else r"(?s)^\s*\[\s*\{") + (r"\s*" + f'"{first_key}"' + r"\s*:" if indent is None else "")
+    body = F.when(first, F.regexp_replace("value", inside, "")).otherwise(F.col("value"))
+    # Outside strings, an entry's own braces are balanced without the outer pair; the last piece closes more than it opens.
+    bare = F.regexp_replace(body, r'"(?:[^"\\]|\\.)*"', "")
+    count = lambda c: F.length(bare) - F.length(F.replace(bare, F.lit(c), F.lit("")))
+    last = count("}") > count("{")
+    text = F.concat(F.lit(start), F.when(last, F.regexp_replace(body, r"\}\s*\]\s*\}?\s*$", "")).otherwise(body), F.lit(end))
+    empty = first & F.col("value").rlike(r"(?s)^\s*(\{.*)?\[\s*\]\s*\}?\s*$")
+    entries = pieces.where(~empty).select(F.from_json(text, _ENTRY).alias("e"), F.struct("file_path", "file_block_start", "row").alias("ord"))
+    return _entry_terms(entries)
+
+
 def read_parallel_tsv(spark: SparkSession, path: str) -> DataFrame:
     """src, ref, tags array; blank lines, lines whose first non-blank is #, and lines of one field are skipped."""
     line = spark.read.text(path).where(~F.col("value").rlike(r"^\s*(#|$)"))
