@@ -43,14 +43,14 @@ def derive_pairs(pairs: DataFrame, vocabulary: DataFrame, known: DataFrame) -> D
     return forms.groupBy("lemma").agg(first.alias("f")).select("lemma", "f.term", "f.pos")
 
 
-#: (ending, paradigm asked, replacement, paradigm and pos given).
+# Twins (ending, paradigm asked, replacement, paradigm and pos given).
 TWIN_RULES = [
     ("ano", "o__n", "ana", "a__adj", "adjective"), ("ana", "a__adj", "ano", "o__n", "noun"),
     ("ia", "o__n", "iana", "a__adj", "adjective"), ("iana", "a__adj", "ia", "o__n", "noun"), ("ana", "a__adj", "a", "o__n", "noun"),
 ]
 
 
-#: The rule for proper nouns of an encyclopedia, which stands before the fourth.
+# The rule for proper nouns of an encyclopedia, which stands before the fourth.
 ENCYCLOPEDIC_TWIN = ("a", "o__n", "ana", "a__adj", "adjective")
 
 

@@ -39,6 +39,11 @@ def top_tokens(counts: DataFrame, n: int) -> DataFrame:
     return counts.orderBy(F.desc("cnt"), "token").limit(n)
 
 
+def top_ranks(counts: DataFrame, n: int) -> DataFrame:
+    """token, cnt, rank of the first n tokens; only n rows are ranked, however many tokens there are."""
+    return top_tokens(counts, n).withColumn("rank", F.row_number().over(Window.orderBy(F.desc("cnt"), "token")))
+
+
 def missing_tokens(counts: DataFrame, known: DataFrame, n: int) -> DataFrame:
     """The top n tokens that ``known`` (token) lacks."""
     return top_tokens(counts, n).join(known.select("token").distinct(), "token", "left_anti")

@@ -494,8 +494,8 @@ def entity_label_pairs(spark, d):
 @query("frequency_gate", f"""WITH {V.VOC}, r AS (SELECT token, row_number() OVER (ORDER BY cnt DESC, token) AS rank FROM voc), e AS (SELECT DISTINCT token AS lemma, length(token) % 2 = 0 AS encyclopedic FROM voc)
     SELECT lemma, encyclopedic FROM e WHERE NOT encyclopedic OR regexp_matches(lemma, '(ano|ana)$') OR lemma IN (SELECT token FROM r WHERE rank <= 1000)""")
 def frequency_gate(spark, d):
-    ranks = frequency.rank_tokens(V.vocabulary(spark, d))
-    return joins.frequency_gate(ranks.select(F.col("token").alias("lemma"), (F.length("token") % 2 == 0).alias("encyclopedic")), ranks, 1000)
+    words = V.vocabulary(spark, d)
+    return joins.frequency_gate(words.select(F.col("token").alias("lemma"), (F.length("token") % 2 == 0).alias("encyclopedic")), frequency.top_ranks(words, 1000), 1000)
 
 
 @query("attested_new", f"WITH {V.LEX}, {V.KNOWN}, f AS (SELECT DISTINCT term || 's' AS lemma FROM lex UNION SELECT DISTINCT term FROM lex) SELECT lemma FROM f WHERE lemma IN (SELECT token FROM voc) AND lemma NOT IN (SELECT lemma FROM lex)")

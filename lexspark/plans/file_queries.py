@@ -153,7 +153,7 @@ def link_pairs_turned(spark, d):
     return joins.link_pairs(lex.select(F.col("term").alias("page_id"), F.col("term").alias("title")).distinct(), lex.select(F.col("term").alias("page_id"), F.col("lemma").alias("target")), source_pages=False)
 
 
-@query("unified_entries", f"""WITH {V.LEX} SELECT lemma, 'corpus' AS source, CASE WHEN length(lemma) % 2 = 0 THEN 'noun' END AS pos, NULL AS paradigm, string_agg(term || ':eo:0.9', ',' ORDER BY idx) || CASE WHEN bool_or(idx = 1) THEN ',x:en:0.9' ELSE '' END AS translations, 'https://example.org/wiki/' || lemma AS source_page FROM lex GROUP BY lemma""")
+@query("unified_entries", f"""WITH {V.LEX} SELECT lemma, 'corpus' AS source, CASE WHEN length(lemma) % 2 = 0 THEN 'noun' END AS pos, CAST(NULL AS VARCHAR) AS paradigm, string_agg(term || ':eo:0.9', ',' ORDER BY idx) || CASE WHEN bool_or(idx = 1) THEN ',x:en:0.9' ELSE '' END AS translations, 'https://example.org/wiki/' || lemma AS source_page FROM lex GROUP BY lemma""")
 def unified_entries(spark, d):
     """The lexicon in the unified form, from terms with links and repetitions."""
     t = F.struct(F.lit("eo").alias("lang"), F.concat(F.lit("[["), "term", F.lit("]]")).alias("term"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import wikitext as W
 from ..operators import closed_class, joins
 from ..sources import readers
+from ..storage import saved
 from . import views as V
 from .catalog import _TRANSLATION, QUERIES, SQL, query  # noqa: F401  (one registry)
 
@@ -83,7 +84,7 @@ def extract_entries(spark, d):
     SELECT lemma, form_of, CASE WHEN c > 0 THEN c ELSE (SELECT count(*) FROM u WHERE k = lower(form_of)) END AS n_terms, c = 0 AND form_of IS NOT NULL AS inherits FROM e""")
 def variant_entries(spark, d):
     """Entries of pages, variants with the terms of the lemma that they are a form of."""
-    e = readers.entry_terms(readers.extract_entries(entry_pages(spark, d), "io", "eo"), "eo")
+    e = saved(readers.entry_terms(readers.extract_entries(entry_pages(spark, d), "io", "eo"), "eo"), "entries")  # the join below has them on both sides
     out = joins.resolve_variants(e.withColumn("own", F.size("terms")))
     return out.select("lemma", "form_of", F.size("terms").cast("bigint").alias("n_terms"), ((F.col("own") == 0) & F.col("form_of").isNotNull()).alias("inherits"))
 
@@ -169,9 +170,9 @@ def pronoun_pairs(spark, d):
 
 @query("grid_entries", f"""WITH {_WORDS}, g AS (SELECT w AS page, c.* FROM b, LATERAL (VALUES
     (w, 'prn', 'kiu', w), ('it' || w, 'prn', 'tiu', 'it' || w), ('t' || w, 'prn', 'tiu', 'it' || w), ('ic' || w, 'prn', 'ĉi tiu', 'it' || w), ('ita', 'prn', 'tiu', 'ita'), ('ta', 'prn', 'tiu', 'ita'), ('ica', 'prn', 'ĉi tiu', 'ita'),
-    ('pro it' || w, 'prn', 'tiu', 'pro it' || w), ('pro t' || w, 'prn', 'tiu', 'pro it' || w), ('ula' || w, 'prn', 'iu', 'ula' || w), ('ul' || w, 'prn', 'iu', 'ula' || w),
-    ('nula' || w || 'x', 'prn', 'iu ajn', 'nula' || w || 'x'), ('nul' || w || 'x', 'prn', 'iu ajn', 'nula' || w || 'x'),
+    ('pro it' || w, 'prn', 'tiu', 'pro it' || w), ('pro t' || w, 'prn', 'tiu', 'pro it' || w), ('ula' || w, 'prn', 'iu', 'ula' || w), (CASE WHEN length(w) > 3 THEN 'ul' || w END, 'prn', 'iu', 'ula' || w),
+    ('nula' || w || 'x', 'prn', 'iu ajn', 'nula' || w || 'x'), (CASE WHEN length(w) > 2 THEN 'nul' || w || 'x' END, 'prn', 'iu ajn', 'nula' || w || 'x'),
     (w, 'adj', 'kiu', w), ('ita', 'adj', 'tiu', 'ita'), ('ta', 'adj', 'tiu', 'ita'), ('ica', 'prn', 'ĉi tiu', 'ita'), ('c', 'adj', 'iu', 'c'), ('d', 'adj', 'iu ajn', 'd'), ('e', 'adj', 'neniu', 'e'), ('f', 'adj', 'ĉiu', 'f')) c(lemma, pos, term, word))
-    SELECT page, lemma, pos, term, 'closed_class_tables' AS source, word || '→' || term AS cell FROM g WHERE regexp_matches(word, '^[a-z]+( [a-z]+)?$')""")
+    SELECT page, lemma, pos, term, 'closed_class_tables' AS source, word || '→' || term AS cell FROM g WHERE lemma IS NOT NULL AND regexp_matches(word, '^[a-z]+( [a-z]+)?$')""")
 def grid_entries(spark, d):
     return closed_class.grid_entries(readers.wiki_tables(table_pages(spark, d).withColumnRenamed("title", "page")), ["page"])

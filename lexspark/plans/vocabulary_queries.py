@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..operators import frequency, vocabulary
 from . import views as V
-from .catalog import _CLASS, _FORMS, _STEM, _stems, QUERIES, SQL, query  # noqa: F401  (one registry)
+from .catalog import _CLASS, _CLEAN, _FORMS, _PARADIGM, _VALID, QUERIES, SQL, _stems, query  # noqa: F401  (one registry)
 
 _EMPTY = F.array().cast("array<struct<lang: string, term: string, confidence: double, source: string>>")
 
@@ -88,19 +88,53 @@ def _raw_entries(spark, d):
 
 
 def _prepared(spark, d):
-    return vocabulary.prepare(_raw_entries(spark, d), frequency.rank_tokens(V.vocabulary(spark, d)), 2000)
-
-
-@query("vocabulary_entries")
+    return vocabulary.prepare(_raw_entries(spark, d), frequency.top_ranks(V.vocabulary(spark, d), 2000), 2000)
+
+
+_FIRST = "upper(substr({0}, 1, 1)) || substr({0}, 2)"
+_WIKI = "k < 2"
+_STEPS = rf"""{V.LEX}, top AS (SELECT token FROM voc ORDER BY cnt DESC, token LIMIT 2000),
+raw AS (SELECT lemma || ' ' || term AS ord, CASE length(lemma) % 6 WHEN 1 THEN '[[' || lemma || ']]' WHEN 2 THEN {_FIRST.format('lemma')} WHEN 3 THEN lemma || 'ia' WHEN 4 THEN lemma || 'ano' WHEN 5 THEN '''''' ELSE lemma END AS raw,
+    CASE length(term) % 3 WHEN 0 THEN 'noun' WHEN 1 THEN 'adjective' END AS pos, CASE WHEN idx % 7 = 6 THEN '' WHEN idx % 5 = 4 THEN 'eo' ELSE 'io' END AS language, idx % 3 AS k,
+    CASE length(term) % 4 WHEN 0 THEN [('eo', term), ('en', '2) ' || term || ' #T')] WHEN 1 THEN [('eo', term || ', x'), ('eo', 'a b c')] WHEN 2 THEN [('eo', {_FIRST.format('term')})] ELSE [('en', 'p, q'), ('eo', '|')] END AS ts FROM lex),
+u AS (SELECT ord, unnest(ts) AS x, generate_subscripts(ts, 1) AS i FROM raw), c1 AS (SELECT ord, i, x[1] AS lang, {_CLEAN.format('x[2]')} AS term FROM u), c2 AS (SELECT * FROM c1 WHERE {_VALID.format('term')}),
+c3 AS (SELECT ord, list((lang, term) ORDER BY i) AS ts, list_sort(list(DISTINCT term) FILTER (lang = 'eo')) AS own, bool_and(regexp_matches(term, '^\p{{Ll}}')) FILTER (lang = 'eo') AS low FROM c2 GROUP BY ord),
+n1 AS (SELECT raw.* EXCLUDE (ts), coalesce(c3.ts, []) AS ts, coalesce(own, []) AS own, coalesce(low, false) AS low, {_CLEAN.format('raw')} AS l FROM raw LEFT JOIN c3 USING (ord)),
+n2 AS (SELECT *, CASE WHEN regexp_matches(l, '^\p{{Lu}}') AND (low OR coalesce(pos = 'adjective', false)) THEN lower(substr(l, 1, 1)) || substr(l, 2) ELSE l END AS lemma, l <> raw AS cleaned FROM n1),
+n3 AS (SELECT * FROM n2 WHERE {_VALID.format('lemma')}),
+n4 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lower(lemma), lower(coalesce(pos, '')), lower(language), own ORDER BY ord) AS r FROM n3) WHERE r = 1),
+n5 AS (SELECT * EXCLUDE (pos), pos AS given, CASE pos WHEN 'noun' THEN 'n' WHEN 'adjective' THEN 'adj' END AS pos FROM n4),
+n6 AS (SELECT *, CASE WHEN ({_PARADIGM}) IS NOT NULL THEN ({_PARADIGM}) WHEN {_WIKI} AND (regexp_matches(lemma, '^\p{{Lu}}') OR lower(lemma) LIKE '%i') THEN 'o__n' END AS paradigm FROM n5),
+tw AS (SELECT lemma AS made_of, lemma, pos, paradigm, 0 AS rule, * EXCLUDE (lemma, pos, paradigm) FROM n6
+    UNION ALL SELECT lemma, left(lemma, length(lemma) - 3) || 'ana', 'adjective', 'a__adj', 1, * EXCLUDE (lemma, pos, paradigm) FROM n6 WHERE lower(lemma) LIKE '%ano' AND paradigm = 'o__n'
+    UNION ALL SELECT lemma, left(lemma, length(lemma) - 3) || 'ano', 'noun', 'o__n', 2, * EXCLUDE (lemma, pos, paradigm) FROM n6 WHERE lower(lemma) LIKE '%ana' AND paradigm = 'a__adj'
+    UNION ALL SELECT lemma, lemma || 'na', 'adjective', 'a__adj', 3, * EXCLUDE (lemma, pos, paradigm) FROM n6 WHERE lower(lemma) LIKE '%ia' AND paradigm = 'o__n'
+    UNION ALL SELECT lemma, lemma || 'na', 'adjective', 'a__adj', 4, * EXCLUDE (lemma, pos, paradigm) FROM n6 WHERE {_WIKI} AND lower(lemma) LIKE '%a' AND paradigm = 'o__n' AND length(lemma) > 3
+    UNION ALL SELECT lemma, left(lemma, length(lemma) - 2), 'noun', 'o__n', 5, * EXCLUDE (lemma, pos, paradigm) FROM n6 WHERE lower(lemma) LIKE '%iana' AND paradigm = 'a__adj'
+    UNION ALL SELECT lemma, left(lemma, length(lemma) - 2), 'noun', 'o__n', 6, * EXCLUDE (lemma, pos, paradigm) FROM n6 WHERE lower(lemma) LIKE '%ana' AND paradigm = 'a__adj'),
+n7 AS (SELECT *, row_number() OVER () AS id FROM (SELECT *, row_number() OVER (PARTITION BY lemma ORDER BY made_of, coalesce(given, 'None'), ord, rule) AS r2 FROM tw) WHERE rule = 0 OR r2 = 1),
+n8 AS (SELECT *, CASE WHEN language = '' THEN 'bad_schema' WHEN NOT ({_VALID.format('lemma')}) THEN 'bad_lemma' WHEN k = 0 AND NOT regexp_matches(lower(regexp_replace(lemma, '^.*[ -]', '')), '(ano|ana)$') AND NOT list_has_any(string_split_regex(lower(lemma), '\s+'), (SELECT list(token) FROM top)) THEN 'wiki_low_freq' ELSE 'kept' END AS status FROM n7),
+w1 AS (SELECT id, status, lemma, unnest(ts) AS x, generate_subscripts(ts, 1) AS i FROM n8),
+w2 AS (SELECT *, x[1] AS lang, CASE WHEN regexp_matches(trim(x[2]), '[|{{}}]|bgcolor') THEN '' ELSE {V.sql_chain('trim(x[2])', rules.VOCABULARY_CHAIN)} END AS y FROM w1),
+w3 AS (SELECT *, CASE WHEN contains(y, '*') THEN '' ELSE trim(regexp_replace(y, '\s+', ' ', 'g')) END AS term FROM w2),
+w4 AS (SELECT *, CASE WHEN lang = 'eo' AND NOT regexp_matches(term, '^[A-Za-zĈĜĤĴŜŬĉĝĥĵŝŭ\-]+( [A-Za-zĈĜĤĴŜŬĉĝĥĵŝŭ\-]+)?$') THEN 'bad_tr_eo' WHEN contains(term, ',') THEN 'comma_tr' END AS why FROM w3 WHERE term <> ''),
+w5 AS (SELECT id, string_agg(lang || ':' || term, '|' ORDER BY i) FILTER (why IS NULL) AS translations, count(*) FILTER (why IS NOT NULL) AS gone FROM w4 GROUP BY id)"""
+
+
+@query("vocabulary_entries", f"""WITH {_STEPS} SELECT lemma, pos, language, paradigm, rule > 0 AS made, ['io_wikipedia', 'io_wikipedia,io_wiktionary', 'io_wiktionary'][k + 1] AS sources, coalesce(translations, '') AS translations
+    FROM n8 LEFT JOIN w5 USING (id) WHERE status = 'kept' AND (translations IS NOT NULL OR language = 'io')""")
 def vocabulary_entries(spark, d):
-    return _prepared(spark, d).entries
+    listed = F.array_join(F.transform("translations", lambda t: F.concat_ws(":", t["lang"], t["term"])), "|")
+    return _prepared(spark, d).entries.withColumns({"sources": F.array_join("sources", ","), "translations": listed})
 
 
-@query("vocabulary_suspects")
+@query("vocabulary_suspects", f"WITH {_STEPS} SELECT 'wiki_low_freq' AS reason, lemma, NULL AS term FROM n8 WHERE status = 'wiki_low_freq' UNION ALL SELECT why, lemma, term FROM w4 WHERE why IS NOT NULL AND status = 'kept'")
 def vocabulary_suspects(spark, d):
     return _prepared(spark, d).suspects
 
 
-@query("vocabulary_counters")
+@query("vocabulary_counters", f"""WITH {_STEPS}, a AS (SELECT count(*) AS input, count(*) FILTER (cleaned) AS cleaned FROM n2), b AS (SELECT count(*) AS n FROM n3), c AS (SELECT count(*) AS output FROM n4),
+    s AS (SELECT count(*) FILTER (status = 'bad_schema') AS bad_schema, count(*) FILTER (status = 'bad_lemma') AS bad_lemma, count(*) FILTER (status = 'wiki_low_freq') AS wiki_low_freq, count(*) FILTER (status = 'kept' AND translations IS NULL) AS all_tr_removed, coalesce(sum(gone) FILTER (status = 'kept'), 0)::BIGINT AS tr_removed FROM n8 LEFT JOIN w5 USING (id))
+    SELECT input, cleaned, input - n AS invalid, n - output AS duplicates, output, s.* FROM a, b, c, s""")
 def vocabulary_counters(spark, d):
     return _prepared(spark, d).counters

@@ -138,6 +138,7 @@ LAYOUT_WORDS = (
 # group), applied in order; the order is part of the meaning.
 TRIMMED = " \t\n\r\f\x0b:;,.–-|"
 
+# What goes from a headword.
 LEMMA_CHAIN = [
     (r"'{2,}", ""),
     (r"\[\[([^|\]]+)\|([^\]]+)\]\]", "$2"),
@@ -156,6 +157,7 @@ LEMMA_CHAIN = [
     (r"\('+\)", ""),
 ]
 
+# What goes from a translation.
 TRANSLATION_CHAIN = [
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;|&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"),
     (r"\s*\[[\d\s,–-]+\]\s*", " "),
@@ -170,6 +172,7 @@ TRANSLATION_CHAIN = [
     (r"\s+", " "),
 ]
 
+# What goes from wikitext.
 WIKITEXT_CHAIN = [
     (r"(?s)<ref[^>]*>.*?</ref>", " "),
     (r"\{\{[^\}]*\}\}", " "),
@@ -178,10 +181,15 @@ WIKITEXT_CHAIN = [
     (r"<[^>]+>", " "),
 ]
 
+# The letters of a target word.
 TERM_CHARS = r"^[A-Za-zĈĜĤĴŜŬĉĝĥĵŝŭ\-]+$"
+# Shapes of numbers.
 NUMERIC_SHAPES = r"^-?[0-9]+(\.[0-9]+)?$|^[0-9]+[,;:]|^[0-9.,%\-]+$|^[0-9]+(ma|st|nd|rd|th|ĝa|a|esma)$|^[A-Za-z0-9_]{0,3}[0-9]{2,}[A-Za-z0-9_]{0,3}$"
+# Endings of conjugated verbs.
 CONJUGATED = "^[a-z]{2,}(as|is|os|us|ez)$"
+# A title that can be a word.
 LINK_TITLE = r"^[A-Za-zĉĝĥĵŝŭĈĜĤĴŜŬ][\p{L}\p{N}_\-\s]*$"
+# A label that can be a word.
 LABEL = r"^[a-zA-ZĈĉĜĝĤĥĴĵŜŝŬŭÀ-ÿ][a-zA-ZĈĉĜĝĤĥĴĵŜŝŬŭÀ-ÿ\-]+$"
 
 # Contractions of a preposition with the article, and what the preposition is in the target.

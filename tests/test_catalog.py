@@ -5,13 +5,14 @@ import os
 import pytest
 
 import __spark_entry__
-from lexspark.plans import catalog
 
 DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 CHOSEN = [
     "token_frequency", "coverage", "clean_lemma", "parse_meanings", "split_terms", "entry_paradigms", "merge_lexicon", "merged_winners", "prepare_vocabulary", "shadow_guard", "fold_inflections",
     "precision_srcrank", "identical_form_join", "supplement", "merge_case_twins", "twin_entries", "tagged_derivations", "chrf", "section_facts",
+    "extract_entries", "variant_entries", "tagged_pairs", "pairs_by_confidence", "classes_by_ending", "audit_text", "table_cells", "pronoun_pairs", "grid_entries",
+    "align_parts", "analyse", "forced_overrides", "read_large_lexicon", "dump_provenance", "schema_errors", "entity_entries", "link_pairs_turned", "unified_entries", "index_records", "dictionary_records",
     "merge_by_lemma", "failure_audit", "article_errors", "entry_quality", "flagged_pairs", "pronoun_rows", "pivot_join", "read_wiki_dump", "read_sql_tuples", "read_lexicon", "read_tagged_pairs",
 ]
 
@@ -29,9 +30,9 @@ def duck():
 
 @pytest.mark.parametrize("name", CHOSEN)
 def test_query_equals_its_sql(spark, duck, name):
-    got = catalog.QUERIES[name](spark, DIR).toArrow()
+    got = __spark_entry__.queries()[name](spark, DIR).toArrow()
     duck.register("got", got)
-    duck.sql(f"create or replace temp table want as {catalog.SQL[name]}")
+    duck.sql(f"create or replace temp table want as {__spark_entry__.oracle_sql()[name]}")
     columns = sorted(r[0] for r in duck.sql("describe want").fetchall())
     assert columns == sorted(got.column_names)
     names = ", ".join(f'"{c}"' for c in columns)
