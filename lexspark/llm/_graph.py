@@ -12,7 +12,8 @@ def connected_components(links: DataFrame, store: Store, a: str = "a", b: str =
     """(id, component): the smallest id reachable from each id that has a link.
 
     Alternating large-star and small-star steps; each is a map-side combined minimum and one join,
-    so a hub's links spread over all tasks. Links are kept on the cluster; the driver sees two sums.
+    so a hub's links are folded in each task before they meet; the joins are by the hub's id, where adaptive
+    execution splits what is skewed. Links are kept on the cluster; the driver sees two sums.
     """
     edges = store.save(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct(), "edges")
     seen = None

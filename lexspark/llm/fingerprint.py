@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ._store import partitions, table
 
-#: A paragraph ends at a line break, or at the end of a sentence within a long line.
+#: A paragraph ends at a line break or at the end of a sentence before a space.
 PARAGRAPH = r"\n|(?<=[.!?]) "
 SEEDS, WORDS = 4, 32
 LOW32, PAIR = 0xFFFFFFFF, 0x0000000100000001

@@ -161,6 +161,7 @@ def redact_documents(docs: DataFrame) -> DataFrame:
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole text of ``documents``: counts of the base kinds, a digest of their spans, and all spans. See ``pii_spans``."""
     found = pii_spans(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     one = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
     base = F.filter("pii", lambda s: s["kind"].isin(*KINDS[:4]))

@@ -309,6 +309,7 @@ def encode_and_check(docs: DataFrame, model: bytes, text: str = "text") -> DataF
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text of ``documents`` under the 32k model, as a count and a hash, and whether they decode to it. See ``encode_and_check``."""
     out = encode_and_check(table(spark, sf_dir, "documents").select("doc_id", "text"), read_model())
     return out.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_ids"), F.hex(F.xxhash64("ids")).alias("ids_hash"),

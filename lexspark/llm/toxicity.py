@@ -204,6 +204,7 @@ def score_chain(docs: DataFrame, chain: Chain) -> DataFrame:
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its probability of each category and whether it is rejected; the chain is fitted on ``labels``. See ``fit_chain``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     chain = fit_chain(docs, table(spark, sf_dir, "labels"))
     out = score_chain(docs, chain).drop("text")

@@ -87,6 +87,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every url of ``pages``, allow where no rule fits. See ``filter_urls``."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return filter_urls(pages, rules_frame(spark)).select("page_id", "host", "path", "rule", "verdict")
 
