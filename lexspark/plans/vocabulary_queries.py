@@ -9,9 +9,6 @@ from ..operators import frequency, vocabulary
 from . import views as V
 from .catalog import _CLASS, _CLEAN, _FORMS, _PARADIGM, _VALID, QUERIES, SQL, _stems, query  # noqa: F401  (one registry)
 
-_EMPTY = F.array().cast("array<struct<lang: string, term: string, confidence: double, source: string>>")
-
-
 def _translation(lang, term, confidence=None, source=None):
     c = F.lit(confidence).cast("double") if confidence is None or isinstance(confidence, float) else confidence
     return F.struct(F.lit(lang).alias("lang"), term.alias("term"), c.alias("confidence"), F.lit(source).cast("string").alias("source"))
@@ -20,10 +17,10 @@ def _translation(lang, term, confidence=None, source=None):
 def _sides(spark, d):
     """Entries of both languages, titles and pivot pairs, made of the lexicon."""
     lex = V.lexicon(spark, d)
-    n = F.length("lemma") % 4
+    n, empty = F.length("lemma") % 4, F.array().cast("array<struct<lang: string, term: string, confidence: double, source: string>>")
     pos = F.when(F.length("lemma") % 3 == 0, "noun").when(F.length("lemma") % 3 == 1, "adv")
     one = lambda rows: rows.select(F.concat("lemma", F.lit(" "), "term").alias("ord"), "lemma", pos.alias("pos"), "translations")
-    io = one(lex.withColumn("translations", F.when(n == 0, _EMPTY).when(n == 1, F.array(_translation("en", F.col("term")))).when(n == 2, F.array(_translation("eo", F.col("term"), 0.9, "s"), _translation("en", F.lit("x")))).otherwise(F.array(_translation("eo", F.col("term")), _translation("eo", F.lit(""))))))
+    io = one(lex.withColumn("translations", F.when(n == 0, empty).when(n == 1, F.array(_translation("en", F.col("term")))).when(n == 2, F.array(_translation("eo", F.col("term"), 0.9, "s"), _translation("en", F.lit("x")))).otherwise(F.array(_translation("eo", F.col("term")), _translation("eo", F.lit(""))))))
     eo = one(lex.where("idx % 2 = 0").withColumn("translations", F.array(_translation("io", F.concat(F.lit(" "), "term")), _translation("io", F.col("term")), _translation("en", F.when(F.length("term") % 2 == 0, "x").otherwise("y")))))
     titles = lex.select("lemma", F.lit("propn").alias("pos"), F.when(n == 3, "eo").otherwise("io").alias("language")).distinct()
     via = lex.select("lemma", pos.alias("pos"), "term", F.when(F.col("idx") == 0, F.lit(0.3)).alias("confidence"), F.substring("term", 1, 5).alias("via"))
