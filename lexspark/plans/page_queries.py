@@ -36,6 +36,11 @@ def _layout_sql(layout: str) -> str:
     return " || ".join(_quoted(p) if k % 2 == 0 else {"w": "lemma", "t": "array_to_string(t, ', ')"}[p] for k, p in enumerate(layout.replace("›", "‹").split("‹")) if p)
 
 
+def _dealt(pages):
+    """Pages spread over all partitions: reading wikitext costs far more than moving it, so the size of the pages is no measure of the work."""
+    return pages.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def entry_pages(spark, d):
     """title, text: a page for each lemma of the lexicon."""
     lex = V.lexicon(spark, d).groupBy("lemma").agg(F.array_sort(F.collect_set("term")).alias("t"))
@@ -44,7 +49,7 @@ def entry_pages(spark, d):
     for i, layout in enumerate(LAYOUTS):
         pieces = [F.lit(p) if j % 2 == 0 else {"w": F.col("lemma"), "t": F.array_join("t", ", ")}[p] for j, p in enumerate(layout.replace("›", "‹").split("‹"))]
         text = text.when(k == i, F.concat(*pieces))
-    return lex.select(F.col("lemma").alias("title"), text.alias("text"))
+    return _dealt(lex.select(F.col("lemma").alias("title"), text.alias("text")))
 
 
 _HEADERS = _quoted("(?i)(?:" + "|".join(W.SECTION_HEADERS["io"]) + ")")
@@ -132,7 +137,7 @@ def table_pages(spark, d):
     """title, text: a page with tables for each lemma of the lexicon."""
     lex = V.lexicon(spark, d).groupBy("lemma").agg(F.min("term").alias("t"))
     pieces = [F.lit(p) if j % 2 == 0 else {"w": F.col("lemma"), "t": F.col("t")}[p] for j, p in enumerate(TABLES.replace("›", "‹").split("‹"))]
-    return lex.select(F.col("lemma").alias("title"), F.concat(*pieces).alias("text"))
+    return _dealt(lex.select(F.col("lemma").alias("title"), F.concat(*pieces).alias("text")))
 
 
 _WORDS = f"{V.LEX}, b AS (SELECT lemma AS w, min(term) AS t FROM lex GROUP BY lemma)"

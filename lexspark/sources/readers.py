@@ -172,8 +172,10 @@ def extract_entries(pages: DataFrame, lang: str, target: str, pivots: bool = Tru
     of them or names the lemma that it is a form of; one without terms is a row with nulls. Inflected forms go.
     A page of "eo" without a direct translation is searched in its block of translations, then as a whole.
     """
-    found = pages.where(X.is_valid_title(F.col("title")) & W.has_section_hint(F.col("text"), lang)).withColumn("s", W.language_section(F.col("text"), lang))
-    found = found.where("s is not null").where(~W.is_inflected_form(F.col("s"))).withColumn("direct", W.translations(F.col("s"), target))
+    # Sections and senses are tested after they are exploded: a filter on a computed column would compute it once more.
+    found = pages.where(X.is_valid_title(F.col("title")) & W.has_section_hint(F.col("text"), lang))
+    found = found.select("title", "text", F.explode(F.array_compact(F.array(W.language_section(F.col("text"), lang)))).alias("s"))
+    found = found.where(~W.is_inflected_form(F.col("s"))).withColumn("direct", W.translations(F.col("s"), target))
     if lang == "eo":
         for wider in (W.block_translations(F.col("s")), W.translations(F.col("text"), target)):
             found = found.withColumn("direct", F.when(F.size("direct") > 0, F.col("direct")).otherwise(wider))
@@ -188,11 +190,10 @@ def extract_entries(pages: DataFrame, lang: str, target: str, pivots: bool = Tru
         return F.transform(meanings, lambda m: F.struct(F.lit(lang).alias("lang"), F.lit(confidence).alias("confidence"), m.alias("terms")))
 
     found = found.withColumns({"senses": F.concat(*[told(*x) for x in senses]), "base": base, "m": W.morphology(F.col("s"))})
-    found = found.where((F.size("senses") > 0) | F.col("base").isNotNull())
     out = found.select(
         F.col("title").alias("lemma"), F.coalesce(W.pos_of_section(F.col("s")), "m.pos").alias("pos"), F.when(F.col("base") != F.lower("title"), F.col("base")).alias("form_of"),
-        F.col("m.raw").alias("morphology"), F.col("m.paradigm").alias("paradigm"), F.posexplode_outer("senses").alias("sense_no", "sense"),
-    )
+        F.col("m.raw").alias("morphology"), F.col("m.paradigm").alias("paradigm"), "base", F.posexplode_outer("senses").alias("sense_no", "sense"),
+    ).where("sense is not null or base is not null")
     return out.select("lemma", "pos", "form_of", "morphology", "paradigm", "sense_no", "sense.lang", F.explode_outer("sense.terms").alias("term"), "sense.confidence")
 
 
