@@ -37,8 +37,11 @@ def _layout_sql(layout: str) -> str:
 
 
 def _dealt(pages):
-    """Pages spread over all partitions: reading wikitext costs far more than moving it, so the size of the pages is no measure of the work."""
-    return pages.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """Pages spread over all partitions, as a dump would be: reading wikitext costs far more than moving it, so their size is no measure of the work.
+
+    Saved, so that the long expressions of the extraction aren't planned anew with each stage before them.
+    """
+    return saved(pages.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "pages")
 
 
 def entry_pages(spark, d):
