@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as X
 from ..operators import frequency
 from ..operators.skew import split_join
 
@@ -47,7 +48,7 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lexicon as rows lemma, pos, term, source, ord: some lemmas capitalised, some without a part of speech, terms in lists."""
     lex = lexicon(spark, sf_dir)
     n = F.length("lemma")
-    lemma = F.when(n % 5 == 0, F.concat(F.upper(F.substring("lemma", 1, 1)), F.substr("lemma", F.lit(2)))).otherwise(F.col("lemma"))
+    lemma = F.when(n % 5 == 0, X.capitalized(F.col("lemma"))).otherwise(F.col("lemma"))
     pos = F.when(n % 3 == 0, F.lit("")).when(n % 3 == 1, F.lit("noun")).otherwise(F.lit("adjective"))
     term = F.when(F.length("term") % 4 == 0, F.concat("term", F.lit(", "), "term", F.lit("n"))).otherwise(F.col("term"))
     return lex.select(lemma.alias("lemma"), pos.alias("pos"), term.alias("term"), F.explode("sources").alias("source"), F.concat("term", F.lit(" "), "source").alias("ord"))
