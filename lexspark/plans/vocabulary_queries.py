@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import rules
+from ..functions import text as X
 from ..operators import frequency, vocabulary
 from . import views as V
 from .catalog import _CLASS, _CLEAN, _FORMS, _PARADIGM, _VALID, QUERIES, SQL, _stems, query  # noqa: F401  (one registry)
@@ -61,7 +62,7 @@ def analyse(spark, d):
     len(list_distinct(list_concat(coalesce(map_keys(terms), []), CASE WHEN lemma IS NULL THEN [] ELSE [term] END))) AS n_terms, CASE WHEN lemma IS NULL THEN array_to_string(map_values(terms)[1], ',') ELSE term END AS sample FROM j""")
 def forced_overrides(spark, d):
     lex = V.lexicon(spark, d)
-    e = lex.groupBy(F.when(F.length("lemma") % 2 == 0, F.upper("lemma")).otherwise(F.col("lemma")).alias("lemma"), F.when(F.length("lemma") % 3 == 0, "n").otherwise("adv").alias("pos"))
+    e = lex.groupBy(F.when(F.length("lemma") % 2 == 0, X.upper(F.col("lemma"))).otherwise(F.col("lemma")).alias("lemma"), F.when(F.length("lemma") % 3 == 0, "n").otherwise("adv").alias("pos"))
     e = e.agg(F.lit("o__n").alias("paradigm"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("term", "sources")))).alias("terms"), F.array(F.lit("seed")).alias("sources"))
     o = lex.groupBy("lemma").agg(F.min("term").alias("term")).select("lemma", F.lit("n").alias("pos"), "term", F.when(F.length("lemma") % 5 == 0, "__adv").alias("paradigm"))
     o = o.unionByName(lex.where("length(lemma) % 4 = 0").select("lemma", F.lit("x").alias("pos"), F.lit("z").alias("term"), F.lit(None).cast("string").alias("paradigm")).distinct())

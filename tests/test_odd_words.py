@@ -22,7 +22,7 @@ def odd(tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["canonical_lemma", "dedupe_case"])
+@pytest.mark.parametrize("name", ["canonical_lemma", "dedupe_case", "forced_overrides"])
 def test_query_equals_its_sql_on_odd_words(spark, odd, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
