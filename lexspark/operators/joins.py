@@ -124,21 +124,19 @@ def merge_case_twins(entries: DataFrame) -> DataFrame:
     """entries (lemma, terms, sources, paradigm): a capitalised lemma is absorbed by its lower-case twin.
 
     The twin's terms come first and terms that differ by case only count once; sources are united; a missing paradigm is taken over.
+    Rows of one lower-case lemma (those of a lemma without letters, which no capital tells apart, too) are twins as well, the one with the lesser terms first.
     """
     own = ["terms", "sources", "paradigm"]
-    low = entries.where(F.col("lemma") == F.lower("lemma"))
-    high = entries.where(F.col("lemma") != F.lower("lemma")).select(F.lower("lemma").alias("_k"), F.struct("lemma", *own).alias("_h"))
-    merged = low.join(high.groupBy("_k").agg(F.array_sort(F.collect_list("_h")).alias("_c")), F.col("lemma") == F.col("_k"), "left")
-    caps = F.coalesce("_c", F.array().cast(merged.schema["_c"].dataType))
-    words = F.concat("terms", F.flatten(F.transform(caps, lambda h: h["terms"])))
-    keys = F.transform(words, lambda t: X.casefold(t))
-    merged = merged.select(
-        "lemma", F.filter(words, lambda t, i: F.array_position(keys, X.casefold(t)) == i + 1).alias("terms"),
-        F.array_sort(F.array_union("sources", F.flatten(F.transform(caps, lambda h: h["sources"])))).alias("sources"),
-        F.coalesce("paradigm", F.get(F.filter(F.transform(caps, lambda h: h["paradigm"]), lambda p: p.isNotNull()), F.lit(0))).alias("paradigm"),
+    row = F.struct((F.col("lemma") != F.lower("lemma")).alias("high"), "lemma", *own)
+    every = entries.groupBy(F.lower("lemma").alias("_k")).agg(F.array_sort(F.collect_list(row)).alias("c"))
+    of = lambda name: F.transform("c", lambda e: e[name])
+    first = lambda words: X.let(F.transform(words, X.casefold), lambda keys: F.filter(words, lambda t, i: F.array_position(keys, F.get(keys, i)) == i + 1))
+    merged = F.struct(
+        F.lit(False).alias("high"), F.col("_k").alias("lemma"), X.let(F.flatten(of("terms")), first).alias("terms"),
+        F.array_sort(F.array_distinct(F.flatten(of("sources")))).alias("sources"), F.get(F.filter(of("paradigm"), lambda p: p.isNotNull()), F.lit(0)).alias("paradigm"),
     )
-    alone = high.join(low.select(F.col("lemma").alias("_k")), "_k", "left_anti").select("_h.lemma", *[f"_h.{c}" for c in own])
-    return merged.unionByName(alone)
+    # Lower-case rows are sorted before capitals; without one the rows stay as they are.
+    return every.select(F.explode(F.when(F.get("c", F.lit(0))["high"], F.col("c")).otherwise(F.array(merged))).alias("e")).select("e.lemma", *[f"e.{c}" for c in own])
 
 
 def class_twin(pairs: DataFrame, members: DataFrame, tag: str) -> DataFrame:

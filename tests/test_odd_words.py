@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from lexspark.functions import text as X
+from lexspark.operators import joins
 
 ES = "achß ßheitsch ßä 12 13 par dieenerßß straßo ßkeit ßkeitar hundo ß1"
 FR = "achß achßen ßheitach ßheitschen ßä 12 121 13 par parar dieenerßß dieenen strasso straßo ßkeit ßkeito hundon hundo ß1"
@@ -22,7 +23,7 @@ def odd(tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["canonical_lemma", "dedupe_case", "forced_overrides"])
+@pytest.mark.parametrize("name", ["canonical_lemma", "dedupe_case", "forced_overrides", "merge_case_twins"])
 def test_query_equals_its_sql_on_odd_words(spark, odd, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
@@ -41,3 +42,9 @@ def test_upper_is_letter_for_letter(spark):
     rows = spark.createDataFrame([("straße",), ("ßa",), ("ŉa éß",), ("",), (None,)], "w string")
     assert [r.u for r in rows.select(X.upper(F.col("w")).alias("u")).collect()] == ["STRAẞE", "ẞA", "ŉA Éẞ", "", None]
     assert [r.u for r in rows.select(X.capitalized(F.col("w")).alias("u")).collect()] == ["Straße", "ẞa", "ŉa éß", "", None]
+
+
+def test_rows_of_one_lemma_without_letters_are_twins(spark):
+    rows = [("12", ["12x"], ["cap"], "a__adj"), ("12", ["12"], ["s"], None), ("Ab", ["z"], ["s"], None), ("AB", ["z"], ["s"], None)]
+    got = joins.merge_case_twins(spark.createDataFrame(rows, "lemma string, terms array<string>, sources array<string>, paradigm string")).collect()
+    assert sorted(tuple(r) for r in got) == sorted([("12", ["12", "12x"], ["cap", "s"], "a__adj"), ("AB", ["z"], ["s"], None), ("Ab", ["z"], ["s"], None)])
