@@ -75,7 +75,7 @@ def fold_inflections(cands: DataFrame, keys: tuple[str, ...] = ("lemma",)) -> Da
     return out.groupBy(*keys, "_b").agg(first.alias("term"), _union_sources(), F.min("idx").alias("idx")).drop("_b")
 
 
-def merge_lexicon(rows: DataFrame, embedding: tuple[str, ...] = rules.EMBEDDING_SOURCES, overrides: list[tuple[str, str, str]] | None = None, attesting: str = "io_wiktionary") -> DataFrame:
+def merge_lexicon(rows: DataFrame, embedding: tuple[str, ...] = rules.EMBEDDING_SOURCES, overrides: list[tuple[str, str, str]] | None = None, attesting: str = "io_wiktionary", junk_verbs: bool = False) -> DataFrame:
     """One row per (key lemma, pos): lemma, pos, paradigm, candidates array<struct<idx, term, sources>>, sources.
 
     rows: lemma, pos, term (a list of terms in one string, or null), source, ord. Terms are split and
@@ -83,7 +83,7 @@ def merge_lexicon(rows: DataFrame, embedding: tuple[str, ...] = rules.EMBEDDING_
     and inflections of a term are folded; terms known from embeddings alone go if the entry has any
     other source, or if they do not share the lemma's first four letters. Embedding rows whose lemma has no
     lemma's shape are left out, and so are nouns in -o that only embeddings translate, where ``attesting`` has the
-    lemma in -ino. Entries left without a term are kept. Everything is grouped and joined by (key, pos, ...), so shuffles are on high-cardinality keys.
+    lemma in -ino. Entries left without a term are kept, verbs whose stem is one letter or none only if asked for (``junk_verbs``). Everything is grouped and joined by (key, pos, ...), so shuffles are on high-cardinality keys.
     """
     bad_lemma = F.col("lemma").rlike(r"[(),;:!@#$%^&*\[\]{}|<>?/\\]") | ~F.col("lemma").rlike(r"^\p{L}")
     rows = rows.withColumn("lemma", F.btrim(F.coalesce("lemma", F.lit("")))).where(~bad_lemma)
@@ -112,7 +112,9 @@ def merge_lexicon(rows: DataFrame, embedding: tuple[str, ...] = rules.EMBEDDING_
     paradigm = F.when(F.col("pos").isin("pr", "det", "prn", "cnjcoo", "cnjsub", "ij", "prep_art"), X.lookup(rules.POS_PARADIGM, F.col("pos")))
     encyclopedic = F.exists("sources", lambda s: s.contains("wikipedia"))
     entries = entries.withColumn("paradigm", F.coalesce(paradigm, X.infer_paradigm(F.col("lemma"), F.col("pos"), encyclopedic), X.lookup(rules.POS_PARADIGM, F.col("pos"))))
-    entries = entries.where(~X.is_junk_lemma(F.col("lemma")) & ~X.is_junk_verb(F.col("lemma"), F.col("pos"), F.col("paradigm")))
+    entries = entries.where(~X.is_junk_lemma(F.col("lemma")))
+    if not junk_verbs:
+        entries = entries.where(~X.is_junk_verb(F.col("lemma"), F.col("pos"), F.col("paradigm")))
     entries = entries.withColumn("c", F.coalesce("c", F.array().cast(entries.schema["c"].dataType)))
     weak = F.array(*map(F.lit, embedding))
     only_weak = lambda s: F.size(F.array_except(s, weak)) == 0

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from lexspark.functions import text as X
-from lexspark.operators import joins
+from lexspark.operators import joins, merge
 
 ES = "achß ßheitsch ßä 12 13 par dieenerßß straßo ßkeit ßkeitar hundo ß1"
 FR = "achß achßen ßheitach ßheitschen ßä 12 121 13 par parar dieenerßß dieenen strasso straßo ßkeit ßkeito hundon hundo ß1"
@@ -23,7 +23,7 @@ def odd(tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["canonical_lemma", "dedupe_case", "forced_overrides", "merge_case_twins"])
+@pytest.mark.parametrize("name", ["canonical_lemma", "dedupe_case", "forced_overrides", "merge_case_twins", "merge_lexicon"])
 def test_query_equals_its_sql_on_odd_words(spark, odd, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
@@ -48,3 +48,9 @@ def test_rows_of_one_lemma_without_letters_are_twins(spark):
     rows = [("12", ["12x"], ["cap"], "a__adj"), ("12", ["12"], ["s"], None), ("Ab", ["z"], ["s"], None), ("AB", ["z"], ["s"], None)]
     got = joins.merge_case_twins(spark.createDataFrame(rows, "lemma string, terms array<string>, sources array<string>, paradigm string")).collect()
     assert sorted(tuple(r) for r in got) == sorted([("12", ["12", "12x"], ["cap", "s"], "a__adj"), ("AB", ["z"], ["s"], None), ("Ab", ["z"], ["s"], None)])
+
+
+def test_short_verbs_go_unless_asked_for(spark):
+    rows = spark.createDataFrame([("par", "", "par", "io_wiktionary", 1), ("parar", "", "pari", "io_wiktionary", 2)], "lemma string, pos string, term string, source string, ord int")
+    assert [r.key for r in merge.merge_lexicon(rows).collect()] == ["parar"]
+    assert sorted(r.key for r in merge.merge_lexicon(rows, junk_verbs=True).collect()) == ["par", "parar"]
