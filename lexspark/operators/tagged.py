@@ -52,11 +52,12 @@ def tagged_pairs(winners: DataFrame, reverse_verbs: DataFrame) -> DataFrame:
     return plain.select(F.explode(F.array_compact(pairs)).alias("p")).unionByName(contracted).select("p.*")
 
 
-def pairs_by_confidence(terms: DataFrame, least: float = 0.0) -> DataFrame:
+def pairs_by_confidence(terms: DataFrame, least: float = 0.0, bare: bool = False) -> DataFrame:
     """terms (lemma, pos, term, confidence, ord) to left, tag, right, place: pairs of one entry (lemma, pos), the surest first.
 
     Terms that are the lemma itself, in any case, go where the entry has another term; so do those below ``least``.
     Confidences that are null count as 0; equal ones stay in the order of ``ord``. Function words have no tag.
+    A lemma that is nothing but its ending gives pairs only if asked for (``bare``), with an empty left word.
     """
     rows = terms.select(F.btrim("lemma").alias("lemma"), "pos", F.btrim("term").alias("term"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"), "ord")
     rows = rows.where((F.col("lemma") != "") & (F.col("term") != "") & (F.col("confidence") >= least))
@@ -66,4 +67,4 @@ def pairs_by_confidence(terms: DataFrame, least: float = 0.0) -> DataFrame:
     kept = X.let(F.filter("all", lambda t: ~t["same"]), lambda others: F.when(F.size(others) > 0, others).otherwise(F.col("all")))
     named = X.pair_pos(F.col("pos"))
     out = entries.select(X.stem_by_pos(F.col("lemma"), F.col("pos")).alias("left"), F.coalesce(X.lookup(rules.PAIR_TAGS, F.when(~named.isin("det", "prn"), named)), F.lit("")).alias("tag"), F.posexplode(kept).alias("place", "t"))
-    return out.where("left != ''").select("left", "tag", F.col("t.term").alias("right"), "place")
+    return (out if bare else out.where("left != ''")).select("left", "tag", F.col("t.term").alias("right"), "place")

@@ -9,8 +9,8 @@ import __spark_entry__
 from lexspark.functions import text as X
 from lexspark.operators import joins, merge
 
-ES = "achß ßheitsch ßä 12 13 par dieenerßß straßo ßkeit ßkeitar hundo ß1"
-FR = "achß achßen ßheitach ßheitschen ßä 12 121 13 par parar dieenerßß dieenen strasso straßo ßkeit ßkeito hundon hundo ß1"
+ES = "achß ßheitsch ßä 12 13 par dieenerßß straßo ßkeit ßkeitar hundo ß1 ar"
+FR = "achß achßen ßheitach ßheitschen ßä 12 121 13 par parar dieenerßß dieenen strasso straßo ßkeit ßkeito hundon hundo ß1 ar"
 DOCS = [(1, ES, "es", "src1"), (2, FR, "fr", "src3"), (2, "par hundo hundo", "fr", "src5"), (3, ES.upper().replace("SS", "ẞ"), "es", "src2"), (4, "solo solo nur", "de", "src0"), (4, "solo 7", "de", "src0"), (5, None, "en", "src7")]
 
 
@@ -23,7 +23,7 @@ def odd(tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["canonical_lemma", "dedupe_case", "forced_overrides", "merge_case_twins", "merge_lexicon", "merged_winners"])
+@pytest.mark.parametrize("name", ["canonical_lemma", "dedupe_case", "forced_overrides", "merge_case_twins", "merge_lexicon", "merged_winners", "pairs_by_confidence"])
 def test_query_equals_its_sql_on_odd_words(spark, odd, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
