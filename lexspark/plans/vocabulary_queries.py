@@ -75,10 +75,10 @@ def forced_overrides(spark, d):
 def _raw_entries(spark, d):
     """Entries with marks, capitals, encyclopedia words and translations of every kind that preparing them tells apart."""
     lex, n = V.lexicon(spark, d), F.length("lemma") % 6
-    lemma = F.when(n == 1, F.concat(F.lit("[["), "lemma", F.lit("]]"))).when(n == 2, F.initcap("lemma")).when(n == 3, F.concat("lemma", F.lit("ia"))).when(n == 4, F.concat("lemma", F.lit("ano"))).when(n == 5, F.lit("''")).otherwise(F.col("lemma"))
+    lemma = F.when(n == 1, F.concat(F.lit("[["), "lemma", F.lit("]]"))).when(n == 2, X.capitalized(F.col("lemma"))).when(n == 3, F.concat("lemma", F.lit("ia"))).when(n == 4, F.concat("lemma", F.lit("ano"))).when(n == 5, F.lit("''")).otherwise(F.col("lemma"))
     term = lambda lang, t, k: F.struct(F.lit(k).alias("sense"), F.lit(lang).alias("lang"), t.alias("term"))
     m = F.length("term") % 4
-    terms = F.when(m == 0, F.array(term("eo", F.col("term"), 0), term("en", F.concat(F.lit("2) "), "term", F.lit(" #T")), 1))).when(m == 1, F.array(term("eo", F.concat("term", F.lit(", x")), 0), term("eo", F.lit("a b c"), 1))).when(m == 2, F.array(term("eo", F.initcap("term"), 0))).otherwise(F.array(term("en", F.lit("p, q"), 0), term("eo", F.lit("|"), 0)))
+    terms = F.when(m == 0, F.array(term("eo", F.col("term"), 0), term("en", F.concat(F.lit("2) "), "term", F.lit(" #T")), 1))).when(m == 1, F.array(term("eo", F.concat("term", F.lit(", x")), 0), term("eo", F.lit("a b c"), 1))).when(m == 2, F.array(term("eo", X.capitalized(F.col("term")), 0))).otherwise(F.array(term("en", F.lit("p, q"), 0), term("eo", F.lit("|"), 0)))
     sources = F.when(F.col("idx") % 3 == 0, F.array(F.lit("io_wikipedia"))).when(F.col("idx") % 3 == 1, F.array(F.lit("io_wikipedia"), F.lit("io_wiktionary"))).otherwise(F.array(F.lit("io_wiktionary")))
     pos = F.when(F.length("term") % 3 == 0, "noun").when(F.length("term") % 3 == 1, "adjective")
     language = F.when(F.col("idx") % 7 == 6, "").when(F.col("idx") % 5 == 4, "eo").otherwise("io")
