@@ -14,6 +14,16 @@ def tokens(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumn("token", F.explode(X.words(F.col(text)))).drop(text)
 
 
+def token_runs(docs: DataFrame, text: str = "text") -> DataFrame:
+    """One row per distinct token of a row, with ``n``, how often the row has it; the other columns of ``docs`` stay. Counted within the row, so nothing is shuffled."""
+    def runs(w):
+        starts = F.filter(F.transform(w, lambda t, i: F.struct(t.alias("token"), i.alias("at"))), lambda x: (x["at"] == 0) | (F.get(w, x["at"] - 1) != x["token"]))
+        size = lambda s, i: F.coalesce(F.get(s, i + 1)["at"], F.size(w)) - F.get(s, i)["at"]
+        return X.let(starts, lambda s: F.transform(s, lambda x, i: F.struct(x["token"].alias("token"), size(s, i).cast("bigint").alias("n"))))
+
+    return docs.withColumn("_r", F.explode(X.let(F.sort_array(X.words(F.col(text))), runs))).drop(text).select("*", "_r.token", "_r.n").drop("_r")
+
+
 def token_counts(docs: DataFrame) -> DataFrame:
     return tokens(docs.select("text")).groupBy("token").agg(F.count(F.lit(1)).alias("cnt"))
 

@@ -97,12 +97,17 @@ def flagged(scores: DataFrame, low: float = 70.0) -> DataFrame:
     return scores.where((F.col("chrf") < low) | (F.size("unknown") > 0))
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, token) counted; those that have ``n`` (``frequency.token_runs``) are, and shuffling them again would gain little."""
+    return docs.select("doc_id", "token", "n") if "n" in docs.columns else docs.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
+
+
 def token_coverage(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_known, unknown (distinct, sorted) of docs (doc_id, token): tokens with a letter, known if vocabulary (token) has them."""
-    words = docs.where(F.col("token").rlike(r"\p{L}")).groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
+    """doc_id, n_words, n_known, unknown (distinct, sorted) of docs (doc_id, token, maybe n): tokens with a letter, known if vocabulary (token) has them."""
+    words = _counted(docs.where(F.col("token").rlike(r"\p{L}")))
     out = words.join(vocabulary.select("token").distinct().withColumn("hit", F.lit(1)), "token", "left")
     n_known = F.coalesce(F.sum(F.when(F.col("hit") == 1, F.col("n"))), F.lit(0))
-    return out.groupBy("doc_id").agg(F.sum("n").alias("n_words"), n_known.alias("n_known"), F.array_sort(F.collect_list(F.when(F.col("hit").isNull(), F.col("token")))).alias("unknown"))
+    return out.groupBy("doc_id").agg(F.sum("n").alias("n_words"), n_known.alias("n_known"), F.array_sort(F.array_distinct(F.collect_list(F.when(F.col("hit").isNull(), F.col("token"))))).alias("unknown"))
 
 
 def failures(counts: DataFrame, vocabulary: DataFrame, translated: DataFrame) -> DataFrame:
@@ -122,8 +127,8 @@ def failure_audit(tokens: DataFrame, vocabulary: DataFrame, translated: DataFram
 
 
 def article_errors(docs: DataFrame, vocabulary: DataFrame, translated: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_unknown, n_untranslated, error_rate (percent) of docs (doc_id, token)."""
-    words = failures(docs.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n")), vocabulary, translated)
+    """doc_id, n_words, n_unknown, n_untranslated, error_rate (percent) of docs (doc_id, token, maybe n)."""
+    words = failures(_counted(docs), vocabulary, translated)
     part = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0))
     out = words.groupBy("doc_id").agg(F.sum("n").alias("n_words"), part("unknown").alias("n_unknown"), part("untranslated").alias("n_untranslated"))
     return out.withColumn("error_rate", F.round(100 * (F.col("n_unknown") + F.col("n_untranslated")) / F.col("n_words"), 4))

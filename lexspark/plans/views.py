@@ -26,6 +26,12 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frequency.tokens(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
 
 
+def token_runs(spark: SparkSession, sf_dir: str, together: bool = False) -> DataFrame:
+    """doc_id, token, n. If asked, rows of one doc_id come together as texts, which are much smaller than their words; what groups the words by doc_id finds them in place."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return frequency.token_runs(docs.repartition("doc_id") if together else docs)
+
+
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frequency.token_counts(table(spark, sf_dir, "documents"))
 
