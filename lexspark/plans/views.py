@@ -29,7 +29,8 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_runs(spark: SparkSession, sf_dir: str, together: bool = False) -> DataFrame:
     """doc_id, token, n. If asked, rows of one doc_id come together as texts, which are much smaller than their words; what groups the words by doc_id finds them in place."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return frequency.token_runs(docs.repartition("doc_id") if together else docs)
+    # Eight parts for each split of the input: a part's words are many times its text, and should fit a task's memory.
+    return frequency.token_runs(docs.repartition(8 * docs.rdd.getNumPartitions(), "doc_id") if together else docs)
 
 
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ def odd(tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["canonical_lemma", "dedupe_case", "forced_overrides", "merge_case_twins", "merge_lexicon", "merged_winners", "pairs_by_confidence", "vocabulary_suspects", "article_errors", "failure_audit", "token_coverage"])
+@pytest.mark.parametrize("name", ["canonical_lemma", "forced_overrides", "merge_case_twins", "merge_lexicon", "merged_winners", "pairs_by_confidence", "vocabulary_suspects", "dedupe_case", "article_errors", "failure_audit", "token_coverage"])
 def test_query_equals_its_sql_on_odd_words(spark, odd, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
