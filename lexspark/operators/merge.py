@@ -75,7 +75,7 @@ def fold_inflections(cands: DataFrame, keys: tuple[str, ...] = ("lemma",)) -> Da
     return out.groupBy(*keys, "_b").agg(first.alias("term"), _union_sources(), F.min("idx").alias("idx")).drop("_b")
 
 
-def merge_lexicon(rows: DataFrame, embedding: tuple[str, ...] = rules.EMBEDDING_SOURCES, overrides: list[tuple[str, str, str]] | None = None, attesting: str = "io_wiktionary", junk_verbs: bool = False) -> DataFrame:
+def merge_lexicon(rows: DataFrame, embedding: tuple[str, ...] = rules.EMBEDDING_SOURCES, overrides: list[tuple[str, str, str]] | None = None, attesting: str = "io_wiktionary", junk_verbs: bool = False, plain: bool = False) -> DataFrame:
     """One row per (key lemma, pos): lemma, pos, paradigm, candidates array<struct<idx, term, sources>>, sources.
 
     rows: lemma, pos, term (a list of terms in one string, or null), source, ord. Terms are split and
@@ -83,10 +83,13 @@ def merge_lexicon(rows: DataFrame, embedding: tuple[str, ...] = rules.EMBEDDING_
     and inflections of a term are folded; terms known from embeddings alone go if the entry has any
     other source, or if they do not share the lemma's first four letters. Embedding rows whose lemma has no
     lemma's shape are left out, and so are nouns in -o that only embeddings translate, where ``attesting`` has the
-    lemma in -ino. Entries left without a term are kept, verbs whose stem is one letter or none only if asked for (``junk_verbs``). Everything is grouped and joined by (key, pos, ...), so shuffles are on high-cardinality keys.
+    lemma in -ino. Entries left without a term are kept, verbs whose stem is one letter or none only if asked for (``junk_verbs``). Rows from running text (``plain``) are spared the rules
+    against remains of pages: lemmas may begin with a digit, and terms may hold any word. Everything is grouped and joined by (key, pos, ...), so shuffles are on high-cardinality keys.
     """
     bad_lemma = F.col("lemma").rlike(r"[(),;:!@#$%^&*\[\]{}|<>?/\\]") | ~F.col("lemma").rlike(r"^\p{L}")
-    rows = rows.withColumn("lemma", F.btrim(F.coalesce("lemma", F.lit("")))).where(~bad_lemma)
+    rows = rows.withColumn("lemma", F.btrim(F.coalesce("lemma", F.lit(""))))
+    if not plain:
+        rows = rows.where(~bad_lemma)
     rows = rows.where(~F.coalesce(F.col("source").isin(*embedding), F.lit(False)) | X.has_lemma_shape(F.col("lemma")))
     rows = rows.withColumn("pos", X.sane_pos(F.col("lemma"), X.short_pos(F.col("pos"))))
     rows = rows.withColumn("lemma", F.when(F.col("pos").isin(*rules.LOWERED_CLASS), F.lower("lemma")).otherwise(F.col("lemma")))
@@ -98,7 +101,7 @@ def merge_lexicon(rows: DataFrame, embedding: tuple[str, ...] = rules.EMBEDDING_
         terms = rows.join(forced, ["key", "pos"], "left").where("_t is null or term is null or term != _t").drop("_t")
         rows = terms.select("lemma", "pos", "term", "source", "key", "ord").unionByName(added.withColumn("ord", F.lit(None).cast(rows.schema["ord"].dataType)))
     common = F.col("pos").isin("n", "adj", "adv", "vblex") & (F.col("lemma") == F.lower("lemma"))
-    parts = rows.select("key", "pos", "lemma", "source", "ord", common.alias("common"), F.posexplode_outer(X.split_terms(F.col("term"))).alias("at", "term"))
+    parts = rows.select("key", "pos", "lemma", "source", "ord", common.alias("common"), F.posexplode_outer(X.split_terms(F.col("term"), r"[|{}]") if plain else X.split_terms(F.col("term"))).alias("at", "term"))
     order = F.struct("ord", "at")
     spelling = F.struct((~F.col("common")).alias("high"), F.col("ord").alias("o"))
     terms = parts.groupBy("key", "pos", "term").agg(

@@ -6,16 +6,21 @@ sources are those of the French word's documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import frequency
 from ..operators.skew import split_join
 
-#: Ranks of the tables' sources in the registered queries.
-RANKS = {f"src{n}": n % 5 for n in range(20)}
-OTHER_RANKS = {f"src{n}": (n * 3 + 1) % 5 for n in range(20)}
+
+def _number(source: Column) -> Column:
+    return F.substr(source, F.lit(4)).try_cast("int")
+
+
+#: Ranks of the tables' sources in the registered queries, by a source's number, however many there are.
+RANKS = lambda s: _number(s) % 5
+OTHER_RANKS = lambda s: (_number(s) * 3 + 1) % 5
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
