@@ -16,19 +16,24 @@ _ID = "CAST(doc_id AS BIGINT)"
 
 @query("read_wiki_dump", f"SELECT 'T&' || doc_id AS title, 0 AS ns, {_ID} AS page_id, {_ID} * 10 AS rev_id, '<' || coalesce(lang, '') || '> & ' || coalesce(hex(encode(text)), '') AS text FROM documents WHERE doc_id % 3 <> 0")
 def read_wiki_dump(spark, d):
-    """A dump of all documents, a third of them in another namespace, which the reader leaves out."""
+    """A dump of all documents, a third of them and those without a doc_id in another namespace, which the reader leaves out.
+
+    XML has no place for control characters and changes others, so languages are percent-encoded in the file, as texts are hex.
+    """
     path = new_path(spark, "dump")
-    ns = F.when(F.col("doc_id") % 3 == 0, "4").otherwise("0")
-    text = F.concat(F.lit("&lt;"), F.coalesce("lang", F.lit("")), F.lit("&gt; &amp; "), F.coalesce(F.hex("text"), F.lit("")))
+    ns = F.when(F.col("doc_id") % 3 != 0, "0").otherwise("4")
+    text = F.concat(F.lit("&lt;"), F.url_encode(F.coalesce("lang", F.lit(""))), F.lit("&gt; &amp; "), F.coalesce(F.hex("text"), F.lit("")))
     page = F.format_string("<page><title>T&amp;%s</title><ns>%s</ns><id>%s</id><revision><id>%s0</id><text bytes=\"1\">%s</text></revision></page>", F.col("doc_id").cast("string"), ns, F.col("doc_id").cast("string"), F.col("doc_id").cast("string"), text)
     V.table(spark, d, "documents").select(page.alias("value")).write.text(path)
-    return readers.read_wiki_dump(spark, path)
+    lang = F.substring_index("text", ">", 1)
+    return readers.read_wiki_dump(spark, path).withColumn("text", F.concat(F.url_decode(lang), F.substr("text", F.length(lang) + 1)))
 
 
 @query("read_pages_by_title", f"SELECT coalesce(lang, '') AS title, 0 AS ns, {_ID} AS page_id, {_ID} AS rev_id, 'x' AS text FROM documents WHERE lang IN ('es', 'fr')")
 def read_pages_by_title(spark, d):
+    """Languages as titles, percent-encoded as XML can't hold them all; those that are asked for stay as they are."""
     path = new_path(spark, "titles")
-    page = F.format_string("<page><title>%s</title><ns>0</ns><id>%s</id><revision><id>%s</id><text>x</text></revision></page>", F.coalesce("lang", F.lit("")), F.col("doc_id").cast("string"), F.col("doc_id").cast("string"))
+    page = F.format_string("<page><title>%s</title><ns>0</ns><id>%s</id><revision><id>%s</id><text>x</text></revision></page>", F.url_encode(F.coalesce("lang", F.lit(""))), F.col("doc_id").cast("string"), F.col("doc_id").cast("string"))
     V.table(spark, d, "documents").select(page.alias("value")).write.text(path)
     return readers.read_pages_by_title(spark, path, ["es", "fr"])
 

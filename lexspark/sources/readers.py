@@ -13,22 +13,25 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions import wikitext as W
 
-PAGE = "title string, ns int, id bigint, revision struct<id: bigint, text: struct<_VALUE: string>>"
+#: Numbers are cast after the parse, where one that can't be read leaves the page's other fields in place.
+PAGE = "title string, ns string, id string, revision struct<id: string, text: struct<_VALUE: string>>"
 
 
 def read_wiki_dump(spark: SparkSession, path: str | list[str], ns: int | None = 0, dump: bool = False) -> DataFrame:
     """MediaWiki XML, plain or compressed: title, ns, page_id, rev_id, text, and if asked dump_file, dump_date, dump_mb.
 
     Cut at ``</page>``, so plain and bz2 dumps are read in splits; the namespace is tested on the raw
-    piece before the XML is parsed.
+    piece before the XML is parsed. Blanks and line breaks at either end of a text are part of it; a text of nothing else is empty.
     """
     raw = spark.read.option("lineSep", "</page>").text(path).where(F.col("value").contains("<page>"))
     if ns is not None:
         raw = raw.where(F.col("value").contains(f"<ns>{ns}</ns>"))
     xml = F.concat(F.lit("<page>"), F.regexp_extract("value", r"(?s)<page>(.*)$", 1), F.lit("</page>"))
     extra = ["dump_file", "dump_date", "dump_mb"] if dump else []
-    page = (with_dump(raw) if dump else raw).select(F.from_xml(xml, PAGE).alias("p"), *extra)
-    return page.select("p.title", "p.ns", F.col("p.id").alias("page_id"), F.col("p.revision.id").alias("rev_id"), F.coalesce("p.revision.text._VALUE", F.lit("")).alias("text"), *extra)
+    page = (with_dump(raw) if dump else raw).select(F.from_xml(xml, PAGE, {"ignoreSurroundingSpaces": "false"}).alias("p"), *extra)
+    number = lambda c, kind: F.col(c).try_cast(kind)
+    ids = number("p.ns", "int").alias("ns"), number("p.id", "bigint").alias("page_id"), number("p.revision.id", "bigint").alias("rev_id")
+    return page.select("p.title", *ids, F.coalesce("p.revision.text._VALUE", F.lit("")).alias("text"), *extra)
 
 
 def with_dump(files: DataFrame) -> DataFrame:

@@ -4,9 +4,12 @@ import json
 import random
 from difflib import SequenceMatcher
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__
 from lexspark.functions.likeness import ratios
 from lexspark.operators import checks, entities, joins
 from lexspark.operators.skew import hot_keys, split_join
@@ -49,6 +52,32 @@ def test_dump_provenance(spark, tmp_path):
     assert got == {"iowiki-20251021-pages.xml": "2025-10-21", "iowiki-latest-pages.xml": today} and len(today) == 10
 
 
+def test_wiki_dump_keeps_blanks_and_other_fields(spark, tmp_path):
+    page = '<page>\n  <title>%s</title>\n  <ns>0</ns>\n  <id>%s</id>\n  <revision>\n    <id>2</id>\n    <text bytes="1" xml:space="preserve">%s</text>\n  </revision>\n</page>\n'
+    rows = [("a", "1", "x "), ("b", "2", " x\n"), ("c", "", "x"), ("d", "null", "&lt;y&gt; &amp; "), ("e", " 5 ", "z"), ("f", "6", ""), ("null", "7", "null")]
+    (tmp_path / "a.xml").write_text("<mediawiki>\n" + "".join(page % r for r in rows) + "</mediawiki>")
+    got = sorted(tuple(r) for r in readers.read_wiki_dump(spark, str(tmp_path / "a.xml")).collect())
+    ids, texts = [1, 2, None, None, 5, 6, 7], ["x ", " x\n", "x", "<y> & ", "z", "", "null"]
+    assert got == [(title, 0, i, 2, text) for (title, _, _), i, text in zip(rows, ids, texts)]
+
+
+@pytest.mark.parametrize("name", ["read_wiki_dump", "read_pages_by_title"])
+def test_dump_queries_equal_their_sql_on_odd_documents(spark, tmp_path, name):
+    duckdb = pytest.importorskip("duckdb")
+    langs = ["en", None, "", " es ", "es", "fr ", "a&b", "&amp;", "<page>", "</page>", "<ns>4</ns>", "]]>", "a+b%20", "\r\n", "\x01", "é😀", "fr"]
+    rows = [(3 * i + 1, text, lang) for i, lang in enumerate(langs) for text in ("x", "", None, " ")] + [(None, "x", "es"), (None, "", "en"), (-2, "", "fr"), (-3, "x", "es"), (9, "", "fr"), (10**17, "é\n", "es")]
+    pq.write_table(pa.table(dict(zip(("doc_id", "text", "lang"), map(list, zip(*rows))))), tmp_path / "documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet'")
+    got = __spark_entry__.queries()[name](spark, str(tmp_path)).toArrow()
+    con.register("got", got)
+    con.sql(f"create table want as {__spark_entry__.oracle_sql()[name]}")
+    names = ", ".join(f'"{c}"' for c in got.column_names)
+    for one, other in (("want", "got"), ("got", "want")):
+        assert con.sql(f"select {names} from {one} except all select {names} from {other}").fetchall() == []
+    assert got.num_rows > 0
+
+
 def test_schema_errors(spark):
     good = {"lemma": "kato", "source": "s", "translations": [{"term": "x", "lang": "eo", "confidence": 1, "source": "s"}], "extra": 1}
     term = good["translations"][0]
